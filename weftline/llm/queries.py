@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weftline.llm import mixing
+from weftline.llm import licenses, mixing, packing
 
-QUERIES = {"op6_mix": mixing.op6_mix}
+QUERIES = {"op6_mix": mixing.op6_mix, "op9_pack": packing.op9_pack, "op10_licenses": licenses.op10_licenses}
 ORACLES = {"op6_mix": mixing.ORACLE_SQL}
