@@ -274,7 +274,8 @@ def pixels(coefs: np.ndarray, quant: bytes) -> np.ndarray:
     natural[:, ZIGZAG] = coefs * np.frombuffer(quant, "u1").astype("i4")
     half = natural.reshape(-1, 8) @ BASIS
     whole = half.reshape(-1, 8, 8).transpose(0, 2, 1).reshape(-1, 8) @ BASIS
-    return np.clip(np.floor(whole / (SCALE * SCALE) + 128.5), 0, 255).astype("u1").reshape(-1, BLOCK)
+    whole = whole.reshape(-1, 8, 8).transpose(0, 2, 1).reshape(-1, BLOCK)
+    return np.clip(np.floor(whole / (SCALE * SCALE) + 128.5), 0, 255).astype("u1")
 
 
 def histograms(samples: np.ndarray, blocks: int) -> np.ndarray:
