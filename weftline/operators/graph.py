@@ -40,3 +40,66 @@ def connected_components(spark: SparkSession, edges: DataFrame, most_rounds: int
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("dst").alias("node")).union(loops.where("src = dst").select("src").join(now, "src", "left_anti")).distinct()
     return now.select(F.col("src").alias("node"), F.col("dst").alias("component")).union(roots.select("node", F.col("node").alias("component"))).distinct()
+
+
+def transitive_closure(spark: SparkSession, edges: DataFrame, nodes: DataFrame | None = None, most_rounds: int = 64) -> DataFrame:
+    """(ancestor, descendant) along (parent, child) edges, with each node its own; safe on cycles.
+
+    Pairs double their reach each round, so a chain of n takes log n rounds; edges to ids that ``nodes`` (node) lacks are
+    left out.
+    """
+    steps = edges.select("parent", "child").where("parent is not null and child is not null and parent <> child").distinct()
+    every = nodes.select("node").distinct() if nodes is not None else steps.select(F.col("parent").alias("node")).union(steps.select("child")).distinct()
+    if nodes is not None:
+        steps = steps.join(every.withColumnRenamed("node", "parent"), "parent", "left_semi").join(every.withColumnRenamed("node", "child"), "child", "left_semi").select("parent", "child")
+    reached = materialize(spark, every.select(F.col("node").alias("ancestor"), F.col("node").alias("descendant")).union(steps.select("parent", "child")).distinct(), "closure")
+    n = reached.count()
+    for _ in range(most_rounds):
+        on = reached.select(F.col("ancestor").alias("middle"), F.col("descendant").alias("far"))
+        further = reached.join(on, reached["descendant"] == on["middle"]).select("ancestor", F.col("far").alias("descendant"))
+        reached = materialize(spark, further.distinct(), "closure")
+        more = reached.count()
+        if more == n:
+            return reached
+        n = more
+    raise RuntimeError("closure did not settle")
+
+
+def hops(edges: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
+    """(node, depth): nodes within ``k`` steps along (src, dst) of ``seeds`` (node), each at its least depth."""
+    found = frontier = seeds.select("node").distinct().withColumn("depth", F.lit(0))
+    for depth in range(1, k + 1):
+        frontier = frontier.join(edges, frontier["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
+        frontier = frontier.join(found.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth))
+        found = found.union(frontier)
+    return found
+
+
+def drop_dangling(edges: DataFrame, starts: DataFrame, ends: DataFrame) -> DataFrame:
+    """Edges (src, dst) whose ends are both known nodes (node)."""
+    return edges.join(starts.select(F.col("node").alias("src")), "src", "left_semi").join(ends.select(F.col("node").alias("dst")), "dst", "left_semi")
+
+
+def leaves(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Nodes (node) that are no edge's parent."""
+    return nodes.join(edges.select(F.col("parent").alias("node")), "node", "left_anti")
+
+
+def partition_changes(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(side, grp, change, score) of two groupings (item, grp) of items: new, removed, split, merged, reconfigured or same.
+
+    Works on overlaps of groups, never on pairs of items.
+    """
+    l, r = left.select("item", F.col("grp").alias("lg")), right.select("item", F.col("grp").alias("rg"))
+    over = l.join(r, "item", "full").groupBy("lg", "rg").agg(F.count(F.lit(1)).alias("n"))
+    by_left = over.where("lg is not null").groupBy("lg").agg(F.count("rg").alias("n_right"), F.sum(F.when(F.col("rg").isNull(), F.col("n")).otherwise(0)).alias("lost"))
+    by_right = over.where("rg is not null").groupBy("rg").agg(F.count("lg").alias("n_left"), F.sum(F.when(F.col("lg").isNull(), F.col("n")).otherwise(0)).alias("gained"))
+    pairs = over.where("lg is not null and rg is not null").join(by_left, "lg").join(by_right, "rg")
+    merged_from = pairs.groupBy("lg").agg(F.max("n_left").alias("most_left"), F.sum("gained").alias("gained"))
+    full = by_left.join(merged_from, "lg", "left")
+    many, shared = F.col("n_right") > 1, F.coalesce(F.col("most_left"), F.lit(0)) > 1
+    change = F.when(F.col("n_right") == 0, "removed").when(many & shared, "reconfigured").when(many, "split").when(shared, "merged").when((F.col("lost") > 0) | (F.col("gained") > 0), "membership changed").otherwise("same")
+    score = F.col("lost") + F.coalesce("gained", F.lit(0)) + F.greatest(F.col("n_right"), F.coalesce("most_left", F.lit(0)))
+    olds = full.select(F.lit("left").alias("side"), F.col("lg").alias("grp"), change.alias("change"), score.alias("score"))
+    news = by_right.where("n_left = 0").select(F.lit("right").alias("side"), F.col("rg").alias("grp"), F.lit("new").alias("change"), F.col("gained").alias("score"))
+    return olds.union(news)
