@@ -28,7 +28,7 @@ def tokens(value: Column, pattern: str = TOKEN, longest: int = 128) -> Column:
 
 def split_list(value: Column, separator: str = r"\|") -> Column:
     """The non-blank, trimmed items of a delimited list; null if there is none."""
-    items = F.filter(F.transform(F.split(value, separator), F.trim), lambda x: x != "")
+    items = F.filter(F.transform(F.split(value, separator), lambda x: F.trim(x)), lambda x: x != "")
     return F.when(F.size(items) > 0, items)
 
 

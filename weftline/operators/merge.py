@@ -11,7 +11,8 @@ KEEP_FIRST, KEEP_LAST = "KeepFirst", "KeepLast"
 
 def _ordered(col: str, order: Column) -> Column:
     """The column's values with their order, oldest first, without missing ones."""
-    return F.array_sort(F.collect_list(F.when(F.col(col).isNotNull(), F.struct(order.alias("o"), F.col(col).alias("v")))))
+    by_order = lambda a, b: F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)  # noqa: E731  maps have no order of their own
+    return F.array_sort(F.collect_list(F.when(F.col(col).isNotNull(), F.struct(order.alias("o"), F.col(col).alias("v")))), by_order)
 
 
 def merge_records(df: DataFrame, keys: list[str], order: list[str], policy: str = KEEP_FIRST, fixed: tuple[str, ...] = (), provenance: str | None = None) -> DataFrame:

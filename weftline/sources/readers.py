@@ -85,7 +85,7 @@ def ontology_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     edges = doc.select(F.inline("g.edges")).where("pred = 'is_a'").select(F.col("sub").alias("child"), F.col("obj").alias("parent"))
     keep = nodes.select("id")
     edges = edges.join(keep.withColumnRenamed("id", "child"), "child", "left_semi").join(keep.withColumnRenamed("id", "parent"), "parent", "left_semi")
-    return nodes, edges
+    return nodes, edges.select("child", "parent")
 
 
 def json_records(spark: SparkSession, path: str, schema: str | None = None, lines: bool = True) -> DataFrame:
