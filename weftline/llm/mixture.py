@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,7 +103,8 @@ class Coded:
     contexts: np.ndarray = field(repr=False)  # contexts x bytes
 
 
-def code(lines: list[bytes]) -> Coded:
+def code(lines: list[bytes], first: int = len(BITS)) -> Coded:
+    """Code lines, with their first contexts."""
     pad = bytes([END]) * PAD
     raw = [pad + line for line in lines]
     line = np.frombuffer(b"".join(raw), "u1")
@@ -116,16 +117,17 @@ def code(lines: list[bytes]) -> Coded:
     last5 = np.zeros(len(line), "u8")
     for j in range(1, 6):
         last5[j:] |= wide[:-j] << np.uint64(8 * (j - 1))
-    # a word's hash so far: differences of prefix sums, shifted back by the inverse of the base's power
-    n = len(line)
-    power, inverse = powers(n)
-    sums = np.zeros(n + 1, "u8")
-    np.cumsum((wide + np.uint64(1)) * power[:n], out=sums[1:])
-    blank = (line == 32) | (line == END)
-    begin = np.maximum.accumulate(np.where(np.concatenate([[True], blank[:-1]]), np.arange(n), 0))
-    so_far = (sums[:-1] - sums[begin]) * inverse[begin]
-    keys = (last5 & np.uint64(0xFFFFFF), last5, so_far)
-    contexts = np.empty((len(BITS), len(at)), "u4")
+    keys = [last5 & np.uint64(0xFFFFFF), last5]
+    if first > TALLIED:
+        # a word's hash so far: differences of prefix sums, shifted back by the inverse of the base's power
+        n = len(line)
+        power, inverse = powers(n)
+        sums = np.zeros(n + 1, "u8")
+        np.cumsum((wide + np.uint64(1)) * power[:n], out=sums[1:])
+        blank = (line == 32) | (line == END)
+        begin = np.maximum.accumulate(np.where(np.concatenate([[True], blank[:-1]]), np.arange(n), 0))
+        keys.append((sums[:-1] - sums[begin]) * inverse[begin])
+    contexts = np.empty((len(keys), len(at)), "u4")
     for k, key in enumerate(keys):
         x = (key[at] + np.uint64(k + 1)) * np.uint64(0xD6E8FEB86659FD93)
         contexts[k] = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)
@@ -266,7 +268,7 @@ class Model:
             np.exp(z, out=z)
             z += 1
             p = np.reciprocal(z, out=z)
-            total[:lanes] += np.bincount(lane, weights=np.log(p), minlength=lanes)
+            total[:lanes] += np.add.reduceat(np.log(p), np.searchsorted(lane, np.arange(lanes)), dtype="f8")
             if rate or learn is not None:
                 error = sign * (1 - p)
                 step = np.stack([np.bincount(key, weights=error * x, minlength=lanes * GATES) for x in inputs])
@@ -317,90 +319,98 @@ def stretches(lines: list[bytes]):
         yield run
 
 
-def byte_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Counts of the coded bytes of training texts, and the number of those texts."""
+BLOCKS = "block string, key array<long>, doc_id array<long>, tokens array<int>, first array<int>, words array<int>, times array<int>, hashes array<long>, train array<int>, spelled binary, bytes array<long>, texts long"
+BLANK = np.array([chr(b) in " \t\n\x0b\x0c\r" for b in range(256)])
 
-    def run(batches):
-        counts, texts = np.zeros(256, "i8"), 0
-        for batch in batches:
-            for text in batch["text"]:
-                counts += np.bincount(np.frombuffer(b" ".join(words_of(text.as_py())), "u1"), minlength=256)
-                texts += 1
-        yield pa.RecordBatch.from_arrays([pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([texts])], ["counts", "texts"])
 
-    each = docs.where(~F.col("held")).select("text").mapInArrow(run, "counts array<long>, texts long")
-    row = each.agg(*[F.sum(F.get("counts", F.lit(b))) for b in range(256)], F.sum("texts")).first()
-    counts = np.array([x or 0 for x in row[:256]], "i8")
-    counts[END] += row[256] or 0
-    return counts, int(row[256] or 0)
+def hashed_words(line: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(64-bit hash, start, end) of every word of a text in lower case."""
+    raw = np.frombuffer(line + b" ", "u1")
+    blank = BLANK[raw]
+    edge = np.flatnonzero(np.diff(blank, prepend=True))
+    start, end = edge[::2], edge[1::2]
+    power, inverse = powers(len(raw))
+    sums = np.zeros(len(raw) + 1, "u8")
+    np.cumsum((raw.astype("u8") + np.uint64(1)) * power[: len(raw)], out=sums[1:])
+    h = (sums[end] - sums[start]) * inverse[start] + (end - start).astype("u8")
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15), start, end
 
 
-BLOCKS = "block string, key array<long>, doc_id array<long>, tokens array<int>, first array<int>, words array<int>, times array<int>, hashes array<long>, train array<int>, spelled binary"
+def parts_of(text: bytes):
+    """The text in stretches that end at blanks, so that arrays do not follow its length."""
+    a = 0
+    while len(text) - a > STRETCH and (b := text.find(b" ", a + STRETCH)) >= 0:
+        yield text[a:b]
+        a = b
+    yield text[a:]
 
 
 def word_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of texts with the dictionary of their words (by 64-bit hash), its training counts, and each text's words."""
+    """Blocks of texts with the dictionary of their words (in order of hash), its training counts, each text's words, and
+    the training texts' number and bytes as they are coded."""
 
     def block(keys, ids, held, texts):
-        place, tokens, first, words, times = {}, [], [0], [], []
-        train: list[int] = []
-        for out, ws in zip(held, texts):
-            own: dict[bytes, int] = {}
-            for w in ws:
-                own[w] = own.get(w, 0) + 1
-            for w, n in own.items():
-                k = place.setdefault(w, len(place))
-                if k == len(train):
-                    train.append(0)
-                words.append(k)
-                times.append(n)
-                if not out:
-                    train[k] += n
-            tokens.append(len(ws) + 1)
-            first.append(len(words))
-        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in place], "u8").view("i8")
-        row = [uuid.uuid4().hex, keys, ids, tokens, first, words, times, hashes, train, b" ".join(place)]
-        kinds = [pa.string()] + [pa.list_(t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32())] + [pa.binary()]
+        lines, hashes, starts, ends, text_of, line_of = [], [], [], [], [], []
+        for k, text in enumerate(texts):
+            for line in parts_of(text.encode().lower()):
+                h, a, b = hashed_words(line)
+                for own, v in ((hashes, h), (starts, a), (ends, b), (text_of, np.full(len(h), k)), (line_of, np.full(len(h), len(lines)))):
+                    own.append(v)
+                lines.append(line)
+        h, starts, ends, text_of, line_of = (np.concatenate(x) for x in (hashes, starts, ends, text_of, line_of))
+        out = np.array(held)
+        words, at, which = np.unique(h, return_index=True, return_inverse=True)
+        learn = ~out[text_of]
+        train = np.bincount(which[learn], minlength=len(words))
+        pairs, times = np.unique(text_of * max(1, len(words)) + which, return_counts=True)
+        first = np.searchsorted(pairs, np.arange(len(texts) + 1) * max(1, len(words)))
+        tokens = np.bincount(text_of, minlength=len(texts)) + 1
+        spelled = [lines[k][a:b] for k, a, b in zip(line_of[at].tolist(), starts[at].tolist(), ends[at].tolist())]
+        common = np.zeros(256, "i8")
+        weight = np.repeat(train, [len(w) for w in spelled])
+        common += np.bincount(np.frombuffer(b"".join(spelled), "u1"), weights=weight, minlength=256).astype("i8")
+        common[32] += int((tokens[~out] - 2).clip(0).sum())
+        row = [uuid.uuid4().hex, keys, ids, tokens, first, pairs % max(1, len(words)), times, words.view("i8"), train, b" ".join(spelled), common, int((~out).sum())]
+        kinds = [pa.string()] + [pa.list_(t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32())] + [pa.binary(), pa.list_(pa.int64()), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], [x.split()[0] for x in BLOCKS.split(", ")])
 
     def run(batches):
-        held_rows: tuple[list, ...] = ([], [], [], [])
+        waiting: tuple[list, ...] = ([], [], [], [])
         size = 0
         for batch in batches:
             for row in zip(batch["key"].to_pylist(), batch["doc_id"].to_pylist(), batch["held"].to_pylist(), batch["text"]):
                 text = row[3].as_py() or ""
                 size += len(text)
-                for own, v in zip(held_rows, (*row[:3], words_of(text))):
+                for own, v in zip(waiting, (*row[:3], text)):
                     own.append(v)
                 if size >= BLOCK_BYTES:
-                    yield block(*held_rows)
-                    held_rows, size = ([], [], [], []), 0
-        if held_rows[0]:
-            yield block(*held_rows)
+                    yield block(*waiting)
+                    waiting, size = ([], [], [], []), 0
+        if waiting[0]:
+            yield block(*waiting)
 
     return docs.select("key", "doc_id", "held", "text").mapInArrow(run, BLOCKS)
 
 
-def corpus_counts(blocks: DataFrame, parts: int) -> DataFrame:
-    """(block, part, counts): for each block and part of the hashes, the corpus counts of its words, in their order there.
+def corpus_counts(blocks: DataFrame, bits: int) -> DataFrame:
+    """(block, part, counts): for each block and part of the hashes (their first ``bits``), the corpus counts of its
+    words, in their order there.
 
-    The row without a block has the sum of the part's counts, and then the words with counts of 1 or more, 2, 4, 8, ... . A word is one entry of each block that has it,
-    so frequent words weigh no more than rare ones.
+    The row without a block has the sum of the part's counts, and then the words with counts of 1 or more, 2, 4, 8, ... . A word
+    is one entry of each block that has it, so frequent words weigh no more than rare ones.
     """
 
     def split(batches):
         for batch in batches:
             for name, hashes, train in zip(batch["block"], batch["hashes"], batch["train"]):
                 h, n = hashes.values.to_numpy(), train.values.to_numpy()
-                part = (h.view("u8") % np.uint64(parts)).astype("i4")
-                order = np.argsort(part, kind="stable")
-                ids, starts = np.unique(part[order], return_index=True)
-                ends = np.append(starts[1:], len(h))
+                part = (h.view("u8") >> np.uint64(64 - bits)).astype("i4") if bits else np.zeros(len(h), "i4")
+                ids, starts = np.unique(part, return_index=True)
                 offsets = pa.array(np.append(starts, len(h)), pa.int32())
-                arrays = [pa.ListArray.from_arrays(offsets, pa.array(v[order])) for v in (h, n)]
+                arrays = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (h, n)]
                 for a in range(0, len(ids), 512):
                     yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(ids[a : a + 512])), pa.array(ids[a : a + 512]), *(x.slice(a, 512) for x in arrays)], ["block", "part", "hashes", "train"])
-                del ends
 
     def join(table: pa.Table) -> pa.Table:
         sizes = [len(x) for x in table["hashes"]]
@@ -417,24 +427,41 @@ def corpus_counts(blocks: DataFrame, parts: int) -> DataFrame:
     return spread.groupBy("part").applyInArrow(join, "block string, part int, counts array<long>")
 
 
-def base_scores(blocks: DataFrame, counts: DataFrame, parts: int, texts: int, n: int, v: int) -> DataFrame:
-    """(key, doc_id, n_tokens, n_known, base_score) of every text, from its block's words and their counts."""
-    schema = "key long, doc_id long, n_tokens long, n_known long, base_score double"
+BASE = "key long, doc_id long, n_tokens long, n_known long, base_score double, word binary, n long"
+
+
+def base_scores(blocks: DataFrame, counts: DataFrame, texts: int, n: int, v: int, least: int) -> DataFrame:
+    """(key, doc_id, n_tokens, n_known, base_score) of every text, from its block's words and their counts; and (word, n)
+    of the words that the corpus has ``least`` times or more. Each block's data move once for both."""
 
     def run(own: pa.Table, found: pa.Table) -> pa.Table:
-        row = {k: own[k][0].values for k in own.column_names if k != "block"}
-        c = own_counts(own, found, parts)
+        row = {k: own[k][0].values for k in ("key", "doc_id", "tokens", "first", "words", "times")}
+        by_part = np.argsort(found["part"].to_numpy(), kind="stable")
+        c = np.concatenate([np.zeros(0, "i8"), *(found["counts"][int(k)].values.to_numpy() for k in by_part)])
         words, times, first = (row[k].to_numpy() for k in ("words", "times", "first"))
         logs = times * np.log10(c + 1.0)[words]
         known = np.concatenate([[0], np.cumsum(times * (c > 0)[words])])
-        # sums of each text's own terms only, so that equal texts get equal scores wherever they stand
+        # each text's own terms, added exactly, so that equal texts get equal scores wherever they stand
         base = np.array([math.fsum(logs[a:b].tolist()) for a, b in zip(first, first[1:])])
         tokens = row["tokens"].to_numpy().astype("i8")
         base += math.log10(texts + 1) - tokens * math.log10(n + v + 1)
-        return pa.table({"key": row["key"], "doc_id": row["doc_id"], "n_tokens": pa.array(tokens), "n_known": pa.array(known[first[1:]] - known[first[:-1]] + (texts > 0)), "base_score": pa.array(base)})
-
-    left = blocks.select("block", "key", "doc_id", "tokens", "first", "words", "times", "hashes")
-    return left.groupBy("block").cogroup(counts.where("block is not null").groupBy("block")).applyInArrow(run, schema)
+        spelled = own["spelled"][0].as_py().split(b" ") if len(c) else []
+        some = [k for k in np.flatnonzero(c >= least).tolist() if len(spelled[k]) <= LONGEST_WORD]
+        none = lambda m, t: pa.nulls(m, t)
+        m, w = len(tokens), len(some)
+        columns = {
+            "key": pa.chunked_array([row["key"], none(w, pa.int64())]),
+            "doc_id": pa.chunked_array([row["doc_id"], none(w, pa.int64())]),
+            "n_tokens": pa.chunked_array([pa.array(tokens), none(w, pa.int64())]),
+            "n_known": pa.chunked_array([pa.array(known[first[1:]] - known[first[:-1]] + (texts > 0)), none(w, pa.int64())]),
+            "base_score": pa.chunked_array([pa.array(base), none(w, pa.float64())]),
+            "word": pa.chunked_array([none(m, pa.binary()), pa.array([spelled[k] for k in some], pa.binary())]),
+            "n": pa.chunked_array([none(m, pa.int64()), pa.array(c[some].astype("i8"))]),
+        }
+        return pa.table(columns)
+
+    left = blocks.select("block", "key", "doc_id", "tokens", "first", "words", "times", "spelled")
+    return left.groupBy("block").cogroup(counts.where("block is not null").groupBy("block")).applyInArrow(run, BASE)
 
 
 def branch_tables(spark: SparkSession, docs: DataFrame, tree: Tree) -> np.ndarray:
@@ -442,26 +469,30 @@ def branch_tables(spark: SparkSession, docs: DataFrame, tree: Tree) -> np.ndarra
     shared = spark.sparkContext.broadcast(tree)
 
     def count(batches):
-        tally = Tally(shared.value)
+        tally, pack = Tally(shared.value), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             lines = [line for t in batch["text"] for line in lines_of(words_of(t.as_py()))]
             for some in stretches(lines):
-                tally.add(code([lines[k] for k in some]))
+                tally.add(code([lines[k] for k in some], TALLIED))
         for part, at, zeros, ones in tally.rows():
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), *(pa.array([x], pa.list_(pa.int32())) for x in (at, zeros, ones))], ["part", "at", "zeros", "ones"])
+            packed = pack.compress(np.stack([np.diff(at, prepend=0), zeros, ones]).astype("<i4").view("u1").reshape(-1, 4).T.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([packed], pa.binary())], ["part", "packed"])
 
     def add(batches):
         held: dict[int, np.ndarray] = {}
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            for part, at, zeros, ones in zip(batch["part"].to_pylist(), batch["at"], batch["zeros"], batch["ones"]):
+            for part, packed in zip(batch["part"].to_pylist(), batch["packed"]):
                 own = held.setdefault(part, np.zeros((2, 1 << PART), "i8"))
-                k = at.values.to_numpy()
-                own[0, k] += zeros.values.to_numpy()
-                own[1, k] += ones.values.to_numpy()
+                raw = np.frombuffer(unpack.decompress(packed.as_py()), "u1").reshape(4, -1)
+                step, zeros, ones = np.ascontiguousarray(raw.T).view("<i4").reshape(3, -1)
+                k = np.cumsum(step)
+                own[0, k] += zeros
+                own[1, k] += ones
         for part, own in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([logits(*own).tobytes()], pa.binary())], ["part", "logits"])
 
-    counted = docs.select("text").mapInArrow(count, "part int, at array<int>, zeros array<int>, ones array<int>")
+    counted = docs.select("text").mapInArrow(count, "part int, packed binary")
     summed = counted.repartition("part").mapInArrow(add, "part int, logits binary").toArrow()
     table = np.zeros(OFFSETS[-1], "f4")
     for part, own in zip(summed["part"].to_pylist(), summed["logits"]):
@@ -469,31 +500,6 @@ def branch_tables(spark: SparkSession, docs: DataFrame, tree: Tree) -> np.ndarra
     return table
 
 
-def common_words(blocks: DataFrame, counts: DataFrame, parts: int, least: int) -> tuple[list[bytes], np.ndarray]:
-    """The words that the corpus has ``least`` times or more, and how often; ``least`` is such that they are few enough."""
-
-    def run(own: pa.Table, found: pa.Table) -> pa.Table:
-        c, words = own_counts(own, found, parts), own["spelled"][0].as_py().split()
-        some = [k for k in np.flatnonzero(c >= least).tolist() if len(words[k]) <= LONGEST_WORD]
-        return pa.table({"word": pa.array([words[k] for k in some], pa.binary()), "n": pa.array(c[some])})
-
-    left = blocks.select("block", "hashes", "spelled")
-    every = left.groupBy("block").cogroup(counts.where("block is not null").groupBy("block")).applyInArrow(run, "word binary, n long")
-    table = every.groupBy("word").agg(F.max("n").alias("n")).orderBy("word").toArrow()
-    return table["word"].to_pylist(), table["n"].to_numpy().astype("f8")
-
-
-def own_counts(own: pa.Table, found: pa.Table, parts: int) -> np.ndarray:
-    """The corpus counts of a block's words, in the order of its dictionary."""
-    h = own["hashes"][0].values.to_numpy()
-    c = np.zeros(len(h), "i8")
-    if len(h):
-        order = np.argsort((h.view("u8") % np.uint64(parts)).astype("i4"), kind="stable")
-        by_part = np.argsort(found["part"].to_numpy(), kind="stable")
-        c[order] = np.concatenate([found["counts"][int(k)].values.to_numpy() for k in by_part])
-    return c
-
-
 def train(spark: SparkSession, docs: DataFrame, tree: Tree, texts: int, words: list[bytes], counts: np.ndarray) -> Model:
     """The model of the rows of ``docs`` (text, held, draw) with held false, given their tree and common words."""
     tuning = (F.col("draw") < int(min(0.1, TUNE_TEXTS / max(1, texts)) * (1 << 30))) & (F.length(F.coalesce("text", F.lit(""))) <= TUNE_BYTES)
@@ -511,17 +517,19 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> D
     Rows that are the same in doc_id and text score alike, so the two results are joined by a hash of both and doc_id.
     """
     rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held"), F.xxhash64("doc_id", "text").alias("key"), F.pmod(F.xxhash64(F.lit("tune"), F.col("doc_id").cast("string")), F.lit(1 << 30)).alias("draw"))
-    symbols, texts = byte_counts(rows)
     blocks = materialize(spark, word_blocks(rows), "blocks")
-    entries = blocks.agg(F.sum(F.size("hashes").cast("long"))).first()[0] or 0
-    parts = max(1, -(-entries // WORDS_PER_PART))
-    counts = materialize(spark, corpus_counts(blocks, parts), "counts")
+    whole = blocks.agg(F.sum(F.size("hashes").cast("long")), F.sum("texts"), *[F.sum(F.get("bytes", F.lit(b))) for b in range(256)]).first()
+    entries, texts, *symbols = [x or 0 for x in whole]
+    symbols[END] += texts
+    bits = max(0, (entries // WORDS_PER_PART).bit_length())
+    counts = materialize(spark, corpus_counts(blocks, bits), "counts")
     sums = counts.where("block is null").agg(*[F.coalesce(F.sum(F.get("counts", F.lit(k))), F.lit(0)) for k in range(41)]).first()
     n, v = sums[0] + texts, sums[1] + (texts > 0)
     least = next(1 << k for k in range(40) if sums[k + 1] <= MOST_WORDS)
-    tree = huffman(symbols)
-    model = train(spark, rows, tree, texts, *common_words(blocks, counts, parts, least))
-    base = materialize(spark, base_scores(blocks, counts, parts, texts, n, v), "base").dropDuplicates(["key", "doc_id"])
+    both = materialize(spark, base_scores(blocks, counts, texts, n, v, least), "base")
+    base = both.where("word is null").select("key", "doc_id", "n_tokens", "n_known", "base_score").dropDuplicates(["key", "doc_id"])
+    common = both.where("word is not null").groupBy("word").agg(F.max("n").alias("n")).toArrow().sort_by("word")
+    model = train(spark, rows, huffman(np.array(symbols, "i8")), texts, common["word"].to_pylist(), common["n"].to_numpy().astype("f8"))
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
