@@ -346,18 +346,37 @@ def parts_of(text: bytes):
     yield text[a:]
 
 
+def joined(texts: list[str]):
+    """(numbers of the texts, their offsets, line) of stretches of texts joined by blanks."""
+    owner, parts, size = [], [], 0
+    for k, text in enumerate(texts):
+        for part in parts_of(text.encode().lower()):
+            owner.append(k)
+            parts.append(part)
+            size += len(part)
+            if size >= STRETCH // 2:
+                yield np.array(owner), np.cumsum([0, *(len(p) + 1 for p in parts[:-1])]), b" ".join(parts)
+                owner, parts, size = [], [], 0
+    if parts:
+        yield np.array(owner), np.cumsum([0, *(len(p) + 1 for p in parts[:-1])]), b" ".join(parts)
+
+
+def one_list(values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
+
+
 def word_blocks(docs: DataFrame) -> DataFrame:
     """Blocks of texts with the dictionary of their words (in order of hash), its training counts, each text's words, and
     the training texts' number and bytes as they are coded."""
 
     def block(keys, ids, held, texts):
         lines, hashes, starts, ends, text_of, line_of = [], [], [], [], [], []
-        for k, text in enumerate(texts):
-            for line in parts_of(text.encode().lower()):
-                h, a, b = hashed_words(line)
-                for own, v in ((hashes, h), (starts, a), (ends, b), (text_of, np.full(len(h), k)), (line_of, np.full(len(h), len(lines)))):
-                    own.append(v)
-                lines.append(line)
+        for owner, offsets, line in joined(texts):
+            h, a, b = hashed_words(line)
+            own = owner[np.searchsorted(offsets, a, side="right") - 1]
+            for out, v in ((hashes, h), (starts, a), (ends, b), (text_of, own), (line_of, np.full(len(h), len(lines)))):
+                out.append(v)
+            lines.append(line)
         h, starts, ends, text_of, line_of = (np.concatenate(x) for x in (hashes, starts, ends, text_of, line_of))
         out = np.array(held)
         words, at, which = np.unique(h, return_index=True, return_inverse=True)
@@ -371,9 +390,10 @@ def word_blocks(docs: DataFrame) -> DataFrame:
         weight = np.repeat(train, [len(w) for w in spelled])
         common += np.bincount(np.frombuffer(b"".join(spelled), "u1"), weights=weight, minlength=256).astype("i8")
         common[32] += int((tokens[~out] - 2).clip(0).sum())
-        row = [uuid.uuid4().hex, keys, ids, tokens, first, pairs % max(1, len(words)), times, words.view("i8"), train, b" ".join(spelled), common, int((~out).sum())]
-        kinds = [pa.string()] + [pa.list_(t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32())] + [pa.binary(), pa.list_(pa.int64()), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], [x.split()[0] for x in BLOCKS.split(", ")])
+        numbers = [(np.array(keys, "i8"), "i8"), None, (tokens, "i4"), (first, "i4"), (pairs % max(1, len(words)), "i4"), (times, "i4"), (words.view("i8"), "i8"), (train, "i4")]
+        columns = [pa.array([ids], pa.list_(pa.int64())) if x is None else one_list(x[0].astype(x[1])) for x in numbers]
+        columns = [pa.array([uuid.uuid4().hex]), *columns, pa.array([b" ".join(spelled)]), one_list(common), pa.array([int((~out).sum())])]
+        return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in BLOCKS.split(", ")])
 
     def run(batches):
         waiting: tuple[list, ...] = ([], [], [], [])
@@ -398,7 +418,8 @@ def corpus_counts(blocks: DataFrame, bits: int) -> DataFrame:
     words, in their order there.
 
     The row without a block has the sum of the part's counts, and then the words with counts of 1 or more, 2, 4, 8, ... . A word
-    is one entry of each block that has it, so frequent words weigh no more than rare ones.
+    is one entry of each block that has it, so frequent words weigh no more than rare ones. One of these entries holds the
+    bitwise complement of the count: that block speaks for the word.
     """
 
     def split(batches):
@@ -416,12 +437,14 @@ def corpus_counts(blocks: DataFrame, bits: int) -> DataFrame:
         sizes = [len(x) for x in table["hashes"]]
         h = np.concatenate([x.values.to_numpy() for x in table["hashes"]])
         n = np.concatenate([x.values.to_numpy() for x in table["train"]]).astype("i8")
-        _, where = np.unique(h, return_inverse=True)
+        _, first, where = np.unique(h, return_index=True, return_inverse=True)
         total = np.bincount(where, weights=n).astype("i8")
-        counts, edges = total[where], np.cumsum([0, *sizes])
-        rows = [counts[a:b] for a, b in zip(edges, edges[1:])] + [np.array([total.sum(), *((total >= 1 << k).sum() for k in range(40))])]
+        counts = total[where]
+        counts[first] = ~counts[first]
+        whole = [total.sum(), *((total >= 1 << k).sum() for k in range(40))]
+        values = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes, len(whole)]), pa.int32()), pa.array(np.append(counts, whole).astype("i8")))
         part = table["part"][0].as_py()
-        return pa.table({"block": pa.array([*table["block"].to_pylist(), None], pa.string()), "part": pa.array([part] * len(rows), pa.int32()), "counts": pa.array(rows, pa.list_(pa.int64()))})
+        return pa.table({"block": pa.array([*table["block"].to_pylist(), None], pa.string()), "part": pa.array([part] * len(values), pa.int32()), "counts": values})
 
     spread = blocks.select("block", "hashes", "train").mapInArrow(split, "block string, part int, hashes array<long>, train array<int>")
     return spread.groupBy("part").applyInArrow(join, "block string, part int, counts array<long>")
@@ -438,6 +461,8 @@ def base_scores(blocks: DataFrame, counts: DataFrame, texts: int, n: int, v: int
         row = {k: own[k][0].values for k in ("key", "doc_id", "tokens", "first", "words", "times")}
         by_part = np.argsort(found["part"].to_numpy(), kind="stable")
         c = np.concatenate([np.zeros(0, "i8"), *(found["counts"][int(k)].values.to_numpy() for k in by_part)])
+        speaks = c < 0
+        c = np.where(speaks, ~c, c)
         words, times, first = (row[k].to_numpy() for k in ("words", "times", "first"))
         logs = times * np.log10(c + 1.0)[words]
         known = np.concatenate([[0], np.cumsum(times * (c > 0)[words])])
@@ -446,7 +471,7 @@ def base_scores(blocks: DataFrame, counts: DataFrame, texts: int, n: int, v: int
         tokens = row["tokens"].to_numpy().astype("i8")
         base += math.log10(texts + 1) - tokens * math.log10(n + v + 1)
         spelled = own["spelled"][0].as_py().split(b" ") if len(c) else []
-        some = [k for k in np.flatnonzero(c >= least).tolist() if len(spelled[k]) <= LONGEST_WORD]
+        some = [k for k in np.flatnonzero(speaks & (c >= least)).tolist() if len(spelled[k]) <= LONGEST_WORD]
         none = lambda m, t: pa.nulls(m, t)
         m, w = len(tokens), len(some)
         columns = {
@@ -528,7 +553,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> D
     least = next(1 << k for k in range(40) if sums[k + 1] <= MOST_WORDS)
     both = materialize(spark, base_scores(blocks, counts, texts, n, v, least), "base")
     base = both.where("word is null").select("key", "doc_id", "n_tokens", "n_known", "base_score").dropDuplicates(["key", "doc_id"])
-    common = both.where("word is not null").groupBy("word").agg(F.max("n").alias("n")).toArrow().sort_by("word")
+    common = both.where("word is not null").select("word", "n").toArrow().sort_by("word")
     model = train(spark, rows, huffman(np.array(symbols, "i8")), texts, common["word"].to_pylist(), common["n"].to_numpy().astype("f8"))
     shared = spark.sparkContext.broadcast(model)
 
