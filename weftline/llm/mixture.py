@@ -215,15 +215,19 @@ def logits(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 def word_table(tree: Tree, words: list[bytes], counts: np.ndarray) -> np.ndarray:
     """The last context's logits: each word, and the blank after it, as often as the corpus has it."""
-    zeros, ones = np.zeros(1 << BITS[-1]), np.zeros(1 << BITS[-1])
-    for a in range(0, len(words), 1 << 14):
-        coded = code([w + b" " for w in words[a : a + (1 << 14)]])
-        times = np.repeat(counts[a : a + (1 << 14)], np.diff(np.append(coded.starts, len(coded.symbols))))
+    taken = np.zeros((2, 1 << BITS[-1]), "f4")
+    for a in range(0, len(words), 1 << 13):
+        coded = code([w + b" " for w in words[a : a + (1 << 13)]])
+        times = np.repeat(counts[a : a + (1 << 13)], np.diff(np.append(coded.starts, len(coded.symbols))))
         byte, salt, way = branches(tree, coded.symbols)
-        at = slots(coded.contexts, len(BITS) - 1, byte, salt)
-        zeros += np.bincount(at, weights=times[byte] * (1.0 - way), minlength=len(zeros))
-        ones += np.bincount(at, weights=times[byte] * way, minlength=len(ones))
-    return logits(zeros, ones)
+        at, where = np.unique(slots(coded.contexts, len(BITS) - 1, byte, salt), return_inverse=True)
+        ones = np.bincount(where, weights=times[byte] * way)
+        taken[0, at] += np.bincount(where, weights=times[byte]) - ones
+        taken[1, at] += ones
+    out = np.empty(taken.shape[1], "f4")
+    for a in range(0, len(out), 1 << PART):
+        out[a : a + (1 << PART)] = logits(*taken[:, a : a + (1 << PART)])
+    return out
 
 
 @dataclass
