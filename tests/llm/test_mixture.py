@@ -113,3 +113,27 @@ def test_edges(spark):
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 for r in none)
     assert {r.doc_id: r.score for r in none}[2] == pytest.approx(-huffman(np.zeros(256, "i8")).length[10] * math.log10(2))
     assert score_documents(spark, df.limit(0), F.lit(False)).collect() == []
+
+
+def test_every_word_teaches_the_word_context(spark, monkeypatch):
+    held = {}
+    monkeypatch.setattr(mixture, "train", lambda *a, f=mixture.train: held.setdefault("model", f(*a)))
+    words = [f"w{k:x}q" for k in range(270_000)] + ["y" * 500]  # each once; over 262,144 of them, and one that is long
+    texts = [" ".join(words[a : a + 3000]) for a in range(0, len(words), 3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    score_documents(spark, df, F.lit(False)).count()
+    m = held["model"]
+    assert m.bits[-1] > BITS[-1] - 1 and (1 << m.bits[-1]) >= 16 * len(words)
+    for w in (words[7], words[-2], words[-1]):
+        coded = code([w.encode() + b" "])
+        byte, salt, way = mixture.branches(m.tree, coded.symbols)
+        seen = mixture.UNPACKED[m.words[mixture.slots(coded.contexts, 2, byte, salt, m.bits)]]
+        assert (seen.view("i4") & 3).min() > 0
+
+
+def test_tables_grow():
+    assert mixture.table_bits(0, 0) == mixture.table_bits(10**6, 10**5) == BITS
+    assert mixture.table_bits(1 << 27, 1 << 22) == (22, 24, 26)
+    x = logits(np.array([0, 0, 5, 900]), np.array([0, 3, 0, 1]))
+    y = mixture.UNPACKED[mixture.packed_logits(x)]
+    assert y[0] == 0 and np.abs(x - y).max() < 0.14 and ((x.view("i4") ^ y.view("i4")) & 3 == 0).all()

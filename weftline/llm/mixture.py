@@ -2,8 +2,8 @@
 
 A text is coded as lower-case words, a blank after each but the last, and an end. Its bytes become the branches of a
 Huffman tree of the training bytes. Every branch is predicted by several hashed contexts (the last 3 and 5 bytes; the word so far),
-whose counts come from all training texts, the last one's from the exact counts of the ``MOST_WORDS`` commonest words. Their logits are
-combined by weights that a gate selects: how often the longest contexts were seen. The weights are learned online on a
+whose counts come from all training texts, the last one's from the exact counts of all their words, of any length. Tables have
+more slots the more words there are. The contexts' logits are combined by weights that a gate selects: how often the longest contexts were seen. The weights are learned online on a
 few training texts that the counts leave out, and go on adapting within each text scored, chunk by chunk, always from
 what lies behind; so scores are proper probabilities, and do not depend on how rows are dealt out.
 
@@ -29,10 +29,10 @@ from weftline.core import load, materialize
 
 END = 10
 PAD = 5  # ends before each text, as its first contexts
-BITS = (20, 22, 23)  # log2 of the slots of each context's table
+BITS = (20, 22, 23)  # log2 of the slots of each context's table, at least
 INPUTS = len(BITS)
 TALLIED = 2  # contexts counted branch by branch; the last one comes from word counts
-MOST_WORDS, LONGEST_WORD = 1 << 18, 64
+SLOTS_A_WORD = 16
 OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in BITS])]).astype("i8")
 PART = 17  # log2 of the slots that travel in one row
 GATES = 4 ** (INPUTS - 1)  # how often each context but the shortest was seen
@@ -44,6 +44,8 @@ WORDS_PER_PART = 1 << 19
 TUNE_TEXTS, TUNE_BYTES = 300, 1 << 15  # texts for the mixer's weights, and their greatest length
 RATES = (0.0, 0.001, 0.002, 0.004)
 CLIP = 8.4
+STEPS = 31  # of a packed logit, to either side of zero
+ENTRIES = 1 << 22  # slots of words added up together
 SIGNS = np.array([-1, 1], "f4")
 
 
@@ -157,20 +159,30 @@ def branches(tree: Tree, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return byte, tree.salts.take(path), tree.ways.take(path)
 
 
-def slots(contexts: np.ndarray, k: int, byte: np.ndarray, salt: np.ndarray) -> np.ndarray:
+def offsets_of(bits: tuple[int, ...]) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum([1 << b for b in bits])]).astype("i8")
+
+
+def table_bits(tokens: int, words: int) -> tuple[int, ...]:
+    """log2 of the slots of each table: the byte contexts' grow with the root of the tokens, the words' with distinct words."""
+    more = (tokens >> 24).bit_length() // 2
+    return (*(b + more for b in BITS[:TALLIED]), min(32, max(BITS[-1], (SLOTS_A_WORD * words - 1).bit_length())))
+
+
+def slots(contexts: np.ndarray, k: int, byte: np.ndarray, salt: np.ndarray, bits: tuple[int, ...] = BITS) -> np.ndarray:
     """The slot of each branch in table k (of its own, from 0); salt is the hash of its node."""
     at = contexts[k].take(byte)
     at ^= salt
-    at >>= np.uint32(32 - BITS[k])
+    at >>= np.uint32(32 - bits[k])
     return at
 
 
 class Tally:
     """Branch counts of all tables, over the texts of one task. Slots wait in a buffer, as counting costs a pass over the table."""
 
-    def __init__(self, tree: Tree):
-        self.tree = tree
-        self.counts = [np.zeros(2 << b, "i4") for b in BITS[:TALLIED]]
+    def __init__(self, tree: Tree, bits: tuple[int, ...] = BITS):
+        self.tree, self.bits = tree, bits
+        self.counts = [np.zeros(2 << b, "i4") for b in bits[:TALLIED]]
         self.waiting, self.n = np.empty((TALLIED, BUFFER), "i8"), 0
         self.seen = False
 
@@ -183,14 +195,17 @@ class Tally:
             if self.n + n > BUFFER:
                 self.flush()
             for k, own in enumerate(self.waiting[:, self.n : self.n + n]):
-                own[:] = slots(coded.contexts, k, byte[some], salt[some])
+                own[:] = slots(coded.contexts, k, byte[some], salt[some], self.bits)
                 own <<= 1
                 own |= way[some]
             self.n += n
 
     def flush(self) -> None:
         for own, waiting in zip(self.counts, self.waiting):
-            own += np.bincount(waiting[: self.n], minlength=len(own))
+            if len(own) <= 2 * BUFFER:
+                own += np.bincount(waiting[: self.n], minlength=len(own))
+            else:
+                np.add.at(own, waiting[: self.n], np.int32(1))
         self.n = 0
 
     def rows(self):
@@ -198,13 +213,14 @@ class Tally:
         if not self.seen:
             return
         self.flush()
+        offsets = offsets_of(self.bits)
         for k, own in enumerate(self.counts):
             pairs = own.reshape(-1, 2)
             for a in range(0, len(pairs), 1 << PART):
                 some = pairs[a : a + (1 << PART)]
                 used = np.flatnonzero(some.any(axis=1))
                 if len(used):
-                    yield int(OFFSETS[k] + a) >> PART, used.astype("i4"), some[used, 0], some[used, 1]
+                    yield int(offsets[k] + a) >> PART, used.astype("i4"), some[used, 0], some[used, 1]
 
 
 def logits(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -230,12 +246,48 @@ def word_table(tree: Tree, words: list[bytes], counts: np.ndarray) -> np.ndarray
     return out
 
 
+def packed_logits(x: np.ndarray) -> np.ndarray:
+    """Logits, rounded to steps of 0.27, in one byte each, with their last two bits."""
+    return ((np.rint(x * (STEPS / CLIP)).astype("i4") + STEPS) << 2 | x.view("i4") & 3).astype("u1")
+
+
+UNPACKED = (((np.arange(256) >> 2) - STEPS) * (CLIP / STEPS)).astype("f4").view("i4")
+UNPACKED = (UNPACKED & ~3 | np.arange(256, dtype="i4") & 3).view("f4")
+UNSEEN = STEPS << 2
+
+
+def word_entries(tree: Tree, words: list[bytes], counts: np.ndarray, bits: tuple[int, ...]):
+    """(slots in order, zeros, ones) of the last context, of each stretch of words; no word is too long or too rare."""
+    lines, times, held = [], [], 0
+    pieces = ((w[a : a + STRETCH] + b" " * (a + STRETCH >= len(w)), c) for w, c in zip(words, counts.tolist()) for a in range(0, len(w), STRETCH))
+
+    def entries():
+        coded = code(lines)
+        byte, salt, way = branches(tree, coded.symbols)
+        n = np.repeat(np.array(times, "f8"), np.diff(np.append(coded.starts, len(coded.symbols))))[byte]
+        at, where = np.unique(slots(coded.contexts, len(bits) - 1, byte, salt, bits), return_inverse=True)
+        ones = np.bincount(where, weights=n * way)
+        return at.astype("i8"), (np.bincount(where, weights=n) - ones).astype("i8"), ones.astype("i8")
+
+    for line, n in pieces:
+        lines.append(line)
+        times.append(n)
+        held += len(line)
+        if held >= STRETCH:
+            yield entries()
+            lines, times, held = [], [], 0
+    if lines:
+        yield entries()
+
+
 @dataclass
 class Model:
     tree: Tree
-    table: np.ndarray  # of logits, by slot of all tables
+    table: np.ndarray  # of logits, by slot of all tables (but the last, if words has it)
     weights: np.ndarray  # inputs x gates
     rate: float = 0.0
+    bits: tuple[int, ...] = BITS
+    words: np.ndarray | None = None  # packed logits of the last table
 
     def score(self, coded: Coded, rate: float | None = None, learn: np.ndarray | None = None) -> np.ndarray:
         """The natural log probability of each text. Texts run side by side, a chunk at a time; with ``learn``, running
@@ -246,7 +298,8 @@ class Model:
         starts, sizes = coded.starts[order], sizes[order]
         total = np.zeros(len(order))
         own = np.tile(self.weights.astype("f4"), (1, len(order)))  # inputs x (text, gate)
-        tables = [self.table[a:b] for a, b in zip(OFFSETS, OFFSETS[1:])]
+        offsets = offsets_of(self.bits)
+        tables = [self.table[a:b] for a, b in zip(offsets, offsets[1:])]
         for a in range(0, int(sizes[0]) if len(sizes) else 0, CHUNK):
             lanes = int(np.searchsorted(-sizes, -a, side="left"))
             n = np.minimum(sizes[:lanes] - a, CHUNK)
@@ -255,7 +308,8 @@ class Model:
             byte, salt, way = branches(self.tree, coded.symbols[at])
             lane = lane_of.take(byte)
             contexts = coded.contexts[:, at]
-            inputs = [table.take(slots(contexts, k, byte, salt)) for k, table in enumerate(tables)]
+            found = [slots(contexts, k, byte, salt, self.bits) for k in range(INPUTS)]
+            inputs = [UNPACKED.take(self.words.take(x)) if k == TALLIED and self.words is not None else tables[k].take(x) for k, x in enumerate(found)]
             gate = inputs[1].view("i4") & 3
             for x in inputs[2:]:
                 gate <<= 2
@@ -421,7 +475,7 @@ def corpus_counts(blocks: DataFrame, bits: int) -> DataFrame:
     """(block, part, counts): for each block and part of the hashes (their first ``bits``), the corpus counts of its
     words, in their order there.
 
-    The row without a block has the sum of the part's counts, and then the words with counts of 1 or more, 2, 4, 8, ... . A word
+    The row without a block has the sum of the part's counts, and then the number of words with counts of 1 or more. A word
     is one entry of each block that has it, so frequent words weigh no more than rare ones. One of these entries holds the
     bitwise complement of the count: that block speaks for the word.
     """
@@ -445,7 +499,7 @@ def corpus_counts(blocks: DataFrame, bits: int) -> DataFrame:
         total = np.bincount(where, weights=n).astype("i8")
         counts = total[where]
         counts[first] = ~counts[first]
-        whole = [total.sum(), *((total >= 1 << k).sum() for k in range(40))]
+        whole = [total.sum(), (total >= 1).sum()]
         values = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes, len(whole)]), pa.int32()), pa.array(np.append(counts, whole).astype("i8")))
         part = table["part"][0].as_py()
         return pa.table({"block": pa.array([*table["block"].to_pylist(), None], pa.string()), "part": pa.array([part] * len(values), pa.int32()), "counts": values})
@@ -457,9 +511,9 @@ def corpus_counts(blocks: DataFrame, bits: int) -> DataFrame:
 BASE = "key long, doc_id long, n_tokens long, n_known long, base_score double, word binary, n long"
 
 
-def base_scores(blocks: DataFrame, counts: DataFrame, texts: int, n: int, v: int, least: int) -> DataFrame:
+def base_scores(blocks: DataFrame, counts: DataFrame, texts: int, n: int, v: int) -> DataFrame:
     """(key, doc_id, n_tokens, n_known, base_score) of every text, from its block's words and their counts; and (word, n)
-    of the words that the corpus has ``least`` times or more. Each block's data move once for both."""
+    of every training word, once. Each block's data move once for both."""
 
     def run(own: pa.Table, found: pa.Table) -> pa.Table:
         row = {k: own[k][0].values for k in ("key", "doc_id", "tokens", "first", "words", "times")}
@@ -475,7 +529,7 @@ def base_scores(blocks: DataFrame, counts: DataFrame, texts: int, n: int, v: int
         tokens = row["tokens"].to_numpy().astype("i8")
         base += math.log10(texts + 1) - tokens * math.log10(n + v + 1)
         spelled = own["spelled"][0].as_py().split(b" ") if len(c) else []
-        some = [k for k in np.flatnonzero(speaks & (c >= least)).tolist() if len(spelled[k]) <= LONGEST_WORD]
+        some = np.flatnonzero(speaks & (c > 0)).tolist()
         none = lambda m, t: pa.nulls(m, t)
         m, w = len(tokens), len(some)
         columns = {
@@ -493,48 +547,91 @@ def base_scores(blocks: DataFrame, counts: DataFrame, texts: int, n: int, v: int
     return left.groupBy("block").cogroup(counts.where("block is not null").groupBy("block")).applyInArrow(run, BASE)
 
 
-def branch_tables(spark: SparkSession, docs: DataFrame, tree: Tree) -> np.ndarray:
-    """Logits by slot: counts of each task's texts, added up by parts of the slots; of fixed size in the end."""
+def branch_counts(spark: SparkSession, docs: DataFrame, tree: Tree, bits: tuple[int, ...]) -> DataFrame:
+    """(part, packed): counts of each task's texts, by parts of the slots."""
     shared = spark.sparkContext.broadcast(tree)
 
     def count(batches):
-        tally, pack = Tally(shared.value), zstandard.ZstdCompressor(level=1)
+        tally, pack = None, zstandard.ZstdCompressor(level=1)
         for batch in batches:
             lines = [line for t in batch["text"] for line in lines_of(words_of(t.as_py()))]
             for some in stretches(lines):
+                tally = tally or Tally(shared.value, bits)
                 tally.add(code([lines[k] for k in some], TALLIED))
-        for part, at, zeros, ones in tally.rows():
-            packed = pack.compress(np.stack([np.diff(at, prepend=0), zeros, ones]).astype("<i4").view("u1").reshape(-1, 4).T.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([packed], pa.binary())], ["part", "packed"])
+        for part, *counted in tally.rows() if tally else ():
+            yield packed_counts(pack, [(part, *counted)])
+
+    return docs.select("text").mapInArrow(count, "part int, packed binary")
+
+
+def word_counts(spark: SparkSession, words: DataFrame, tree: Tree, bits: tuple[int, ...]) -> DataFrame:
+    """(part, packed): counts of the last context, of each task's words (word, n), by parts of its slots."""
+    shared = spark.sparkContext.broadcast(tree)
+
+    def rows(held, pack):
+        at, where = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
+        zeros, ones = (np.bincount(where, weights=np.concatenate([x[k] for x in held])).astype("i8") for k in (1, 2))
+        parts, first = np.unique(at >> PART, return_index=True)
+        edges = [*first.tolist(), len(at)]
+        for k in range(0, len(parts), 64):
+            yield packed_counts(pack, [(p, at[a:b] - (p << PART), zeros[a:b], ones[a:b]) for p, a, b in zip(parts[k : k + 64].tolist(), edges[k:], edges[k + 1 :])])
+
+    def count(batches):
+        held, size, pack = [], 0, zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for entries in word_entries(shared.value, batch["word"].to_pylist(), batch["n"].to_numpy(), bits):
+                held.append(entries)
+                size += len(entries[0])
+                if size >= ENTRIES:
+                    yield from rows(held, pack)
+                    held, size = [], 0
+        if held:
+            yield from rows(held, pack)
+
+    return words.select("word", "n").mapInArrow(count, "part int, packed binary")
+
+
+def packed_counts(pack: zstandard.ZstdCompressor, rows: list[tuple]) -> pa.RecordBatch:
+    """A batch (part, packed) of (part, slots within it in order, zeros, ones)."""
+    packed = [pack.compress(np.stack([np.diff(at, prepend=0), zeros, ones]).astype("<i8").view("u1").reshape(-1, 8).T.tobytes()) for _, at, zeros, ones in rows]
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array(packed, pa.binary())], ["part", "packed"])
+
+
+def gathered(counted: DataFrame, out: np.ndarray, make) -> np.ndarray:
+    """``out`` with what ``make`` makes of the logits of all counts, added up by parts of the slots, one part at a time."""
 
     def add(batches):
-        held: dict[int, np.ndarray] = {}
-        unpack = zstandard.ZstdDecompressor()
+        unpack, at, own = zstandard.ZstdDecompressor(), None, np.zeros((2, 1 << PART), "i8")
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([make(logits(*own)).tobytes()], pa.binary())], ["part", "made"])
         for batch in batches:
             for part, packed in zip(batch["part"].to_pylist(), batch["packed"]):
-                own = held.setdefault(part, np.zeros((2, 1 << PART), "i8"))
-                raw = np.frombuffer(unpack.decompress(packed.as_py()), "u1").reshape(4, -1)
-                step, zeros, ones = np.ascontiguousarray(raw.T).view("<i4").reshape(3, -1)
+                if part != at:
+                    if at is not None:
+                        yield done()
+                    at = part
+                    own[:] = 0
+                raw = np.frombuffer(unpack.decompress(packed.as_py()), "u1").reshape(8, -1)
+                step, zeros, ones = np.ascontiguousarray(raw.T).view("<i8").reshape(3, -1)
                 k = np.cumsum(step)
                 own[0, k] += zeros
                 own[1, k] += ones
-        for part, own in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([logits(*own).tobytes()], pa.binary())], ["part", "logits"])
+        if at is not None:
+            yield done()
 
-    counted = docs.select("text").mapInArrow(count, "part int, packed binary")
-    summed = counted.repartition("part").mapInArrow(add, "part int, logits binary").toArrow()
-    table = np.zeros(OFFSETS[-1], "f4")
-    for part, own in zip(summed["part"].to_pylist(), summed["logits"]):
-        table[part << PART : (part + 1) << PART] = np.frombuffer(own.as_py(), "f4")
-    return table
+    summed = counted.repartition("part").sortWithinPartitions("part").mapInArrow(add, "part int, made binary").toArrow()
+    for part, own in zip(summed["part"].to_pylist(), summed["made"]):
+        out[part << PART : (part + 1) << PART] = np.frombuffer(own.as_buffer(), out.dtype)
+    return out
 
 
-def train(spark: SparkSession, docs: DataFrame, tree: Tree, texts: int, words: list[bytes], counts: np.ndarray) -> Model:
-    """The model of the rows of ``docs`` (text, held, draw) with held false, given their tree and common words."""
+def train(spark: SparkSession, docs: DataFrame, tree: Tree, texts: int, tokens: int, words: DataFrame, distinct: int) -> Model:
+    """The model of the rows of ``docs`` (text, held, draw) with held false, given their tree and their words (word, n)."""
     tuning = (F.col("draw") < int(min(0.1, TUNE_TEXTS / max(1, texts)) * (1 << 30))) & (F.length(F.coalesce("text", F.lit(""))) <= TUNE_BYTES)
-    table = branch_tables(spark, docs.where(~F.col("held") & ~tuning), tree)
-    table[OFFSETS[-2] :] = word_table(tree, words, counts)
-    model = Model(tree, table, np.full((INPUTS, GATES), 0.3))
+    bits = table_bits(tokens, distinct)
+    zeros = lambda: np.zeros(offsets_of(bits)[TALLIED], "f4")
+    table = gathered(branch_counts(spark, docs.where(~F.col("held") & ~tuning), tree, bits), zeros(), lambda x: x)
+    last = gathered(word_counts(spark, words, tree, bits), np.full(1 << bits[-1], UNSEEN, "u1"), packed_logits)
+    model = Model(tree, table, np.full((INPUTS, GATES), 0.3), 0.0, bits, last)
     some = docs.where(~F.col("held") & tuning).select("text").limit(4 * TUNE_TEXTS).collect()
     model.tune(sorted(words_of(r["text"]) for r in some))
     return model
@@ -552,13 +649,12 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> D
     symbols[END] += texts
     bits = max(0, (entries // WORDS_PER_PART).bit_length())
     counts = materialize(spark, corpus_counts(blocks, bits), "counts")
-    sums = counts.where("block is null").agg(*[F.coalesce(F.sum(F.get("counts", F.lit(k))), F.lit(0)) for k in range(41)]).first()
+    sums = counts.where("block is null").agg(*[F.coalesce(F.sum(F.get("counts", F.lit(k))), F.lit(0)) for k in range(2)]).first()
     n, v = sums[0] + texts, sums[1] + (texts > 0)
-    least = next(1 << k for k in range(40) if sums[k + 1] <= MOST_WORDS)
-    both = materialize(spark, base_scores(blocks, counts, texts, n, v, least), "base")
+    both = materialize(spark, base_scores(blocks, counts, texts, n, v), "base")
     base = both.where("word is null").select("key", "doc_id", "n_tokens", "n_known", "base_score").dropDuplicates(["key", "doc_id"])
-    common = both.where("word is not null").select("word", "n").toArrow().sort_by("word")
-    model = train(spark, rows, huffman(np.array(symbols, "i8")), texts, common["word"].to_pylist(), common["n"].to_numpy().astype("f8"))
+    words = both.where("word is not null").select("word", "n")
+    model = train(spark, rows, huffman(np.array(symbols, "i8")), texts, n, words, sums[1])
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
