@@ -137,3 +137,18 @@ def test_tables_grow():
     x = logits(np.array([0, 0, 5, 900]), np.array([0, 3, 0, 1]))
     y = mixture.UNPACKED[mixture.packed_logits(x)]
     assert y[0] == 0 and np.abs(x - y).max() < 0.14 and ((x.view("i4") ^ y.view("i4")) & 3 == 0).all()
+
+
+def test_every_text_is_in_the_branch_counts(spark, monkeypatch):
+    held, tuned = {}, []
+    monkeypatch.setattr(mixture, "train", lambda *a, f=mixture.train: held.setdefault("model", f(*a)))
+    monkeypatch.setattr(Model, "tune", lambda self, texts, f=Model.tune: (tuned.extend(texts), f(self, texts)))
+    table = [(None, f"text{k} of its own k{k * k}") for k in range(300)]  # one doc_id, many texts
+    score_documents(spark, spark.createDataFrame(table, "doc_id long, text string"), F.lit(False)).count()
+    assert 0 < len(tuned) < 100
+    m = held["model"]
+    tally, want = Tally(m.tree), np.zeros(OFFSETS[mixture.TALLIED], "f4")
+    tally.add(code([line for _, t in table for line in lines_of(words_of(t))], mixture.TALLIED))
+    for part, at, zeros, ones in tally.rows():
+        want[(part << mixture.PART) + at] = logits(zeros, ones)
+    assert (m.table == want).all()

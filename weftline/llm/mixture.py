@@ -4,7 +4,7 @@ A text is coded as lower-case words, a blank after each but the last, and an end
 Huffman tree of the training bytes. Every branch is predicted by several hashed contexts (the last 3 and 5 bytes; the word so far),
 whose counts come from all training texts, the last one's from the exact counts of all their words, of any length. Tables have
 more slots the more words there are. The contexts' logits are combined by weights that a gate selects: how often the longest contexts were seen. The weights are learned online on a
-few training texts that the counts leave out, and go on adapting within each text scored, chunk by chunk, always from
+few training texts, before these are counted as well, and go on adapting within each text scored, chunk by chunk, always from
 what lies behind; so scores are proper probabilities, and do not depend on how rows are dealt out.
 
 Defined results: a null or empty text is its end alone; a null doc_id counts as the empty string in its fold; repeated
@@ -629,11 +629,13 @@ def train(spark: SparkSession, docs: DataFrame, tree: Tree, texts: int, tokens:
     tuning = (F.col("draw") < int(min(0.1, TUNE_TEXTS / max(1, texts)) * (1 << 30))) & (F.length(F.coalesce("text", F.lit(""))) <= TUNE_BYTES)
     bits = table_bits(tokens, distinct)
     zeros = lambda: np.zeros(offsets_of(bits)[TALLIED], "f4")
-    table = gathered(branch_counts(spark, docs.where(~F.col("held") & ~tuning), tree, bits), zeros(), lambda x: x)
+    counted = materialize(spark, branch_counts(spark, docs.where(~F.col("held") & ~tuning), tree, bits), "branches")
+    table = gathered(counted, zeros(), lambda x: x)
     last = gathered(word_counts(spark, words, tree, bits), np.full(1 << bits[-1], UNSEEN, "u1"), packed_logits)
     model = Model(tree, table, np.full((INPUTS, GATES), 0.3), 0.0, bits, last)
     some = docs.where(~F.col("held") & tuning).select("text").limit(4 * TUNE_TEXTS).collect()
     model.tune(sorted(words_of(r["text"]) for r in some))
+    model.table = gathered(counted.union(branch_counts(spark, docs.where(~F.col("held") & tuning), tree, bits)), zeros(), lambda x: x)
     return model
 
 
@@ -642,7 +644,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> D
 
     Rows that are the same in doc_id and text score alike, so the two results are joined by a hash of both and doc_id.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held"), F.xxhash64("doc_id", "text").alias("key"), F.pmod(F.xxhash64(F.lit("tune"), F.col("doc_id").cast("string")), F.lit(1 << 30)).alias("draw"))
+    rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held"), F.xxhash64("doc_id", "text").alias("key"), F.pmod(F.xxhash64(F.lit("tune"), F.col("doc_id").cast("string"), "text"), F.lit(1 << 30)).alias("draw"))
     blocks = materialize(spark, word_blocks(rows), "blocks")
     whole = blocks.agg(F.sum(F.size("hashes").cast("long")), F.sum("texts"), *[F.sum(F.get("bytes", F.lit(b))) for b in range(256)]).first()
     entries, texts, *symbols = [x or 0 for x in whole]
