@@ -76,3 +76,11 @@ def test_run(spark):
             at += length
         assert at <= 2048
     assert check_rows
+
+
+def test_one_row_of_each_component_stays(spark):
+    a, b, c, d = ("one two three four", "quite another text here", "a third thing altogether now", "and the last of these texts")
+    data = [(None, a), (None, b), (None, b), (7, c), (7, d), (8, c), (3, d), (9, "far from all of the others"), (9, a)]
+    docs = spark.createDataFrame([(i, t, "en", None, 1) for i, t in data], COLUMNS)
+    rows = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "nowhere").collect()]
+    assert sorted(rows, key=str) == sorted([(9, a), (None, b), (7, c), (3, d), (9, data[7][1])], key=str)

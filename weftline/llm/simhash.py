@@ -48,14 +48,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp holds the fingerprint's bits as a signed number."""
+    """(doc_id, fp, mark): fp holds the fingerprint's bits as a signed number, mark a hash of the text."""
 
     def run(batches):
         for batch in batches:
             made = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch["text"]), "u8", batch.num_rows).view("i8")
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(made)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(made), batch["mark"]], ["doc_id", "fp", "mark"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("mark")).mapInArrow(run, "doc_id long, fp long, mark long")
 
 
 def segment_counts(fp: Column) -> Column:
@@ -89,8 +89,9 @@ def links(spark: SparkSession, points: DataFrame, crowd: int = CROWD) -> DataFra
     return pairs.unionByName(stars)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp, component_id): one row per row of ``docs``; component_id is the smallest doc_id that links lead to.
+def components(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp, mark, component, component_id): one row per row of ``docs``; component and component_id are the
+    smallest fingerprint and doc_id that links lead to.
 
     Copies meet as one fingerprint before anything is spread over cells, so groups of copies cost a partial minimum only.
     """
@@ -98,9 +99,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE
     points = materialize(spark, marks.groupBy("fp").agg(F.min("doc_id").alias("low")), "points")
     parts = materialize(spark, connected_components(spark, links(spark, points.select("fp"))), "parts")
     lows = points.join(parts.withColumnRenamed("node", "fp"), "fp").groupBy("component").agg(F.min("low").alias("component_id"))
-    merged = parts.join(lows, "component").select(F.col("node").alias("fp"), "component_id")
-    ids = points.join(merged, "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
-    return marks.join(materialize(spark, ids, "classes"), "fp").select("doc_id", "fp", "component_id")
+    merged = parts.join(lows, "component").select(F.col("node").alias("fp"), "component", "component_id")
+    ids = points.join(merged, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"), F.coalesce("component_id", "low").alias("component_id"))
+    return marks.join(materialize(spark, ids, "classes"), "fp").select("doc_id", "fp", "mark", "component", "component_id")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp, component_id): one row per row of ``docs``; component_id is the smallest doc_id that links lead to."""
+    return components(spark, docs, shingle).select("doc_id", "fp", "component_id")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
