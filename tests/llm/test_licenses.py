@@ -69,3 +69,33 @@ def test_query_on_whole_table(spark):
 
 def test_empty_table(spark):
     assert scan_licenses(docs(spark).limit(0)).collect() == []
+
+
+def examples(parsed):
+    """Strings that a parsed pattern matches: one of every alternative, and with every optional part."""
+    parts = []
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            parts.append([chr(arg)])
+        elif op == "NOT_LITERAL":
+            parts.append(["x"])
+        elif op == "IN":
+            parts.append([chr(v) if str(o) == "LITERAL" else chr(v[0]) if str(o) == "RANGE" else "a" for o, v in arg if str(o) != "NEGATE"] if str(arg[0][0]) != "NEGATE" else ["x"])
+        elif op == "BRANCH":
+            parts.append([e for p in arg[1] for e in examples(p)])
+        elif op == "SUBPATTERN":
+            parts.append(examples(arg[3]))
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            each = examples(arg[2])
+            parts.append([each[0] * arg[0], *(e * max(1, arg[0]) for e in each)])
+    return ["".join(p[k % len(p)] if j == i else p[0] for j, p in enumerate(parts)) for i, own in enumerate(parts) for k in range(len(own))] or [""]
+
+
+def test_prefilter_loses_no_alternative():
+    for r in rules():
+        for text in set(examples(re._parser.parse(r.pattern.pattern))):
+            if r.pattern.search(text):
+                assert any(k in text for k in r.keywords), (r.name, text)
+    scanned = Scanner().scan("This document may not be copied without written consent.")
+    assert [d["label"] for d in scanned["detections"]] == ["no-redistribution"]

@@ -118,7 +118,7 @@ SINGLE = (
     ("public-domain", 2, 0.8, "domain", r"(?:dedicated to|released into|placed in|in) the public domain"),
     ("copyright", 3, 0.6, "copyright", r"copyright(?: c)? (?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})?"),
     ("proprietary", 2, 0.8, "proprietary", r"(?:proprietary and confidential|confidential and proprietary)"),
-    ("no-redistribution", 2, 0.7, "redistribut", r"(?:may not|not) be (?:copied|redistributed)(?: or [a-z]+)? without"),
+    ("no-redistribution", 2, 0.7, "without", r"(?:may not|not) be (?:copied|redistributed)(?: or [a-z]+)? without"),
     ("permission-required", 3, 0.6, "permission", r"without (?:the )?(?:prior |express )?(?:written )?permission"),
     ("license-file", 4, 0.4, "licen", r"(?:see|refer to) (?:the )?(?:file )?(?:named )?licen[sc]e(?: txt| md)?(?: file)?(?: for details)?"),
     ("spdx", 2, 0.9, "spdx", r"spdx license identifier [a-z0-9]+(?: [0-9a-z]+){0,4}"),
