@@ -26,7 +26,8 @@ BASE = (
 #: Gates that find the same texts sooner: maximal runs reach the least length or not.
 GATES = {"assign": BASE[0][1], "access": r"AKIA[A-Z0-9]{16}", "hex": r"[0-9a-f]{24}"}
 MARKOV = "markov"
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+LEAST_RUN = 20
+RUN = rf"[A-Za-z0-9+/_=-]{{{LEAST_RUN},}}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SIZE = len(ALPHABET)
 SAMPLE_DOCS = 4000
@@ -120,14 +121,27 @@ def markov_score(run: Column, table: Column) -> Column:
     return F.aggregate(ratios, F.lit(0.0), lambda acc, x: acc + x) / n
 
 
+def uncovered(run: Column, base: Column) -> Column:
+    """The stretches of a run of LEAST_RUN characters or more between the (sorted) base spans."""
+
+    def add(out, a, b):
+        return F.when(b - a >= LEAST_RUN, F.concat(out, F.array(F.struct(a.alias("start"), b.alias("end"), F.lit(MARKOV).alias("kind"))))).otherwise(out)
+
+    def step(acc, b):
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), add(acc["out"], acc["at"], b["start"]).alias("out"))
+
+    over = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    begin = F.struct(run["start"].alias("at"), none().alias("out"))
+    return F.aggregate(over, begin, step, lambda acc: add(acc["out"], acc["at"], run["end"]))
+
+
 def scan_secrets(docs: DataFrame, table: list[float]) -> DataFrame:
     """``docs`` with base (spans by pattern) and spans (these, and those that the models add; sorted by start, then kind)."""
     base, spans = fresh(docs, "base", "spans")
     text = F.coalesce(F.col("text"), F.lit(""))
     ratios = F.split(F.lit(",".join(map(repr, table))), ",").cast("array<double>")
-    start, end = lambda x: x["start"], lambda x: x["end"]
     runs = F.when(text.rlike(RUN), spans_of(text, MARKOV, RUN, 0, 1)).otherwise(none())
-    fresh_runs = F.filter(runs, lambda s: ~F.exists(F.col(base), lambda b: (start(b) < end(s)) & (start(s) < end(b))))
+    fresh_runs = F.flatten(F.transform(runs, lambda s: uncovered(s, F.col(base))))
     random = F.filter(fresh_runs, lambda s: markov_score(F.substring(text, s["start"] + 1, s["end"] - s["start"]), ratios) >= LEAST_RATIO)
     order = F.create_map(*[F.lit(x) for k, kind in enumerate([*[b[0] for b in BASE], MARKOV]) for x in (kind, k)])
     ordered = lambda x: F.transform(F.array_sort(F.transform(x, lambda s: F.struct(s["start"].alias("start"), F.element_at(order, s["kind"]).alias("nth"), s["end"].alias("end"), s["kind"].alias("kind")))), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
