@@ -5,32 +5,34 @@ its pieces' embeddings; embeddings and softmax are trained by stochastic gradien
 on labelled rows kept out of training makes the top probability a score, and texts whose score stays below a threshold
 fitted on the same rows are rejected.
 
-The classifier is fitted on at most ``FIT_ROWS`` labelled rows, dealt evenly over the languages and chosen by a hash of
-doc_id. What a row costs there is bounded by the number of buckets, however long its text.
+The classifier is fitted on at most ``FIT_ROWS`` labelled rows (or one row of each language, if there are more of them),
+dealt evenly over the languages and chosen by a hash of doc_id and text. What a row costs there is bounded by the number
+of buckets, however long its text; one task fits, and the driver sees weights only.
 
 Defined results: texts that are null or without a letter are ``und`` with score 0, and rejected; rows with a null lang
 teach nothing; a null doc_id counts as the empty string in its fold; with no labelled row everything is ``und``;
-repeated rows are predicted alike; an empty table gives no rows.
+repeated rows are predicted alike, and teach once; further
+columns pass through, also under the names of the results, which then get a ``_`` before them; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
 
-import zlib
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.core import fresh, load
+from weftline.core import fresh, load, materialize
 
 BUCKETS = 4096
 ORDERS = (1, 2, 3, 4)
 DIM = 16
 FIT_ROWS = 6000
-MOST_LANGS = 512
-PER_LANG = 1500
+TOGETHER = 256  # texts scored by one matrix product
 EPOCHS, BATCH, RATE = 12, 64, 0.3
 CALIBRATION = 5  # every fifth fitted row
 MOST_ERROR = 0.01
@@ -125,34 +127,70 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+SAMPLE = "lang string, draw long, at binary, mean binary"
+
+
+def sample(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """SAMPLE: the subwords of at most about ``fit_rows`` labelled rows, as many of each language as of any other, if it has them.
+
+    Rows are drawn by a hash of doc_id and text, so which ones teach does not depend on how the table is dealt out. No
+    language is left out: with more languages than ``fit_rows``, each gives one row. Repeated rows count once.
+    """
+    labelled = docs.select("lang", "text", F.pmod(F.xxhash64(F.lit("fit"), F.col("doc_id").cast("string"), "text"), F.lit(1 << 40)).alias("draw")).where("lang is not null and text is not null")
+    sizes = materialize(docs.sparkSession, labelled.groupBy(F.col("lang").alias("_lang")).agg(F.approx_count_distinct("draw").alias("n")), "languages")
+    each = max(1, fit_rows // max(1, sizes.count()))
+    below = (F.least(F.lit(1.0), F.lit(2.0 * each + 64) / F.col("n")) * F.lit(float(1 << 40))).cast("long")
+    some = labelled.join(sizes, F.col("lang") == F.col("_lang")).where(F.col("draw") < below)  # twice what is wanted, so that texts without a letter leave enough
+
+    def run(batches):
+        for batch in (b.slice(a, TOGETHER) for b in batches for a in range(0, b.num_rows, TOGETHER)):
+            rows = [(k, subword_counts(t.as_py())) for k, t in enumerate(batch["text"]) if has_letter(t.as_py())]
+            at = pa.array([k for k, _ in rows], pa.int64())
+            columns = [pa.array([np.flatnonzero(c).astype("<u2").tobytes() for _, c in rows], pa.binary()), pa.array([(c[c > 0] / c.sum()).astype("<f4").tobytes() for _, c in rows], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch[c].take(at) for c in ("lang", "draw")] + columns, ["lang", "draw", "at", "mean"])
+
+    counted = some.select("lang", "draw", "text").dropDuplicates(["lang", "draw"]).mapInArrow(run, SAMPLE)
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "at", "mean"))
+    return counted.withColumn("nth", nth).where(F.col("nth") <= each).select("lang", "draw", "at", "mean")
+
+
+def fit_sample(rows: list[tuple[str, int, bytes, bytes]]) -> Model:
+    """The model of rows of SAMPLE, in whatever order they come."""
+    rows = sorted(rows)
+    rows = [rows[k] for k in np.random.default_rng(11).permutation(len(rows))]
+    means = np.zeros((len(rows), BUCKETS), "f4")
+    for row, (_, _, at, mean) in zip(means, rows):
+        row[np.frombuffer(at, "<u2")] = np.frombuffer(mean, "<f4")
+    return fit(means, [r[0] for r in rows])
+
+
 def train(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Model | None:
-    """Fit on rows of ``docs`` (doc_id, text, lang); None if none of them has a language and a letter."""
-    labelled = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null")
-    sizes = {r.lang: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()}
-    if not sizes:
-        return None
-    each = min(PER_LANG, max(1, fit_rows // len(sizes)))
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, each / n))])
-    draw = F.pmod(F.xxhash64(F.lit("fit"), F.col("doc_id").cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = labelled.where(draw < F.try_element_at(share, F.col("lang")))
+    """Fit on rows of ``docs`` (doc_id, text, lang); None if none of them has a language and a letter.
+
+    One task fits: its input is bounded by ``fit_rows`` (or the number of languages), and only weights go to the driver.
+    """
 
     def run(batches):
-        for batch in batches:
-            rows = [(lang, subword_counts(t)) for lang, t in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()) if has_letter(t)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in rows], pa.string()), pa.array([np.flatnonzero(c) for _, c in rows], pa.list_(pa.int32())), pa.array([c[c > 0] / c.sum() for _, c in rows], pa.list_(pa.float32()))],
-                ["lang", "at", "mean"],
-            )
-
-    table = chosen.select("lang", "text").mapInArrow(run, "lang string, at array<int>, mean array<float>").limit(2 * fit_rows).toArrow()
-    if not table.num_rows:
-        return None
-    order = sorted(range(table.num_rows), key=lambda k: (len(table["at"][k]), table["lang"][k].as_py(), zlib.crc32(np.asarray(table["at"][k].values).tobytes()), zlib.crc32(np.asarray(table["mean"][k].values).tobytes())))
-    order = np.random.default_rng(11).permutation(order)
-    means = np.zeros((table.num_rows, BUCKETS), "f4")
-    for row, k in enumerate(order.tolist()):
-        means[row, np.asarray(table["at"][k].values)] = np.asarray(table["mean"][k].values)
-    return fit(means, [table["lang"][k].as_py() for k in order.tolist()])
+        rows = [row for batch in batches for row in zip(*(batch[c].to_pylist() for c in ("lang", "draw", "at", "mean")))]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_sample(rows))] if rows else [], pa.binary())], ["model"])
+
+    fitted = sample(docs, fit_rows).coalesce(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(fitted[0]["model"]) if fitted else None
+
+
+def predictions(model: Model | None, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(language, score, rejected) of every text; texts with letters are scored together."""
+    names, scores, out = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
+    known = [k for k, t in enumerate(texts) if model is not None and has_letter(t)]
+    for a in range(0, len(known), TOGETHER):
+        some = known[a : a + TOGETHER]
+        counts = np.stack([subword_counts(texts[k]) for k in some])
+        p = model.probabilities(counts / counts.sum(axis=1, keepdims=True))
+        for k, best in zip(some, p.argmax(axis=1).tolist()):
+            names[k] = model.langs[best]
+        scores[some] = p.max(axis=1)
+        out[some] = scores[some] < model.threshold
+    return names, scores, out
 
 
 def identify(spark: SparkSession, docs: DataFrame, model: Model | None) -> DataFrame:
@@ -161,21 +199,10 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model | None) -> DataF
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        m = shared.value
         for batch in batches:
-            names, scores, out = [], [], []
-            for t in batch["text"]:
-                text = t.as_py()
-                if m is None or not has_letter(text):
-                    name, p = "und", 0.0
-                else:
-                    counts = subword_counts(text)
-                    row = m.probabilities((counts / counts.sum())[None])[0]
-                    name, p = m.langs[int(row.argmax())], float(row.max())
-                names.append(name)
-                scores.append(p)
-                out.append(m is None or name == "und" or p < m.threshold)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(out, pa.bool_())], [*batch.schema.names, lang, score, rejected])
+            for part in (batch.slice(a, TOGETHER) for a in range(0, batch.num_rows, TOGETHER)):
+                names, scores, out = predictions(shared.value, part["text"].to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores), pa.array(out)], [*part.schema.names, lang, score, rejected])
 
     schema = docs.select("*", F.lit("").alias(lang), F.lit(0.0).alias(score), F.lit(True).alias(rejected)).schema
     for f in schema.fields:
