@@ -59,3 +59,14 @@ def test_edges(spark, library):
     df = spark.createDataFrame([(1, None, 1), (2, "", 1), (3, "don't " * 300000, 1), (None, "x", 1), (None, "x", 1)], "doc_id long, text string, n_tokens int")
     assert [(r.doc_id, r.n_bytes, r.n_tokens) for r in token_counts(spark, df).collect()] == [(1, 0, 0), (2, 0, 0), (3, 1800000, 600000), (None, 1, 1), (None, 1, 1)]
     assert token_counts(spark, df.limit(0)).collect() == []
+
+
+def test_words_that_share_a_key(library):
+    """Polynomial hashes modulo 2^64 cannot tell Thue-Morse words apart, whatever the base."""
+    own = Counter(public_tokenizers.path(FILE), compile_classes())
+    signs = [bin(k).count("1") % 2 for k in range(2048)]
+    for a, b in ("ab", "th", "qx", "eo"):
+        words = ["".join((a, b)[s] for s in signs[:1024]), "".join((b, a)[s] for s in signs[:1024]), "".join((a, b)[s] for s in signs), "".join((b, a)[s] for s in signs)]
+        want = [count(library, w) for w in words]
+        assert own.count(words).tolist() == want and own.count(words[::-1]).tolist() == want[::-1]
+        assert own.count([" ".join(words)]).tolist() == [sum(want)]

@@ -4,8 +4,9 @@ Texts become lower-case words joined by single spaces; rules are regular express
 texts that hold its keyword. Detections are taken in order of priority, then length, then place; one that lies inside a
 detection already taken, or overlaps one of strictly higher priority, is suppressed.
 
-Defined results: a null or empty text has no words, no detections and score 0; repeated rows are scanned each for
-itself; an empty table gives no rows.
+Defined results: a null or empty text has no words, no detections and score 0; a text of any length is scanned whole, in
+time that grows with its length and its detections (but for sorting them); repeated rows are scanned each for itself;
+further columns are not looked at, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -165,11 +167,28 @@ TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or
 
 
 def resolve(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
-    """Detections (start, end, rule) that nothing of their own or higher priority contains, nor of higher priority overlaps."""
+    """Detections (start, end, rule) that nothing of their own or higher priority contains, nor of higher priority overlaps.
+
+    Priority by priority: what is left beside the stretches taken before is swept from left to right, where a detection
+    lies inside another just if one that began no later ends no earlier. Of equal ones the first by name stays.
+    """
     kept: list[tuple[int, int, Rule]] = []
-    for start, end, rule in sorted(found, key=lambda d: (d[2].priority, d[0] - d[1], d[0], d[2].name)):
-        if not any((a <= start and end <= b) or (r.priority < rule.priority and a < end and start < b) for a, b, r in kept):
-            kept.append((start, end, rule))
+    taken_from, taken_to = np.zeros(0, "i8"), np.zeros(0, "i8")  # disjoint stretches, in order
+    for priority in sorted({rule.priority for _, _, rule in found}):
+        own = sorted((d for d in found if d[2].priority == priority), key=lambda d: (d[0], -d[1], d[2].name))
+        starts, ends = (np.array([d[k] for d in own], "i8") for k in (0, 1))
+        before = np.searchsorted(taken_from, ends, side="left")  # stretches that begin before the detection ends
+        free = (before == 0) | (taken_to[np.maximum(before - 1, 0)] <= starts) if len(taken_to) else np.ones(len(own), bool)
+        furthest = -1
+        for d, ok in zip(own, free.tolist()):
+            if ok and d[1] > furthest:
+                kept.append(d)
+                furthest = d[1]
+        edges = sorted([(d[0], d[1]) for d in kept])
+        taken_from, taken_to = np.array([a for a, _ in edges], "i8"), np.maximum.accumulate(np.array([b for _, b in edges], "i8"))
+        new = np.concatenate([[True], taken_from[1:] > taken_to[:-1]])
+        last = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(new) - 1]])
+        taken_from, taken_to = taken_from[new], taken_to[last]
     return sorted(kept, key=lambda d: (d[0], d[1], d[2].name))
 
 
@@ -190,11 +209,12 @@ class Scanner:
         if not base and not live:
             return out
         line = flat.decode()
-        at = lambda pos: line.count(" ", 0, pos)
-        for pattern, _, phrase, label in base:
-            for m in pattern.finditer(line):
-                out["base"].append({"label": label, "start": at(m.start()), "words": phrase.count(" ") + 1})
         found = [(m.start(), m.end(), rule) for rule in live.values() for m in rule.pattern.finditer(line)]
+        places = [(phrase, label, [m.start() for m in pattern.finditer(line)]) for pattern, _, phrase, label in base]
+        blanks = np.flatnonzero(np.frombuffer(line.encode("utf-32-le"), "<u4") == 32) if found or any(x for _, _, x in places) else None
+        at = lambda pos: int(np.searchsorted(blanks, pos))  # noqa: E731  the word that stands there
+        for phrase, label, starts in places:
+            out["base"] += [{"label": label, "start": at(pos), "words": phrase.count(" ") + 1} for pos in starts]
         miss = 1.0
         for start, end, rule in resolve(found):
             out["detections"].append({"label": rule.label, "rule": rule.name, "start": at(start), "words": line.count(" ", start, end) + 1, "matched": line[start:end]})

@@ -3,11 +3,13 @@
 Splitting is a deterministic transducer over eight character classes whose transitions say which tokens begin. Texts are
 cut into chunks; each chunk yields a state map (end state for every start state), the maps compose by a parallel prefix
 scan, and a second pass from the then known start states emits. The words so found are arcs of a second transducer,
-annotated with the number of tokens that byte-pair merging emits for them; an arc is compiled when it is first met and
-found again by a 64-bit key that all words of a block get at once from prefix sums.
+annotated with the number of tokens that byte-pair merging emits for them; an arc is compiled when it is first met. Words
+of a block meet by a 64-bit key, from prefix sums, and are compared letter by letter, so words that share a key by chance
+or by design keep their own counts.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; strings of special tokens count as one token, as the
-library's default has it; repeated rows count each for itself; an empty table gives no rows.
+library's default has it; a text is counted in stretches that end at a blank, and a word of any length is one arc;
+repeated rows count each for itself; further columns are not looked at, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ from weftline.core import load
 LIMIT = 2048
 CHUNK = 128
 AT_ONCE = 1 << 20
-MOST_ARCS = 4_000_000
+TOGETHER = 2048  # texts taken from a batch together
+MOST_ARCS, LONGEST_KEPT = 1_000_000, 256  # arcs that a process keeps, and characters of the longest; others are compiled again
 # fixed values: character classes, and the states after a character of them
 BLANK, LETTER, NUMBER, OTHER, QUOTE, STMD, RV, L, E = range(9)
 OUTSIDE, IN_WORD, AFTER_NUMBER, IN_OTHER, AFTER_QUOTE, QUOTE_RV, QUOTE_L, AFTER_SUFFIX = range(8)
@@ -104,7 +107,7 @@ def run_splitter(kinds: np.ndarray, to: np.ndarray, says: np.ndarray, chunk: int
 
 
 class WordArcs:
-    """word -> emitted tokens, by byte-pair merging with word ends; arcs are kept as sorted keys and their counts."""
+    """word -> emitted tokens, by byte-pair merging with word ends."""
 
     def __init__(self, file: str):
         with open(file, encoding="utf-8") as f:
@@ -116,7 +119,7 @@ class WordArcs:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the others follow from 256
         rest = [b for b in range(256) if b not in set(shown)]
         self.char = {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
-        self.keys, self.counts = np.zeros(0, "u8"), np.zeros(0, "i8")
+        self.counts: dict[str, int] = {}
 
     def emitted(self, word: str) -> int:
         parts = [self.char[b] for b in word.encode()]
@@ -162,24 +165,17 @@ class WordArcs:
                     heapq.heappush(heap, (r, x, parts[x], parts[y]))
         return left
 
-    def look_up(self, keys: np.ndarray, word_at) -> np.ndarray:
-        """Counts for the keys; word_at(k) gives the word of the k-th, for arcs not yet compiled."""
-        distinct, first, where = np.unique(keys, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.keys, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == distinct[inside]
-        counts = np.zeros(len(distinct), "i8")
-        counts[known] = self.counts[at[known]]
-        new = np.flatnonzero(~known)
-        for k, f in zip(new.tolist(), first[new].tolist()):
-            word = word_at(f)
-            counts[k] = self.emitted(word) if len(word) < 64 else self.emitted_long(word)
-        if len(self.keys) + len(new) > MOST_ARCS:  # arcs can be compiled again; memory stays bounded
-            self.keys, self.counts = distinct, counts
-        elif len(new):
-            self.keys, self.counts = np.insert(self.keys, at[new], distinct[new]), np.insert(self.counts, at[new], counts[new])
-        return counts[where]
+    def look_up(self, words: list[str]) -> np.ndarray:
+        """The tokens that each word's arc emits; arcs not met before are compiled."""
+        out = [self.counts.get(w) for w in words]
+        new = {w for w, c in zip(words, out) if c is None}
+        if new:
+            if len(self.counts) + len(new) > MOST_ARCS:  # arcs can be compiled again; memory stays bounded
+                self.counts = {}
+            made = {w: self.emitted(w) if len(w) < 64 else self.emitted_long(w) for w in new}
+            self.counts |= {w: c for w, c in made.items() if len(w) <= LONGEST_KEPT}
+            out = [made[w] if c is None else c for w, c in zip(words, out)]
+        return np.array(out, "i8")
 
 
 class Counter:
@@ -246,14 +242,31 @@ class Counter:
         # a word ends where the next begins, or at the first blank after it
         blanks = np.flatnonzero(kinds == BLANK)
         ends = np.minimum(np.append(begins[1:], len(codes)), blanks[np.searchsorted(blanks, begins)])
+        counts = self.counts_of(line, codes, begins, ends)
+        total = np.concatenate([[0], np.cumsum(counts)])
+        return np.diff(total[np.searchsorted(begins, np.cumsum([0, *map(len, parts)]))])
+
+
+    def counts_of(self, line: str, codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """What each word emits. Words meet by hash, and are then compared letter by letter with the first of their hash."""
         self.grow(len(codes) + 1)
         sums = np.zeros(len(codes) + 1, "u8")
         np.cumsum((codes.astype("u8") + np.uint64(1)) * self.powers[: len(codes)], out=sums[1:])
+        lengths = ends - begins
         keys = (sums[ends] - sums[begins]) * self.inverses[begins]
-        keys ^= (ends - begins).astype("u8") << np.uint64(56)
-        counts = self.arcs.look_up(keys, lambda k: line[begins[k] : ends[k]])
-        total = np.concatenate([[0], np.cumsum(counts)])
-        return np.diff(total[np.searchsorted(begins, np.cumsum([0, *map(len, parts)]))])
+        keys ^= lengths.astype("u8") << np.uint64(56)
+        _, first, where = np.unique(keys, return_index=True, return_inverse=True)
+        counts = self.arcs.look_up([line[a:b] for a, b in zip(begins[first].tolist(), ends[first].tolist())])[where]
+        like = first[where]
+        odd = lengths != lengths[like]
+        word = np.repeat(np.arange(len(begins)), lengths)
+        at = np.arange(len(word)) + np.repeat(begins - (np.cumsum(lengths) - lengths), lengths)
+        other = at + np.repeat(begins[like] - begins, lengths)
+        odd[word[codes[at] != codes[np.minimum(other, len(codes) - 1)]]] = True
+        if odd.any():
+            k = np.flatnonzero(odd)
+            counts[k] = self.arcs.look_up([line[a:b] for a, b in zip(begins[k].tolist(), ends[k].tolist())])
+        return counts
 
 
 _COUNTERS: dict[str, Counter] = {}
@@ -273,7 +286,7 @@ def token_counts(spark: SparkSession, docs: DataFrame, tokenizer: str = "word_bp
 
     def run(batches):
         count = counter(tokenizer, shared.value).count
-        for batch in batches:
+        for batch in (b.slice(a, TOGETHER) for b in batches for a in range(0, b.num_rows, TOGETHER)):
             texts = [t.as_py() or "" for t in batch["text"]]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(count(texts), pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
