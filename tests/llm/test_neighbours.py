@@ -47,3 +47,33 @@ def test_copies_ties_and_unusable_rows(spark, monkeypatch):
     assert search(spark, df.limit(0), lambda i: i % 20 == 0).collect() == []
     alone = df.where("vec_id = 40")
     assert search(spark, alone, lambda i: i % 20 == 0).collect() == []
+
+
+def test_repeated_ids(spark, monkeypatch):
+    one = [1.0, 2.0, 3.0]
+    copies = spark.createDataFrame([(20, one)] * 30 + [(k, one) for k in range(21, 40)], "vec_id long, embedding array<double>")
+    rows = search(spark, copies, lambda i: i % 20 == 0).collect()
+    assert len(rows) == 30 * 19
+    assert all(sorted(r.vec_id for r in rows if r["rank"] == k) == [20 + k] * 30 for k in range(1, 20))
+    rng = np.random.default_rng(3)
+    others = [(k, rng.normal(size=3).tolist()) for k in range(1, 60) if k not in (20, 40)]
+    twice = [(20, one), (20, [-1.0, 0.5, 0.0]), (40, one), (40, one)] + others + [(7, others[3][1]), (7, [9.0, 9.0, 9.0])]
+    for size in (16_384, 1):  # all queries of a block in one task, and one in each
+        monkeypatch.setattr(neighbours, "QUERY_ROWS", size)
+        got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in search(spark, spark.createDataFrame(twice, copies.schema), lambda i: i % 20 == 0).collect())
+        want = []
+        for q, v in twice:
+            if q % 20 == 0:
+                best = sorted((-float(np.dot(w, v)), k) for k, w in twice if k != q)[:20]
+                want += [(q, n + 1, k, round(-s, 9)) for n, (s, k) in enumerate(best)]
+        assert got == sorted(want)
+
+
+def test_lengths_are_searched_apart(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.normal(size=3 + k % 2).tolist()) for k in range(15, 85)]
+    got = by_query(search(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 5 == 0).collect())
+    for q, found in got.items():
+        want = brute([r for r in rows if len(r[1]) == 3 + q % 2], [(q, dict(rows)[q])])[q]
+        assert [k for k, _ in found] == [k for k, _ in want]
+    assert len(got) == 14

@@ -1,20 +1,23 @@
 """Approximate nearest neighbours by largest inner product: an inverted file with product-quantised residuals.
 
-Coarse centroids and residual codebooks are fitted on at most ``FIT_ROWS`` rows, chosen by a hash of the id; every row
-is indexed. How many lists a query probes is measured on the same rows: as many as hold ``RECALL`` of the true
+Coarse centroids and residual codebooks are fitted on at most ``FIT_ROWS`` distinct vectors, chosen by their hash; every
+row is indexed. How many lists a query probes is measured on the same rows: as many as hold ``RECALL`` of the true
 neighbours of some of them. Small lists share a block and large ones are cut into several of about ``BLOCK_ROWS`` rows,
 so a list that holds a third of the table is many tasks. A query meets the blocks of the lists it probes; there an
 asymmetric distance table scores all codes, and the best distinct vectors are reranked exactly on the originals, with
 all their copies' ids in order. Equal vectors of a block count as one candidate, so copies neither crowd others out nor
 fall out.
 
-Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite components take no
-part; repeated ids are rows of their own, but none is a neighbour of a query with its id; a table without usable rows
-gives no rows.
+Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows whose vec_id
+is null or no number; vectors of each length are searched among themselves, as others have no inner product with them.
+Repeated ids are rows of their own as neighbours, but a row with the query's id is taken for the query itself, and never
+its neighbour. Each query row gets its own ranks: where an id is repeated, its rows come once for each. Further columns
+are not looked at, whatever their names; a table without usable rows gives no rows.
 """
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +33,7 @@ MOST_LISTS = 1024
 CODES = 256
 PARTS = 16
 BLOCK_ROWS = 4096
+QUERY_ROWS = 16_384
 RECALL = 0.98
 PROBE_QUERIES = 200
 RERANK = 12  # times the neighbours asked for, by block
@@ -107,14 +111,11 @@ def lists_to_probe(sample: np.ndarray, centroids: np.ndarray, lists: np.ndarray,
     return int(reached[min(len(reached) - 1, int(RECALL * len(reached)))]) + 1 if len(reached) else 1
 
 
-def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
-    """(id, v) of the rows that take part, v as doubles, and their common length."""
+def usable(vectors: DataFrame) -> DataFrame:
+    """(id, v) of the rows that take part, v as doubles."""
     v = F.col("embedding").cast("array<double>")
     ok = F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False)) & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("id"), v.alias("v")).where(ok & F.col("vec_id").isNotNull())
-    lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    dim = lengths[0]["n"] if lengths else 0
-    return rows.where(F.size("v") == dim), dim
+    return vectors.select(F.col("vec_id").cast("long").alias("id"), v.alias("v")).where(ok & F.col("vec_id").isNotNull())
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -122,14 +123,16 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def build_index(spark: SparkSession, rows: DataFrame, dim: int, fit_rows: int = FIT_ROWS) -> tuple[DataFrame, Quantizer, dict] | None:
-    """(list, id, code, v, block) of every row, the quantizer, and each list's first block and number of blocks."""
-    total = rows.count()
-    if not total:
+    """(list, id, code, v, block) of every row, the quantizer, and each list's first block and number of blocks.
+
+    The quantizer learns from the ``fit_rows`` distinct vectors that come first by a hash, however the rows are dealt out.
+    """
+    drawn = rows.withColumn("draw", F.pmod(F.xxhash64(F.lit("ann"), "v"), F.lit(1 << 40)))
+    distinct = drawn.agg(F.approx_count_distinct("draw")).first()[0]
+    if not distinct:
         return None
-    draw = F.pmod(F.xxhash64(F.lit("ann"), "id"), F.lit(1 << 30))
-    sample = rows.where(draw < int(min(1.0, fit_rows / total) * (1 << 30))).limit(2 * fit_rows).select("v").toArrow()
-    if not sample.num_rows:
-        sample = rows.limit(fit_rows).select("v").toArrow()
+    below = int(min(1.0, 2 * fit_rows / distinct) * (1 << 40))
+    sample = drawn.where(F.col("draw") < below).dropDuplicates(["draw"]).orderBy("draw").limit(fit_rows).select("v").toArrow()
     fitted = matrix(sample["v"].combine_chunks(), dim)
     quantizer = fit(fitted[np.lexsort(fitted.T)])
     shared = spark.sparkContext.broadcast(quantizer)
@@ -160,12 +163,27 @@ def build_index(spark: SparkSession, rows: DataFrame, dim: int, fit_rows: int =
 
 def search(spark: SparkSession, vectors: DataFrame, is_query, top: int = TOP) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``top`` largest inner products found for the rows where ``is_query`` holds."""
-    rows, dim = usable(vectors)
-    built = build_index(spark, rows, dim)
+    rows = usable(vectors)
+    parts = [search_length(spark, rows.where(F.size("v") == r["n"]), r["n"], is_query, top) for r in rows.select(F.size("v").alias("n")).distinct().orderBy("n").collect()]
+    found = functools.reduce(DataFrame.unionByName, [p for p in parts if p is not None]) if any(p is not None for p in parts) else None
+    return found if found is not None else spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
+
+def search_length(spark: SparkSession, rows: DataFrame, dim: int, is_query, top: int) -> DataFrame | None:
+    """The same among vectors of one length, as inner products need.
+
+    Equal queries are one, and get their copies back at the end. A block's queries are dealt to as many tasks as hold
+    QUERY_ROWS of them each, with the block's rows in every one, so that a block that all queries probe is many tasks.
+    """
+    asked = rows.where(is_query(F.col("id"))).groupBy("id", "v").agg(F.count(F.lit(1)).alias("times"))
+    asked = materialize(spark, asked.select(F.monotonically_increasing_id().alias("query"), "id", "v", "times"), "queries")  # written, so that a number stays with its query
+    n = asked.count()
+    built = build_index(spark, rows, dim) if n else None
     if built is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return None
     index, quantizer, plan = built
     shared = spark.sparkContext.broadcast((quantizer, plan))
+    slices = -(-n // QUERY_ROWS)
 
     def route(batches):
         q, plan = shared.value
@@ -175,20 +193,23 @@ def search(spark: SparkSession, vectors: DataFrame, is_query, top: int = TOP) ->
             near = known[np.argsort(-(x @ q.centroids[known].T), axis=1, kind="stable")[:, : q.probed]]
             pairs = [(k, b) for k, row in enumerate(near.tolist()) for b in sorted({plan[lst][0] + j for lst in row for j in range(plan[lst][1])})]
             at = pa.array([k for k, _ in pairs], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([b for _, b in pairs], pa.int32()), batch["id"].take(at), batch["v"].take(at)], ["block", "query_id", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array([b for _, b in pairs], pa.int32()), *(batch[c].take(at) for c in ("query", "id", "v"))], ["block", "query", "query_id", "v"])
 
     def score(key, asked, held):
         return score_block(shared.value[0], asked, held, top)
 
-    queries = rows.where(is_query(F.col("id"))).mapInArrow(route, "block int, query_id long, v array<double>")
-    found = queries.groupBy("block").cogroup(index.groupBy("block")).applyInPandas(score, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+    queries = asked.mapInArrow(route, "block int, query long, query_id long, v array<double>").withColumn("slice", F.pmod(F.xxhash64("query"), F.lit(slices)).cast("int"))
+    held = index.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    found = queries.groupBy("block", "slice").cogroup(held.groupBy("block", "slice")).applyInPandas(score, "query long, vec_id long, score double")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    copies = asked.select("query", F.col("id").alias("query_id"), F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("copy"))
+    return best.join(copies, "query").select("query_id", "rank", "vec_id", "score")
 
 
 def score_block(q: Quantizer, queries: pd.DataFrame, rows: pd.DataFrame, top: int) -> pd.DataFrame:
     """The block's ``top`` for each of its queries: codes scored from tables, the best reranked on the original vectors."""
-    out = {"query_id": [], "vec_id": [], "score": []}
+    out = {"query": [], "vec_id": [], "score": []}
     if len(queries) and len(rows):
         rows = rows.sort_values("id", kind="stable")
         vectors, ids = np.stack(rows["v"]), rows["id"].to_numpy()
@@ -199,24 +220,25 @@ def score_block(q: Quantizer, queries: pd.DataFrame, rows: pd.DataFrame, top: in
         asked = np.stack(queries["v"])
         keep = min(len(distinct), RERANK * top)
         for a in range(0, len(asked), 256):
-            part, qids = asked[a : a + 256], queries["query_id"].to_numpy()[a : a + 256]
+            part, numbers, qids = (x[a : a + 256] for x in (asked, queries["query"].to_numpy(), queries["query_id"].to_numpy()))
             tables = q.tables(part)
             rough = part @ centers.T
             for p in range(codes.shape[1]):
                 rough += tables[:, p, codes[:, p]]
             best = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
-            for k, (query, qid) in enumerate(zip(part, qids)):
+            for k, (query, number, qid) in enumerate(zip(part, numbers, qids)):
                 exact = (distinct[best[k]] * query).sum(axis=1)
                 taken = []
                 for c in np.argsort(-exact, kind="stable"):
                     if len(taken) >= top and exact[c] < taken[-1][0]:
                         break
-                    taken += [(exact[c], v) for v in members[best[k][c]][: top + 1] if v != qid]
+                    own = members[best[k][c]]
+                    taken += [(exact[c], v) for v in own[own != qid][:top]]
                 taken = sorted(taken, key=lambda x: (-x[0], x[1]))[:top]
-                out["query_id"] += [qid] * len(taken)
+                out["query"] += [number] * len(taken)
                 out["vec_id"] += [v for _, v in taken]
                 out["score"] += [s for s, _ in taken]
-    return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+    return pd.DataFrame(out).astype({"query": "int64", "vec_id": "int64", "score": "float64"})
 
 
 def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
