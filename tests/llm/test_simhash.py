@@ -4,7 +4,7 @@ import re
 import xxhash
 from pyspark.sql import functions as F
 
-from weftline.llm.simhash import fingerprint, links, near_duplicates, op5_simhash, segment_counts
+from weftline.llm.simhash import WIDTHS, fingerprint, links, near_duplicates, op5_simhash, segment_counts
 
 
 def brute_fp(text):
@@ -53,10 +53,11 @@ def test_links_against_brute_force(spark):
             points.add(base ^ sum(1 << b for b in rng.sample(range(64), rng.choice((1, 2, 3)))))
     points = sorted(points | {0, 1, (1 << 64) - 1, 1 << 63})
     df = spark.createDataFrame([(signed(p),) for p in points], "fp long")
-    counts = {r.fp: r.c for r in df.select("fp", segment_counts(F.col("fp")).alias("c")).collect()}
-    assert all(counts[signed(p)] == sum((p >> 4 * k & 15).bit_count() << 4 * k for k in range(16)) for p in points)
+    for width in WIDTHS:
+        counts = {r.fp: r.c for r in df.select("fp", segment_counts(F.col("fp"), width).alias("c")).collect()}
+        assert all(counts[signed(p)] == signed(sum((p >> width * k & (1 << width) - 1).bit_count() << width * k for k in range(64 // width))) for p in points)
     want = brute_components(list(range(len(points))), points)
-    for crowd in (2, 32, 10**6):
+    for crowd in (2, 8, 32, 10**6):
         at = {signed(p): k for k, p in enumerate(points)}
         got = list(range(len(points)))
 

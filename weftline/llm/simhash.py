@@ -3,9 +3,10 @@
 A fingerprint's sixteen 4-bit segments are mapped to their bit counts. The Manhattan distance of two such vectors is a
 lower bound of the Hamming distance of the fingerprints, so fingerprints at 2 or fewer differing bits have vectors at
 distance 2 or less, and then share a grid cell at distance 1 or less from both. Members of a cell are verified exactly.
-Cells of over ``CROWD`` members (groups of near copies) are split to the finest grid, whose segments are single bits:
-there a cell holds at most 65 fingerprints, all within 2 bits of each other, and one star links them. Nothing is lost,
-and no cell's members are paired with each other beyond the crowd limit.
+The members of cells of over ``CROWD`` (groups of near copies, or very many fingerprints) meet again in finer grids, by
+the same bound: segments of 2 bits, then of single bits, where the bound is the distance itself, a cell holds at most 65
+fingerprints, and one star links what is within 2 bits of its middle. Nothing is lost, and no members are paired with
+each other beyond the crowd limit.
 
 Defined results: a null, empty or blank text has fingerprint zero, linked like any other; repeated rows and exact copies
 share a fingerprint and so a component; the component of rows whose doc_ids are all null is null; an empty table gives
@@ -14,6 +15,8 @@ no rows.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,6 +29,7 @@ from weftline.operators.graph import connected_components
 SHINGLE = 3
 SEED = 42
 MOST_BITS = 2
+WIDTHS = (4, 2, 1)  # bits of the segments, coarse to fine
 CROWD = 32
 AT_ONCE = 1 << 15
 
@@ -58,35 +62,45 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("mark")).mapInArrow(run, "doc_id long, fp long, mark long")
 
 
-def segment_counts(fp: Column) -> Column:
-    """The bit counts of the sixteen segments, four bits each, in one number."""
-    each = [F.shiftrightunsigned(fp, k).bitwiseAND(F.lit(0x1111111111111111)) for k in range(4)]
-    return each[0] + each[1] + each[2] + each[3]
+def segment_counts(fp: Column, width: int) -> Column:
+    """The bit counts of the segments of ``width`` bits (4, 2 or 1), ``width`` bits each, in one number."""
+    if width == 1:
+        return fp
+    mask = F.lit(sum(1 << k for k in range(0, 64, width)))
+    each = [F.shiftrightunsigned(fp, k).bitwiseAND(mask) for k in range(width)]
+    if width == 2:  # sums and carries apart, as a sum could overflow
+        return each[0].bitwiseXOR(each[1]).bitwiseOR(F.shiftleft(each[0].bitwiseAND(each[1]), 1))
+    return functools.reduce(lambda a, b: a + b, each)
 
 
-def cells(fp: Column) -> Column:
+def cells(fp: Column, width: int) -> Column:
     """The grid cells at Manhattan distance 1 or less: itself, and one count up or down."""
-    at = segment_counts(fp)
-    near = [F.lit(0).cast("long")]
-    for k in range(16):
-        count, step = F.shiftrightunsigned(at, 4 * k).bitwiseAND(F.lit(15)), F.lit(1 << (4 * k)).cast("long")
-        near += [F.when(count < 4, step), F.when(count > 0, -step)]
-    return F.transform(F.filter(F.array(*near), lambda x: x.isNotNull()), lambda x: at + x)
+    at = segment_counts(fp, width)
+    near = [at]
+    for k in range(0, 64, width):
+        count = F.shiftrightunsigned(at, k).bitwiseAND(F.lit((1 << width) - 1))
+        for ok, other in ((count < width, count + 1), (count > 0, count - 1)):  # counts are exchanged bit by bit, as sums could overflow
+            near.append(F.when(ok, at.bitwiseXOR(F.shiftleft(count.bitwiseXOR(other), k))))
+    return F.filter(F.array(*near), lambda x: x.isNotNull())
 
 
 def links(spark: SparkSession, points: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(src, dst): links that join all distinct fingerprints ``points`` (fp) within 2 bits, directly or over each other."""
-    spread = points.select("fp", F.explode(cells(F.col("fp"))).alias("cell"))
-    shared = spread.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = materialize(spark, spread.join(shared, "cell"), "members")
-    few = members.where(F.col("n") <= crowd)
-    a, b = few.select("cell", F.col("fp").alias("src")), few.select("cell", F.col("fp").alias("dst"))
-    pairs = a.join(b, "cell").where((F.col("src") < F.col("dst")) & (F.bit_count(F.col("src").bitwiseXOR(F.col("dst"))) <= MOST_BITS)).select("src", "dst").distinct()
-    many = members.where(F.col("n") > crowd).select("fp").distinct()
-    flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit((1 << k) - (1 << 64 if k == 63 else 0)).cast("long")) for k in range(64)])
-    balls = many.select("fp", F.explode(flips).alias("middle")).groupBy("middle").agg(F.collect_set("fp").alias("held")).where(F.size("held") > 1)
-    stars = balls.select(F.array_min("held").alias("dst"), F.explode("held").alias("src")).where("src <> dst").distinct()
-    return pairs.unionByName(stars)
+    found = []
+    for width in WIDTHS:
+        spread = points.select("fp", F.explode(cells(F.col("fp"), width)).alias("cell"))
+        shared = spread.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        members = materialize(spark, spread.join(shared, "cell"), "members")
+        few = members.where(F.col("n") <= crowd) if width > 1 else members
+        if width > 1:
+            a, b = few.select("cell", F.col("fp").alias("src")), few.select("cell", F.col("fp").alias("dst"))
+            found.append(a.join(b, "cell").where((F.col("src") < F.col("dst")) & (F.bit_count(F.col("src").bitwiseXOR(F.col("dst"))) <= MOST_BITS)).select("src", "dst").distinct())
+            points = members.where(F.col("n") > crowd).select("fp").distinct()
+            if points.isEmpty():
+                break
+        else:
+            found.append(few.join(few.groupBy("cell").agg(F.min("fp").alias("dst")), "cell").select(F.col("fp").alias("src"), "dst").where("src <> dst").distinct())
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def components(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
