@@ -4,9 +4,10 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from weftline.llm.packing import CAPACITY, Reduction, best_fit, encoder, op9_pack, pack_documents, pack_lengths
+from weftline.llm.packing import CAPACITY, PIECES, Reduction, best_fit, encoder, op9_pack, pack_documents, pack_lengths, pack_pieces, token_pieces
 
 
 def check_bins(counts, bins, capacity):
@@ -110,3 +111,13 @@ def test_edges(spark):
     twice = pack_documents(spark, df.union(df)).collect()
     assert len(twice) == 2 * len(pack_documents(spark, df).collect())
     assert pack_documents(spark, df.limit(0)).collect() == []
+
+
+def test_one_length_in_many_groups(spark):
+    texts = {k: ("word " * 4 if k % 3 else "other words " * (k % 7) + "x " * 2047) for k in range(300)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    pieces = spark.createDataFrame(token_pieces(docs).withColumn("row", F.monotonically_increasing_id()).collect(), f"{PIECES}, row long")
+    for group_rows in (7, 50, 10**6):
+        rows = pack_pieces(spark, pieces, CAPACITY, group_rows).collect()
+        check_rows(rows, texts)
+        assert len({r.sequence_id for r in rows}) <= 1.01 * sum(r.length for r in rows) / CAPACITY + 1

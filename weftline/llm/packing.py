@@ -4,7 +4,7 @@ A packing instance is only its histogram of lengths (at most ``capacity`` number
 the driver reduces and packs the histogram exactly and the pieces find their places by their rank within their length.
 
 Defined results: a null or empty text is the end id alone; repeated rows are packed each for itself; a null doc_id is a
-document like any other; an empty table gives no pieces.
+document like any other; further columns are not looked at, whatever their names; an empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from weftline.core import load, materialize
 
 CAPACITY = 2048
 END = 0
-SALTS = 256
+GROUP_ROWS = 100_000  # pieces of one length that a task ranks
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _ENCODERS: dict = {}
 
@@ -192,42 +192,59 @@ def slot_table(bins, capacity: int) -> dict[int, tuple[np.ndarray, ...]]:
     return {w: tuple(np.array(x, "i8") for x in zip(*r)) for w, r in runs.items()}
 
 
-def pack_pieces(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (columns of PIECES) with sequence_id and offset.
+def pack_pieces(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """``pieces`` (columns of PIECES, and row, a number that no other piece has and that stays) with sequence_id and offset.
 
-    To the driver go counts by length and salt (at most capacity x SALTS); back go the runs of places, of which each
-    distinct bin has at most one per length it holds.
+    A piece that fills its sequence gets one of its own, numbered below zero by its row, and is counted nowhere. The
+    others are counted by length, and within it by salts of about ``group_rows`` pieces, so that no task ranks more,
+    however common a length is. To the driver go these counts (capacity numbers, and one for each ``group_rows`` pieces);
+    back go the runs of places, of which each distinct bin has at most one per length it holds.
     """
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).cast("int"))
-    table = salted.groupBy("length", "salt").count().toArrow()
-    tally = np.zeros((capacity + 1, SALTS), "i8")
-    tally[table["length"].to_numpy(), table["salt"].to_numpy()] = table["count"].to_numpy()
-    counts = {int(w): int(n) for w, n in enumerate(tally.sum(axis=1)) if n}
-    shared = spark.sparkContext.broadcast((np.cumsum(tally, axis=1) - tally, slot_table(pack_lengths(counts, capacity), capacity)))
-    order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32", "start")
-    ranked = salted.withColumn("nth", F.row_number().over(order).cast("long") - 1)
+    short = pieces.where(F.col("length") < capacity)
+    counts = {r["length"]: r["count"] for r in short.groupBy("length").count().collect()}
+    n_salts = np.ones(capacity + 1, "i8")
+    for w, n in counts.items():
+        n_salts[w] = -(-n // group_rows)
+    by_length = F.split(F.lit(",".join(map(str, n_salts[1:].tolist()))), ",").cast("array<int>")
+    salted = short.withColumn("salt", F.pmod(F.xxhash64("row"), F.element_at(by_length, F.col("length").cast("int"))).cast("int"))
+    first = np.cumsum(n_salts) - n_salts  # where a length's salts stand in one list
+    tally = np.zeros(int(n_salts.sum()), "i8")
+    several = np.flatnonzero(n_salts > 1).tolist()
+    for w, n in counts.items():
+        tally[first[w]] = n
+    if several:
+        table = salted.where(F.col("length").isin(several)).groupBy("length", "salt").count().toArrow()
+        for w in several:
+            tally[first[w]] = 0
+        tally[first[table["length"].to_numpy()] + table["salt"].to_numpy()] = table["count"].to_numpy()
+    before = np.cumsum(tally) - tally
+    before -= np.repeat(before[first], n_salts)
+    shared = spark.sparkContext.broadcast((first, before, slot_table(pack_lengths(counts, capacity), capacity)))
+    ranked = salted.withColumn("nth", F.row_number().over(Window.partitionBy("length", "salt").orderBy("row")).cast("long") - 1)
 
     def run(batches):
-        before, slots = shared.value
+        first, before, slots = shared.value
         for batch in batches:
             length = batch["length"].to_numpy()
-            rank = batch["nth"].to_numpy() + before[length, batch["salt"].to_numpy()]
+            rank = batch["nth"].to_numpy() + before[first[length] + batch["salt"].to_numpy()]
             sequence, offset = np.empty_like(rank), np.empty_like(rank)
             for w in np.unique(length):
                 at = np.flatnonzero(length == w)
-                first, times, base, start = slots[int(w)]
-                run_no = np.searchsorted(first, rank[at], side="right") - 1
-                inside = rank[at] - first[run_no]
+                runs, times, base, start = slots[int(w)]
+                run_no = np.searchsorted(runs, rank[at], side="right") - 1
+                inside = rank[at] - runs[run_no]
                 sequence[at] = base[run_no] + inside // times[run_no]
                 offset[at] = start[run_no] + w * (inside % times[run_no])
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")), pa.array(sequence), pa.array(offset)], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, f"{PIECES}, sequence_id long, offset long")
+    placed = ranked.mapInArrow(run, f"{PIECES}, sequence_id long, offset long")
+    full = pieces.where(F.col("length") == capacity).select("doc_id", "piece", "start", "length", "ids_crc32", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return placed.unionByName(full)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Tokenise, cut and pack ``docs``; the pieces are written once, as they are read for the counts and for the places."""
-    return pack_pieces(spark, materialize(spark, token_pieces(docs, capacity), "pieces"), capacity)
+    """Tokenise, cut and pack ``docs``; the pieces are written once with their numbers, and read for the counts and for the places."""
+    return pack_pieces(spark, materialize(spark, token_pieces(docs, capacity).withColumn("row", F.monotonically_increasing_id()), "pieces"), capacity)
 
 
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
