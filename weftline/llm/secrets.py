@@ -4,10 +4,11 @@ Two first-order character models are trained from labelled samples; a long run o
 likelier, by transition, as a random string than as an identifier. All of it is DataFrame functions.
 
 The samples are random strings by rule (digests in several alphabets), the values that the fixed patterns find, and the
-words of at most about ``SAMPLE_DOCS`` documents, chosen by a hash of doc_id, with some common identifiers.
+words of about ``SAMPLE_DOCS`` distinct documents, drawn by a hash of doc_id and text, with some common identifiers.
 
 Defined results: a null or empty text has no spans; positions are code points, ends exclusive; repeated rows are scanned
-each for itself; an empty table gives no rows (the models then come from the fixed samples alone).
+each for itself; texts of any length are scanned whole; further columns pass through, also under the names of the results,
+which then get a ``_`` before them; an empty table gives no rows (the models then come from the fixed samples alone).
 """
 
 from __future__ import annotations
@@ -53,19 +54,27 @@ def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> C
     """array<struct<start, end, kind>> of the pattern's leftmost matches whose group is long enough.
 
     Matches have no places in SQL, but splitting by the same pattern gives what stands between them, and the lengths of
-    both add up to the places.
+    both add up to the places. Adding up runs over stretches of about the root of their number, first whole and then
+    one by one, so that no list grows by one for each match of a long text.
     """
     matches, values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     steps = F.zip_with(F.split(text, pattern, -1), matches, lambda a, b: F.struct(F.length(a).alias("gap"), F.length(b).alias("own")))
     steps = F.zip_with(steps, values, lambda s, v: F.struct(s["gap"].alias("gap"), s["own"].alias("own"), F.length(v).alias("size")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,kind:string>>").alias("out"))
+    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(steps))).cast("int"))
+    stretches = F.transform(F.sequence(F.lit(0), F.ceil(F.size(steps) / size).cast("int") - 1), lambda k: F.slice(steps, k * size + 1, size))
+    long = lambda part: F.aggregate(part, F.lit(0), lambda n, s: n + s["gap"] + F.coalesce(s["own"], F.lit(0)))
+    begins = F.aggregate(stretches, F.array(F.lit(0)), lambda out, part: F.concat(out, F.array(F.element_at(out, -1) + long(part))))
+    empty = F.array().cast("array<struct<start:int,end:int,kind:string>>")
 
     def step(acc, s):
         begin = acc["at"] + s["gap"]
         span = F.struct(begin.alias("start"), (begin + s["own"]).alias("end"), F.lit(kind).alias("kind"))
         return F.struct((begin + F.coalesce(s["own"], F.lit(0))).alias("at"), F.when(s["size"] >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(steps, start, step, lambda acc: acc["out"])
+    def placed(part, begin):
+        return F.aggregate(part, F.struct(begin.alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+
+    return F.flatten(F.zip_with(stretches, F.slice(begins, F.lit(1), F.size(stretches)), placed))
 
 
 def none() -> Column:
@@ -83,9 +92,9 @@ def labelled_samples(spark: SparkSession, docs: DataFrame, sample_docs: int = SA
     raw = F.unhex(digest)
     by_rule = spark.range(RANDOM_ROWS).select(F.explode(F.array(digest, F.hex(raw), F.base64(raw), F.translate(F.base64(raw), "+/", "-_"), F.conv(F.substring(digest, 1, 15), 16, 36))).alias("sample"), F.lit(True).alias("random"))
     fixed = spark.range(1).select(F.explode(F.array(*map(F.lit, IDENTIFIERS))).alias("sample"), F.lit(False).alias("random"))
-    total = docs.count()
-    draw = F.pmod(F.xxhash64(F.lit("secrets"), F.col("doc_id").cast("string")), F.lit(1 << 30))
-    some = docs.where(draw < int(min(1.0, sample_docs / max(1, total)) * (1 << 30))).limit(2 * sample_docs).select("text")
+    drawn = docs.select("text", F.pmod(F.xxhash64(F.lit("secrets"), F.col("doc_id").cast("string"), "text"), F.lit(1 << 40)).alias("draw"))
+    total = drawn.agg(F.approx_count_distinct("draw")).first()[0]
+    some = drawn.where(F.col("draw") < int(min(1.0, sample_docs / max(1, total)) * (1 << 40))).dropDuplicates(["draw"]).select("text")
     values = F.concat(*[F.when(F.col("text").rlike(GATES[kind]), F.filter(F.regexp_extract_all("text", F.lit(p), F.lit(2)), lambda v: (F.length(v) >= 20) & v.rlike("[0-9]"))).otherwise(F.array().cast("array<string>")) for kind, p, _, _ in BASE])
     words = F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z_]{3,40}(?![A-Za-z0-9+/_=-])"), F.lit(0))
     each = F.concat(F.transform(values, lambda v: F.struct(v.alias("sample"), F.lit(True).alias("random"))), F.transform(words, lambda v: F.struct(v.alias("sample"), F.lit(False).alias("random"))))
