@@ -1,15 +1,26 @@
 """Language-model scoring by online logistic context mixing.
 
-A text is coded as lower-case words, a blank after each but the last, and an end. Its bytes become the branches of a
-Huffman tree of the training bytes. Every branch is predicted by several hashed contexts (the last 3 and 5 bytes; the word so far),
-whose counts come from all training texts, the last one's from the exact counts of all their words, of any length. Tables have
-more slots the more words there are. The contexts' logits are combined by weights that a gate selects: how often the longest contexts were seen. The weights are learned online on a
-few training texts, before these are counted as well, and go on adapting within each text scored, chunk by chunk, always from
-what lies behind; so scores are proper probabilities, and do not depend on how rows are dealt out.
+A text is coded word by word (in lower case), with an end after the last. Where other texts continued the two words
+before, one bit says whether the commonest continuation comes: so passages and documents that the corpus repeats cost
+little. Any other word is spelled, byte by byte, as branches of Huffman trees of the training bytes (one tree for each
+byte before); a blank ends it. Each bit is predicted by several hashed contexts: the word's last three and five bytes, the
+whole word so far, and what this very text did before in the same place, counted online. Their logits are combined by
+weights that a gate selects (how often the contexts were seen; for continuations, how many texts had them and how many came
+true in a row). The weights, and a last stage that corrects the mixed probability by what became of those like it, go
+on learning within each text, chunk by chunk, always from what lies behind. So scores are total bits, as a proper code would
+need them, and do not depend on how rows are dealt out among equal texts.
+
+Counts cover all training texts, and grow with them: exact counts of every word and of every three words are added up by
+shuffles, and never meet in one place; what is broadcast are the spelling contexts, hashed to tables that grow with the
+distinct words up to 2^24 slots, and with their root beyond (one byte a slot). A training text's own three-word counts
+are taken out when it is scored, so that it is not predicted by itself; a copy elsewhere still predicts it.
+The mixer starts from weights learned on one in ``TUNE_PARTS`` of the training texts, chosen by a hash, of any length and
+at any size of the table; for that the spelling counts leave these texts out, and take them in again for the scores.
 
 Defined results: a null or empty text is its end alone; a null doc_id counts as the empty string in its fold; repeated
-rows score alike; without training texts all counts are zero and every branch has probability one half; an empty table
-gives no rows.
+rows score alike; texts and words of any length are coded whole, in stretches that hand their state on; without training
+texts all counts are zero, and every first branch has probability one half; further columns are not looked at, whatever
+their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,55 +28,54 @@ from __future__ import annotations
 import heapq
 import math
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.core import load, materialize
 
-END = 10
-PAD = 5  # ends before each text, as its first contexts
-BITS = (20, 22, 23)  # log2 of the slots of each context's table, at least
-INPUTS = len(BITS)
-TALLIED = 2  # contexts counted branch by branch; the last one comes from word counts
-SLOTS_A_WORD = 16
-OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in BITS])]).astype("i8")
+END = b"\n"  # the end's spelling; no word has it
+BLANK = 32
+BLOCK_BYTES = 4 << 20  # bytes of text that share a dictionary
+PART_ENTRIES = 1 << 19  # words and continuations that a task adds up
+STRETCH = 1 << 18  # bytes of a text that are split into words together
+TUNE_PARTS = 16
+INPUTS, TABLES = 4, 3
+LEAST_BITS = (18, 20, 20)  # log2 of the slots of each table, at least
+LINEAR_BITS = 24  # tables grow with the distinct words up to here, and with their root beyond
+SLOTS_A_WORD = (2, 8, 16)
 PART = 17  # log2 of the slots that travel in one row
-GATES = 4 ** (INPUTS - 1)  # how often each context but the shortest was seen
-CHUNK = 128  # bytes between two refinements of a text's weights
-STRETCH = 1 << 18  # bytes handled together, and the longest piece of a text: longer ones are coded in pieces, each afresh
-BUFFER = 1 << 22  # branches counted together
-BLOCK_BYTES = 4 << 20  # bytes of text whose words share a dictionary
-WORDS_PER_PART = 1 << 19
-TUNE_TEXTS, TUNE_BYTES = 300, 1 << 15  # texts for the mixer's weights, and their greatest length
-RATES = (0.0, 0.001, 0.002, 0.004)
-CLIP = 8.4
-STEPS = 31  # of a packed logit, to either side of zero
-ENTRIES = 1 << 22  # slots of words added up together
-SIGNS = np.array([-1, 1], "f4")
+ENTRIES = 1 << 20  # branches counted, or coded, together
+CLIP, STEPS = 8.4, 31  # of a packed logit, to either side of zero
+RUNS = np.array([0, 1, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4, 4, 4, 4, 4, 5])  # runs of continuations that came true, in six steps
+SEEN_GATES, RUN_GATES = 4 * 4 * 3, 6 * 4 * 2
+GATES = SEEN_GATES + RUN_GATES
+START = 0.35  # of a weight
+CHUNK = 256  # bits between two refinements
+RATE = 0.004
+LEVELS, SURE = 33, 60.0  # of the last stage: steps of the mixed logit, and how many bits its start counts for
+MASK = (1 << 64) - 1
 
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()  # of bytes: A-Z only, and the six ASCII blanks
 
 
-def lines_of(words: list[bytes]) -> list[bytes]:
-    """The pieces of a text as it is coded."""
-    line = b" ".join(words) + bytes([END])
-    return [line] if len(line) <= STRETCH else [line[a : a + STRETCH] for a in range(0, len(line), STRETCH)]
-
-
 def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+# --- spelling
+
+
 @dataclass
-class Tree:
-    """The branches of every byte: salts[first[b] : first[b] + length[b]], hashes of their nodes, with the ways taken there."""
+class Trees:
+    """The branches of every byte after every byte: salts[first[p] : first[p] + length[p]] with p = before * 256 + byte, and the ways taken there."""
 
     first: np.ndarray
     length: np.ndarray
@@ -73,67 +83,38 @@ class Tree:
     ways: np.ndarray
 
 
-def huffman(counts: np.ndarray) -> Tree:
-    """A tree of all 256 bytes; ties go to the smaller byte, so equal counts give equal trees."""
-    heap = [(int(c), b, b) for b, c in enumerate(counts + 1)]
+def huffman(counts: np.ndarray) -> list[list[tuple[int, int]]]:
+    """(node, way) along the path to each of 256 bytes; ties go to the smaller byte, so equal counts give equal trees."""
+    heap = [(int(c) + 1, b, b) for b, c in enumerate(counts)]
     heapq.heapify(heap)
-    parent, way, fresh = {}, {}, 256
+    parent, fresh = {}, 256
     while len(heap) > 1:
         (ca, ka, a), (cb, kb, b) = heapq.heappop(heap), heapq.heappop(heap)
-        parent[a], way[a], parent[b], way[b] = fresh, 0, fresh, 1
+        parent[a], parent[b] = (fresh, 0), (fresh, 1)
         heapq.heappush(heap, (ca + cb, min(ka, kb), fresh))
         fresh += 1
-    root, first, length, nodes, ways = heap[0][2], [], [], [], []
+    paths = []
     for b in range(256):
         path, at = [], b
-        while at != root:
-            path.append((parent[at] - 256, way[at]))
-            at = parent[at]
-        first.append(len(nodes))
-        length.append(len(path))
-        nodes += [n for n, _ in reversed(path)]
-        ways += [w for _, w in reversed(path)]
-    return Tree(np.array(first, "i4"), np.array(length, "i4"), np.array(nodes, "u4") * np.uint32(0x9E3779B1), np.array(ways, "u1"))
-
-
-@dataclass
-class Coded:
-    """Texts coded together: their bytes, where each begins, and a 32-bit hash of each context of each byte."""
-
-    symbols: np.ndarray
-    starts: np.ndarray
-    contexts: np.ndarray = field(repr=False)  # contexts x bytes
-
-
-def code(lines: list[bytes], first: int = len(BITS)) -> Coded:
-    """Code lines, with their first contexts."""
-    pad = bytes([END]) * PAD
-    raw = [pad + line for line in lines]
-    line = np.frombuffer(b"".join(raw), "u1")
-    sizes = np.array([len(r) - PAD for r in raw], "i8")
-    edges = np.cumsum(sizes + PAD) - sizes - PAD
-    real = np.ones(len(line), bool)
-    real[(edges[:, None] + np.arange(PAD)).reshape(-1)] = False
-    at = np.flatnonzero(real)
-    wide = line.astype("u8")
-    last5 = np.zeros(len(line), "u8")
-    for j in range(1, 6):
-        last5[j:] |= wide[:-j] << np.uint64(8 * (j - 1))
-    keys = [last5 & np.uint64(0xFFFFFF), last5]
-    if first > TALLIED:
-        # a word's hash so far: differences of prefix sums, shifted back by the inverse of the base's power
-        n = len(line)
-        power, inverse = powers(n)
-        sums = np.zeros(n + 1, "u8")
-        np.cumsum((wide + np.uint64(1)) * power[:n], out=sums[1:])
-        blank = (line == 32) | (line == END)
-        begin = np.maximum.accumulate(np.where(np.concatenate([[True], blank[:-1]]), np.arange(n), 0))
-        keys.append((sums[:-1] - sums[begin]) * inverse[begin])
-    contexts = np.empty((len(keys), len(at)), "u4")
-    for k, key in enumerate(keys):
-        x = (key[at] + np.uint64(k + 1)) * np.uint64(0xD6E8FEB86659FD93)
-        contexts[k] = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)
-    return Coded(line[at], np.cumsum(sizes) - sizes, contexts)
+        while at in parent:
+            at, way = parent[at]
+            path.append((at - 256, way))
+        paths.append(path[::-1])
+    return paths
+
+
+def trees_of(counts: np.ndarray) -> Trees:
+    """Trees from how often each byte (column) follows each byte (row)."""
+    first, length, nodes, ways = [], [], [], []
+    made: dict[bytes, list] = {}
+    for before, row in enumerate(counts):
+        paths = made.setdefault(row.tobytes(), None) or made.update({row.tobytes(): huffman(row)}) or made[row.tobytes()]
+        for path in paths:
+            first.append(len(nodes))
+            length.append(len(path))
+            nodes += [before * 256 + n for n, _ in path]
+            ways += [w for _, w in path]
+    return Trees(np.array(first, "i4"), np.array(length, "i4"), np.array(nodes, "u4") * np.uint32(0x9E3779B1), np.array(ways, "u1"))
 
 
 _POWERS: list[np.ndarray] = []
@@ -150,459 +131,545 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def branches(tree: Tree, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(byte, hash of the node, way) of every branch taken, in order."""
-    length = tree.length[symbols]
-    byte = np.repeat(np.arange(len(symbols), dtype="i4"), length)
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x * np.uint64(0xD6E8FEB86659FD93)
+
+
+@dataclass
+class Spelled:
+    """Words as branches: the hash of each branch's node, its way and its byte; where each word's branches begin (and the
+    last ones end); a 32-bit hash of each context of each byte."""
+
+    salt: np.ndarray
+    way: np.ndarray
+    byte: np.ndarray
+    edges: np.ndarray
+    contexts: np.ndarray
+
+
+def spell(words: list[bytes], trees: Trees) -> Spelled:
+    """The branches of words, each with its blank, or of the end. Contexts do not look beyond the word."""
+    parts = [w if w == END else w + b" " for w in words]
+    line = np.frombuffer(b"".join(parts), "u1")
+    sizes = np.fromiter(map(len, parts), "i8", len(parts))
+    begins = np.cumsum(sizes) - sizes
+    begin = np.repeat(begins, sizes)
+    place = np.arange(len(line)) - begin
+    wide = line.astype("u8") + np.uint64(1)
+    past, last = np.zeros((2, len(line)), "u8"), np.zeros(len(line), "u8")
+    for j in range(1, 6):  # the bytes before, from the last to the fifth last, if they are the word's
+        last[:] = 0
+        last[j:] = wide[:-j]
+        last[place < j] = 0
+        past[1] |= last << np.uint64(9 * (j - 1))
+        if j == 3:
+            past[0] = past[1]
+    power, inverse = powers(len(line) + 1)
+    sums = np.zeros(len(line) + 1, "u8")
+    np.cumsum(wide * power[: len(line)], out=sums[1:])
+    keys = (past[0] + np.uint64(1 << 50), past[1] + np.uint64(2 << 50), (sums[:-1] - sums[begin]) * inverse[begin] + np.uint64(3))
+    contexts = np.stack([(mixed(k) >> np.uint64(32)).astype("u4") for k in keys])
+    before = np.full(len(line), BLANK, "i4")
+    before[1:] = line[:-1]
+    before[begins[sizes > 0]] = BLANK
+    path = before * 256 + line
+    length = trees.length[path]
     ends = np.cumsum(length)
-    path = np.arange(len(byte), dtype="i4") + (tree.first[symbols] - (ends - length).astype("i4"))[byte]
-    return byte, tree.salts.take(path), tree.ways.take(path)
+    byte = np.repeat(np.arange(len(line), dtype="i4"), length)
+    at = np.arange(len(byte), dtype="i4") + (trees.first[path] - (ends - length).astype("i4"))[byte]
+    edges = np.concatenate([[0], ends])[np.append(begins, len(line))]
+    return Spelled(trees.salts.take(at), trees.ways.take(at), byte, edges, contexts)
+
+
+def in_stretches(words: list[bytes], numbers: np.ndarray, most: int):
+    """(words, numbers) in runs of about ``most`` bytes."""
+    a = held = 0
+    for k, w in enumerate(words):
+        held += len(w) + 1
+        if held >= most:
+            yield words[a : k + 1], numbers[a : k + 1]
+            a, held = k + 1, 0
+    if a < len(words):
+        yield words[a:], numbers[a:]
+
+
+def table_bits(words: int) -> tuple[int, ...]:
+    """log2 of the slots of each table for a number of distinct words."""
+    full = [max(least, (each * words - 1).bit_length()) for least, each in zip(LEAST_BITS, SLOTS_A_WORD)]
+    return tuple(b if b <= LINEAR_BITS else min(32, LINEAR_BITS + (b - LINEAR_BITS + 1) // 2) for b in full)
 
 
 def offsets_of(bits: tuple[int, ...]) -> np.ndarray:
     return np.concatenate([[0], np.cumsum([1 << b for b in bits])]).astype("i8")
 
 
-def table_bits(tokens: int, words: int) -> tuple[int, ...]:
-    """log2 of the slots of each table: the byte contexts' grow with the root of the tokens, the words' with distinct words."""
-    more = (tokens >> 24).bit_length() // 2
-    return (*(b + more for b in BITS[:TALLIED]), min(32, max(BITS[-1], (SLOTS_A_WORD * words - 1).bit_length())))
-
-
-def slots(contexts: np.ndarray, k: int, byte: np.ndarray, salt: np.ndarray, bits: tuple[int, ...] = BITS) -> np.ndarray:
-    """The slot of each branch in table k (of its own, from 0); salt is the hash of its node."""
-    at = contexts[k].take(byte)
-    at ^= salt
-    at >>= np.uint32(32 - bits[k])
-    return at
-
-
-class Tally:
-    """Branch counts of all tables, over the texts of one task. Slots wait in a buffer, as counting costs a pass over the table."""
-
-    def __init__(self, tree: Tree, bits: tuple[int, ...] = BITS):
-        self.tree, self.bits = tree, bits
-        self.counts = [np.zeros(2 << b, "i4") for b in bits[:TALLIED]]
-        self.waiting, self.n = np.empty((TALLIED, BUFFER), "i8"), 0
-        self.seen = False
-
-    def add(self, coded: Coded) -> None:
-        byte, salt, way = branches(self.tree, coded.symbols)
-        self.seen = True
-        for a in range(0, len(byte), BUFFER):
-            some = slice(a, a + BUFFER)
-            n = len(byte[some])
-            if self.n + n > BUFFER:
-                self.flush()
-            for k, own in enumerate(self.waiting[:, self.n : self.n + n]):
-                own[:] = slots(coded.contexts, k, byte[some], salt[some], self.bits)
-                own <<= 1
-                own |= way[some]
-            self.n += n
-
-    def flush(self) -> None:
-        for own, waiting in zip(self.counts, self.waiting):
-            if len(own) <= 2 * BUFFER:
-                own += np.bincount(waiting[: self.n], minlength=len(own))
-            else:
-                np.add.at(own, waiting[: self.n], np.int32(1))
-        self.n = 0
-
-    def rows(self):
-        """(part, slot within the part, zeros, ones) of the slots in use; parts number the slots of all tables."""
-        if not self.seen:
-            return
-        self.flush()
-        offsets = offsets_of(self.bits)
-        for k, own in enumerate(self.counts):
-            pairs = own.reshape(-1, 2)
-            for a in range(0, len(pairs), 1 << PART):
-                some = pairs[a : a + (1 << PART)]
-                used = np.flatnonzero(some.any(axis=1))
-                if len(used):
-                    yield int(offsets[k] + a) >> PART, used.astype("i4"), some[used, 0], some[used, 1]
-
-
-def logits(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """What a slot says, as a float whose last two bits tell how often it was seen, in four steps."""
-    x = np.clip(np.log((ones + 0.4) / (zeros + 0.4)), -CLIP, CLIP).astype("f4").view("i4")
-    return (x & ~3 | np.digitize(zeros + ones, (1, 4, 24))).astype("i4").view("f4")
-
-
-def word_table(tree: Tree, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-    """The last context's logits: each word, and the blank after it, as often as the corpus has it."""
-    taken = np.zeros((2, 1 << BITS[-1]), "f4")
-    for a in range(0, len(words), 1 << 13):
-        coded = code([w + b" " for w in words[a : a + (1 << 13)]])
-        times = np.repeat(counts[a : a + (1 << 13)], np.diff(np.append(coded.starts, len(coded.symbols))))
-        byte, salt, way = branches(tree, coded.symbols)
-        at, where = np.unique(slots(coded.contexts, len(BITS) - 1, byte, salt), return_inverse=True)
-        ones = np.bincount(where, weights=times[byte] * way)
-        taken[0, at] += np.bincount(where, weights=times[byte]) - ones
-        taken[1, at] += ones
-    out = np.empty(taken.shape[1], "f4")
-    for a in range(0, len(out), 1 << PART):
-        out[a : a + (1 << PART)] = logits(*taken[:, a : a + (1 << PART)])
-    return out
+def slots(s: Spelled, k: int, bits: tuple[int, ...]) -> np.ndarray:
+    """The slot of each branch in table k, counted from that table's first."""
+    return ((s.contexts[k].take(s.byte) ^ s.salt) >> np.uint32(32 - bits[k])).astype("i8")
 
 
-def packed_logits(x: np.ndarray) -> np.ndarray:
-    """Logits, rounded to steps of 0.27, in one byte each, with their last two bits."""
-    return ((np.rint(x * (STEPS / CLIP)).astype("i4") + STEPS) << 2 | x.view("i4") & 3).astype("u1")
+def packed_logits(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """What a slot says in one byte: its logit in steps of 0.27, and how often it was seen in four."""
+    x = np.clip(np.log((ones + 0.4) / (zeros + 0.4)), -CLIP, CLIP)
+    return (np.rint(x * (STEPS / CLIP)).astype("i4") + STEPS << 2 | np.digitize(zeros + ones, (1, 3, 12))).astype("u1")
 
 
-UNPACKED = (((np.arange(256) >> 2) - STEPS) * (CLIP / STEPS)).astype("f4").view("i4")
-UNPACKED = (UNPACKED & ~3 | np.arange(256, dtype="i4") & 3).view("f4")
+LOGITS = (((np.arange(256) >> 2) - STEPS) * (CLIP / STEPS)).astype("f4")
 UNSEEN = STEPS << 2
 
 
-def word_entries(tree: Tree, words: list[bytes], counts: np.ndarray, bits: tuple[int, ...]):
-    """(slots in order, zeros, ones) of the last context, of each stretch of words; no word is too long or too rare."""
-    lines, times, held = [], [], 0
-    pieces = ((w[a : a + STRETCH] + b" " * (a + STRETCH >= len(w)), c) for w, c in zip(words, counts.tolist()) for a in range(0, len(w), STRETCH))
+def counted(words: list[bytes], counts: np.ndarray, trees: Trees, bits: tuple[int, ...]):
+    """(slots in order, counts) of each stretch of words; counts: ones and zeros of each column of ``counts``. In the table of
+    whole words a word counts as often as it occurs; in the others once, as they are for words not met before."""
+    offsets = offsets_of(bits)
+    for some, times in in_stretches(words, counts, ENTRIES):
+        s = spell(some, trees)
+        at = np.concatenate([offsets[k] + slots(s, k, bits) for k in range(TABLES)])
+        found, where = np.unique(at, return_inverse=True)
+        way = np.tile(s.way, TABLES)
+        out = []
+        for n in times.T:
+            every = np.repeat(n, np.diff(s.edges)).astype("f8")
+            weight = np.concatenate([every > 0] * (TABLES - 1) + [every])
+            ones = np.bincount(where, weights=weight * way, minlength=len(found))
+            out += [np.bincount(where, weights=weight, minlength=len(found)) - ones, ones]
+        yield found, np.stack(out).astype("i8")
 
-    def entries():
-        coded = code(lines)
-        byte, salt, way = branches(tree, coded.symbols)
-        n = np.repeat(np.array(times, "f8"), np.diff(np.append(coded.starts, len(coded.symbols))))[byte]
-        at, where = np.unique(slots(coded.contexts, len(bits) - 1, byte, salt, bits), return_inverse=True)
-        ones = np.bincount(where, weights=n * way)
-        return at.astype("i8"), (np.bincount(where, weights=n) - ones).astype("i8"), ones.astype("i8")
 
-    for line, n in pieces:
-        lines.append(line)
-        times.append(n)
-        held += len(line)
-        if held >= STRETCH:
-            yield entries()
-            lines, times, held = [], [], 0
-    if lines:
-        yield entries()
+# --- mixing
+
+
+@dataclass
+class Bits:
+    """The bits of some texts, in order: inputs x bits, gate and way of each, and where each text begins (and the last ends)."""
+
+    inputs: np.ndarray
+    gate: np.ndarray
+    way: np.ndarray
+    edges: np.ndarray
+
+
+class Online:
+    """How often each key had which way so far: within one run, and handed on to the next."""
+
+    def __init__(self):
+        self.keys, self.n, self.ones = np.zeros(0, "u8"), np.zeros(0, "i8"), np.zeros(0, "i8")
+
+    def before(self, keys: np.ndarray, way: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(times seen, ones) of each key before its place. Keys have 40 bits; places go into the other 24."""
+        own = np.sort(keys << np.uint64(24) | np.arange(len(keys), dtype="u8"))
+        place = (own & np.uint64((1 << 24) - 1)).astype("i8")
+        own >>= np.uint64(24)
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, "i8")
+        size = np.diff(np.append(first, len(own)))
+        sums = np.concatenate([[0], np.cumsum(way[place], dtype="i8")])
+        n = np.arange(len(own)) - np.repeat(first, size)
+        ones = sums[:-1] - np.repeat(sums[first], size)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, own[first]), len(self.keys) - 1)
+            known = self.keys[at] == own[first]
+            n += np.repeat(np.where(known, self.n[at], 0), size)
+            ones += np.repeat(np.where(known, self.ones[at], 0), size)
+        if keep:
+            joint = np.concatenate([self.keys, own[first]])
+            self.keys, where = np.unique(joint, return_inverse=True)
+            self.n = np.bincount(where, weights=np.concatenate([self.n, size]), minlength=len(self.keys)).astype("i8")
+            self.ones = np.bincount(where, weights=np.concatenate([self.ones, sums[first + size] - sums[first]]), minlength=len(self.keys)).astype("i8")
+        out = np.empty((2, len(own)), "i8")
+        out[0, place], out[1, place] = n, ones
+        return out[0], out[1]
+
+
+@dataclass
+class Mixer:
+    """What mixing starts from: weights (inputs x gates), and ones and bits of the last stage by kind and level."""
+
+    weights: np.ndarray
+    ones: np.ndarray
+    n: np.ndarray
+
+    @classmethod
+    def new(cls) -> Mixer:
+        level = 1 / (1 + np.exp(-(np.arange(LEVELS) - LEVELS // 2) / 2.0))
+        weights = np.full((INPUTS, GATES), START)
+        weights[:, SEEN_GATES:] = np.array([1.0, 0.0, 0.0, START])[:, None]
+        return cls(weights, np.tile(level * SURE, 2), np.full(2 * LEVELS, SURE))
+
+
+class State:
+    """What some texts, coded side by side, have learned so far."""
+
+    def __init__(self, mixer: Mixer, lanes: int):
+        self.weights = np.tile(mixer.weights.astype("f4"), (1, lanes))  # inputs x (text, gate)
+        self.ones, self.n = np.tile(mixer.ones, lanes), np.tile(mixer.n, lanes)
+
+
+def mix(bits: Bits, mixer: Mixer, state: State | None = None, squares: np.ndarray | None = None) -> np.ndarray:
+    """The natural log probability of each text's bits, a chunk at a time. With ``squares``, running squares of the gradients,
+    what the chunks teach also moves the mixer itself."""
+    sizes = np.diff(bits.edges)
+    order = np.argsort(-sizes, kind="stable")
+    starts, sizes = bits.edges[:-1][order], sizes[order]
+    state = state or State(mixer, len(order))
+    total = np.zeros(len(order))
+    for a in range(0, int(sizes[0]) if len(sizes) else 0, CHUNK):
+        lanes = int(np.searchsorted(-sizes, -a, side="left"))
+        n = np.minimum(sizes[:lanes] - a, CHUNK)
+        first = np.cumsum(n) - n
+        lane = np.repeat(np.arange(lanes), n)
+        at = np.arange(len(lane)) + np.repeat(starts[:lanes] + a - first, n)
+        gate, way = bits.gate[at], bits.way[at]
+        key = lane * GATES + gate
+        x = bits.inputs[:, at]
+        z = np.einsum("ke,ke->e", x, state.weights[:, key])
+        np.clip(z, -16, 16, out=z)
+        p = 1 / (1 + np.exp(-z))
+        level = np.rint(2 * z).astype("i4")
+        np.clip(level, -(LEVELS // 2), LEVELS // 2, out=level)
+        cell = lane * (2 * LEVELS) + (gate >= SEEN_GATES) * LEVELS + (level + LEVELS // 2)
+        refined = 0.5 * p + 0.5 * (state.ones[cell] / state.n[cell])
+        total[:lanes] += np.add.reduceat(np.log(np.where(way, refined, 1 - refined)), first)
+        x *= (way - p).astype("f4")
+        step = np.stack([np.bincount(key, weights=row, minlength=lanes * GATES) for row in x])
+        state.weights[:, : lanes * GATES] += (RATE * step).astype("f4")
+        state.ones[: lanes * 2 * LEVELS] += (ones := np.bincount(cell, weights=way, minlength=lanes * 2 * LEVELS))
+        state.n[: lanes * 2 * LEVELS] += (seen := np.bincount(cell, minlength=lanes * 2 * LEVELS))
+        if squares is not None:
+            step = step.reshape(INPUTS, lanes, GATES).sum(axis=1)
+            squares += step * step
+            move = 0.05 * step / np.sqrt(squares)
+            mixer.weights += move
+            state.weights += np.tile(move.astype("f4"), (1, len(order)))
+            mixer.ones += ones.reshape(lanes, -1).sum(axis=0)
+            mixer.n += seen.reshape(lanes, -1).sum(axis=0)
+    out = np.empty(len(order))
+    out[order] = total
+    return out
+
+
+def steady(mixer: Mixer) -> Mixer:
+    """The mixer with the last stage's start brought back to what it counts for."""
+    return Mixer(mixer.weights, mixer.ones / mixer.n * SURE, np.full(2 * LEVELS, SURE))
 
 
 @dataclass
 class Model:
-    tree: Tree
-    table: np.ndarray  # of logits, by slot of all tables (but the last, if words has it)
-    weights: np.ndarray  # inputs x gates
-    rate: float = 0.0
-    bits: tuple[int, ...] = BITS
-    words: np.ndarray | None = None  # packed logits of the last table
-
-    def score(self, coded: Coded, rate: float | None = None, learn: np.ndarray | None = None) -> np.ndarray:
-        """The natural log probability of each text. Texts run side by side, a chunk at a time; with ``learn``, running
-        squares of the gradients, what the chunks teach also moves the starting weights."""
-        rate = self.rate if rate is None else rate
-        sizes = np.diff(np.append(coded.starts, len(coded.symbols)))
-        order = np.argsort(-sizes, kind="stable")
-        starts, sizes = coded.starts[order], sizes[order]
-        total = np.zeros(len(order))
-        own = np.tile(self.weights.astype("f4"), (1, len(order)))  # inputs x (text, gate)
-        offsets = offsets_of(self.bits)
-        tables = [self.table[a:b] for a, b in zip(offsets, offsets[1:])]
-        for a in range(0, int(sizes[0]) if len(sizes) else 0, CHUNK):
-            lanes = int(np.searchsorted(-sizes, -a, side="left"))
-            n = np.minimum(sizes[:lanes] - a, CHUNK)
-            lane_of = np.repeat(np.arange(lanes, dtype="i8"), n)
-            at = np.arange(len(lane_of)) - np.repeat(np.cumsum(n) - n, n) + (starts[:lanes] + a)[lane_of]
-            byte, salt, way = branches(self.tree, coded.symbols[at])
-            lane = lane_of.take(byte)
-            contexts = coded.contexts[:, at]
-            found = [slots(contexts, k, byte, salt, self.bits) for k in range(INPUTS)]
-            inputs = [UNPACKED.take(self.words.take(x)) if k == TALLIED and self.words is not None else tables[k].take(x) for k, x in enumerate(found)]
-            gate = inputs[1].view("i4") & 3
-            for x in inputs[2:]:
-                gate <<= 2
-                gate |= x.view("i4") & 3
-            key = lane * GATES
-            key += gate
-            z = inputs[0] * own[0].take(key)
-            for x, w in zip(inputs[1:], own[1:]):
-                z += x * w.take(key)
-            sign = SIGNS.take(way)
-            z *= sign
-            np.clip(z, -30, 30, out=z)
-            np.negative(z, out=z)
-            np.exp(z, out=z)
-            z += 1
-            p = np.reciprocal(z, out=z)
-            total[:lanes] += np.add.reduceat(np.log(p), np.searchsorted(lane, np.arange(lanes)), dtype="f8")
-            if rate or learn is not None:
-                error = sign * (1 - p)
-                step = np.stack([np.bincount(key, weights=error * x, minlength=lanes * GATES) for x in inputs])
-                if rate:
-                    own[:, : lanes * GATES] += (rate * step).astype("f4")
-                if learn is not None:
-                    step = step.reshape(INPUTS, lanes, GATES).sum(axis=1)
-                    learn += step * step
-                    self.weights += 0.05 * step / np.sqrt(learn)
-                    own = np.tile(self.weights.astype("f4"), (1, len(order)))
-        out = np.empty(len(order))
-        out[order] = total
+    trees: Trees
+    bits: tuple[int, ...]
+    table: np.ndarray  # packed logits of all tables
+    mixer: Mixer
+
+
+class Coder:
+    """Texts of one dictionary as bits."""
+
+    def __init__(self, words: list[bytes], model: Model):
+        self.model, self.edges = model, np.zeros(len(words) + 1, "i8")
+        inputs, gates, ways, keys, k = [], [], [], [], 0
+        offsets = offsets_of(model.bits)
+        for some, _ in in_stretches(words, self.edges, ENTRIES):
+            s = spell(some, model.trees)
+            own = [model.table[offsets[t] + slots(s, t, model.bits)] for t in range(TABLES)]
+            inputs.append(np.stack([LOGITS[x] for x in own]))
+            gates.append(((own[2] & 3) * 4 + (own[1] & 3)) * 3)
+            ways.append(s.way)
+            keys.append(s.contexts[2].take(s.byte) ^ s.salt)
+            self.edges[k + 1 : k + len(some) + 1] = self.edges[k] + s.edges[1:]
+            k += len(some)
+        join = lambda x, like, axis=0: np.concatenate(x, axis=axis) if x else like
+        self.inputs, self.gate = join(inputs, np.zeros((TABLES, 0), "f4"), 1), join(gates, np.zeros(0, "u1"))
+        self.way, self.key = join(ways, np.zeros(0, "u1")), join(keys, np.zeros(0, "u4"))
+
+    def bits(self, ids: np.ndarray, known: np.ndarray, runs: np.ndarray, first: np.ndarray, online: Online, keep: bool = False) -> Bits:
+        """The bits of words by number; known: as ``continuations`` has it; first: where each text begins (and the last ends)."""
+        asked, hit = known > 0, (known & 1).astype(bool) & (known > 0)
+        size = np.where(hit, 0, np.diff(self.edges)[ids])
+        events = size + asked
+        at = np.concatenate([[0], np.cumsum(events)])
+        total = int(at[-1])
+        flags = at[:-1][asked]
+        spelled = np.ones(total, bool)
+        spelled[flags] = False
+        source = np.arange(int(size.sum())) + np.repeat(self.edges[ids] - (np.cumsum(size) - size), size)
+        inputs, gate, way, key = np.empty((INPUTS, total), "f4"), np.empty(total, "i8"), np.empty(total, "u1"), np.empty(total, "u8")
+        for own, every in zip(inputs, self.inputs):
+            own[spelled] = every[source]
+        way[spelled], key[spelled], gate[spelled] = self.way[source], self.key[source], self.gate[source]
+        nt, nb = known[asked] >> 16, known[asked] >> 1 & 0x7FFF
+        sure = (nb == nt).astype("i8")
+        run = RUNS[np.minimum(runs[asked], 16)]
+        inputs[0, flags], inputs[1, flags], inputs[2, flags] = np.log((nb + 0.4) / (nt - nb + 0.4)), 1, 0
+        gate[flags] = SEEN_GATES + (run * 4 + np.digitize(nt, (2, 3, 6))) * 2 + sure
+        way[flags], key[flags] = hit[asked], 2 * run + sure
+        text = np.repeat(np.arange(len(first) - 1, dtype="u8"), np.diff(at[first]))
+        n, ones = online.before(mixed(key + (text << np.uint64(33)) + (spelled.astype("u8") << np.uint64(32))) >> np.uint64(24), way, keep)
+        inputs[3] = np.log((ones + 0.4) / (n - ones + 0.4))
+        gate[spelled] += np.minimum(n[spelled], 2)
+        return Bits(inputs, gate, way, at[first])
+
+    def scores(self, ids: np.ndarray, known: np.ndarray, runs: np.ndarray, first: np.ndarray, squares: np.ndarray | None = None) -> np.ndarray:
+        """The natural log probability of each text. Texts of like length are coded side by side; long ones alone, in stretches."""
+        size = np.concatenate([[0], np.cumsum(np.diff(self.edges)[ids] + 1)])
+        long = np.diff(size[first])
+        out, some, held = np.zeros(len(long)), [], 0
+
+        def together(numbers):
+            spans = [(first[k], first[k + 1]) for k in numbers]
+            at = np.concatenate([np.arange(a, b) for a, b in spans])
+            edges = np.concatenate([[0], np.cumsum([b - a for a, b in spans])])
+            out[numbers] = mix(self.bits(ids[at], known[at], runs[at], edges, Online()), self.model.mixer, None, squares)
+
+        for k in np.argsort(long, kind="stable").tolist():
+            if long[k] > ENTRIES:
+                online, state, a = Online(), State(self.model.mixer, 1), first[k]
+                while a < first[k + 1]:
+                    b = min(int(first[k + 1]), max(int(a) + 1, int(np.searchsorted(size, size[a] + ENTRIES, side="right")) - 1))
+                    own = self.bits(ids[a:b], known[a:b], runs[a:b], np.array([0, b - a]), online, True)
+                    out[k] += mix(own, self.model.mixer, state, squares)[0]
+                    a = b
+                continue
+            some.append(k)
+            held += long[k]
+            if held >= ENTRIES:
+                together(some)
+                some, held = [], 0
+        if some:
+            together(some)
         return out
 
-    def tune(self, texts: list[list[bytes]]) -> None:
-        """Learn the starting weights online over the texts, then the rate of refinement that codes them best."""
-        lines = [line for ws in texts for line in lines_of(ws)]
-        squares = np.full(self.weights.shape, 1e-3)
-        for _ in range(3):
-            for a in range(0, len(lines), 10):
-                self.score(code(lines[a : a + 10]), 0.0, squares)
-        if lines:
-            self.rate = max(RATES, key=lambda r: sum(self.score(code([lines[k] for k in some]), r).sum() for some in stretches(lines)))
-
-    def score_texts(self, texts: list[list[bytes]]) -> np.ndarray:
-        """The natural log probability of each text. Pieces of like length run together."""
-        owner, lines = [], []
-        for k, ws in enumerate(texts):
-            own = lines_of(ws)
-            lines += own
-            owner += [k] * len(own)
-        by_line = np.zeros(len(lines))
-        for some in stretches(lines):
-            by_line[some] = self.score(code([lines[k] for k in some]))
-        return np.bincount(np.array(owner, "i8"), weights=by_line, minlength=len(texts))
-
-
-def stretches(lines: list[bytes]):
-    """The places of runs of lines of about STRETCH bytes, by length."""
-    run, held = [], 0
-    for k in sorted(range(len(lines)), key=lambda k: len(lines[k])):
-        run.append(k)
-        held += len(lines[k])
-        if held >= STRETCH:
-            yield run
-            run, held = [], 0
-    if run:
-        yield run
-
-
-BLOCKS = "block string, key array<long>, doc_id array<long>, tokens array<int>, first array<int>, words array<int>, times array<int>, hashes array<long>, train array<int>, spelled binary, bytes array<long>, texts long"
-BLANK = np.array([chr(b) in " \t\n\x0b\x0c\r" for b in range(256)])
-
-
-def hashed_words(line: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(64-bit hash, start, end) of every word of a text in lower case."""
-    raw = np.frombuffer(line + b" ", "u1")
-    blank = BLANK[raw]
-    edge = np.flatnonzero(np.diff(blank, prepend=True))
-    start, end = edge[::2], edge[1::2]
-    power, inverse = powers(len(raw))
-    sums = np.zeros(len(raw) + 1, "u8")
-    np.cumsum((raw.astype("u8") + np.uint64(1)) * power[: len(raw)], out=sums[1:])
-    h = (sums[end] - sums[start]) * inverse[start] + (end - start).astype("u8")
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15), start, end
-
-
-def parts_of(text: bytes):
-    """The text in stretches that end at blanks, so that arrays do not follow its length."""
-    a = 0
-    while len(text) - a > STRETCH and (b := text.find(b" ", a + STRETCH)) >= 0:
-        yield text[a:b]
-        a = b
-    yield text[a:]
 
+# --- words and continuations over the corpus
 
-def joined(texts: list[str]):
-    """(numbers of the texts, their offsets, line) of stretches of texts joined by blanks."""
-    owner, parts, size = [], [], 0
-    for k, text in enumerate(texts):
-        for part in parts_of(text.encode().lower()):
-            owner.append(k)
-            parts.append(part)
-            size += len(part)
-            if size >= STRETCH // 2:
-                yield np.array(owner), np.cumsum([0, *(len(p) + 1 for p in parts[:-1])]), b" ".join(parts)
-                owner, parts, size = [], [], 0
-    if parts:
-        yield np.array(owner), np.cumsum([0, *(len(p) + 1 for p in parts[:-1])]), b" ".join(parts)
+BLOCKS = "block string, doc_id array<long>, held array<int>, tune array<int>, first array<int>, seq array<int>, spelled binary, high array<long>, low array<long>, train array<int>, tuned array<int>"
 
 
 def one_list(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
 
 
+def parts_of(text: str):
+    """The text's bytes in stretches that end at blanks, so that lists of words do not follow its length."""
+    raw, a = text.encode().lower(), 0
+    while len(raw) - a > STRETCH and (b := raw.find(b" ", a + STRETCH)) >= 0:
+        yield raw[a:b]
+        a = b
+    yield raw[a:]
+
+
 def word_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of texts with the dictionary of their words (in order of hash), its training counts, each text's words, and
-    the training texts' number and bytes as they are coded."""
-
-    def block(keys, ids, held, texts):
-        lines, hashes, starts, ends, text_of, line_of = [], [], [], [], [], []
-        for owner, offsets, line in joined(texts):
-            h, a, b = hashed_words(line)
-            own = owner[np.searchsorted(offsets, a, side="right") - 1]
-            for out, v in ((hashes, h), (starts, a), (ends, b), (text_of, own), (line_of, np.full(len(h), len(lines)))):
-                out.append(v)
-            lines.append(line)
-        h, starts, ends, text_of, line_of = (np.concatenate(x) for x in (hashes, starts, ends, text_of, line_of))
-        out = np.array(held)
-        words, at, which = np.unique(h, return_index=True, return_inverse=True)
-        learn = ~out[text_of]
-        train = np.bincount(which[learn], minlength=len(words))
-        pairs, times = np.unique(text_of * max(1, len(words)) + which, return_counts=True)
-        first = np.searchsorted(pairs, np.arange(len(texts) + 1) * max(1, len(words)))
-        tokens = np.bincount(text_of, minlength=len(texts)) + 1
-        spelled = [lines[k][a:b] for k, a, b in zip(line_of[at].tolist(), starts[at].tolist(), ends[at].tolist())]
-        common = np.zeros(256, "i8")
-        weight = np.repeat(train, [len(w) for w in spelled])
-        common += np.bincount(np.frombuffer(b"".join(spelled), "u1"), weights=weight, minlength=256).astype("i8")
-        common[32] += int((tokens[~out] - 2).clip(0).sum())
-        numbers = [(np.array(keys, "i8"), "i8"), None, (tokens, "i4"), (first, "i4"), (pairs % max(1, len(words)), "i4"), (times, "i4"), (words.view("i8"), "i8"), (train, "i4")]
-        columns = [pa.array([ids], pa.list_(pa.int64())) if x is None else one_list(x[0].astype(x[1])) for x in numbers]
-        columns = [pa.array([uuid.uuid4().hex]), *columns, pa.array([b" ".join(spelled)]), one_list(common), pa.array([int((~out).sum())])]
-        return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in BLOCKS.split(", ")])
+    """Blocks of texts as numbers of their dictionary's words: these in order of a 128-bit hash, with their counts in training
+    texts, and in the training texts that tune the mixer."""
+
+    def block(ids, held, tune, seqs, numbers):
+        words = list(numbers)
+        digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(-1, 2)
+        order = np.lexsort((digests[:, 1], digests[:, 0]))
+        rank = np.empty(len(words), "i4")
+        rank[order] = np.arange(len(words))
+        seq = rank[np.concatenate(seqs)]
+        first = np.concatenate([[0], np.cumsum([len(s) for s in seqs])])
+        learn = np.repeat(~np.array(held), np.diff(first))
+        train, tuned = (np.bincount(seq[m], minlength=len(words)) for m in (learn, learn & np.repeat(np.array(tune), np.diff(first))))
+        high, low = (digests[order, k].astype("u8").view("i8") for k in (0, 1))
+        lists = {"held": np.array(held, "i4"), "tune": np.array(tune, "i4"), "first": first.astype("i4"), "seq": seq, "high": high, "low": low, "train": train.astype("i4"), "tuned": tuned.astype("i4")}
+        columns = {"block": pa.array([uuid.uuid4().hex]), "doc_id": pa.array([ids], pa.list_(pa.int64())), "spelled": pa.array([b" ".join(words[k] for k in order.tolist())], pa.binary())} | {k: one_list(v) for k, v in lists.items()}
+        names = [x.split()[0] for x in BLOCKS.split(", ")]
+        return pa.RecordBatch.from_arrays([columns[k] for k in names], names)
 
     def run(batches):
-        waiting: tuple[list, ...] = ([], [], [], [])
-        size = 0
+        ids, held, tune, seqs, numbers, size = [], [], [], [], {END: 0}, 0
         for batch in batches:
-            for row in zip(batch["key"].to_pylist(), batch["doc_id"].to_pylist(), batch["held"].to_pylist(), batch["text"]):
-                text = row[3].as_py() or ""
+            for doc_id, out, draw, value in zip(batch["doc_id"].to_pylist(), batch["held"].to_pylist(), batch["tune"].to_pylist(), batch["text"]):
+                text = value.as_py() or ""
+                own = [np.array([numbers.setdefault(w, len(numbers)) for w in part.split()], "i4") for part in parts_of(text)]
+                ids.append(doc_id)
+                held.append(out)
+                tune.append(draw and not out)
+                seqs.append(np.concatenate([*own, [0]]).astype("i4"))
                 size += len(text)
-                for own, v in zip(waiting, (*row[:3], text)):
-                    own.append(v)
                 if size >= BLOCK_BYTES:
-                    yield block(*waiting)
-                    waiting, size = ([], [], [], []), 0
-        if waiting[0]:
-            yield block(*waiting)
+                    yield block(ids, held, tune, seqs, numbers)
+                    ids, held, tune, seqs, numbers, size = [], [], [], [], {END: 0}, 0
+        if ids:
+            yield block(ids, held, tune, seqs, numbers)
 
-    return docs.select("key", "doc_id", "held", "text").mapInArrow(run, BLOCKS)
+    return docs.select("doc_id", "held", "tune", "text").mapInArrow(run, BLOCKS)
 
 
-def corpus_counts(blocks: DataFrame, bits: int) -> DataFrame:
-    """(block, part, counts): for each block and part of the hashes (their first ``bits``), the corpus counts of its
-    words, in their order there.
+def numbered(column: pa.ChunkedArray | pa.Array, k: int = 0) -> np.ndarray:
+    return column[k].values.to_numpy(zero_copy_only=False)
 
-    The row without a block has the sum of the part's counts, and then the number of words with counts of 1 or more. A word
-    is one entry of each block that has it, so frequent words weigh no more than rare ones. One of these entries holds the
-    bitwise complement of the count: that block speaks for the word.
-    """
 
-    def split(batches):
-        for batch in batches:
-            for name, hashes, train in zip(batch["block"], batch["hashes"], batch["train"]):
-                h, n = hashes.values.to_numpy(), train.values.to_numpy()
-                part = (h.view("u8") >> np.uint64(64 - bits)).astype("i4") if bits else np.zeros(len(h), "i4")
-                ids, starts = np.unique(part, return_index=True)
-                offsets = pa.array(np.append(starts, len(h)), pa.int32())
-                arrays = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (h, n)]
-                for a in range(0, len(ids), 512):
-                    yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(ids[a : a + 512])), pa.array(ids[a : a + 512]), *(x.slice(a, 512) for x in arrays)], ["block", "part", "hashes", "train"])
-
-    def join(table: pa.Table) -> pa.Table:
-        sizes = [len(x) for x in table["hashes"]]
-        h = np.concatenate([x.values.to_numpy() for x in table["hashes"]])
-        n = np.concatenate([x.values.to_numpy() for x in table["train"]]).astype("i8")
-        _, first, where = np.unique(h, return_index=True, return_inverse=True)
-        total = np.bincount(where, weights=n).astype("i8")
-        counts = total[where]
-        counts[first] = ~counts[first]
-        whole = [total.sum(), (total >= 1).sum()]
-        values = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes, len(whole)]), pa.int32()), pa.array(np.append(counts, whole).astype("i8")))
-        part = table["part"][0].as_py()
-        return pa.table({"block": pa.array([*table["block"].to_pylist(), None], pa.string()), "part": pa.array([part] * len(values), pa.int32()), "counts": values})
-
-    spread = blocks.select("block", "hashes", "train").mapInArrow(split, "block string, part int, hashes array<long>, train array<int>")
-    return spread.groupBy("part").applyInArrow(join, "block string, part int, counts array<long>")
-
-
-BASE = "key long, doc_id long, n_tokens long, n_known long, base_score double, word binary, n long"
-
-
-def base_scores(blocks: DataFrame, counts: DataFrame, texts: int, n: int, v: int) -> DataFrame:
-    """(key, doc_id, n_tokens, n_known, base_score) of every text, from its block's words and their counts; and (word, n)
-    of every training word, once. Each block's data move once for both."""
-
-    def run(own: pa.Table, found: pa.Table) -> pa.Table:
-        row = {k: own[k][0].values for k in ("key", "doc_id", "tokens", "first", "words", "times")}
-        by_part = np.argsort(found["part"].to_numpy(), kind="stable")
-        c = np.concatenate([np.zeros(0, "i8"), *(found["counts"][int(k)].values.to_numpy() for k in by_part)])
-        speaks = c < 0
-        c = np.where(speaks, ~c, c)
-        words, times, first = (row[k].to_numpy() for k in ("words", "times", "first"))
-        logs = times * np.log10(c + 1.0)[words]
-        known = np.concatenate([[0], np.cumsum(times * (c > 0)[words])])
-        # each text's own terms, added exactly, so that equal texts get equal scores wherever they stand
-        base = np.array([math.fsum(logs[a:b].tolist()) for a, b in zip(first, first[1:])])
-        tokens = row["tokens"].to_numpy().astype("i8")
-        base += math.log10(texts + 1) - tokens * math.log10(n + v + 1)
-        spelled = own["spelled"][0].as_py().split(b" ") if len(c) else []
-        some = np.flatnonzero(speaks & (c > 0)).tolist()
-        none = lambda m, t: pa.nulls(m, t)
-        m, w = len(tokens), len(some)
-        columns = {
-            "key": pa.chunked_array([row["key"], none(w, pa.int64())]),
-            "doc_id": pa.chunked_array([row["doc_id"], none(w, pa.int64())]),
-            "n_tokens": pa.chunked_array([pa.array(tokens), none(w, pa.int64())]),
-            "n_known": pa.chunked_array([pa.array(known[first[1:]] - known[first[:-1]] + (texts > 0)), none(w, pa.int64())]),
-            "base_score": pa.chunked_array([pa.array(base), none(w, pa.float64())]),
-            "word": pa.chunked_array([none(m, pa.binary()), pa.array([spelled[k] for k in some], pa.binary())]),
-            "n": pa.chunked_array([none(m, pa.int64()), pa.array(c[some].astype("i8"))]),
-        }
-        return pa.table(columns)
-
-    left = blocks.select("block", "key", "doc_id", "tokens", "first", "words", "times", "spelled")
-    return left.groupBy("block").cogroup(counts.where("block is not null").groupBy("block")).applyInArrow(run, BASE)
-
-
-def branch_counts(spark: SparkSession, docs: DataFrame, tree: Tree, bits: tuple[int, ...]) -> DataFrame:
-    """(part, packed): counts of each task's texts, by parts of the slots."""
-    shared = spark.sparkContext.broadcast(tree)
+def continuations(seq: np.ndarray, first: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A key for each word of a block's texts: 48 bits of the two words before, then 16 bits of the word."""
+    h = high.view("u8")[seq]
+    place = np.arange(len(seq)) - np.repeat(first[:-1], np.diff(first))
+    one, two = np.zeros(len(seq), "u8"), np.zeros(len(seq), "u8")
+    one[1:], two[2:] = h[:-1], h[:-2]
+    one[place < 1], two[place < 2] = 0, 0
+    key = mixed(mixed(two ^ np.uint64(0x9E3779B97F4A7C15)) + one)
+    key ^= key >> np.uint64(29)
+    return (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(16)) << np.uint64(16) | h >> np.uint64(48)
 
-    def count(batches):
-        tally, pack = None, zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            lines = [line for t in batch["text"] for line in lines_of(words_of(t.as_py()))]
-            for some in stretches(lines):
-                tally = tally or Tally(shared.value, bits)
-                tally.add(code([lines[k] for k in some], TALLIED))
-        for part, *counted in tally.rows() if tally else ():
-            yield packed_counts(pack, [(part, *counted)])
 
-    return docs.select("text").mapInArrow(count, "part int, packed binary")
+SPREAD = "block string, part int, high array<long>, low array<long>, train array<int>, tuned array<int>, key array<long>, times array<int>"
 
 
-def word_counts(spark: SparkSession, words: DataFrame, tree: Tree, bits: tuple[int, ...]) -> DataFrame:
-    """(part, packed): counts of the last context, of each task's words (word, n), by parts of its slots."""
-    shared = spark.sparkContext.broadcast(tree)
+def joined_blocks(blocks: DataFrame, bits: int) -> DataFrame:
+    """JOINED: blocks with what the corpus knows of their words and continuations.
+
+    Words and continuations go by the first ``bits`` of their hashes to the tasks that add them up, one entry of each
+    block that has them, so frequent ones weigh no more than rare ones; the sums come back to the blocks.
+    """
+
+    def split(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                high, low, train, tuned, seq, first, held = (numbered(batch[c], k) for c in ("high", "low", "train", "tuned", "seq", "first", "held"))
+                keys, where = np.unique(continuations(seq, first, high), return_inverse=True)
+                times = np.bincount(where[np.repeat(held == 0, np.diff(first))], minlength=len(keys)).astype("i4")
+                part_of = lambda h: (h >> np.uint64(64 - bits)).astype("i8") if bits else np.zeros(len(h), "i8")
+                words_in, keys_in = part_of(high.view("u8")), part_of(keys)
+                parts = np.union1d(words_in, keys_in)
+                cut = lambda where, n: np.append(np.searchsorted(where, parts), n)
+                lists = [(v, cut(words_in, len(high))) for v in (high, low, train, tuned)] + [(v, cut(keys_in, len(keys))) for v in (keys.view("i8"), times)]
+                arrays = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(v)) for v, offsets in lists]
+                for a in range(0, len(parts), 512):
+                    n = len(parts[a : a + 512])
+                    yield pa.RecordBatch.from_arrays([pa.array([batch["block"][k].as_py()] * n), pa.array(parts[a : a + 512].astype("i4")), *(x.slice(a, 512) for x in arrays)], [x.split()[0] for x in SPREAD.split(", ")])
+
+    def add(table: pa.Table) -> pa.Table:
+        flat = {c: np.concatenate([np.zeros(0, "i8"), *(numbered(table[c], k) for k in range(table.num_rows))]) for c in ("high", "low", "train", "tuned", "key", "times")}
+        sizes = {c: [len(x) for x in table[c]] for c in ("high", "key")}
+        order = np.lexsort((flat["low"], flat["high"]))
+        high, low = flat["high"][order], flat["low"][order]
+        new = np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])])[: len(order)]
+        word = np.empty(len(order), "i8")
+        word[order] = np.cumsum(new) - 1
+        counts, tuned = (np.bincount(word, weights=flat[c]).astype("i8") for c in ("train", "tuned"))
+        speaks = np.zeros(len(order), bool)
+        speaks[np.unique(word, return_index=True)[1]] = True  # one block speaks for each word
+        n = np.where(speaks, ~counts[word], counts[word])
+        keys, where = np.unique(flat["key"].view("u8"), return_inverse=True)
+        times = np.bincount(where, weights=flat["times"]).astype("i8")
+        begins = np.flatnonzero(np.concatenate([[True], keys[1:] >> np.uint64(16) != keys[:-1] >> np.uint64(16)]))[: len(keys)]
+        size = np.diff(np.append(begins, len(keys)))
+        all_, most = (np.repeat(f.reduceat(times, begins), size) if len(keys) else times for f in (np.add, np.maximum))
+        best = np.flatnonzero(times == most)
+        leads = np.zeros(len(keys), bool)
+        leads[best[np.unique(np.repeat(begins, size)[best], return_index=True)[1]]] = True  # of equal ones the first
+        code = (all_ << 32 | most << 1 | leads)[where]
+        lists = {"n": (n, sizes["high"]), "tuned": (np.where(speaks, tuned[word], 0), sizes["high"]), "code": (code, sizes["key"])}
+        return pa.table({"block": table["block"], "part": table["part"]} | {c: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *s]), pa.int32()), pa.array(v.astype("i8"))) for c, (v, s) in lists.items()})
+
+    def join(own: pa.Table, found: pa.Table) -> pa.Table:
+        by_part = np.argsort(found["part"].to_numpy(), kind="stable").tolist()
+        n, tuned, code = (np.concatenate([np.zeros(0, "i8"), *(numbered(found[c], k) for k in by_part)]) for c in ("n", "tuned", "code"))
+        seq, first, high, held = (numbered(own[c]) for c in ("seq", "first", "high", "held"))
+        known = others(seq, first, high, held == 0, code)
+        lists = {"n": n, "tuned": tuned, "known": known}
+        return pa.table({c: own[c] for c in ("doc_id", "held", "tune", "first", "seq", "spelled")} | {c: one_list(v) for c, v in lists.items()})
+
+    spread = blocks.select("block", "seq", "first", "held", "high", "low", "train", "tuned").mapInArrow(split, SPREAD)
+    sums = spread.groupBy("part").applyInArrow(add, "block string, part int, n array<long>, tuned array<long>, code array<long>")
+    left = blocks.select("block", "doc_id", "held", "tune", "first", "seq", "spelled", "high")
+    return left.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(join, JOINED)
+
+
+JOINED = "doc_id array<long>, held array<int>, tune array<int>, first array<int>, seq array<int>, spelled binary, n array<long>, tuned array<long>, known array<int>"
+
+
+def others(seq: np.ndarray, first: np.ndarray, high: np.ndarray, learn: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """For each word of a block's texts, what other texts know of the two words before: how often they had them (from bit 16),
+    how often their commonest continuation (15 bits), and whether that comes here; 0 if they know none. Counts are halved
+    together where they need more bits."""
+    keys, where = np.unique(continuations(seq, first, high), return_inverse=True)
+    before = np.cumsum(np.concatenate([[False], keys[1:] >> np.uint64(16) != keys[:-1] >> np.uint64(16)])[: len(keys)])
+    code = code[where]
+    leads, most, all_ = code & 1, code >> 1 & 0x7FFFFFFF, code >> 32
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    own, at = np.unique(text * max(1, len(keys)) + before[where], return_inverse=True)
+    out = learn[text]
+    all_ = all_ - np.where(out, np.bincount(at, minlength=len(own))[at], 0)
+    most = most - np.where(out, np.bincount(at, weights=leads, minlength=len(own)).astype("i8")[at], 0)
+    shift = np.zeros(len(seq), "i8")
+    big = all_ > 0x7FFF
+    shift[big] = np.ceil(np.log2((all_[big] + 1) / 0x8000)).astype("i8")
+    return np.where(most > 0, np.maximum(all_ >> shift, 1) << 16 | np.maximum(most >> shift, 1) << 1 | leads, 0).astype("i4")
+
+
+def runs_of(known: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """How many continuations came true in a row before each word of each text."""
+    hit = (known > 0) & (known & 1 == 1)
+    at = np.arange(len(known))
+    miss = np.where(hit, -1, at)
+    begin = np.repeat(first[:-1], np.diff(first))
+    before = np.concatenate([[-1], np.maximum.accumulate(miss)[:-1]]) if len(miss) else miss
+    return at - 1 - np.maximum(before, begin - 1)
+
+
+# --- training and scoring
+
+
+def row_of(batch: pa.RecordBatch, k: int, *names: str) -> list[np.ndarray]:
+    return [numbered(batch[c], k) for c in names]
+
+
+def spoken(batch: pa.RecordBatch, k: int) -> tuple[list[bytes], np.ndarray]:
+    """The training words that a block speaks for, with their counts in all training texts, and in those that do not tune."""
+    n, tuned = row_of(batch, k, "n", "tuned")
+    some = np.flatnonzero(n < -1)
+    words = batch["spelled"][k].as_py().split(b" ")
+    return [words[j] for j in some.tolist()], np.stack([~n[some], ~n[some] - tuned[some]], axis=1)
+
+
+def byte_pairs(joined: DataFrame) -> np.ndarray:
+    """How often each byte follows each byte in the spelling of all training words."""
 
-    def rows(held, pack):
-        at, where = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
-        zeros, ones = (np.bincount(where, weights=np.concatenate([x[k] for x in held])).astype("i8") for k in (1, 2))
-        parts, first = np.unique(at >> PART, return_index=True)
-        edges = [*first.tolist(), len(at)]
-        for k in range(0, len(parts), 64):
-            yield packed_counts(pack, [(p, at[a:b] - (p << PART), zeros[a:b], ones[a:b]) for p, a, b in zip(parts[k : k + 64].tolist(), edges[k:], edges[k + 1 :])])
+    def run(batches):
+        total = np.zeros(1 << 16, "i8")
+        for batch in batches:
+            for k in range(batch.num_rows):
+                words, counts = spoken(batch, k)
+                for some, times in in_stretches(words, counts[:, 0], ENTRIES):
+                    parts = [b" " + (w if w == END else w + b" ") for w in some]
+                    line = np.frombuffer(b"".join(parts), "u1").astype("i8")
+                    sizes = np.fromiter(map(len, parts), "i8", len(parts))
+                    inside = np.ones(len(line), bool)
+                    inside[np.cumsum(sizes) - sizes] = False
+                    at = np.flatnonzero(inside)
+                    total += np.bincount(line[at - 1] * 256 + line[at], weights=np.repeat(times, sizes - 1), minlength=1 << 16).astype("i8")
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype("i4")), pa.array(total[used])], ["pair", "n"])
+
+    out = np.zeros(1 << 16, "i8")
+    for r in joined.select("spelled", "n", "tuned").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():  # 65,536 rows at most
+        out[r["pair"]] = r["n"]
+    return out.reshape(256, 256)
+
+
+def spelling_tables(spark: SparkSession, joined: DataFrame, trees: Trees, bits: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Packed logits of all tables from all training words, and from those of the texts that do not tune."""
+    shared = spark.sparkContext.broadcast(trees)
 
     def count(batches):
         held, size, pack = [], 0, zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for entries in word_entries(shared.value, batch["word"].to_pylist(), batch["n"].to_numpy(), bits):
-                held.append(entries)
-                size += len(entries[0])
-                if size >= ENTRIES:
-                    yield from rows(held, pack)
-                    held, size = [], 0
+            for k in range(batch.num_rows):
+                for entry in counted(*spoken(batch, k), shared.value, bits):
+                    held.append(entry)
+                    size += len(entry[0])
+                    if size >= 4 * ENTRIES:
+                        yield from packed_counts(held, pack)
+                        held, size = [], 0
         if held:
-            yield from rows(held, pack)
-
-    return words.select("word", "n").mapInArrow(count, "part int, packed binary")
-
-
-def packed_counts(pack: zstandard.ZstdCompressor, rows: list[tuple]) -> pa.RecordBatch:
-    """A batch (part, packed) of (part, slots within it in order, zeros, ones)."""
-    packed = [pack.compress(np.stack([np.diff(at, prepend=0), zeros, ones]).astype("<i8").view("u1").reshape(-1, 8).T.tobytes()) for _, at, zeros, ones in rows]
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array(packed, pa.binary())], ["part", "packed"])
-
-
-def gathered(counted: DataFrame, out: np.ndarray, make) -> np.ndarray:
-    """``out`` with what ``make`` makes of the logits of all counts, added up by parts of the slots, one part at a time."""
+            yield from packed_counts(held, pack)
 
     def add(batches):
-        unpack, at, own = zstandard.ZstdDecompressor(), None, np.zeros((2, 1 << PART), "i8")
-        done = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([make(logits(*own)).tobytes()], pa.binary())], ["part", "made"])
+        unpack, at, own = zstandard.ZstdDecompressor(), None, np.zeros((4, 1 << PART), "i8")
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), *(pa.array([packed_logits(own[a], own[a + 1]).tobytes()], pa.binary()) for a in (0, 2))], ["part", "every", "some"])
         for batch in batches:
             for part, packed in zip(batch["part"].to_pylist(), batch["packed"]):
                 if part != at:
@@ -611,66 +678,118 @@ def gathered(counted: DataFrame, out: np.ndarray, make) -> np.ndarray:
                     at = part
                     own[:] = 0
                 raw = np.frombuffer(unpack.decompress(packed.as_py()), "u1").reshape(8, -1)
-                step, zeros, ones = np.ascontiguousarray(raw.T).view("<i8").reshape(3, -1)
-                k = np.cumsum(step)
-                own[0, k] += zeros
-                own[1, k] += ones
+                step, *counts = np.ascontiguousarray(raw.T).view("<i8").reshape(5, -1)
+                place = np.cumsum(step)
+                for total, n in zip(own, counts):
+                    total[place] += n
         if at is not None:
             yield done()
 
-    summed = counted.repartition("part").sortWithinPartitions("part").mapInArrow(add, "part int, made binary").toArrow()
-    for part, own in zip(summed["part"].to_pylist(), summed["made"]):
-        out[part << PART : (part + 1) << PART] = np.frombuffer(own.as_buffer(), out.dtype)
-    return out
+    tables = np.full((2, int(offsets_of(bits)[-1])), UNSEEN, "u1")
+    packed = joined.select("spelled", "n", "tuned").mapInArrow(count, "part int, packed binary")
+    made = packed.repartition("part").sortWithinPartitions("part").mapInArrow(add, "part int, every binary, some binary").toArrow()
+    for name, out in zip(("every", "some"), tables):
+        for part, own in zip(made["part"].to_pylist(), made[name]):
+            out[part << PART : (part + 1) << PART] = np.frombuffer(own.as_buffer(), "u1")[: len(out) - (part << PART)]
+    shared.destroy()
+    return tables[0], tables[1]
 
 
-def train(spark: SparkSession, docs: DataFrame, tree: Tree, texts: int, tokens: int, words: DataFrame, distinct: int) -> Model:
-    """The model of the rows of ``docs`` (text, held, draw) with held false, given their tree and their words (word, n)."""
-    tuning = (F.col("draw") < int(min(0.1, TUNE_TEXTS / max(1, texts)) * (1 << 30))) & (F.length(F.coalesce("text", F.lit(""))) <= TUNE_BYTES)
-    bits = table_bits(tokens, distinct)
-    zeros = lambda: np.zeros(offsets_of(bits)[TALLIED], "f4")
-    counted = materialize(spark, branch_counts(spark, docs.where(~F.col("held") & ~tuning), tree, bits), "branches")
-    table = gathered(counted, zeros(), lambda x: x)
-    last = gathered(word_counts(spark, words, tree, bits), np.full(1 << bits[-1], UNSEEN, "u1"), packed_logits)
-    model = Model(tree, table, np.full((INPUTS, GATES), 0.3), 0.0, bits, last)
-    some = docs.where(~F.col("held") & tuning).select("text").limit(4 * TUNE_TEXTS).collect()
-    model.tune(sorted(words_of(r["text"]) for r in some))
-    model.table = gathered(counted.union(branch_counts(spark, docs.where(~F.col("held") & tuning), tree, bits)), zeros(), lambda x: x)
-    return model
+def packed_counts(held: list[tuple[np.ndarray, np.ndarray]], pack: zstandard.ZstdCompressor):
+    """Batches (part, packed) of the sums of (slots, counts)."""
+    at, where = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
+    counts = [np.bincount(where, weights=np.concatenate([x[1][k] for x in held])).astype("i8") for k in range(4)]
+    parts, first = np.unique(at >> PART, return_index=True)
+    edges = [*first.tolist(), len(at)]
+    for k in range(0, len(parts), 64):
+        rows = [np.stack([np.diff(at[a:b] - (p << PART), prepend=0), *(c[a:b] for c in counts)]) for p, a, b in zip(parts[k : k + 64].tolist(), edges[k:], edges[k + 1 :])]
+        yield pa.RecordBatch.from_arrays([pa.array(parts[k : k + 64].astype("i4")), pa.array([pack.compress(r.astype("<i8").view("u1").reshape(-1, 8).T.tobytes()) for r in rows], pa.binary())], ["part", "packed"])
 
 
-def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row of ``docs``.
+def chosen(texts: np.ndarray, seq: np.ndarray, known: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(seq, known, runs, first) of some of a block's texts."""
+    runs = runs_of(known, first)
+    at = np.concatenate([np.zeros(0, "i8"), *(np.arange(first[k], first[k + 1]) for k in texts.tolist())]).astype("i8")
+    return seq[at], known[at], runs[at], np.concatenate([[0], np.cumsum(np.diff(first)[texts])])
 
-    Rows that are the same in doc_id and text score alike, so the two results are joined by a hash of both and doc_id.
-    """
-    rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held"), F.xxhash64("doc_id", "text").alias("key"), F.pmod(F.xxhash64(F.lit("tune"), F.col("doc_id").cast("string"), "text"), F.lit(1 << 30)).alias("draw"))
-    blocks = materialize(spark, word_blocks(rows), "blocks")
-    whole = blocks.agg(F.sum(F.size("hashes").cast("long")), F.sum("texts"), *[F.sum(F.get("bytes", F.lit(b))) for b in range(256)]).first()
-    entries, texts, *symbols = [x or 0 for x in whole]
-    symbols[END] += texts
-    bits = max(0, (entries // WORDS_PER_PART).bit_length())
-    counts = materialize(spark, corpus_counts(blocks, bits), "counts")
-    sums = counts.where("block is null").agg(*[F.coalesce(F.sum(F.get("counts", F.lit(k))), F.lit(0)) for k in range(2)]).first()
-    n, v = sums[0] + texts, sums[1] + (texts > 0)
-    both = materialize(spark, base_scores(blocks, counts, texts, n, v), "base")
-    base = both.where("word is null").select("key", "doc_id", "n_tokens", "n_known", "base_score").dropDuplicates(["key", "doc_id"])
-    words = both.where("word is not null").select("word", "n")
-    model = train(spark, rows, huffman(np.array(symbols, "i8")), texts, n, words, sums[1])
+
+def tuned_mixer(spark: SparkSession, joined: DataFrame, model: Model) -> Mixer:
+    """The mixer after the texts that tune it: each block learns from its own, and what they learned is averaged by their bits."""
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        m = shared.value
+        total, bits = np.zeros(INPUTS * GATES), np.zeros(GATES)
+        ones, n = np.zeros(2 * LEVELS), np.zeros(2 * LEVELS)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                tune, seq, known, first = row_of(batch, k, "tune", "seq", "known", "first")
+                some = np.flatnonzero(tune)
+                if not len(some):
+                    continue
+                own, new = Mixer.new(), Mixer.new()
+                seq, known, runs, first = chosen(some, seq, known, first)
+                used, seq = np.unique(seq, return_inverse=True)
+                words = batch["spelled"][k].as_py().split(b" ")
+                m = shared.value
+                coder = Coder([words[j] for j in used.tolist()], Model(m.trees, m.bits, m.table, own))
+                squares = np.full(own.weights.shape, 1e-3)
+                for a in range(0, len(some), 8):
+                    b = min(a + 8, len(some))
+                    coder.scores(seq[first[a] : first[b]], known[first[a] : first[b]], runs[first[a] : first[b]], first[a : b + 1] - first[a], squares)
+                moved = (squares > 2e-3).any(axis=0) * own.n.sum()
+                total += (own.weights * moved).reshape(-1)
+                bits += moved
+                ones += own.ones - new.ones
+                n += own.n - new.n
+        yield pa.RecordBatch.from_arrays([pa.array([x.tolist()], pa.list_(pa.float64())) for x in (total, bits, ones, n)], ["total", "bits", "ones", "n"])
+
+    names = {"total": INPUTS * GATES, "bits": GATES, "ones": 2 * LEVELS, "n": 2 * LEVELS}
+    rows = joined.select("tune", "seq", "known", "first", "spelled").mapInArrow(run, ", ".join(f"{c} array<double>" for c in names))
+    sums = rows.agg(*[F.array(*[F.sum(F.get(c, F.lit(k))) for k in range(size)]).alias(c) for c, size in names.items()]).first()
+    shared.destroy()
+    mixer = Mixer.new()
+    if sums["bits"][0] is None:
+        return mixer
+    total, bits, ones, n = (np.array(sums[c]) for c in names)
+    weights = total.reshape(INPUTS, GATES) / np.maximum(bits, 1e-9)
+    return steady(Mixer(np.where(bits > 0, weights, mixer.weights), mixer.ones + ones, mixer.n + n))
+
+
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, bits_per_byte double"
+
+
+def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row of ``docs``."""
+    tune = F.pmod(F.xxhash64(F.lit("tune"), F.col("doc_id").cast("string"), "text"), F.lit(TUNE_PARTS)) == 0
+    rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held"), tune.alias("tune"))
+    blocks = materialize(spark, word_blocks(rows), "blocks")
+    entries = blocks.agg(F.sum(F.size("high").cast("long") + F.size("seq"))).first()[0] or 0
+    joined = materialize(spark, joined_blocks(blocks, max(0, (entries // PART_ENTRIES).bit_length())), "joined")
+    speaks = F.filter("n", lambda x: x < -1)
+    n, v = joined.agg(F.coalesce(F.sum(F.aggregate(speaks, F.lit(0).cast("long"), lambda a, x: a - x - 1)), F.lit(0)), F.coalesce(F.sum(F.size(speaks).cast("long")), F.lit(0))).first()
+    trees, bits = trees_of(byte_pairs(joined)), table_bits(v)
+    every, some = spelling_tables(spark, joined, trees, bits)
+    mixer = tuned_mixer(spark, joined, Model(trees, bits, some, Mixer.new()))
+    shared = spark.sparkContext.broadcast(Model(trees, bits, every, mixer))
+
+    def run(batches):
         for batch in batches:
-            own = [words_of(t.as_py()) for t in batch["text"]]
-            sizes = np.array([max(1, sum(map(len, ws)) + len(ws)) for ws in own], "f8")
-            total = m.score_texts(own)
-            yield pa.RecordBatch.from_arrays([batch["key"], batch["doc_id"], batch["held"], pa.array(total / math.log(10)), pa.array(-total / math.log(2) / sizes)], ["key", "doc_id", "held_out", "score", "bits_per_byte"])
-
-    scored = materialize(spark, rows.select("key", "doc_id", "held", "text").mapInArrow(run, "key long, doc_id long, held_out boolean, score double, bits_per_byte double"), "scores")
-    by = base.withColumnRenamed("doc_id", "_id").withColumnRenamed("key", "_key")
-    out = scored.join(by, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score", "bits_per_byte")
+            for k in range(batch.num_rows):
+                held, seq, known, first, c = row_of(batch, k, "held", "seq", "known", "first", "n")
+                words = batch["spelled"][k].as_py().split(b" ")
+                c = np.where(c < 0, ~c, c)
+                logs = (np.log10(c + 1.0) - math.log10(n + v + 1))[seq].tolist()
+                known_words = np.concatenate([[0], np.cumsum(c[seq] > 0)])
+                size = np.concatenate([[0], np.cumsum(np.fromiter((len(w) + (w != END) for w in words), "i8", len(words))[seq])])
+                score = Coder(words, shared.value).scores(seq, known, runs_of(known, first), first)
+                tokens = np.diff(first).astype("i8")
+                # a text's own terms, added exactly, so that equal texts get equal scores wherever they stand
+                base = [math.fsum(logs[a:b]) for a, b in zip(first.tolist(), first[1:].tolist())]
+                columns = [pa.array(held == 1), pa.array(tokens), pa.array(np.diff(known_words[first])), pa.array(base, pa.float64()), pa.array(score / math.log(10)), pa.array(-score / math.log(2) / np.diff(size[first]))]
+                yield pa.RecordBatch.from_arrays([batch["doc_id"][k].values, *columns], [x.split()[0] for x in SCORES.split(", ")])
+
+    scored = joined.select("doc_id", "held", "seq", "known", "first", "spelled", "n").mapInArrow(run, SCORES)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score", "bits_per_byte")
 
 
 def op1_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
