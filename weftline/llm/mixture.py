@@ -442,7 +442,36 @@ class Coder:
 
 # --- words and continuations over the corpus
 
-BLOCKS = "block string, doc_id array<long>, held array<int>, tune array<int>, first array<int>, seq array<int>, spelled binary, high array<long>, low array<long>, train array<int>, tuned array<int>"
+BLOCKS = "block string, doc_id array<long>, held array<int>, tune array<int>, first array<int>, seq binary, spelled binary, counts binary"
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    """Whole numbers, byte plane by byte plane: small and sorted ones take little room. Arrays have one length."""
+    planes = [np.ascontiguousarray(a.astype("<i8").view("u1").reshape(-1, 8).T).tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def unpacked(raw: bytes, arrays: int) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), "u1").reshape(arrays, 8, -1)
+    return [np.ascontiguousarray(p.T).view("<i8").reshape(-1) for p in planes]
+
+
+def rises(sorted_keys: np.ndarray) -> np.ndarray:
+    return np.diff(sorted_keys, prepend=np.uint64(0)).view("i8")
+
+
+def risen(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps.view("u8"), dtype="u8")
+
+
+def spelled_words(raw: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(raw).split(b" ")
+
+
+def digests(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The first 64 and the next 32 bits of each word's 128-bit hash."""
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(-1, 2)
+    return both[:, 0].astype("u8"), both[:, 1].astype("u8") >> np.uint64(32)
 
 
 def one_list(values: np.ndarray) -> pa.ListArray:
@@ -459,24 +488,23 @@ def parts_of(text: str):
 
 
 def word_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of texts as numbers of their dictionary's words: these in order of a 128-bit hash, with their counts in training
-    texts, and in the training texts that tune the mixer."""
+    """Blocks of texts as numbers of their dictionary's words: these in order of a hash of 96 bits, with their counts in
+    training texts, and in the training texts that tune the mixer."""
 
     def block(ids, held, tune, seqs, numbers):
         words = list(numbers)
-        digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(-1, 2)
-        order = np.lexsort((digests[:, 1], digests[:, 0]))
+        high, low = digests(words)
+        order = np.lexsort((low, high))
         rank = np.empty(len(words), "i4")
         rank[order] = np.arange(len(words))
         seq = rank[np.concatenate(seqs)]
         first = np.concatenate([[0], np.cumsum([len(s) for s in seqs])])
         learn = np.repeat(~np.array(held), np.diff(first))
-        train, tuned = (np.bincount(seq[m], minlength=len(words)) for m in (learn, learn & np.repeat(np.array(tune), np.diff(first))))
-        high, low = (digests[order, k].astype("u8").view("i8") for k in (0, 1))
-        lists = {"held": np.array(held, "i4"), "tune": np.array(tune, "i4"), "first": first.astype("i4"), "seq": seq, "high": high, "low": low, "train": train.astype("i4"), "tuned": tuned.astype("i4")}
-        columns = {"block": pa.array([uuid.uuid4().hex]), "doc_id": pa.array([ids], pa.list_(pa.int64())), "spelled": pa.array([b" ".join(words[k] for k in order.tolist())], pa.binary())} | {k: one_list(v) for k, v in lists.items()}
-        names = [x.split()[0] for x in BLOCKS.split(", ")]
-        return pa.RecordBatch.from_arrays([columns[k] for k in names], names)
+        counts = [np.bincount(seq[m], minlength=len(words)) for m in (learn, learn & np.repeat(np.array(tune), np.diff(first)))]
+        spelled = zstandard.ZstdCompressor(level=1).compress(b" ".join(words[k] for k in order.tolist()))
+        lists = [one_list(np.array(v, "i4")) for v in (held, tune, first)]
+        binaries = [pa.array([x], pa.binary()) for x in (packed(seq), spelled, packed(*counts))]
+        return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), pa.array([ids], pa.list_(pa.int64())), *lists, *binaries], [x.split()[0] for x in BLOCKS.split(", ")])
 
     def run(batches):
         ids, held, tune, seqs, numbers, size = [], [], [], [], {END: 0}, 0
@@ -504,7 +532,7 @@ def numbered(column: pa.ChunkedArray | pa.Array, k: int = 0) -> np.ndarray:
 
 def continuations(seq: np.ndarray, first: np.ndarray, high: np.ndarray) -> np.ndarray:
     """A key for each word of a block's texts: 48 bits of the two words before, then 16 bits of the word."""
-    h = high.view("u8")[seq]
+    h = high[seq]
     place = np.arange(len(seq)) - np.repeat(first[:-1], np.diff(first))
     one, two = np.zeros(len(seq), "u8"), np.zeros(len(seq), "u8")
     one[1:], two[2:] = h[:-1], h[:-2]
@@ -514,81 +542,80 @@ def continuations(seq: np.ndarray, first: np.ndarray, high: np.ndarray) -> np.nd
     return (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(16)) << np.uint64(16) | h >> np.uint64(48)
 
 
-SPREAD = "block string, part int, high array<long>, low array<long>, train array<int>, tuned array<int>, key array<long>, times array<int>"
+SPREAD = "block string, part int, words binary, pairs binary"
+JOINED = "doc_id array<long>, held array<int>, tune array<int>, first array<int>, seq binary, spelled binary, counts binary, known binary"
 
 
 def joined_blocks(blocks: DataFrame, bits: int) -> DataFrame:
-    """JOINED: blocks with what the corpus knows of their words and continuations.
+    """JOINED: blocks with what the corpus knows of their words (counts: how often they occur in training texts, negative in
+    the one block that speaks for a word, and there how often in those that tune) and of their continuations.
 
     Words and continuations go by the first ``bits`` of their hashes to the tasks that add them up, one entry of each
     block that has them, so frequent ones weigh no more than rare ones; the sums come back to the blocks.
     """
 
     def split(batches):
+        part_of = lambda h: (h >> np.uint64(64 - bits)).astype("i8") if bits else np.zeros(len(h), "i8")
         for batch in batches:
             for k in range(batch.num_rows):
-                high, low, train, tuned, seq, first, held = (numbered(batch[c], k) for c in ("high", "low", "train", "tuned", "seq", "first", "held"))
+                high, low = digests(spelled_words(batch["spelled"][k].as_py()))
+                (seq,), (train, tuned) = unpacked(batch["seq"][k].as_py(), 1), unpacked(batch["counts"][k].as_py(), 2)
+                first, held = numbered(batch["first"], k), numbered(batch["held"], k)
                 keys, where = np.unique(continuations(seq, first, high), return_inverse=True)
-                times = np.bincount(where[np.repeat(held == 0, np.diff(first))], minlength=len(keys)).astype("i4")
-                part_of = lambda h: (h >> np.uint64(64 - bits)).astype("i8") if bits else np.zeros(len(h), "i8")
-                words_in, keys_in = part_of(high.view("u8")), part_of(keys)
+                times = np.bincount(where[np.repeat(held == 0, np.diff(first))], minlength=len(keys))
+                words_in, keys_in = part_of(high), part_of(keys)
                 parts = np.union1d(words_in, keys_in)
-                cut = lambda where, n: np.append(np.searchsorted(where, parts), n)
-                lists = [(v, cut(words_in, len(high))) for v in (high, low, train, tuned)] + [(v, cut(keys_in, len(keys))) for v in (keys.view("i8"), times)]
-                arrays = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(v)) for v, offsets in lists]
+                spans = [np.append(np.searchsorted(x, parts), len(x)).tolist() for x in (words_in, keys_in)]
                 for a in range(0, len(parts), 512):
-                    n = len(parts[a : a + 512])
-                    yield pa.RecordBatch.from_arrays([pa.array([batch["block"][k].as_py()] * n), pa.array(parts[a : a + 512].astype("i4")), *(x.slice(a, 512) for x in arrays)], [x.split()[0] for x in SPREAD.split(", ")])
+                    rows = range(a, min(a + 512, len(parts)))
+                    words = [packed(rises(high[c:d]), low[c:d], train[c:d], tuned[c:d]) for c, d in ((spans[0][j], spans[0][j + 1]) for j in rows)]
+                    pairs = [packed(rises(keys[c:d]), times[c:d]) for c, d in ((spans[1][j], spans[1][j + 1]) for j in rows)]
+                    yield pa.RecordBatch.from_arrays([pa.array([batch["block"][k].as_py()] * len(rows)), pa.array(parts[a : a + 512].astype("i4")), pa.array(words, pa.binary()), pa.array(pairs, pa.binary())], [x.split()[0] for x in SPREAD.split(", ")])
 
     def add(table: pa.Table) -> pa.Table:
-        flat = {c: np.concatenate([np.zeros(0, "i8"), *(numbered(table[c], k) for k in range(table.num_rows))]) for c in ("high", "low", "train", "tuned", "key", "times")}
-        sizes = {c: [len(x) for x in table[c]] for c in ("high", "key")}
-        order = np.lexsort((flat["low"], flat["high"]))
-        high, low = flat["high"][order], flat["low"][order]
-        new = np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])])[: len(order)]
+        words, pairs = [unpacked(x.as_py(), 4) for x in table["words"]], [unpacked(x.as_py(), 2) for x in table["pairs"]]
+        high, (low, train, tuned) = np.concatenate([risen(w[0]) for w in words]), (np.concatenate([w[j] for w in words]) for j in (1, 2, 3))
+        order = np.lexsort((low, high))
+        new = np.concatenate([[True], (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])])[: len(order)]
         word = np.empty(len(order), "i8")
         word[order] = np.cumsum(new) - 1
-        counts, tuned = (np.bincount(word, weights=flat[c]).astype("i8") for c in ("train", "tuned"))
+        counts, tuned = (np.bincount(word, weights=x).astype("i8") for x in (train, tuned))
         speaks = np.zeros(len(order), bool)
         speaks[np.unique(word, return_index=True)[1]] = True  # one block speaks for each word
-        n = np.where(speaks, ~counts[word], counts[word])
-        keys, where = np.unique(flat["key"].view("u8"), return_inverse=True)
-        times = np.bincount(where, weights=flat["times"]).astype("i8")
+        n, tuned = np.where(speaks, ~counts[word], counts[word]), np.where(speaks, tuned[word], 0)
+        keys, where = np.unique(np.concatenate([risen(p[0]) for p in pairs]), return_inverse=True)
+        times = np.bincount(where, weights=np.concatenate([p[1] for p in pairs])).astype("i8")
         begins = np.flatnonzero(np.concatenate([[True], keys[1:] >> np.uint64(16) != keys[:-1] >> np.uint64(16)]))[: len(keys)]
         size = np.diff(np.append(begins, len(keys)))
         all_, most = (np.repeat(f.reduceat(times, begins), size) if len(keys) else times for f in (np.add, np.maximum))
         best = np.flatnonzero(times == most)
         leads = np.zeros(len(keys), bool)
         leads[best[np.unique(np.repeat(begins, size)[best], return_index=True)[1]]] = True  # of equal ones the first
-        code = (all_ << 32 | most << 1 | leads)[where]
-        lists = {"n": (n, sizes["high"]), "tuned": (np.where(speaks, tuned[word], 0), sizes["high"]), "code": (code, sizes["key"])}
-        return pa.table({"block": table["block"], "part": table["part"]} | {c: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *s]), pa.int32()), pa.array(v.astype("i8"))) for c, (v, s) in lists.items()})
+        back = [np.split(x, np.cumsum([len(w[0]) for w in words])[:-1]) for x in (n, tuned)] + [np.split(x[where], np.cumsum([len(p[0]) for p in pairs])[:-1]) for x in (all_, most << 1 | leads)]
+        columns = {"words": [packed(*x) for x in zip(*back[:2])], "pairs": [packed(*x) for x in zip(*back[2:])]}
+        return pa.table({"block": table["block"], "part": table["part"]} | {c: pa.array(v, pa.binary()) for c, v in columns.items()})
 
     def join(own: pa.Table, found: pa.Table) -> pa.Table:
         by_part = np.argsort(found["part"].to_numpy(), kind="stable").tolist()
-        n, tuned, code = (np.concatenate([np.zeros(0, "i8"), *(numbered(found[c], k) for k in by_part)]) for c in ("n", "tuned", "code"))
-        seq, first, high, held = (numbered(own[c]) for c in ("seq", "first", "high", "held"))
-        known = others(seq, first, high, held == 0, code)
-        lists = {"n": n, "tuned": tuned, "known": known}
-        return pa.table({c: own[c] for c in ("doc_id", "held", "tune", "first", "seq", "spelled")} | {c: one_list(v) for c, v in lists.items()})
+        (n, tuned), (all_, most) = ([np.concatenate(x) for x in zip(*(unpacked(found[c][k].as_py(), 2) for k in by_part))] for c in ("words", "pairs"))
+        (seq,) = unpacked(own["seq"][0].as_py(), 1)
+        high, _ = digests(spelled_words(own["spelled"][0].as_py()))
+        known = others(seq, numbered(own["first"]), high, numbered(own["held"]) == 0, all_, most >> 1, most & 1)
+        more = {"counts": packed(n, tuned), "known": packed(known)}
+        return pa.table({c: own[c] for c in ("doc_id", "held", "tune", "first", "seq", "spelled")} | {c: pa.array([v], pa.binary()) for c, v in more.items()})
 
-    spread = blocks.select("block", "seq", "first", "held", "high", "low", "train", "tuned").mapInArrow(split, SPREAD)
-    sums = spread.groupBy("part").applyInArrow(add, "block string, part int, n array<long>, tuned array<long>, code array<long>")
-    left = blocks.select("block", "doc_id", "held", "tune", "first", "seq", "spelled", "high")
-    return left.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(join, JOINED)
+    spread = blocks.mapInArrow(split, SPREAD)
+    sums = spread.groupBy("part").applyInArrow(add, SPREAD)
+    return blocks.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(join, JOINED)
 
 
-JOINED = "doc_id array<long>, held array<int>, tune array<int>, first array<int>, seq array<int>, spelled binary, n array<long>, tuned array<long>, known array<int>"
-
-
-def others(seq: np.ndarray, first: np.ndarray, high: np.ndarray, learn: np.ndarray, code: np.ndarray) -> np.ndarray:
+def others(seq: np.ndarray, first: np.ndarray, high: np.ndarray, learn: np.ndarray, all_: np.ndarray, most: np.ndarray, leads: np.ndarray) -> np.ndarray:
     """For each word of a block's texts, what other texts know of the two words before: how often they had them (from bit 16),
     how often their commonest continuation (15 bits), and whether that comes here; 0 if they know none. Counts are halved
     together where they need more bits."""
     keys, where = np.unique(continuations(seq, first, high), return_inverse=True)
     before = np.cumsum(np.concatenate([[False], keys[1:] >> np.uint64(16) != keys[:-1] >> np.uint64(16)])[: len(keys)])
-    code = code[where]
-    leads, most, all_ = code & 1, code >> 1 & 0x7FFFFFFF, code >> 32
+    all_, most, leads = all_[where], most[where], leads[where]
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
     own, at = np.unique(text * max(1, len(keys)) + before[where], return_inverse=True)
     out = learn[text]
@@ -614,25 +641,30 @@ def runs_of(known: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def row_of(batch: pa.RecordBatch, k: int, *names: str) -> list[np.ndarray]:
-    return [numbered(batch[c], k) for c in names]
+    """Columns of a row of JOINED as arrays; counts are two, and one after the other."""
+    out = []
+    for c in names:
+        out += unpacked(batch[c][k].as_py(), 2 if c == "counts" else 1) if c in ("seq", "counts", "known") else [numbered(batch[c], k)]
+    return out
 
 
 def spoken(batch: pa.RecordBatch, k: int) -> tuple[list[bytes], np.ndarray]:
     """The training words that a block speaks for, with their counts in all training texts, and in those that do not tune."""
-    n, tuned = row_of(batch, k, "n", "tuned")
+    n, tuned = row_of(batch, k, "counts")
     some = np.flatnonzero(n < -1)
-    words = batch["spelled"][k].as_py().split(b" ")
+    words = spelled_words(batch["spelled"][k].as_py())
     return [words[j] for j in some.tolist()], np.stack([~n[some], ~n[some] - tuned[some]], axis=1)
 
 
-def byte_pairs(joined: DataFrame) -> np.ndarray:
-    """How often each byte follows each byte in the spelling of all training words."""
+def byte_pairs(joined: DataFrame) -> tuple[np.ndarray, int, int]:
+    """How often each byte follows each byte in the spelling of all training words; the number of words, and of distinct ones."""
 
     def run(batches):
-        total = np.zeros(1 << 16, "i8")
+        total = np.zeros((1 << 16) + 2, "i8")
         for batch in batches:
             for k in range(batch.num_rows):
                 words, counts = spoken(batch, k)
+                total[-2:] += counts[:, 0].sum(), len(words)
                 for some, times in in_stretches(words, counts[:, 0], ENTRIES):
                     parts = [b" " + (w if w == END else w + b" ") for w in some]
                     line = np.frombuffer(b"".join(parts), "u1").astype("i8")
@@ -640,14 +672,14 @@ def byte_pairs(joined: DataFrame) -> np.ndarray:
                     inside = np.ones(len(line), bool)
                     inside[np.cumsum(sizes) - sizes] = False
                     at = np.flatnonzero(inside)
-                    total += np.bincount(line[at - 1] * 256 + line[at], weights=np.repeat(times, sizes - 1), minlength=1 << 16).astype("i8")
+                    total[:-2] += np.bincount(line[at - 1] * 256 + line[at], weights=np.repeat(times, sizes - 1), minlength=1 << 16).astype("i8")
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype("i4")), pa.array(total[used])], ["pair", "n"])
 
-    out = np.zeros(1 << 16, "i8")
-    for r in joined.select("spelled", "n", "tuned").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():  # 65,536 rows at most
+    out = np.zeros((1 << 16) + 2, "i8")
+    for r in joined.select("spelled", "counts").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():  # 65,538 rows at most
         out[r["pair"]] = r["n"]
-    return out.reshape(256, 256)
+    return out[:-2].reshape(256, 256), int(out[-2]), int(out[-1])
 
 
 def spelling_tables(spark: SparkSession, joined: DataFrame, trees: Trees, bits: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -686,7 +718,7 @@ def spelling_tables(spark: SparkSession, joined: DataFrame, trees: Trees, bits:
             yield done()
 
     tables = np.full((2, int(offsets_of(bits)[-1])), UNSEEN, "u1")
-    packed = joined.select("spelled", "n", "tuned").mapInArrow(count, "part int, packed binary")
+    packed = joined.select("spelled", "counts").mapInArrow(count, "part int, packed binary")
     made = packed.repartition("part").sortWithinPartitions("part").mapInArrow(add, "part int, every binary, some binary").toArrow()
     for name, out in zip(("every", "some"), tables):
         for part, own in zip(made["part"].to_pylist(), made[name]):
@@ -729,7 +761,7 @@ def tuned_mixer(spark: SparkSession, joined: DataFrame, model: Model) -> Mixer:
                 own, new = Mixer.new(), Mixer.new()
                 seq, known, runs, first = chosen(some, seq, known, first)
                 used, seq = np.unique(seq, return_inverse=True)
-                words = batch["spelled"][k].as_py().split(b" ")
+                words = spelled_words(batch["spelled"][k].as_py())
                 m = shared.value
                 coder = Coder([words[j] for j in used.tolist()], Model(m.trees, m.bits, m.table, own))
                 squares = np.full(own.weights.shape, 1e-3)
@@ -763,11 +795,10 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> D
     tune = F.pmod(F.xxhash64(F.lit("tune"), F.col("doc_id").cast("string"), "text"), F.lit(TUNE_PARTS)) == 0
     rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held"), tune.alias("tune"))
     blocks = materialize(spark, word_blocks(rows), "blocks")
-    entries = blocks.agg(F.sum(F.size("high").cast("long") + F.size("seq"))).first()[0] or 0
+    entries = blocks.agg(F.sum(F.element_at("first", -1).cast("long"))).first()[0] or 0
     joined = materialize(spark, joined_blocks(blocks, max(0, (entries // PART_ENTRIES).bit_length())), "joined")
-    speaks = F.filter("n", lambda x: x < -1)
-    n, v = joined.agg(F.coalesce(F.sum(F.aggregate(speaks, F.lit(0).cast("long"), lambda a, x: a - x - 1)), F.lit(0)), F.coalesce(F.sum(F.size(speaks).cast("long")), F.lit(0))).first()
-    trees, bits = trees_of(byte_pairs(joined)), table_bits(v)
+    pairs, n, v = byte_pairs(joined)
+    trees, bits = trees_of(pairs), table_bits(v)
     every, some = spelling_tables(spark, joined, trees, bits)
     mixer = tuned_mixer(spark, joined, Model(trees, bits, some, Mixer.new()))
     shared = spark.sparkContext.broadcast(Model(trees, bits, every, mixer))
@@ -775,8 +806,8 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> D
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                held, seq, known, first, c = row_of(batch, k, "held", "seq", "known", "first", "n")
-                words = batch["spelled"][k].as_py().split(b" ")
+                held, seq, known, first, c, _ = row_of(batch, k, "held", "seq", "known", "first", "counts")
+                words = spelled_words(batch["spelled"][k].as_py())
                 c = np.where(c < 0, ~c, c)
                 logs = (np.log10(c + 1.0) - math.log10(n + v + 1))[seq].tolist()
                 known_words = np.concatenate([[0], np.cumsum(c[seq] > 0)])
@@ -788,7 +819,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> D
                 columns = [pa.array(held == 1), pa.array(tokens), pa.array(np.diff(known_words[first])), pa.array(base, pa.float64()), pa.array(score / math.log(10)), pa.array(-score / math.log(2) / np.diff(size[first]))]
                 yield pa.RecordBatch.from_arrays([batch["doc_id"][k].values, *columns], [x.split()[0] for x in SCORES.split(", ")])
 
-    scored = joined.select("doc_id", "held", "seq", "known", "first", "spelled", "n").mapInArrow(run, SCORES)
+    scored = joined.select("doc_id", "held", "seq", "known", "first", "spelled", "counts").mapInArrow(run, SCORES)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score", "bits_per_byte")
 
 
