@@ -5,7 +5,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from weftline.plans import catalogue, catalogue_more  # noqa: F401
+from weftline.plans import catalogue, catalogue_more, catalogue_rules  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -88,5 +88,24 @@ def any_date(value: Column, formats=("yyyy-MM-dd", "dd-MMM-yyyy", "MM/dd/yyyy",
     return F.coalesce(*[F.try_to_timestamp(value, F.lit(f)).cast("date") for f in formats])
 
 
+def excel_date(value: Column) -> Column:
+    """A day counted from 1899-12-30, as workbooks hold dates; null if it is no number."""
+    return F.date_add(F.lit("1899-12-30").cast("date"), F.floor(value.try_cast("double")).cast("int"))
+
+
+# fixed values: the months by their first three letters
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+
+
+def publication_date(year: Column, month: Column, day: Column, free: Column) -> Column:
+    """``yyyy``, ``yyyy-mm`` or ``yyyy-mm-dd`` of a publication's date; from free text its first year of four digits."""
+    m = F.lower(F.left(F.trim(month), F.lit(3)))
+    number = F.when(F.trim(month).rlike(r"^\d+$"), F.lpad(F.trim(month), 2, "0")).otherwise(F.coalesce(*[F.when(m == name, f"{k + 1:02}") for k, name in enumerate(MONTHS)]))
+    d = F.when(F.trim(day).rlike(r"^\d+$"), F.lpad(F.trim(day), 2, "0"))
+    whole = F.when(number.isNull(), F.trim(year)).when(d.isNull(), F.concat_ws("-", F.trim(year), number)).otherwise(F.concat_ws("-", F.trim(year), number, d))
+    found = F.regexp_extract(F.trim(free), r"\b(\d{4})\b", 1)
+    return F.when(F.trim(year).rlike(r"^\d+$"), whole).when(found != "", found)
+
+
 def strip_html(value: Column) -> Column:
     return F.regexp_replace(value, "<[^>]+>", "")

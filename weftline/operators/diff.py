@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.ids import minted_id
+
 
 def entity_diff(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """(key, change, changed): added, removed or changed rows, with the fields that changed (nulls are equal)."""
@@ -40,3 +42,17 @@ def latest(df: DataFrame, keys: list[str], version: str) -> DataFrame:
     """The row of each key with the greatest version."""
     whole = F.struct(*df.columns)
     return df.groupBy(*keys).agg(F.max_by(whole, version_key(F.col(version))).alias("_r")).select("_r.*")
+
+
+def allocate_ids(rows: DataFrame, known: DataFrame, key: str, prefix: str) -> DataFrame:
+    """(key, id): the id that ``known`` (key, id) has for a natural key, whatever its case and blanks; else one minted from it."""
+    norm = F.upper(F.trim(key))
+    old = known.select(F.upper(F.trim(key)).alias("_k"), "id").groupBy("_k").agg(F.min("id").alias("_old"))
+    return rows.select(key).distinct().withColumn("_k", norm).join(old, "_k", "left").select(key, F.coalesce("_old", minted_id(prefix, F.col(key))).alias("id"))
+
+
+def flag_for_review(df: DataFrame, provenance: list[str]) -> DataFrame:
+    """(rows, copies, flagged): each distinct row, how often it occurs, and whether it occurs more than once or some source
+    of it disagrees."""
+    wrong = F.exists(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in provenance]), lambda x: x == "error")
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies")).withColumn("flagged", (F.col("copies") > 1) | wrong)

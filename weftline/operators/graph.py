@@ -52,16 +52,19 @@ def transitive_closure(spark: SparkSession, edges: DataFrame, nodes: DataFrame |
     every = nodes.select("node").distinct() if nodes is not None else steps.select(F.col("parent").alias("node")).union(steps.select("child")).distinct()
     if nodes is not None:
         steps = steps.join(every.withColumnRenamed("node", "parent"), "parent", "left_semi").join(every.withColumnRenamed("node", "child"), "child", "left_semi").select("parent", "child")
-    reached = materialize(spark, every.select(F.col("node").alias("ancestor"), F.col("node").alias("descendant")).union(steps.select("parent", "child")).distinct(), "closure")
-    n = reached.count()
+    reached = materialize(spark, every.select(F.col("node").alias("ancestor"), F.col("node").alias("descendant")).union(steps).distinct(), "closure")
+    delta, step = materialize(spark, steps, "delta"), steps
     for _ in range(most_rounds):
-        on = reached.select(F.col("ancestor").alias("middle"), F.col("descendant").alias("far"))
-        further = reached.join(on, reached["descendant"] == on["middle"]).select("ancestor", F.col("far").alias("descendant"))
-        reached = materialize(spark, further.distinct(), "closure")
-        more = reached.count()
-        if more == n:
+        # of 2k steps are those of k and those of k, the second k being just k: only the newest pairs meet all
+        on = step.select(F.col("parent").alias("_p"), F.col("child").alias("far"))
+        further = reached.join(on, F.col("descendant") == F.col("_p")).select("ancestor", F.col("far").alias("descendant")).distinct()
+        new = materialize(spark, further.join(reached, ["ancestor", "descendant"], "left_anti"), "delta")
+        if new.isEmpty():
             return reached
-        n = more
+        joined = materialize(spark, reached.union(new), "closure")
+        doubled = delta.join(on, F.col("child") == F.col("_p")).select("parent", F.col("far").alias("child")).where("parent <> child").distinct()
+        reached, delta = joined, materialize(spark, doubled, "delta")
+        step = delta
     raise RuntimeError("closure did not settle")
 
 

@@ -91,3 +91,55 @@ def linked(nodes: DataFrame, edges: DataFrame, key: str, start: str, end: str, o
     left = nodes.where(node_filter) if node_filter is not None else nodes
     middle = edges.where(edge_filter) if edge_filter is not None else edges
     return left.join(middle, left[key] == middle[start]).join(others, middle[end] == others[other_key])
+
+
+def coerce(values: list[str]) -> list:
+    """Filter values as they come from a form: true, false and null in any case stand for themselves."""
+    known = {"true": True, "false": False, "null": None}
+    return [known.get(v.lower(), v) if isinstance(v, str) else v for v in values]
+
+
+def quality_range(value: Column, wanted: str) -> Column:
+    """``low-high``: a number from low up to below high; else the very text. A range that is none takes every row."""
+    if "-" not in wanted:
+        return F.coalesce(F.trim(value) == wanted, F.lit(False))
+    try:
+        low, high = map(float, wanted.split("-", 1))
+    except ValueError:
+        return F.lit(True)
+    number = F.trim(value).try_cast("double")
+    return F.coalesce((number >= low) & (number < high), F.lit(False))
+
+
+def concepts(df: DataFrame, sources: DataFrame | None = None, *, text: str = "", tier: str = "", quality: str = "", rare: str = "", source: str = "", kind: str = "", flagged: Column | None = None) -> DataFrame:
+    """Concepts (id, name, tier, quality, is_rare, kind) for which all that is asked for holds; ``sources`` is (id, source)."""
+    ok = [flagged] if flagged is not None else []
+    if text:
+        ok.append(F.lower("id").contains(text.lower()) | F.coalesce(F.lower("name").contains(text.lower()), F.lit(False)))
+    if tier:
+        ok.append(F.lower("tier") == tier.lower())
+    if quality:
+        ok.append(quality_range(F.col("quality"), quality))
+    if rare in ("true", "false"):
+        ok.append((F.lower(F.coalesce("is_rare", F.lit(""))) == "true") == F.lit(rare == "true"))
+    if kind:
+        ok.append(F.col("kind") == kind)
+    out = df.where(reduce(lambda a, b: a & b, ok, F.lit(True)))
+    return out.join(sources.where(F.col("source") == source).select("id"), "id", "left_semi") if source and sources is not None else out
+
+
+def keyset_page(df: DataFrame, key: str, after, size: int) -> DataFrame:
+    """The next rows in key order after a key: the filter reaches the scan, whatever the page."""
+    rows = df if after is None else df.where(F.col(key) > after)
+    return rows.orderBy(key).limit(size)
+
+
+def sorted_page(df: DataFrame, order: list[tuple[str, bool]], key: str, skip: int, size: int) -> DataFrame:
+    """Rows by several columns (name, descending), the key last, from ``skip`` on."""
+    by = [F.desc_nulls_last(c) if down else F.asc_nulls_first(c) for c, down in order]
+    return df.orderBy(*by, key).offset(skip).limit(size)
+
+
+def sample_rows(df: DataFrame, key: str, size: int = 500, seed: str = "sample") -> DataFrame:
+    """``size`` rows by a hash of their key: the same on every run, and no sort of the whole table."""
+    return df.orderBy(F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256), key).limit(size)

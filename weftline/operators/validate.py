@@ -55,3 +55,40 @@ def indexed_group(df: DataFrame, key: str, entity: str, fields: list[str], sever
 def foreign_key(df: DataFrame, key: str, entity: str, field: str, target: DataFrame, target_key: str, severity: str = "error") -> DataFrame:
     lost = df.where(F.col(field).isNotNull()).join(target.select(F.col(target_key).alias("_t")), F.col(field) == F.col("_t"), "left_anti")
     return _report(lost, key, F.lit(True), entity, field, F.concat(F.lit("unknown: "), F.col(field).cast("string")), severity)
+
+
+def conditional_required_map_key(df: DataFrame, key: str, entity: str, field: str, name: str, when_field: str, when_values: list[str], severity: str = "error") -> DataFrame:
+    """The map has the key where another field has one of the values, in either case; NA and N/A are no value."""
+    when = F.lower(F.col(when_field).cast("string")).isin(*[v.lower() for v in when_values])
+    value = F.try_element_at(F.col(field), F.lit(name))
+    return _report(df, key, when & (value.isNull() | F.trim(value).isin("", "NA", "N/A")), entity, field, f"{name} is required in {field} by {when_field}", severity)
+
+
+def placed(report: DataFrame, sheet: str, column: str | None = None, source_file: str | None = None) -> DataFrame:
+    """A report with where its rows come from."""
+    text = lambda v: F.lit(v).cast("string")
+    return report.select("severity", "entity", "field", "message", text(sheet).alias("sheet"), F.coalesce(text(column), F.col("field")).alias("column"), "row", text(source_file).alias("source_file"))
+
+
+def sheets(columns: DataFrame, required_sheets: list[str], recognized: list[str], source_file: str) -> DataFrame:
+    """Missing sheets (errors) and unknown ones (warnings) of a workbook's (sheet, column) table."""
+    spark, have = columns.sparkSession, columns.select("sheet").distinct()
+    wanted = spark.createDataFrame([(s,) for s in required_sheets], "sheet string")
+    known = spark.createDataFrame([(s,) for s in recognized], "sheet string")
+    one = lambda df, severity, text, sheet: df.select(F.lit(severity).alias("severity"), F.lit("parse").alias("entity"), F.col("sheet").alias("field"), F.concat(F.lit(text), "sheet").alias("message"), sheet.alias("sheet"), F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("row"), F.lit(source_file).alias("source_file"))
+    missing = one(wanted.join(have, "sheet", "left_anti"), "error", "missing sheet: ", F.lit(None).cast("string"))
+    return missing.union(one(have.join(known, "sheet", "left_anti"), "warning", "unknown sheet: ", F.col("sheet")))
+
+
+def unknown_keys(keys: DataFrame, known: list[str], sheet: str, source_file: str) -> DataFrame:
+    """Keys (key) of a map sheet that are not known; numbers in a key stand for any number."""
+    low = F.regexp_replace(F.trim("key"), r"\d+", "{}")
+    bad = keys.where((F.trim("key") != "") & ~F.trim("key").isin(*known) & ~low.isin(*known)).select(F.trim("key").alias("key")).distinct()
+    return bad.select(F.lit("warning").alias("severity"), F.lit("parse").alias("entity"), F.col("key").alias("field"), F.concat(F.lit("unknown key: "), "key").alias("message"), F.lit(sheet).alias("sheet"), F.col("key").alias("column"), F.lit(None).cast("string").alias("row"), F.lit(source_file).alias("source_file"))
+
+
+def mapped_columns(mapping: DataFrame, columns: DataFrame, map_sheet: str, data_sheet: str, source_file: str) -> DataFrame:
+    """Columns that a map sheet (key, column) names and the data sheet (sheet, column) does not have."""
+    named = mapping.where(~F.trim(F.coalesce("column", F.lit(""))).isin("", "NA", "N/A"))
+    lost = named.join(columns.where(F.col("sheet") == data_sheet).select("column"), "column", "left_anti")
+    return lost.select(F.lit("error").alias("severity"), F.lit("parse").alias("entity"), F.col("key").alias("field"), F.concat(F.lit(f"no such column in {data_sheet}: "), "column").alias("message"), F.lit(map_sheet).alias("sheet"), F.col("key").alias("column"), F.lit(None).cast("string").alias("row"), F.lit(source_file).alias("source_file"))

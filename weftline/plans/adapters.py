@@ -142,3 +142,98 @@ def identifier_groups(spark, active: DataFrame, edges: DataFrame, support: DataF
     only = lambda names: (F.size(F.array_except("sources", F.array(*map(F.lit, names)))) == 0) & (F.size("sources") > 0)
     gone = by.where(only([primary]) | only(minor)).select("component")
     return parts.join(gone, "component", "left_anti").select("id", "component")
+
+
+# fixed values: evidence codes that stand for no data
+NO_DATA = ("ND",)
+
+
+def annotation_edges(rows: DataFrame) -> DataFrame:
+    """(start_id, end_id, evidence) of gene annotation rows: proteins to terms, with the codes and who assigned them."""
+    kept = rows.where(~F.col("evidence").isin(*NO_DATA) & F.col("term").contains(":"))
+    pair = F.struct(F.col("evidence").alias("code"), "assigned_by")
+    return kept.groupBy(curie("UniProtKB", F.col("object_id")).alias("start_id"), F.concat(F.lit("GO:"), F.regexp_replace("term", "^[^:]*:", "")).alias("end_id")).agg(F.array_sort(F.collect_set(pair)).alias("evidence"))
+
+
+def curated_diseases(rows: DataFrame) -> DataFrame:
+    """(start_id, end_id, name, details) of curated gene-disease rows that name a disease, its id and a gene."""
+    filled = lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""
+    listed = lambda c: F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"\|"), lambda x: F.trim(x)), lambda x: x != "")
+    kept = rows.where(filled("DiseaseID") & filled("DiseaseName") & filled("GeneID"))
+    detail = F.struct(F.lit("CTD").alias("source"), listed("DirectEvidence").alias("evidence"), listed("PubMedIDs").alias("papers"))
+    return kept.groupBy(curie("NCBIGene", F.trim("GeneID")).alias("start_id"), F.trim("DiseaseID").alias("end_id")).agg(F.min(F.trim("DiseaseName")).alias("name"), F.array_sort(F.collect_list(detail)).alias("details"))
+
+
+def phenotype_edges(rows: DataFrame) -> DataFrame:
+    """(start_id, end_id, n) of mouse genes and phenotypes, where a row has both."""
+    known = lambda c: F.when(~F.trim(c).isin("", "-"), F.trim(c))
+    both = rows.select(known("marker_accession_id").alias("start_id"), known("mp_term_id").alias("end_id")).where("start_id is not null and end_id is not null")
+    return both.groupBy("start_id", "end_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def implicated(rows: DataFrame) -> DataFrame:
+    """Association rows but for those that say there is none."""
+    return rows.where(F.coalesce(F.col("AssociationType"), F.lit("")) != "is_not_implicated_in")
+
+
+def typed_terms(spark, terms: DataFrame, parents: DataFrame, role_root: str, chemical_root: str, role_targets: DataFrame, evidence: DataFrame) -> DataFrame:
+    """(id, kind) of an ontology's terms: ``role`` for role targets and what is below the role root, ``chemical`` for what is
+    below the chemical root or has evidence of its own, and for what is left over."""
+    from weftline.operators.graph import transitive_closure
+
+    below = transitive_closure(spark, parents, terms.select(F.col("id").alias("node")))
+    under = lambda root: below.where(F.col("ancestor") == root).select(F.col("descendant").alias("id"))
+    roles = role_targets.select("id").union(under(role_root)).distinct().withColumn("_role", F.lit(True))
+    chemical = under(chemical_root).union(evidence.select("id")).distinct().withColumn("_chemical", F.lit(True))
+    kind = F.when(F.col("_role"), "role").when(F.col("_chemical"), "chemical").otherwise("chemical")
+    return terms.select("id").join(roles, "id", "left").join(chemical, "id", "left").select("id", kind.alias("kind"))
+
+
+def endogenous(spark, terms: DataFrame, parents: DataFrame, root: str, exogenous: list[str], forbidden: list[str]) -> DataFrame:
+    """(id) of terms (id, label, obsolete, drug) below the root that are neither obsolete, drugs, exogenous nor so labelled."""
+    from weftline.operators.graph import transitive_closure
+
+    below = transitive_closure(spark, parents, terms.select(F.col("id").alias("node")))
+    under = lambda roots: below.where(F.col("ancestor").isin(*roots)).select(F.col("descendant").alias("id")).distinct()
+    wrong = F.lit(False)
+    for text in forbidden:
+        wrong = wrong | F.lower(F.coalesce("label", F.lit(""))).contains(text.lower())
+    kept = terms.where(~F.coalesce("obsolete", F.lit(False)) & ~F.coalesce("drug", F.lit(False)) & ~wrong)
+    return kept.join(under([root]), "id", "left_semi").join(under(exogenous), "id", "left_anti").select("id")
+
+
+def patent_families(mentions: DataFrame, patents: DataFrame, this_year: int) -> DataFrame:
+    """(compound, year, families): distinct families by year of the patents (patent, year, family) that mention it; years from
+    1950 on, real families only. Patents without a mention are left out before they are joined."""
+    wanted = patents.where(F.col("year").between(1950, this_year) & (F.col("family") > 0)).join(mentions.select("patent"), "patent", "left_semi")
+    return mentions.select("compound", "patent").distinct().join(wanted, "patent").groupBy("compound", "year").agg(F.countDistinct("family").alias("families"))
+
+
+def grouped_notes(notes: DataFrame) -> DataFrame:
+    """(gene_id, text, date, papers) of notes (gene_id, text, date, paper): one row a text, its last date, its papers in order."""
+    return notes.where("text is not null").groupBy("gene_id", "text").agg(F.max("date").alias("date"), F.array_sort(F.collect_set("paper")).alias("papers"))
+
+
+#: Source adapters by name: what reads each one's files, and the function that makes its table of the rows.
+ADAPTERS = {
+    "string_ppi": (("delimited",), interactions),
+    "bioplex_ppi": (("delimited",), probability_interactions),
+    "gtex_expression": (("gct", "delimited", "delimited"), expression_edges),
+    "hpa_expression": (("delimited", "delimited"), staining_edges),
+    "hcop_orthologs": (("delimited",), orthologs),
+    "text_mining": (("delimited",), text_mined),
+    "tiga_traits": (("delimited", "delimited"), trait_edges),
+    "expasy_classes": (("flat_records",), ec_parents),
+    "go_annotations": (("gaf",), annotation_edges),
+    "ctd_diseases": (("delimited",), curated_diseases),
+    "impc_phenotypes": (("delimited",), phenotype_edges),
+    "alliance_diseases": (("delimited",), implicated),
+    "patents": (("delimited", "delimited"), patent_families),
+    "gene_notes": (("json_records",), grouped_notes),
+}
+
+
+def run_adapter(name: str, *tables: DataFrame, source: str, version: str | None = None, **options) -> DataFrame:
+    """The table that an adapter makes, with where it comes from in ``provenance``."""
+    _, make = ADAPTERS[name]
+    return make(*tables, **options).withColumn("provenance", F.lit("\t".join([source, version or ""])))

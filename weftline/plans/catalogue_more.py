@@ -42,17 +42,17 @@ def ntriples_export(spark, d):
     return export.triples(load(spark, d, "nation"), F.col("n_nationkey").cast("string"), "http://kg/", ["n_name", "n_regionkey"])
 
 
-@entry("""WITH v AS (SELECT p_brand, CASE p_partkey % 3 WHEN 0 THEN '1.' || p_size WHEN 1 THEN '2.' || p_size || '.1' ELSE 'draft' END AS version FROM part WHERE p_partkey % 3 <> 2 OR p_size < 3), k AS (SELECT *, CASE WHEN version = 'draft' THEN [0, 0, 0, 0] ELSE [2, split_part(version, '.', 1)::INT, split_part(version, '.', 2)::INT, len(string_split(version, '.'))] END AS key FROM v)
+@entry("""WITH v AS (SELECT p_brand, CASE p_partkey % 3 WHEN 0 THEN '1.' || p_size WHEN 1 THEN '2.' || p_size || '.1' ELSE 'draft' END AS version FROM part), k AS (SELECT *, CASE WHEN version = 'draft' THEN [0, 0, 0, 0] ELSE [2, split_part(version, '.', 1)::INT, split_part(version, '.', 2)::INT, len(string_split(version, '.'))] END AS key FROM v)
 SELECT p_brand, max_by(version, key) AS version FROM k GROUP BY 1""")
 def latest_version(spark, d):
     k = F.col("p_partkey") % 3
-    v = load(spark, d, "part").where("p_partkey % 3 <> 2 OR p_size < 3").select("p_brand", F.when(k == 0, F.concat(F.lit("1."), "p_size")).when(k == 1, F.concat(F.lit("2."), "p_size", F.lit(".1"))).otherwise("draft").alias("version"))
+    v = load(spark, d, "part").select("p_brand", F.when(k == 0, F.concat(F.lit("1."), "p_size")).when(k == 1, F.concat(F.lit("2."), "p_size", F.lit(".1"))).otherwise("draft").alias("version"))
     return diff.latest(v, ["p_brand"], "version")
 
 
-@entry("SELECT p_name, min(p_brand) AS p_brand FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) = 1")
+@entry("SELECT k, min(p_brand) AS p_brand FROM (SELECT p_type || p_size AS k, p_brand FROM part) GROUP BY 1 HAVING count(DISTINCT p_brand) = 1")
 def unambiguous_map(spark, d):
-    return resolve.unambiguous(load(spark, d, "part").select("p_name", "p_brand"), "p_name", "p_brand")
+    return resolve.unambiguous(load(spark, d, "part").select(F.concat("p_type", "p_size").alias("k"), "p_brand"), "k", "p_brand")
 
 
 @entry("""WITH o AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'), p AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'P')

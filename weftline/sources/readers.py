@@ -5,6 +5,7 @@ Formats whose records span lines are read with their own record separator, so fi
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -143,8 +144,6 @@ def database(spark: SparkSession, url: str, table: str, partition: str | None =
 
 def workbook(spark: SparkSession, path: str, sheet: str, renames: dict[str, str] | None = None) -> DataFrame:
     """One sheet of a workbook, all strings. Workbooks are small files filled in by hand; pandas reads them where it can."""
-    import pandas as pd
-
     frame = pd.read_excel(path, sheet_name=sheet, dtype=str).rename(columns=renames or {})
     return spark.createDataFrame(frame.astype(object).where(frame.notna(), None), T.StructType([T.StructField(str(c), T.StringType()) for c in frame.columns]))
 
@@ -153,3 +152,84 @@ def kept_rows(df: DataFrame, condition: Column, most: int | None) -> DataFrame:
     """A development cap: it counts the rows that pass the filter."""
     kept = df.where(condition)
     return kept.limit(most) if most is not None else kept
+
+
+def rdf_xml(spark: SparkSession, path: str, tag: str = "rdf:Description") -> DataFrame:
+    """(s, p, o, is_iri) of RDF/XML node elements: attributes that point elsewhere are IRIs, element texts are literals."""
+    raw = spark.read.option("lineSep", f"</{tag}>").text(path)
+    subject = F.regexp_extract("value", rf'(?s)<{tag}[^>]*rdf:about="([^"]*)"', 1)
+    body = F.regexp_replace("value", rf"(?s)^.*?<{tag}[^>]*>", "")
+    links = r'<([A-Za-z_][\w.-]*:[\w.-]+)\s[^>]*rdf:resource="([^"]*)"'
+    texts = r"(?s)<([A-Za-z_][\w.-]*:[\w.-]+)(?:\s[^>]*[^/])?>([^<]+)</"
+    pairs = lambda p, iri: F.transform(F.arrays_zip(F.regexp_extract_all(body, F.lit(p), F.lit(1)).alias("p"), F.regexp_extract_all(body, F.lit(p), F.lit(2)).alias("o")), lambda x: F.struct(x["p"].alias("p"), plain_xml(x["o"]).alias("o"), F.lit(iri).alias("is_iri")))
+    every = F.concat(pairs(links, True), F.filter(pairs(texts, False), lambda x: x["o"] != ""))
+    return raw.select(subject.alias("s"), F.explode(every).alias("x")).where("s <> ''").select("s", "x.*")
+
+
+def plain_xml(value: Column) -> Column:
+    out = F.trim(value)
+    for shown, raw in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        out = F.replace(out, F.lit(shown), F.lit(raw))
+    return out
+
+
+def soft(spark: SparkSession, path: str, kind: str = "SAMPLE") -> DataFrame:
+    """(id, key, values) of the records of one kind of a SOFT family file: ``^SAMPLE = id`` and its ``!Sample_key = value`` lines."""
+    raw = spark.read.option("lineSep", "\n^").text(path).select(F.regexp_replace("value", r"^\^", "").alias("value")).where(F.col("value").startswith(f"{kind} ="))
+    lines = F.filter(F.split("value", r"\r?\n"), lambda x: x.startswith("!") & x.contains("="))
+    cut = lambda x, k: F.trim(F.regexp_extract(x, r"^!([^=]*)=(.*)$", k))
+    pairs = F.transform(lines, lambda x: F.struct(F.regexp_replace(cut(x, 1), rf"(?i)^{kind}_", "").alias("key"), cut(x, 2).alias("value")))
+    rows = raw.select(F.trim(F.regexp_extract("value", r"^[^=]*=([^\r\n]*)", 1)).alias("id"), pairs.alias("pairs"))
+    tags = rows.select("id", F.explode(F.array_distinct(F.transform("pairs", lambda p: p["key"]))).alias("key"), "pairs")
+    return tags.select("id", "key", F.transform(F.filter("pairs", lambda p: p["key"] == F.col("key")), lambda p: p["value"]).alias("values"))
+
+
+def isa_investigation(spark: SparkSession, path: str) -> DataFrame:
+    """(field, position, value) of an investigation file: ``Field <tab> value <tab> value``. Its study and assay files are
+    delimited tables."""
+    parts = F.split("value", "\t")
+    rows = spark.read.text(path).where(F.size(parts) > 1)
+    items = rows.select(F.trim(F.get(parts, F.lit(0))).alias("field"), F.posexplode(F.slice(parts, F.lit(2), F.size(parts))).alias("position", "value"))
+    return items.select("field", "position", F.regexp_replace(F.trim("value"), '^"|"$', "").alias("value")).where("value <> ''")
+
+
+def paged(spark: SparkSession, fetch, pages: int, schema: str, tasks: int = 8) -> DataFrame:
+    """The records of a paged service: ``fetch(page)`` gives a page's records as dicts; tasks fetch pages side by side."""
+    names = [f.name for f in spark.createDataFrame([], schema).schema.fields]
+
+    def run(batches):
+        for frame in batches:
+            for page in frame["id"].tolist():
+                rows = fetch(page)
+                if rows:
+                    yield pd.DataFrame([{n: r.get(n) for n in names} for r in rows], columns=names)
+
+    return spark.range(0, pages, 1, max(1, min(tasks, pages))).mapInPandas(run, schema)
+
+
+def renamed(sheet: DataFrame, mapping: dict[str, str], aliases: dict[str, list[str]] | None = None) -> DataFrame:
+    """A sheet's columns under the names of a map sheet (name -> column); names that it does not map take the first of their
+    aliases that the sheet has, and are null without one."""
+    by_low = {c.lower(): c for c in sheet.columns}
+    blank = lambda v: v is None or v.strip() in ("", "NA", "N/A")
+    out = []
+    for name, column in mapping.items():
+        found = None if blank(column) else by_low.get(column.strip().lower())
+        found = found or next((by_low[a.lower()] for a in (aliases or {}).get(name, []) if a.lower() in by_low), None)
+        out.append((F.col(f"`{found}`") if found else F.lit(None).cast("string")).alias(name))
+    return sheet.select(*out)
+
+
+def named_sets(sets: DataFrame, excluded: tuple[str, ...] = (), prefixes: tuple[str, ...] = ()) -> DataFrame:
+    """(id, source_id, name, source, url, member) of gene sets whose second field says ``name: ...; datasource: ...``."""
+    said = lambda what: F.trim(F.regexp_extract("url", rf"{what}: ([^;]+)", 1))
+    raw, clean = F.trim("name"), F.trim("name")
+    for p in reversed(prefixes):
+        clean = F.when(raw.startswith(p), F.substring(raw, len(p) + 1, 10_000)).otherwise(clean)
+    out = sets.select(clean.alias("id"), F.substring_index(clean, ":", -1).alias("source_id"), said("name").alias("set_name"), said("datasource").alias("source"), F.when(raw.startswith("http"), raw).alias("url"), F.trim("member").alias("member"))
+    return out.where((F.col("set_name") != "") & (F.col("source") != "") & ~F.col("source").isin(*excluded, "")).withColumnRenamed("set_name", "name")
+
+
+def titled_sets(sets: DataFrame, prefix: str) -> DataFrame:
+    """(name, id, member) of gene sets whose first field is a title and whose second is an id with a known prefix."""
+    return sets.where(F.col("url").startswith(prefix)).select("name", F.col("url").alias("id"), F.trim("member").alias("member"))
