@@ -1,26 +1,32 @@
 """Language-model scoring by online logistic context mixing.
 
-A text is coded word by word (in lower case), with an end after the last. Where other texts continued the two words
-before, one bit says whether the commonest continuation comes: so passages and documents that the corpus repeats cost
-little. Any other word is spelled, byte by byte, as branches of Huffman trees of the training bytes (one tree for each
-byte before); a blank ends it. Each bit is predicted by several hashed contexts: the word's last three and five bytes, the
-whole word so far, and what this very text did before in the same place, counted online. Their logits are combined by
-weights that a gate selects (how often the contexts were seen; for continuations, how many texts had them and how many came
-true in a row). The weights, and a last stage that corrects the mixed probability by what became of those like it, go
-on learning within each text, chunk by chunk, always from what lies behind. So scores are total bits, as a proper code would
-need them, and do not depend on how rows are dealt out among equal texts.
+A text is coded word by word (in lower case), with an end after the last, as bits:
+
+* where other texts continued the two words before: whether the commonest continuation comes. So passages and documents
+  that the corpus repeats cost little;
+* else whether the word is copied from this text, where it is chosen by how often it occurred before, or spelled, byte by
+  byte, as branches of Huffman trees of the training bytes (one tree for each byte before), with a blank at its end. A word
+  that both ways lead to has the sum of their probabilities.
+
+Each bit is predicted by several hashed contexts: branches by the word's last three and five bytes and by the whole word
+so far, flags by what the corpus and this text did before in like places. Their logits are combined by weights that a
+gate selects (how often the contexts were seen, how many continuations came true in a row, how far the text has come),
+and a last stage corrects the mixed probability by what became of those like it. Weights and last stage are learned
+online, and for the flags they go on learning within each text, chunk by chunk, always from what lies behind. The spelling of
+a word depends on the word alone, so each distinct word of a block is spelled once. Scores are total bits, as a proper
+code would need them, and equal texts score alike wherever they stand.
 
 Counts cover all training texts, and grow with them: exact counts of every word and of every three words are added up by
 shuffles, and never meet in one place; what is broadcast are the spelling contexts, hashed to tables that grow with the
 distinct words up to 2^24 slots, and with their root beyond (one byte a slot). A training text's own three-word counts
 are taken out when it is scored, so that it is not predicted by itself; a copy elsewhere still predicts it.
-The mixer starts from weights learned on one in ``TUNE_PARTS`` of the training texts, chosen by a hash, of any length and
+Mixing starts from weights learned on one in ``TUNE_PARTS`` of the training texts, chosen by a hash, of any length and
 at any size of the table; for that the spelling counts leave these texts out, and take them in again for the scores.
 
 Defined results: a null or empty text is its end alone; a null doc_id counts as the empty string in its fold; repeated
-rows score alike; texts and words of any length are coded whole, in stretches that hand their state on; without training
-texts all counts are zero, and every first branch has probability one half; further columns are not looked at, whatever
-their names; an empty table gives no rows.
+rows score alike; texts and words of any length are coded whole (a task needs some 200 bytes for each word of its longest
+text); without training texts all counts are zero, and every first branch has probability one half; further columns are
+not looked at, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -50,15 +56,16 @@ LEAST_BITS = (18, 20, 20)  # log2 of the slots of each table, at least
 LINEAR_BITS = 24  # tables grow with the distinct words up to here, and with their root beyond
 SLOTS_A_WORD = (2, 8, 16)
 PART = 17  # log2 of the slots that travel in one row
-ENTRIES = 1 << 20  # branches counted, or coded, together
+ENTRIES = 1 << 20  # bytes spelled, or flags mixed, together
 CLIP, STEPS = 8.4, 31  # of a packed logit, to either side of zero
+SPELL_GATES = 4 * 4
 RUNS = np.array([0, 1, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4, 4, 4, 4, 4, 5])  # runs of continuations that came true, in six steps
-SEEN_GATES, RUN_GATES = 4 * 4 * 3, 6 * 4 * 2
-GATES = SEEN_GATES + RUN_GATES
-START = 0.35  # of a weight
-CHUNK = 256  # bits between two refinements
-RATE = 0.004
+RUN_GATES, PLACE_GATES = 6 * 4 * 2, 16 * 2
+FLAG_GATES = RUN_GATES + PLACE_GATES
+CHUNK = 128  # flags between two refinements
+RATE = 0.01
 LEVELS, SURE = 33, 60.0  # of the last stage: steps of the mixed logit, and how many bits its start counts for
+LESSON = 512  # words spelled between two steps of the spelling weights
 MASK = (1 << 64) - 1
 
 
@@ -138,19 +145,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class Spelled:
-    """Words as branches: the hash of each branch's node, its way and its byte; where each word's branches begin (and the
-    last ones end); a 32-bit hash of each context of each byte."""
+class Letters:
+    """The bytes of words, each with its blank, or of the end: a 32-bit hash of each context of each byte, each byte after the one
+    before (before * 256 + byte), and where each word begins (and the last ends)."""
 
-    salt: np.ndarray
-    way: np.ndarray
-    byte: np.ndarray
-    edges: np.ndarray
     contexts: np.ndarray
+    path: np.ndarray
+    edges: np.ndarray
 
 
-def spell(words: list[bytes], trees: Trees) -> Spelled:
-    """The branches of words, each with its blank, or of the end. Contexts do not look beyond the word."""
+def letters(words: list[bytes]) -> Letters:
+    """Contexts do not look beyond the word."""
     parts = [w if w == END else w + b" " for w in words]
     line = np.frombuffer(b"".join(parts), "u1")
     sizes = np.fromiter(map(len, parts), "i8", len(parts))
@@ -174,13 +179,16 @@ def spell(words: list[bytes], trees: Trees) -> Spelled:
     before = np.full(len(line), BLANK, "i4")
     before[1:] = line[:-1]
     before[begins[sizes > 0]] = BLANK
-    path = before * 256 + line
+    return Letters(contexts, before * 256 + line, np.append(begins, len(line)))
+
+
+def branches(trees: Trees, path: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(byte, hash of the node, way) of every branch taken to bytes after bytes."""
     length = trees.length[path]
     ends = np.cumsum(length)
-    byte = np.repeat(np.arange(len(line), dtype="i4"), length)
+    byte = np.repeat(np.arange(len(path), dtype="i4"), length)
     at = np.arange(len(byte), dtype="i4") + (trees.first[path] - (ends - length).astype("i4"))[byte]
-    edges = np.concatenate([[0], ends])[np.append(begins, len(line))]
-    return Spelled(trees.salts.take(at), trees.ways.take(at), byte, edges, contexts)
+    return byte, trees.salts.take(at), trees.ways.take(at)
 
 
 def in_stretches(words: list[bytes], numbers: np.ndarray, most: int):
@@ -205,9 +213,24 @@ def offsets_of(bits: tuple[int, ...]) -> np.ndarray:
     return np.concatenate([[0], np.cumsum([1 << b for b in bits])]).astype("i8")
 
 
-def slots(s: Spelled, k: int, bits: tuple[int, ...]) -> np.ndarray:
-    """The slot of each branch in table k, counted from that table's first."""
-    return ((s.contexts[k].take(s.byte) ^ s.salt) >> np.uint32(32 - bits[k])).astype("i8")
+def slots(contexts: np.ndarray, byte: np.ndarray, salt: np.ndarray, bits: int) -> np.ndarray:
+    """The slot of each branch in a table of 2^bits slots."""
+    return (contexts.take(byte) ^ salt) >> np.uint32(32 - bits)
+
+
+def ordered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys, and where each distinct one first stands in it."""
+    order = np.argsort(keys)
+    own = keys[order]
+    return order, np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))[: len(own)]
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the number of each key's."""
+    order, first = ordered(keys)
+    which = np.empty(len(keys), "i8")
+    which[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
+    return keys[order[first]], which
 
 
 def packed_logits(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -221,65 +244,50 @@ UNSEEN = STEPS << 2
 
 
 def counted(words: list[bytes], counts: np.ndarray, trees: Trees, bits: tuple[int, ...]):
-    """(slots in order, counts) of each stretch of words; counts: ones and zeros of each column of ``counts``. In the table of
-    whole words a word counts as often as it occurs; in the others once, as they are for words not met before."""
+    """(slots in order, sums) of each stretch of words; sums: zeros and ones of each of the two columns of ``counts``. In the
+    table of whole words a word counts as often as it occurs; in the others once, as they are for words not met before."""
     offsets = offsets_of(bits)
     for some, times in in_stretches(words, counts, ENTRIES):
-        s = spell(some, trees)
-        at = np.concatenate([offsets[k] + slots(s, k, bits) for k in range(TABLES)])
-        found, where = np.unique(at, return_inverse=True)
-        way = np.tile(s.way, TABLES)
-        out = []
-        for n in times.T:
-            every = np.repeat(n, np.diff(s.edges)).astype("f8")
-            weight = np.concatenate([every > 0] * (TABLES - 1) + [every])
-            ones = np.bincount(where, weights=weight * way, minlength=len(found))
-            out += [np.bincount(where, weights=weight, minlength=len(found)) - ones, ones]
-        yield found, np.stack(out).astype("i8")
+        s = letters(some)
+        size, path = np.diff(s.edges), s.path.astype("u8")
+        kind = np.repeat((times > 0) @ np.array([1, 2]), size).astype("u8")
+        found, sums = [], []
+        for k in range(TABLES):  # what follows a context is counted by byte, and then by the branches to it
+            keys = s.contexts[k].astype("u8") << np.uint64(18) | path << np.uint64(2)
+            if k < TABLES - 1:
+                keys |= kind
+                keys.sort()
+                first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+                n, keys = np.diff(np.append(first, len(keys))), keys[first]
+                n = [n * (keys & np.uint64(c) > 0) for c in (1, 2)]
+            else:
+                order, first = ordered(keys)
+                word = np.repeat(np.arange(len(some)), size)[order]
+                n, keys = [np.add.reduceat(t[word], first) for t in times.T], keys[order[first]]
+            byte, salt, way = branches(trees, (keys >> np.uint64(2) & np.uint64(0xFFFF)).astype("i4"))
+            at = slots((keys >> np.uint64(18)).astype("u4"), byte, salt, bits[k])
+            order, first = ordered(at)
+            found.append(at[order[first]].astype("i8") + offsets[k])
+            ones = way[order].astype(bool)
+            sums.append(np.stack([np.add.reduceat(np.where(ones == w, c[byte[order]], 0), first) for c in n for w in (False, True)]))
+        yield np.concatenate(found), np.concatenate(sums, axis=1).astype("i8")
 
 
 # --- mixing
 
 
-@dataclass
-class Bits:
-    """The bits of some texts, in order: inputs x bits, gate and way of each, and where each text begins (and the last ends)."""
-
-    inputs: np.ndarray
-    gate: np.ndarray
-    way: np.ndarray
-    edges: np.ndarray
-
-
-class Online:
-    """How often each key had which way so far: within one run, and handed on to the next."""
-
-    def __init__(self):
-        self.keys, self.n, self.ones = np.zeros(0, "u8"), np.zeros(0, "i8"), np.zeros(0, "i8")
-
-    def before(self, keys: np.ndarray, way: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray]:
-        """(times seen, ones) of each key before its place. Keys have 40 bits; places go into the other 24."""
-        own = np.sort(keys << np.uint64(24) | np.arange(len(keys), dtype="u8"))
-        place = (own & np.uint64((1 << 24) - 1)).astype("i8")
-        own >>= np.uint64(24)
-        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, "i8")
-        size = np.diff(np.append(first, len(own)))
-        sums = np.concatenate([[0], np.cumsum(way[place], dtype="i8")])
-        n = np.arange(len(own)) - np.repeat(first, size)
-        ones = sums[:-1] - np.repeat(sums[first], size)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, own[first]), len(self.keys) - 1)
-            known = self.keys[at] == own[first]
-            n += np.repeat(np.where(known, self.n[at], 0), size)
-            ones += np.repeat(np.where(known, self.ones[at], 0), size)
-        if keep:
-            joint = np.concatenate([self.keys, own[first]])
-            self.keys, where = np.unique(joint, return_inverse=True)
-            self.n = np.bincount(where, weights=np.concatenate([self.n, size]), minlength=len(self.keys)).astype("i8")
-            self.ones = np.bincount(where, weights=np.concatenate([self.ones, sums[first + size] - sums[first]]), minlength=len(self.keys)).astype("i8")
-        out = np.empty((2, len(own)), "i8")
-        out[0, place], out[1, place] = n, ones
-        return out[0], out[1]
+def seen_before(keys: np.ndarray, way: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(times seen, ones) of each key before its place."""
+    keys, room = distinct(keys)[1].astype("u8"), np.uint64(max(1, len(keys).bit_length()))
+    own = np.sort(keys << room | np.arange(len(keys), dtype="u8"))
+    grouped, own = own >> room, (own & ((np.uint64(1) << room) - np.uint64(1))).astype("i8")
+    first = np.flatnonzero(np.concatenate([[True], grouped[1:] != grouped[:-1]]))[: len(own)]
+    size = np.diff(np.append(first, len(own)))
+    sums = np.concatenate([[0], np.cumsum(way[own], dtype="i8")])
+    out = np.empty((2, len(own)), "i8")
+    out[0, own] = np.arange(len(own)) - np.repeat(first, size)
+    out[1, own] = sums[:-1] - np.repeat(sums[first], size)
+    return out[0], out[1]
 
 
 @dataclass
@@ -291,153 +299,182 @@ class Mixer:
     n: np.ndarray
 
     @classmethod
-    def new(cls) -> Mixer:
+    def new(cls, weights: np.ndarray, kinds: int) -> Mixer:
         level = 1 / (1 + np.exp(-(np.arange(LEVELS) - LEVELS // 2) / 2.0))
-        weights = np.full((INPUTS, GATES), START)
-        weights[:, SEEN_GATES:] = np.array([1.0, 0.0, 0.0, START])[:, None]
-        return cls(weights, np.tile(level * SURE, 2), np.full(2 * LEVELS, SURE))
+        return cls(weights, np.tile(level * SURE, kinds), np.full(kinds * LEVELS, SURE))
+
+    @classmethod
+    def spelling(cls) -> Mixer:
+        return cls.new(np.full((TABLES, SPELL_GATES), 0.4), 1)
 
+    @classmethod
+    def flags(cls) -> Mixer:
+        return cls.new(np.tile(np.array([0.6, 0.0, 0.0, 0.4])[:, None], (1, FLAG_GATES)), 2)
 
-class State:
-    """What some texts, coded side by side, have learned so far."""
+    def steady(self) -> Mixer:
+        """The same with the last stage's start brought back to what it counts for."""
+        return Mixer(self.weights, self.ones / self.n * SURE, np.full(len(self.n), SURE))
+
+
+def level_of(z: np.ndarray) -> np.ndarray:
+    out = np.rint(2 * z).astype("i4")
+    np.clip(out, -(LEVELS // 2), LEVELS // 2, out=out)
+    out += LEVELS // 2
+    return out
 
-    def __init__(self, mixer: Mixer, lanes: int):
-        self.weights = np.tile(mixer.weights.astype("f4"), (1, lanes))  # inputs x (text, gate)
-        self.ones, self.n = np.tile(mixer.ones, lanes), np.tile(mixer.n, lanes)
 
+@dataclass
+class Model:
+    trees: Trees
+    bits: tuple[int, ...]
+    table: np.ndarray  # packed logits of all tables
+    spelling: Mixer
+    flags: Mixer
+
+    def spelled(self, words: list[bytes], squares: np.ndarray | None = None) -> np.ndarray:
+        """The natural log probability of each word's spelling. With ``squares``, running squares of the gradients, the words are a
+        lesson, in their order: the mixer learns from every LESSON of them."""
+        offsets, out, m = offsets_of(self.bits), np.empty(len(words)), self.spelling
+        k = 0
+        for some, _ in in_stretches(words, np.zeros(len(words)), ENTRIES):
+            s = letters(some)
+            byte, salt, ways = branches(self.trees, s.path)
+            own = [self.table[offsets[t] : offsets[t + 1]].take(slots(s.contexts[t], byte, salt, self.bits[t])) for t in range(TABLES)]
+            gate = (own[2] & 3) * 4 + (own[1] & 3)
+            log = np.empty(len(gate))
+            word = np.concatenate([[0], np.cumsum(self.trees.length[s.path])])[s.edges]  # where each word's branches begin
+            steps = range(0, len(some), LESSON if squares is not None else max(1, LESSON << 3))
+            for a, b in ((word[j], word[min(j + steps.step, len(some))]) for j in steps):
+                g, way = gate[a:b], ways[a:b]
+                x = [LOGITS.take(t[a:b]) for t in own]
+                z = sum(v * w.astype("f4").take(g) for v, w in zip(x, m.weights))
+                np.clip(z, -16, 16, out=z)
+                p, level = 1 / (1 + np.exp(-z)), level_of(z)
+                refined = 0.5 * p + 0.5 * (m.ones / m.n).astype("f4").take(level)
+                log[a:b] = np.log(np.where(way, refined, 1 - refined))
+                if squares is not None:
+                    step = np.stack([np.bincount(g, weights=v * (way - p), minlength=SPELL_GATES) for v in x])
+                    squares += step * step
+                    m.weights += 0.05 * step / np.sqrt(squares)
+                    m.ones += np.bincount(level, weights=way, minlength=LEVELS)
+                    m.n += np.bincount(level, minlength=LEVELS)
+            out[k : k + len(some)] = np.add.reduceat(log, word[:-1])
+            k += len(some)
+        return out
 
-def mix(bits: Bits, mixer: Mixer, state: State | None = None, squares: np.ndarray | None = None) -> np.ndarray:
-    """The natural log probability of each text's bits, a chunk at a time. With ``squares``, running squares of the gradients,
-    what the chunks teach also moves the mixer itself."""
-    sizes = np.diff(bits.edges)
+
+@dataclass
+class Flags:
+    """The flags of some texts, in order: inputs x flags, gate of each, what follows has by the flag's two ways, as multiples of
+    what it has anyway (yes x flags, no x flags), and where each text's begin (and the last end)."""
+
+    inputs: np.ndarray
+    gate: np.ndarray
+    yes: np.ndarray
+    no: np.ndarray
+    edges: np.ndarray
+
+
+def flags_of(seq: np.ndarray, known: np.ndarray, first: np.ndarray, spelling: np.ndarray) -> Flags:
+    """The flags of a block's texts; spelling: the natural log of the probability of each of their words' spelling."""
+    place = np.arange(len(seq)) - np.repeat(first[:-1], np.diff(first))
+    text = np.repeat(np.arange(len(first) - 1, dtype="u8"), np.diff(first))
+    asked, hit = known > 0, (known > 0) & (known & 1 == 1)
+    times, _ = seen_before(text << np.uint64(32) | seq.astype("u8"), np.zeros(len(seq), "u1"))
+    second = ~hit & (place > 0)  # at a text's first word there is none to repeat
+    at = np.concatenate([[0], np.cumsum(asked.astype("i8") + second)])
+    total = int(at[-1])
+    inputs, gate, way, key = np.zeros((INPUTS, total), "f4"), np.empty(total, "i4"), np.empty(total, "u1"), np.empty(total, "u8")
+    yes, no = np.empty(total, "f4"), np.empty(total, "f4")
+    a, b = at[:-1][asked], (at[:-1] + asked)[second]
+    nt, nb = known[asked] >> 16, known[asked] >> 1 & 0x7FFF
+    sure, run = (nb == nt).astype("i8"), RUNS[np.minimum(runs_of(known, first)[asked], 16)]
+    inputs[0, a], inputs[1], way[a] = np.log((nb + 0.4) / (nt - nb + 0.4)), 1, hit[asked]
+    gate[a], key[a] = (run * 4 + np.digitize(nt, (2, 3, 6))) * 2 + sure, 2 * run + sure
+    yes[a], no[a] = hit[asked], ~hit[asked]
+    yes[b], no[b] = np.exp(np.minimum(np.log(np.maximum(times[second], 1e-9) / place[second]) - spelling[second], 60)) * (times[second] > 0), 1
+    way[b] = yes[b] > 1  # the likelier way is what later flags take to have happened
+    whose = text[second]
+    n, ones = seen_before(whose, way[b])
+    inputs[0, b] = np.log((ones + 0.4) / (n - ones + 0.4))
+    inputs[2, b] = np.log((n - ones + 1) / (n + 1))
+    last = np.zeros(len(b), "u8")  # what became of the three flags of this kind before
+    for j in (1, 2, 3):
+        last[j:] |= np.where(whose[j:] == whose[:-j], way[b][:-j], 0).astype("u8") << np.uint64(j - 1)
+    gate[b] = RUN_GATES + np.minimum(np.log2(n + 1).astype("i4"), 15) * 2 + (last & np.uint64(1)).astype("i4")
+    key[b] = np.uint64(16) + last
+    edges = at[first]
+    own = np.repeat(np.arange(len(first) - 1, dtype="u8"), np.diff(edges))
+    n, ones = seen_before(own << np.uint64(8) | key, way)
+    inputs[3] = np.log((ones + 0.4) / (n - ones + 0.4))
+    return Flags(inputs, gate, yes, no, edges)
+
+
+def mix(flags: Flags, mixer: Mixer, squares: np.ndarray | None = None) -> np.ndarray:
+    """The natural log probability of each text's flags. Texts run side by side, a chunk at a time; each learns for itself. With
+    ``squares``, running squares of the gradients, what the chunks teach also moves the mixer itself."""
+    sizes = np.diff(flags.edges)
+    out = np.zeros(len(sizes))
     order = np.argsort(-sizes, kind="stable")
-    starts, sizes = bits.edges[:-1][order], sizes[order]
-    state = state or State(mixer, len(order))
-    total = np.zeros(len(order))
-    for a in range(0, int(sizes[0]) if len(sizes) else 0, CHUNK):
+    order = order[sizes[order] > 0]
+    bounds = np.concatenate([[0], np.cumsum(sizes[order])])
+    groups = np.unique(np.searchsorted(bounds, np.arange(0, bounds[-1], ENTRIES), side="left")) if len(order) else np.zeros(0, "i8")
+    for i, j in zip(groups.tolist(), [*groups[1:].tolist(), len(order)]):
+        some = order[i:j]
+        if len(some):
+            out[some] = mix_side_by_side(flags, flags.edges[:-1][some], sizes[some], mixer, squares)
+    return out
+
+
+def mix_side_by_side(flags: Flags, starts: np.ndarray, sizes: np.ndarray, mixer: Mixer, squares: np.ndarray | None) -> np.ndarray:
+    """The same for texts in order of size, the largest first."""
+    total, stage = np.zeros(len(sizes)), 2 * LEVELS
+    weights = np.tile(mixer.weights.astype("f4"), (1, len(sizes)))  # inputs x (text, gate)
+    past_ones, past = np.tile(mixer.ones, len(sizes)), np.tile(mixer.n, len(sizes))
+    for a in range(0, int(sizes[0]), CHUNK):
         lanes = int(np.searchsorted(-sizes, -a, side="left"))
         n = np.minimum(sizes[:lanes] - a, CHUNK)
         first = np.cumsum(n) - n
         lane = np.repeat(np.arange(lanes), n)
         at = np.arange(len(lane)) + np.repeat(starts[:lanes] + a - first, n)
-        gate, way = bits.gate[at], bits.way[at]
-        key = lane * GATES + gate
-        x = bits.inputs[:, at]
-        z = np.einsum("ke,ke->e", x, state.weights[:, key])
+        gate, yes, no = flags.gate[at], flags.yes[at], flags.no[at]
+        key = lane * FLAG_GATES + gate
+        x = flags.inputs[:, at]
+        z = np.einsum("ke,ke->e", x, weights[:, key])
         np.clip(z, -16, 16, out=z)
         p = 1 / (1 + np.exp(-z))
-        level = np.rint(2 * z).astype("i4")
-        np.clip(level, -(LEVELS // 2), LEVELS // 2, out=level)
-        cell = lane * (2 * LEVELS) + (gate >= SEEN_GATES) * LEVELS + (level + LEVELS // 2)
-        refined = 0.5 * p + 0.5 * (state.ones[cell] / state.n[cell])
-        total[:lanes] += np.add.reduceat(np.log(np.where(way, refined, 1 - refined)), first)
+        cell = lane * stage + (gate >= RUN_GATES) * LEVELS + level_of(z)
+        refined = 0.5 * p + 0.5 * (past_ones[cell] / past[cell])
+        taken = refined * yes
+        whole = taken + (1 - refined) * no
+        total[:lanes] += np.add.reduceat(np.log(whole), first)
+        way = taken / whole  # how likely the flag was set, given what follows
         x *= (way - p).astype("f4")
-        step = np.stack([np.bincount(key, weights=row, minlength=lanes * GATES) for row in x])
-        state.weights[:, : lanes * GATES] += (RATE * step).astype("f4")
-        state.ones[: lanes * 2 * LEVELS] += (ones := np.bincount(cell, weights=way, minlength=lanes * 2 * LEVELS))
-        state.n[: lanes * 2 * LEVELS] += (seen := np.bincount(cell, minlength=lanes * 2 * LEVELS))
+        step = np.stack([np.bincount(key, weights=row, minlength=lanes * FLAG_GATES) for row in x])
+        weights[:, : lanes * FLAG_GATES] += (RATE * step).astype("f4")
+        past_ones[: lanes * stage] += (ones := np.bincount(cell, weights=way, minlength=lanes * stage))
+        past[: lanes * stage] += (seen := np.bincount(cell, minlength=lanes * stage))
         if squares is not None:
-            step = step.reshape(INPUTS, lanes, GATES).sum(axis=1)
+            step = step.reshape(INPUTS, lanes, FLAG_GATES).sum(axis=1)
             squares += step * step
             move = 0.05 * step / np.sqrt(squares)
             mixer.weights += move
-            state.weights += np.tile(move.astype("f4"), (1, len(order)))
+            weights += np.tile(move.astype("f4"), (1, len(sizes)))
             mixer.ones += ones.reshape(lanes, -1).sum(axis=0)
             mixer.n += seen.reshape(lanes, -1).sum(axis=0)
-    out = np.empty(len(order))
-    out[order] = total
-    return out
+    return total
 
 
-def steady(mixer: Mixer) -> Mixer:
-    """The mixer with the last stage's start brought back to what it counts for."""
-    return Mixer(mixer.weights, mixer.ones / mixer.n * SURE, np.full(2 * LEVELS, SURE))
-
-
-@dataclass
-class Model:
-    trees: Trees
-    bits: tuple[int, ...]
-    table: np.ndarray  # packed logits of all tables
-    mixer: Mixer
-
-
-class Coder:
-    """Texts of one dictionary as bits."""
-
-    def __init__(self, words: list[bytes], model: Model):
-        self.model, self.edges = model, np.zeros(len(words) + 1, "i8")
-        inputs, gates, ways, keys, k = [], [], [], [], 0
-        offsets = offsets_of(model.bits)
-        for some, _ in in_stretches(words, self.edges, ENTRIES):
-            s = spell(some, model.trees)
-            own = [model.table[offsets[t] + slots(s, t, model.bits)] for t in range(TABLES)]
-            inputs.append(np.stack([LOGITS[x] for x in own]))
-            gates.append(((own[2] & 3) * 4 + (own[1] & 3)) * 3)
-            ways.append(s.way)
-            keys.append(s.contexts[2].take(s.byte) ^ s.salt)
-            self.edges[k + 1 : k + len(some) + 1] = self.edges[k] + s.edges[1:]
-            k += len(some)
-        join = lambda x, like, axis=0: np.concatenate(x, axis=axis) if x else like
-        self.inputs, self.gate = join(inputs, np.zeros((TABLES, 0), "f4"), 1), join(gates, np.zeros(0, "u1"))
-        self.way, self.key = join(ways, np.zeros(0, "u1")), join(keys, np.zeros(0, "u4"))
-
-    def bits(self, ids: np.ndarray, known: np.ndarray, runs: np.ndarray, first: np.ndarray, online: Online, keep: bool = False) -> Bits:
-        """The bits of words by number; known: as ``continuations`` has it; first: where each text begins (and the last ends)."""
-        asked, hit = known > 0, (known & 1).astype(bool) & (known > 0)
-        size = np.where(hit, 0, np.diff(self.edges)[ids])
-        events = size + asked
-        at = np.concatenate([[0], np.cumsum(events)])
-        total = int(at[-1])
-        flags = at[:-1][asked]
-        spelled = np.ones(total, bool)
-        spelled[flags] = False
-        source = np.arange(int(size.sum())) + np.repeat(self.edges[ids] - (np.cumsum(size) - size), size)
-        inputs, gate, way, key = np.empty((INPUTS, total), "f4"), np.empty(total, "i8"), np.empty(total, "u1"), np.empty(total, "u8")
-        for own, every in zip(inputs, self.inputs):
-            own[spelled] = every[source]
-        way[spelled], key[spelled], gate[spelled] = self.way[source], self.key[source], self.gate[source]
-        nt, nb = known[asked] >> 16, known[asked] >> 1 & 0x7FFF
-        sure = (nb == nt).astype("i8")
-        run = RUNS[np.minimum(runs[asked], 16)]
-        inputs[0, flags], inputs[1, flags], inputs[2, flags] = np.log((nb + 0.4) / (nt - nb + 0.4)), 1, 0
-        gate[flags] = SEEN_GATES + (run * 4 + np.digitize(nt, (2, 3, 6))) * 2 + sure
-        way[flags], key[flags] = hit[asked], 2 * run + sure
-        text = np.repeat(np.arange(len(first) - 1, dtype="u8"), np.diff(at[first]))
-        n, ones = online.before(mixed(key + (text << np.uint64(33)) + (spelled.astype("u8") << np.uint64(32))) >> np.uint64(24), way, keep)
-        inputs[3] = np.log((ones + 0.4) / (n - ones + 0.4))
-        gate[spelled] += np.minimum(n[spelled], 2)
-        return Bits(inputs, gate, way, at[first])
-
-    def scores(self, ids: np.ndarray, known: np.ndarray, runs: np.ndarray, first: np.ndarray, squares: np.ndarray | None = None) -> np.ndarray:
-        """The natural log probability of each text. Texts of like length are coded side by side; long ones alone, in stretches."""
-        size = np.concatenate([[0], np.cumsum(np.diff(self.edges)[ids] + 1)])
-        long = np.diff(size[first])
-        out, some, held = np.zeros(len(long)), [], 0
-
-        def together(numbers):
-            spans = [(first[k], first[k + 1]) for k in numbers]
-            at = np.concatenate([np.arange(a, b) for a, b in spans])
-            edges = np.concatenate([[0], np.cumsum([b - a for a, b in spans])])
-            out[numbers] = mix(self.bits(ids[at], known[at], runs[at], edges, Online()), self.model.mixer, None, squares)
-
-        for k in np.argsort(long, kind="stable").tolist():
-            if long[k] > ENTRIES:
-                online, state, a = Online(), State(self.model.mixer, 1), first[k]
-                while a < first[k + 1]:
-                    b = min(int(first[k + 1]), max(int(a) + 1, int(np.searchsorted(size, size[a] + ENTRIES, side="right")) - 1))
-                    own = self.bits(ids[a:b], known[a:b], runs[a:b], np.array([0, b - a]), online, True)
-                    out[k] += mix(own, self.model.mixer, state, squares)[0]
-                    a = b
-                continue
-            some.append(k)
-            held += long[k]
-            if held >= ENTRIES:
-                together(some)
-                some, held = [], 0
-        if some:
-            together(some)
-        return out
+def score_block(words: list[bytes], seq: np.ndarray, known: np.ndarray, first: np.ndarray, model: Model) -> np.ndarray:
+    """The natural log probability of each of a block's texts."""
+    spelling = np.zeros(len(seq))
+    spelled = (known <= 0) | (known & 1 == 0)
+    needed, which = distinct(seq[spelled])
+    spelling[spelled] = model.spelled([words[k] for k in needed.tolist()])[which]
+    # a text's own terms, added exactly, so that equal texts get equal scores wherever they stand
+    terms = spelling.tolist()
+    own = np.array([math.fsum(terms[a:b]) for a, b in zip(first.tolist(), first[1:].tolist())])
+    return own + mix(flags_of(seq, known, first, spelling), model.flags)
 
 
 # --- words and continuations over the corpus
@@ -456,12 +493,12 @@ def unpacked(raw: bytes, arrays: int) -> list[np.ndarray]:
     return [np.ascontiguousarray(p.T).view("<i8").reshape(-1) for p in planes]
 
 
-def rises(sorted_keys: np.ndarray) -> np.ndarray:
-    return np.diff(sorted_keys, prepend=np.uint64(0)).view("i8")
+def rises(sorted_keys: np.ndarray, low: int = 0) -> np.ndarray:
+    return (np.diff(sorted_keys, prepend=np.uint64(0)) >> np.uint64(low)).view("i8")
 
 
-def risen(steps: np.ndarray) -> np.ndarray:
-    return np.cumsum(steps.view("u8"), dtype="u8")
+def risen(steps: np.ndarray, low: int = 0) -> np.ndarray:
+    return np.cumsum(steps.view("u8"), dtype="u8") << np.uint64(low)
 
 
 def spelled_words(raw: bytes) -> list[bytes]:
@@ -469,9 +506,9 @@ def spelled_words(raw: bytes) -> list[bytes]:
 
 
 def digests(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The first 64 and the next 32 bits of each word's 128-bit hash."""
+    """The first 64 and the next 24 bits of each word's 128-bit hash."""
     both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(-1, 2)
-    return both[:, 0].astype("u8"), both[:, 1].astype("u8") >> np.uint64(32)
+    return both[:, 0].astype("u8"), both[:, 1].astype("u8") >> np.uint64(40)
 
 
 def one_list(values: np.ndarray) -> pa.ListArray:
@@ -488,7 +525,7 @@ def parts_of(text: str):
 
 
 def word_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of texts as numbers of their dictionary's words: these in order of a hash of 96 bits, with their counts in
+    """Blocks of texts as numbers of their dictionary's words: these in order of a hash of 88 bits, with their counts in
     training texts, and in the training texts that tune the mixer."""
 
     def block(ids, held, tune, seqs, numbers):
@@ -530,8 +567,11 @@ def numbered(column: pa.ChunkedArray | pa.Array, k: int = 0) -> np.ndarray:
     return column[k].values.to_numpy(zero_copy_only=False)
 
 
-def continuations(seq: np.ndarray, first: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """A key for each word of a block's texts: 48 bits of the two words before, then 16 bits of the word."""
+NEXT = 12  # bits that tell continuations of the same words apart
+
+
+def continuations(seq: np.ndarray, first: np.ndarray, high: np.ndarray, bits: int) -> np.ndarray:
+    """A key for each word of a block's texts: ``bits`` bits of the two words before, NEXT bits of the word, then zeros."""
     h = high[seq]
     place = np.arange(len(seq)) - np.repeat(first[:-1], np.diff(first))
     one, two = np.zeros(len(seq), "u8"), np.zeros(len(seq), "u8")
@@ -539,20 +579,23 @@ def continuations(seq: np.ndarray, first: np.ndarray, high: np.ndarray) -> np.nd
     one[place < 1], two[place < 2] = 0, 0
     key = mixed(mixed(two ^ np.uint64(0x9E3779B97F4A7C15)) + one)
     key ^= key >> np.uint64(29)
-    return (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(16)) << np.uint64(16) | h >> np.uint64(48)
+    low = np.uint64(64 - bits)
+    return (key * np.uint64(0x9E3779B97F4A7C15) >> low) << low | h >> np.uint64(64 - NEXT) << np.uint64(64 - bits - NEXT)
 
 
 SPREAD = "block string, part int, words binary, pairs binary"
 JOINED = "doc_id array<long>, held array<int>, tune array<int>, first array<int>, seq binary, spelled binary, counts binary, known binary"
 
 
-def joined_blocks(blocks: DataFrame, bits: int) -> DataFrame:
+def joined_blocks(blocks: DataFrame, bits: int, key_bits: int) -> DataFrame:
     """JOINED: blocks with what the corpus knows of their words (counts: how often they occur in training texts, negative in
     the one block that speaks for a word, and there how often in those that tune) and of their continuations.
 
     Words and continuations go by the first ``bits`` of their hashes to the tasks that add them up, one entry of each
-    block that has them, so frequent ones weigh no more than rare ones; the sums come back to the blocks.
+    block that has them, so frequent ones weigh no more than rare ones; the sums come back to the blocks. Two words before
+    are told apart by ``key_bits`` bits.
     """
+    low_bits = 64 - key_bits - NEXT
 
     def split(batches):
         part_of = lambda h: (h >> np.uint64(64 - bits)).astype("i8") if bits else np.zeros(len(h), "i8")
@@ -561,7 +604,7 @@ def joined_blocks(blocks: DataFrame, bits: int) -> DataFrame:
                 high, low = digests(spelled_words(batch["spelled"][k].as_py()))
                 (seq,), (train, tuned) = unpacked(batch["seq"][k].as_py(), 1), unpacked(batch["counts"][k].as_py(), 2)
                 first, held = numbered(batch["first"], k), numbered(batch["held"], k)
-                keys, where = np.unique(continuations(seq, first, high), return_inverse=True)
+                keys, where = distinct(continuations(seq, first, high, key_bits))
                 times = np.bincount(where[np.repeat(held == 0, np.diff(first))], minlength=len(keys))
                 words_in, keys_in = part_of(high), part_of(keys)
                 parts = np.union1d(words_in, keys_in)
@@ -569,23 +612,25 @@ def joined_blocks(blocks: DataFrame, bits: int) -> DataFrame:
                 for a in range(0, len(parts), 512):
                     rows = range(a, min(a + 512, len(parts)))
                     words = [packed(rises(high[c:d]), low[c:d], train[c:d], tuned[c:d]) for c, d in ((spans[0][j], spans[0][j + 1]) for j in rows)]
-                    pairs = [packed(rises(keys[c:d]), times[c:d]) for c, d in ((spans[1][j], spans[1][j + 1]) for j in rows)]
+                    pairs = [packed(rises(keys[c:d], low_bits), times[c:d]) for c, d in ((spans[1][j], spans[1][j + 1]) for j in rows)]
                     yield pa.RecordBatch.from_arrays([pa.array([batch["block"][k].as_py()] * len(rows)), pa.array(parts[a : a + 512].astype("i4")), pa.array(words, pa.binary()), pa.array(pairs, pa.binary())], [x.split()[0] for x in SPREAD.split(", ")])
 
     def add(table: pa.Table) -> pa.Table:
         words, pairs = [unpacked(x.as_py(), 4) for x in table["words"]], [unpacked(x.as_py(), 2) for x in table["pairs"]]
         high, (low, train, tuned) = np.concatenate([risen(w[0]) for w in words]), (np.concatenate([w[j] for w in words]) for j in (1, 2, 3))
-        order = np.lexsort((low, high))
+        order = np.argsort(high)
+        if (same := high[order][1:] == high[order][:-1]).any() and (same & (low[order][1:] != low[order][:-1])).any():
+            order = np.lexsort((low, high))
         new = np.concatenate([[True], (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])])[: len(order)]
         word = np.empty(len(order), "i8")
         word[order] = np.cumsum(new) - 1
         counts, tuned = (np.bincount(word, weights=x).astype("i8") for x in (train, tuned))
         speaks = np.zeros(len(order), bool)
-        speaks[np.unique(word, return_index=True)[1]] = True  # one block speaks for each word
+        speaks[order[new]] = True  # one block speaks for each word
         n, tuned = np.where(speaks, ~counts[word], counts[word]), np.where(speaks, tuned[word], 0)
-        keys, where = np.unique(np.concatenate([risen(p[0]) for p in pairs]), return_inverse=True)
+        keys, where = distinct(np.concatenate([risen(p[0], low_bits) for p in pairs]))
         times = np.bincount(where, weights=np.concatenate([p[1] for p in pairs])).astype("i8")
-        begins = np.flatnonzero(np.concatenate([[True], keys[1:] >> np.uint64(16) != keys[:-1] >> np.uint64(16)]))[: len(keys)]
+        begins = np.flatnonzero(np.concatenate([[True], keys[1:] >> np.uint64(64 - key_bits) != keys[:-1] >> np.uint64(64 - key_bits)]))[: len(keys)]
         size = np.diff(np.append(begins, len(keys)))
         all_, most = (np.repeat(f.reduceat(times, begins), size) if len(keys) else times for f in (np.add, np.maximum))
         best = np.flatnonzero(times == most)
@@ -600,7 +645,7 @@ def joined_blocks(blocks: DataFrame, bits: int) -> DataFrame:
         (n, tuned), (all_, most) = ([np.concatenate(x) for x in zip(*(unpacked(found[c][k].as_py(), 2) for k in by_part))] for c in ("words", "pairs"))
         (seq,) = unpacked(own["seq"][0].as_py(), 1)
         high, _ = digests(spelled_words(own["spelled"][0].as_py()))
-        known = others(seq, numbered(own["first"]), high, numbered(own["held"]) == 0, all_, most >> 1, most & 1)
+        known = others(seq, numbered(own["first"]), high, numbered(own["held"]) == 0, all_, most >> 1, most & 1, key_bits)
         more = {"counts": packed(n, tuned), "known": packed(known)}
         return pa.table({c: own[c] for c in ("doc_id", "held", "tune", "first", "seq", "spelled")} | {c: pa.array([v], pa.binary()) for c, v in more.items()})
 
@@ -609,15 +654,15 @@ def joined_blocks(blocks: DataFrame, bits: int) -> DataFrame:
     return blocks.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(join, JOINED)
 
 
-def others(seq: np.ndarray, first: np.ndarray, high: np.ndarray, learn: np.ndarray, all_: np.ndarray, most: np.ndarray, leads: np.ndarray) -> np.ndarray:
+def others(seq: np.ndarray, first: np.ndarray, high: np.ndarray, learn: np.ndarray, all_: np.ndarray, most: np.ndarray, leads: np.ndarray, bits: int) -> np.ndarray:
     """For each word of a block's texts, what other texts know of the two words before: how often they had them (from bit 16),
     how often their commonest continuation (15 bits), and whether that comes here; 0 if they know none. Counts are halved
     together where they need more bits."""
-    keys, where = np.unique(continuations(seq, first, high), return_inverse=True)
-    before = np.cumsum(np.concatenate([[False], keys[1:] >> np.uint64(16) != keys[:-1] >> np.uint64(16)])[: len(keys)])
+    keys, where = distinct(continuations(seq, first, high, bits))
+    before = np.cumsum(np.concatenate([[False], keys[1:] >> np.uint64(64 - bits) != keys[:-1] >> np.uint64(64 - bits)])[: len(keys)])
     all_, most, leads = all_[where], most[where], leads[where]
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    own, at = np.unique(text * max(1, len(keys)) + before[where], return_inverse=True)
+    own, at = distinct(text * max(1, len(keys)) + before[where])
     out = learn[text]
     all_ = all_ - np.where(out, np.bincount(at, minlength=len(own))[at], 0)
     most = most - np.where(out, np.bincount(at, weights=leads, minlength=len(own)).astype("i8")[at], 0)
@@ -712,7 +757,7 @@ def spelling_tables(spark: SparkSession, joined: DataFrame, trees: Trees, bits:
                 raw = np.frombuffer(unpack.decompress(packed.as_py()), "u1").reshape(8, -1)
                 step, *counts = np.ascontiguousarray(raw.T).view("<i8").reshape(5, -1)
                 place = np.cumsum(step)
-                for total, n in zip(own, counts):
+                for total, n in zip(own, (*counts[:2], counts[0] - counts[2], counts[1] - counts[3])):
                     total[place] += n
         if at is not None:
             yield done()
@@ -729,8 +774,11 @@ def spelling_tables(spark: SparkSession, joined: DataFrame, trees: Trees, bits:
 
 def packed_counts(held: list[tuple[np.ndarray, np.ndarray]], pack: zstandard.ZstdCompressor):
     """Batches (part, packed) of the sums of (slots, counts)."""
-    at, where = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
-    counts = [np.bincount(where, weights=np.concatenate([x[1][k] for x in held])).astype("i8") for k in range(4)]
+    own = np.concatenate([x[0] for x in held])
+    order, first = ordered(own)
+    at = own[order[first]]
+    counts = [np.add.reduceat(np.concatenate([x[1][k] for x in held])[order], first) for k in range(4)]
+    counts[2:] = counts[0] - counts[2], counts[1] - counts[3]  # few words are in the texts that tune alone
     parts, first = np.unique(at >> PART, return_index=True)
     edges = [*first.tolist(), len(at)]
     for k in range(0, len(parts), 64):
@@ -738,53 +786,55 @@ def packed_counts(held: list[tuple[np.ndarray, np.ndarray]], pack: zstandard.Zst
         yield pa.RecordBatch.from_arrays([pa.array(parts[k : k + 64].astype("i4")), pa.array([pack.compress(r.astype("<i8").view("u1").reshape(-1, 8).T.tobytes()) for r in rows], pa.binary())], ["part", "packed"])
 
 
-def chosen(texts: np.ndarray, seq: np.ndarray, known: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(seq, known, runs, first) of some of a block's texts."""
-    runs = runs_of(known, first)
+def chosen(texts: np.ndarray, seq: np.ndarray, known: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(seq, known, first) of some of a block's texts."""
     at = np.concatenate([np.zeros(0, "i8"), *(np.arange(first[k], first[k + 1]) for k in texts.tolist())]).astype("i8")
-    return seq[at], known[at], runs[at], np.concatenate([[0], np.cumsum(np.diff(first)[texts])])
+    return seq[at], known[at], np.concatenate([[0], np.cumsum(np.diff(first)[texts])])
+
+
+def lesson(words: list[bytes], seq: np.ndarray, known: np.ndarray, first: np.ndarray, model: Model) -> list[np.ndarray]:
+    """What some texts teach: for the spelling and the flags, moved weights times how much they count, that, and the last
+    stage's new ones and bits."""
+    spelled, spelling, out = (known <= 0) | (known & 1 == 0), np.zeros(len(seq)), []
+    for m, new in ((Mixer.spelling(), Mixer.spelling()), (Mixer.flags(), Mixer.flags())):
+        squares = np.full(m.weights.shape, 1e-3)
+        if not out:
+            spelling[spelled] = Model(model.trees, model.bits, model.table, m, m).spelled([words[k] for k in seq[spelled].tolist()], squares)
+        else:
+            mix(flags_of(seq, known, first, spelling), m, squares)
+        counts = (squares > 2e-3).any(axis=0) * (m.n - new.n).sum()
+        out += [(m.weights * counts).reshape(-1), counts, m.ones - new.ones, m.n - new.n]
+    return out
 
 
-def tuned_mixer(spark: SparkSession, joined: DataFrame, model: Model) -> Mixer:
-    """The mixer after the texts that tune it: each block learns from its own, and what they learned is averaged by their bits."""
+def tuned(spark: SparkSession, joined: DataFrame, model: Model) -> tuple[Mixer, Mixer]:
+    """The mixers of spelling and flags after the texts that tune them: each block learns from its own, and what they learned is
+    averaged by their bits, in exact sums."""
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        total, bits = np.zeros(INPUTS * GATES), np.zeros(GATES)
-        ones, n = np.zeros(2 * LEVELS), np.zeros(2 * LEVELS)
+        total = None
         for batch in batches:
             for k in range(batch.num_rows):
                 tune, seq, known, first = row_of(batch, k, "tune", "seq", "known", "first")
                 some = np.flatnonzero(tune)
-                if not len(some):
-                    continue
-                own, new = Mixer.new(), Mixer.new()
-                seq, known, runs, first = chosen(some, seq, known, first)
-                used, seq = np.unique(seq, return_inverse=True)
-                words = spelled_words(batch["spelled"][k].as_py())
-                m = shared.value
-                coder = Coder([words[j] for j in used.tolist()], Model(m.trees, m.bits, m.table, own))
-                squares = np.full(own.weights.shape, 1e-3)
-                for a in range(0, len(some), 8):
-                    b = min(a + 8, len(some))
-                    coder.scores(seq[first[a] : first[b]], known[first[a] : first[b]], runs[first[a] : first[b]], first[a : b + 1] - first[a], squares)
-                moved = (squares > 2e-3).any(axis=0) * own.n.sum()
-                total += (own.weights * moved).reshape(-1)
-                bits += moved
-                ones += own.ones - new.ones
-                n += own.n - new.n
-        yield pa.RecordBatch.from_arrays([pa.array([x.tolist()], pa.list_(pa.float64())) for x in (total, bits, ones, n)], ["total", "bits", "ones", "n"])
-
-    names = {"total": INPUTS * GATES, "bits": GATES, "ones": 2 * LEVELS, "n": 2 * LEVELS}
-    rows = joined.select("tune", "seq", "known", "first", "spelled").mapInArrow(run, ", ".join(f"{c} array<double>" for c in names))
-    sums = rows.agg(*[F.array(*[F.sum(F.get(c, F.lit(k))) for k in range(size)]).alias(c) for c, size in names.items()]).first()
+                if len(some):
+                    own = np.concatenate(lesson(spelled_words(batch["spelled"][k].as_py()), *chosen(some, seq, known, first), shared.value))
+                    total = own if total is None else total + own
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype="i4")), pa.array(total)], ["k", "v"])
+
+    rows = joined.select("tune", "seq", "known", "first", "spelled").mapInArrow(run, "k int, v double")
+    found = {r["k"]: float(r["v"]) for r in rows.groupBy("k").agg(F.sum(F.col("v").cast("decimal(38,9)")).alias("v")).collect()}  # some thousand numbers
     shared.destroy()
-    mixer = Mixer.new()
-    if sums["bits"][0] is None:
-        return mixer
-    total, bits, ones, n = (np.array(sums[c]) for c in names)
-    weights = total.reshape(INPUTS, GATES) / np.maximum(bits, 1e-9)
-    return steady(Mixer(np.where(bits > 0, weights, mixer.weights), mixer.ones + ones, mixer.n + n))
+    out, at = [], 0
+    for mixer in (Mixer.spelling(), Mixer.flags()):
+        sizes = (mixer.weights.size, mixer.weights.shape[1], len(mixer.ones), len(mixer.n))
+        total, counts, ones, n = (np.array([found.get(k, 0.0) for k in range(a, a + size)]) for a, size in zip(at + np.cumsum([0, *sizes[:-1]]), sizes))
+        at += sum(sizes)
+        weights = np.where(counts > 0, total.reshape(mixer.weights.shape) / np.maximum(counts, 1e-9), mixer.weights)
+        out.append(Mixer(weights, mixer.ones + ones, mixer.n + n).steady())
+    return out[0], out[1]
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, bits_per_byte double"
@@ -796,12 +846,13 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> D
     rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held"), tune.alias("tune"))
     blocks = materialize(spark, word_blocks(rows), "blocks")
     entries = blocks.agg(F.sum(F.element_at("first", -1).cast("long"))).first()[0] or 0
-    joined = materialize(spark, joined_blocks(blocks, max(0, (entries // PART_ENTRIES).bit_length())), "joined")
+    key_bits = min(64 - NEXT, max(32, entries.bit_length() + 10))  # of two words before: a thousand times as many keys as there are words
+    joined = materialize(spark, joined_blocks(blocks, max(0, (entries // PART_ENTRIES).bit_length()), key_bits), "joined")
     pairs, n, v = byte_pairs(joined)
     trees, bits = trees_of(pairs), table_bits(v)
     every, some = spelling_tables(spark, joined, trees, bits)
-    mixer = tuned_mixer(spark, joined, Model(trees, bits, some, Mixer.new()))
-    shared = spark.sparkContext.broadcast(Model(trees, bits, every, mixer))
+    mixers = tuned(spark, joined, Model(trees, bits, some, Mixer.spelling(), Mixer.flags()))
+    shared = spark.sparkContext.broadcast(Model(trees, bits, every, *mixers))
 
     def run(batches):
         for batch in batches:
@@ -812,11 +863,9 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> D
                 logs = (np.log10(c + 1.0) - math.log10(n + v + 1))[seq].tolist()
                 known_words = np.concatenate([[0], np.cumsum(c[seq] > 0)])
                 size = np.concatenate([[0], np.cumsum(np.fromiter((len(w) + (w != END) for w in words), "i8", len(words))[seq])])
-                score = Coder(words, shared.value).scores(seq, known, runs_of(known, first), first)
-                tokens = np.diff(first).astype("i8")
-                # a text's own terms, added exactly, so that equal texts get equal scores wherever they stand
+                score = score_block(words, seq, known, first, shared.value)
                 base = [math.fsum(logs[a:b]) for a, b in zip(first.tolist(), first[1:].tolist())]
-                columns = [pa.array(held == 1), pa.array(tokens), pa.array(np.diff(known_words[first])), pa.array(base, pa.float64()), pa.array(score / math.log(10)), pa.array(-score / math.log(2) / np.diff(size[first]))]
+                columns = [pa.array(held == 1), pa.array(np.diff(first).astype("i8")), pa.array(np.diff(known_words[first])), pa.array(base, pa.float64()), pa.array(score / math.log(10)), pa.array(-score / math.log(2) / np.diff(size[first]))]
                 yield pa.RecordBatch.from_arrays([batch["doc_id"][k].values, *columns], [x.split()[0] for x in SCORES.split(", ")])
 
     scored = joined.select("doc_id", "held", "seq", "known", "first", "spelled", "counts").mapInArrow(run, SCORES)
