@@ -60,10 +60,6 @@ def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> C
     matches, values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     steps = F.zip_with(F.split(text, pattern, -1), matches, lambda a, b: F.struct(F.length(a).alias("gap"), F.length(b).alias("own")))
     steps = F.zip_with(steps, values, lambda s, v: F.struct(s["gap"].alias("gap"), s["own"].alias("own"), F.length(v).alias("size")))
-    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(steps))).cast("int"))
-    stretches = F.transform(F.sequence(F.lit(0), F.ceil(F.size(steps) / size).cast("int") - 1), lambda k: F.slice(steps, k * size + 1, size))
-    long = lambda part: F.aggregate(part, F.lit(0), lambda n, s: n + s["gap"] + F.coalesce(s["own"], F.lit(0)))
-    begins = F.aggregate(stretches, F.array(F.lit(0)), lambda out, part: F.concat(out, F.array(F.element_at(out, -1) + long(part))))
     empty = F.array().cast("array<struct<start:int,end:int,kind:string>>")
 
     def step(acc, s):
@@ -74,7 +70,21 @@ def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> C
     def placed(part, begin):
         return F.aggregate(part, F.struct(begin.alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
 
-    return F.flatten(F.zip_with(stretches, F.slice(begins, F.lit(1), F.size(stretches)), placed))
+    def in_stretches(all_steps):
+        size = F.ceil(F.sqrt(F.size(all_steps))).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.ceil(F.size(all_steps) / size).cast("int") - 1), lambda k: F.slice(all_steps, k * size + 1, size))
+
+    def begins(stretches):
+        long = lambda part: F.aggregate(part, F.lit(0), lambda n, s: n + s["gap"] + F.coalesce(s["own"], F.lit(0)))
+        return F.aggregate(F.transform(stretches, long), F.array(F.lit(0)), lambda out, n: F.concat(out, F.array(F.element_at(out, -1) + n)))
+
+    joined = lambda stretches, at: F.flatten(F.zip_with(stretches, F.slice(at, F.lit(1), F.size(stretches)), placed))
+    return let(steps, lambda s: let(in_stretches(s), lambda stretches: let(begins(stretches), lambda at: joined(stretches, at))))
+
+
+def let(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def none() -> Column:
