@@ -16,7 +16,7 @@ def test_merge_scalars_lists_maps_and_log(spark):
     last = {r.id: r for r in merge.merge_records(df, ["id"], ["pos"], merge.KEEP_LAST, fixed=("xref",), provenance="prov").collect()}
     k = first["k"]
     assert (k.name, k.extra, k.tags, k.props, k.xref, k.creation) == ("a", "n", ["x", "y", "z"], {"p": "1", "q": "3"}, ["i"], "s0")
-    assert sorted(k.updates) == ["extra\tNULL\tn\ts1\tKeepFirst", "name\ta\tb\ts1\tKeepFirst"]
+    assert sorted(k.updates) == ["extra\tNULL\tn\ts1\tKeepFirst", "name\ta\tb\ts1\tKeepFirst", 'tags\t+\t["z"]\ts1\tKeepFirst']  # additions to lists are logged as well
     assert (last["k"].name, last["k"].props) == ("b", {"p": "2", "q": "3"})
     assert first["l"].name is None and first["l"].tags is None and first["l"].updates is None
 
@@ -118,4 +118,4 @@ def test_mirror_replays_changes(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
         mirror(spark, source, str(tmp_path / "out"), str(tmp_path / "cp"), "id", ["seq"], "gone").awaitTermination()
-    assert sorted((r.id, r.v) for r in spark.read.parquet(str(tmp_path / "out" / "version=1")).collect()) == [(2, "c"), (3, "d")]
+    assert sorted((r.id, r.v) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(2, "c"), (3, "d")]

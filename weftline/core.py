@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIR: list[str] = []
+_SCOPES: list[list[str]] = []
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,9 +39,34 @@ def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for made in _SCOPES:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any store that Spark knows; none there is no fault."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, keep: int = 1):
+    """Within it, tables that are written to cut lineage are noted; at its end all but the last ``keep`` are deleted.
+
+    For builders that write their result last: nothing that it was made from is read again.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.remove(made)
+        for path in made[: len(made) - keep]:
+            remove(spark, path)
+
+
 def fresh(df: DataFrame, *bases: str) -> list[str]:
     """Column names that ``df`` does not have, so helper columns never clash with the caller's."""
     taken, out = {c.lower() for c in df.columns}, []

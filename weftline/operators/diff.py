@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from weftline.core import materialize
 from weftline.functions.ids import minted_id
 
 
@@ -56,3 +57,16 @@ def flag_for_review(df: DataFrame, provenance: list[str]) -> DataFrame:
     of it disagrees."""
     wrong = F.exists(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in provenance]), lambda x: x == "error")
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies")).withColumn("flagged", (F.col("copies") > 1) | wrong)
+
+
+def surrogates(spark: SparkSession, df: DataFrame, key: str, out: str = "surrogate") -> DataFrame:
+    """(key, number) of the distinct keys, numbered from 1 in their order.
+
+    Keys are sorted in ranges, side by side, and written with their place; how many each range holds (one number a
+    partition) says where its numbers begin, so no task sees more than its range.
+    """
+    placed = materialize(spark, df.select(key).where(F.col(key).isNotNull()).distinct().sort(key).withColumn("_at", F.monotonically_increasing_id()), "surrogates")
+    part, nth = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return placed.withColumn("_part", part).join(F.broadcast(sizes.select("_part", before.alias("_before"))), "_part").select(key, (F.col("_before") + nth + 1).alias(out))

@@ -69,11 +69,13 @@ def transitive_closure(spark: SparkSession, edges: DataFrame, nodes: DataFrame |
 
 
 def hops(edges: DataFrame, seeds: DataFrame, k: int) -> DataFrame:
-    """(node, depth): nodes within ``k`` steps along (src, dst) of ``seeds`` (node), each at its least depth."""
+    """(node, depth): nodes within ``k`` steps along (src, dst) of ``seeds`` (node), each at its least depth. Every depth but the
+    last is written, so that none is computed again for the next."""
     found = frontier = seeds.select("node").distinct().withColumn("depth", F.lit(0))
     for depth in range(1, k + 1):
         frontier = frontier.join(edges, frontier["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
         frontier = frontier.join(found.select("node"), "node", "left_anti").withColumn("depth", F.lit(depth))
+        frontier = materialize(edges.sparkSession, frontier, "hops") if depth < k else frontier
         found = found.union(frontier)
     return found
 

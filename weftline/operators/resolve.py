@@ -180,3 +180,11 @@ def reconcile_lists(main: DataFrame, orphans: DataFrame, key: str, listed: str,
     brought = found.groupBy(key).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(own))).alias(f"_{c}") for c in fold])
     joined = main.join(brought, key, "left")
     return joined.select(*[F.coalesce(c, f"_{c}").alias(c) if c in fold else F.col(c) for c in main.columns]), orphans.join(home, own, "left_anti")
+
+
+def fill_shared(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Rows without a value take the one that the others of their key share, marked ``filled``; others that differ raise."""
+    known = df.where(F.col(value).isNotNull()).groupBy(key).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    one = F.when(F.col("_low") == F.col("_high"), F.col("_low")).when(F.col("_low").isNotNull(), F.raise_error(F.concat(F.lit(f"{value} differs for "), F.col(key).cast("string"))))
+    rows = df.join(known, key, "left").withColumn("_one", one)
+    return rows.select(*[F.coalesce(value, "_one").alias(value) if c == value else F.col(c) for c in df.columns], (F.col(value).isNull() & F.col("_one").isNotNull()).alias("filled"))

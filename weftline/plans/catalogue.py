@@ -45,7 +45,12 @@ def facet_topn(spark, d):
 @entry("""SELECT p_brand AS value, count(DISTINCT l_orderkey)::BIGINT AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1 ORDER BY n DESC, value LIMIT 20""")
 def facet_array(spark, d):
     brands = load(spark, d, "lineitem").select("l_orderkey", "l_partkey").join(load(spark, d, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    return query.facet(brands.groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("brands")), "brands")
+    return query.facet(brands.select("l_orderkey", "p_brand").distinct(), "p_brand")
+
+
+@entry("""SELECT value, count(*)::BIGINT AS n FROM (SELECT unnest(list_distinct([l_returnflag, l_linestatus, l_returnflag])) AS value FROM lineitem) GROUP BY 1 ORDER BY n DESC, value LIMIT 20""")
+def facet_list(spark, d):
+    return query.facet(load(spark, d, "lineitem").select(F.array("l_returnflag", "l_linestatus", "l_returnflag").alias("flags")), "flags")
 
 
 @entry("""SELECT flags AS combination, count(*)::BIGINT AS n FROM (SELECT l_orderkey, string_agg(DISTINCT l_returnflag, '|' ORDER BY l_returnflag) AS flags FROM lineitem GROUP BY 1) GROUP BY 1""")
@@ -172,20 +177,19 @@ def tier_rules(spark, d):
     return both.select("c_custkey", rules.tier(*[F.col(x) for x in ("drugs", "ligands", "terms", "papers", "notes", "antibodies")]).alias("tier"))
 
 
-@entry("""SELECT p_partkey, coalesce(max(l_quantity) >= CASE WHEN p_brand = 'Brand#1' THEN 49.5 WHEN p_brand = 'Brand#2' THEN 48.0 ELSE 50.0 END, false) AS meets FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY p_partkey, p_brand""")
+@entry("""SELECT p_partkey, coalesce(max(l_quantity / 6.5::DOUBLE) >= CASE WHEN p_brand = 'Brand#1' THEN 7.52288 WHEN p_brand = 'Brand#2' THEN 7.0 WHEN p_brand = 'Brand#3' THEN 5.0 ELSE 6.0 END, false) AS meets FROM part LEFT JOIN lineitem ON p_partkey = l_partkey GROUP BY p_partkey, p_brand""")
 def category_threshold(spark, d):
-    details = load(spark, d, "lineitem").groupBy("l_partkey").agg(F.collect_list("l_quantity").alias("details"))
-    cut = F.when(F.col("p_brand") == "Brand#1", 49.5).when(F.col("p_brand") == "Brand#2", 48.0).otherwise(50.0)
-    joined = load(spark, d, "part").join(details, F.col("p_partkey") == F.col("l_partkey"), "left")
-    return joined.select("p_partkey", F.coalesce(F.exists("details", lambda v: v >= cut), F.lit(False)).alias("meets"))
+    best = load(spark, d, "lineitem").groupBy("l_partkey").agg(F.max(F.col("l_quantity") / 6.5).alias("best"))  # one value a part is enough to reach a cut-off
+    family = F.when(F.col("p_brand") == "Brand#1", "Kinase").when(F.col("p_brand") == "Brand#2", "GPCR").when(F.col("p_brand") == "Brand#3", "Ion Channel")
+    joined = load(spark, d, "part").join(best, F.col("p_partkey") == F.col("l_partkey"), "left")
+    return joined.select("p_partkey", rules.meets_cutoff(family, F.array("best")).alias("meets"))
 
 
-@entry("""WITH x AS (SELECT c_custkey, c_nationkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS family FROM customer), canon AS (SELECT c_nationkey, min_by(family, c_custkey) FILTER (family IS NOT NULL) AS fam FROM x GROUP BY 1)
-SELECT c_custkey, coalesce(family, fam) AS family, family IS NULL AND fam IS NOT NULL AS filled FROM x JOIN canon USING (c_nationkey)""")
+@entry("""SELECT c_custkey, 'family' || c_nationkey % 7 AS family, c_custkey % 3 = 0 AS filled FROM customer WHERE c_custkey % 3 > 0 OR c_nationkey IN (SELECT c_nationkey FROM customer WHERE c_custkey % 3 > 0) UNION ALL
+SELECT c_custkey, NULL, false FROM customer WHERE c_custkey % 3 = 0 AND c_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_custkey % 3 > 0)""")
 def xor_null_fill(spark, d):
-    x = load(spark, d, "customer").select("c_custkey", "c_nationkey", F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("family"))
-    canon = x.groupBy("c_nationkey").agg(F.min_by("family", F.when(F.col("family").isNotNull(), F.col("c_custkey"))).alias("fam"))
-    return x.join(canon, "c_nationkey").select("c_custkey", F.coalesce("family", "fam").alias("family"), (F.col("family").isNull() & F.col("fam").isNotNull()).alias("filled"))
+    x = load(spark, d, "customer").select("c_custkey", "c_nationkey", F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit("family"), F.col("c_nationkey") % 7)).alias("family"))
+    return resolve.fill_shared(x, "c_nationkey", "family").select("c_custkey", "family", "filled")
 
 
 @entry("""SELECT p_partkey, CASE WHEN count(*) OVER (PARTITION BY p_name) = 1 AND trim(p_name) <> '' THEN p_name ELSE 'P' || p_partkey END AS preferred FROM part""")
@@ -480,16 +484,16 @@ def json_props(spark, d):
     return e.groupBy("event_type", (F.col("k") % 10).alias("k")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
-@entry("""SELECT vec_id, 'd' || (i - 1) AS "column", embedding[i]::DOUBLE AS value FROM embeddings, range(1, 9) t(i)""")
+@entry("""SELECT vec_id, 'd' || (i - 1) AS "column", embedding[i]::DOUBLE AS value FROM embeddings, range(1, 65) t(i)""")
 def melt_matrix(spark, d):
-    e = load(spark, d, "embeddings").select("vec_id", *[F.get("embedding", F.lit(k)).cast("double").alias(f"d{k}") for k in range(8)])
-    return export.melt(e, ["vec_id"], [f"d{k}" for k in range(8)])
+    e = load(spark, d, "embeddings").select("vec_id", *[F.get("embedding", F.lit(k)).cast("double").alias(f"d{k}") for k in range(64)])
+    return export.melt(e, ["vec_id"], [f"d{k}" for k in range(64)])
 
 
-@entry("""SELECT vec_id, max(v) FILTER (k = 1) AS d0, max(v) FILTER (k = 2) AS d1 FROM (SELECT vec_id, i AS k, embedding[i]::DOUBLE AS v FROM embeddings, range(1, 3) t(i)) GROUP BY 1""")
+@entry(f"""SELECT vec_id, {", ".join(f"embedding[{k + 1}]::DOUBLE AS d{k}" for k in range(64))} FROM embeddings""")
 def widen_matrix(spark, d):
-    long = load(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("k", "v")).where("k < 2").select("vec_id", F.concat(F.lit("d"), "k").alias("k"), F.col("v").cast("double").alias("v"))
-    return export.widen(long, ["vec_id"], "k", "v", ["d0", "d1"])
+    long = load(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("k", "v")).select("vec_id", F.concat(F.lit("d"), "k").alias("k"), F.col("v").cast("double").alias("v"))
+    return export.widen(long, ["vec_id"], "k", "v", [f"d{k}" for k in range(64)])
 
 
 def violation(condition: str, field: str, message: str, key: str, table: str, severity: str = "error") -> str:
@@ -548,11 +552,11 @@ def prefix_counts(spark, d):
     return one(p).union(one(u))
 
 
-@entry("""SELECT c_nationkey, count(DISTINCT c_custkey)::BIGINT AS customers, count(*)::BIGINT AS orders, string_agg(o_orderpriority || ':' || o_orderkey, ';' ORDER BY o_orderpriority, o_orderkey) AS evidence FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_totalprice > 300000 GROUP BY 1""")
+@entry("""SELECT c_custkey, count(DISTINCT o_orderstatus)::BIGINT AS kinds, count(*)::BIGINT AS orders, string_agg(o_orderpriority || ':' || o_orderkey, ';' ORDER BY o_orderpriority, o_orderkey) AS evidence FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_totalprice > 300000 GROUP BY 1""")
 def evidence_group(spark, d):
     both = load(spark, d, "customer").join(load(spark, d, "orders").where("o_totalprice > 300000"), F.col("c_custkey") == F.col("o_custkey"))
     evidence = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderpriority", "o_orderkey"))), lambda x: F.concat_ws(":", x["o_orderpriority"], x["o_orderkey"])), ";")
-    return both.groupBy("c_nationkey").agg(F.countDistinct("c_custkey").alias("customers"), F.count(F.lit(1)).alias("orders"), evidence.alias("evidence"))
+    return both.groupBy("c_custkey").agg(F.countDistinct("o_orderstatus").alias("kinds"), F.count(F.lit(1)).alias("orders"), evidence.alias("evidence"))
 
 
 @entry("""SELECT vec_id AS parent_id, (i - 1)::INT AS position, embedding[i]::FLOAT AS value FROM embeddings, range(1, 65) t(i)""")

@@ -142,9 +142,9 @@ def stable_ids(spark, d):
     return load(spark, d, "supplier").select("s_suppkey", ids.minted_id("SUP", F.col("s_name")).alias("id"))
 
 
-@entry("""SELECT s_name, dense_rank() OVER (ORDER BY s_name)::INT AS surrogate FROM supplier""")
+@entry("""SELECT c_name, dense_rank() OVER (ORDER BY c_name)::BIGINT AS surrogate FROM customer""")
 def surrogate_ids(spark, d):
-    return load(spark, d, "supplier").select("s_name", F.dense_rank().over(Window.orderBy("s_name")).alias("surrogate"))
+    return diff.surrogates(spark, load(spark, d, "customer").select("c_name"), "c_name")
 
 
 @entry("""SELECT conv_id, count(*)::BIGINT AS turns, string_agg(role, '>' ORDER BY turn) AS roles, max_by(turn, turn)::BIGINT AS last FROM conversations GROUP BY 1""")
