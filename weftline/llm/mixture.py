@@ -43,11 +43,11 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.core import load, materialize
+from weftline.core import load, materialize, scratch
 
 END = b"\n"  # the end's spelling; no word has it
 BLANK = 32
-BLOCK_BYTES = 4 << 20  # bytes of text that share a dictionary
+BLOCK_BYTES = 8 << 20  # bytes of text that share a dictionary
 PART_ENTRIES = 1 << 19  # words and continuations that a task adds up
 STRETCH = 1 << 18  # bytes of a text that are split into words together
 TUNE_PARTS = 16
@@ -56,7 +56,8 @@ LEAST_BITS = (18, 20, 20)  # log2 of the slots of each table, at least
 LINEAR_BITS = 24  # tables grow with the distinct words up to here, and with their root beyond
 SLOTS_A_WORD = (2, 8, 16)
 PART = 17  # log2 of the slots that travel in one row
-ENTRIES = 1 << 20  # bytes spelled, or flags mixed, together
+ENTRIES = 1 << 16  # bytes spelled, or words coded, together: as much as a processor's own cache takes
+COUNTED = 1 << 22  # branches counted before they are added up
 CLIP, STEPS = 8.4, 31  # of a packed logit, to either side of zero
 SPELL_GATES = 4 * 4
 RUNS = np.array([0, 1, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4, 4, 4, 4, 4, 5])  # runs of continuations that came true, in six steps
@@ -244,10 +245,11 @@ UNSEEN = STEPS << 2
 
 
 def counted(words: list[bytes], counts: np.ndarray, trees: Trees, bits: tuple[int, ...]):
-    """(slots in order, sums) of each stretch of words; sums: zeros and ones of each of the two columns of ``counts``. In the
-    table of whole words a word counts as often as it occurs; in the others once, as they are for words not met before."""
+    """(keys, sums) of each stretch of words: keys are slots, times two, and the way taken there, some more than once; sums have the
+    two columns of ``counts``. In the table of whole words a word counts as often as it occurs; in the others once, as they
+    are for words not met before."""
     offsets = offsets_of(bits)
-    for some, times in in_stretches(words, counts, ENTRIES):
+    for some, times in in_stretches(words, counts, 4 * ENTRIES):
         s = letters(some)
         size, path = np.diff(s.edges), s.path.astype("u8")
         kind = np.repeat((times > 0) @ np.array([1, 2]), size).astype("u8")
@@ -265,12 +267,9 @@ def counted(words: list[bytes], counts: np.ndarray, trees: Trees, bits: tuple[in
                 word = np.repeat(np.arange(len(some)), size)[order]
                 n, keys = [np.add.reduceat(t[word], first) for t in times.T], keys[order[first]]
             byte, salt, way = branches(trees, (keys >> np.uint64(2) & np.uint64(0xFFFF)).astype("i4"))
-            at = slots((keys >> np.uint64(18)).astype("u4"), byte, salt, bits[k])
-            order, first = ordered(at)
-            found.append(at[order[first]].astype("i8") + offsets[k])
-            ones = way[order].astype(bool)
-            sums.append(np.stack([np.add.reduceat(np.where(ones == w, c[byte[order]], 0), first) for c in n for w in (False, True)]))
-        yield np.concatenate(found), np.concatenate(sums, axis=1).astype("i8")
+            found.append((slots((keys >> np.uint64(18)).astype("u4"), byte, salt, bits[k]) + offsets[k]) * 2 + way)
+            sums.append(np.stack([c.take(byte) for c in n]))
+        yield np.concatenate(found), np.concatenate(sums, axis=1)
 
 
 # --- mixing
@@ -278,7 +277,9 @@ def counted(words: list[bytes], counts: np.ndarray, trees: Trees, bits: tuple[in
 
 def seen_before(keys: np.ndarray, way: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(times seen, ones) of each key before its place."""
-    keys, room = distinct(keys)[1].astype("u8"), np.uint64(max(1, len(keys).bit_length()))
+    room = np.uint64(max(1, len(keys).bit_length()))
+    if len(keys) and int(keys.max()).bit_length() + int(room) > 64:
+        keys = distinct(keys)[1].astype("u8")
     own = np.sort(keys << room | np.arange(len(keys), dtype="u8"))
     grouped, own = own >> room, (own & ((np.uint64(1) << room) - np.uint64(1))).astype("i8")
     first = np.flatnonzero(np.concatenate([[True], grouped[1:] != grouped[:-1]]))[: len(own)]
@@ -335,29 +336,33 @@ class Model:
         """The natural log probability of each word's spelling. With ``squares``, running squares of the gradients, the words are a
         lesson, in their order: the mixer learns from every LESSON of them."""
         offsets, out, m = offsets_of(self.bits), np.empty(len(words)), self.spelling
+        weighed = lambda: (m.weights[:, :, None] * LOGITS).astype("f4").reshape(TABLES, -1)  # noqa: E731  by gate and packed logit
+        says, corrected = weighed(), (0.5 * m.ones / m.n).astype("f4")
         k = 0
         for some, _ in in_stretches(words, np.zeros(len(words)), ENTRIES):
             s = letters(some)
             byte, salt, ways = branches(self.trees, s.path)
             own = [self.table[offsets[t] : offsets[t + 1]].take(slots(s.contexts[t], byte, salt, self.bits[t])) for t in range(TABLES)]
-            gate = (own[2] & 3) * 4 + (own[1] & 3)
+            gate = (own[2] & 3).astype("u2") * 4 + (own[1] & 3)
             log = np.empty(len(gate))
             word = np.concatenate([[0], np.cumsum(self.trees.length[s.path])])[s.edges]  # where each word's branches begin
-            steps = range(0, len(some), LESSON if squares is not None else max(1, LESSON << 3))
+            steps = range(0, len(some), LESSON if squares is not None else LESSON << 3)
             for a, b in ((word[j], word[min(j + steps.step, len(some))]) for j in steps):
                 g, way = gate[a:b], ways[a:b]
-                x = [LOGITS.take(t[a:b]) for t in own]
-                z = sum(v * w.astype("f4").take(g) for v, w in zip(x, m.weights))
+                z = says[0].take(g * 256 + own[0][a:b])
+                for t in range(1, TABLES):
+                    z += says[t].take(g * 256 + own[t][a:b])
                 np.clip(z, -16, 16, out=z)
                 p, level = 1 / (1 + np.exp(-z)), level_of(z)
-                refined = 0.5 * p + 0.5 * (m.ones / m.n).astype("f4").take(level)
-                log[a:b] = np.log(np.where(way, refined, 1 - refined))
+                refined = 0.5 * p + corrected.take(level)
+                log[a:b] = np.log(np.abs(refined - (1 - way)))
                 if squares is not None:
-                    step = np.stack([np.bincount(g, weights=v * (way - p), minlength=SPELL_GATES) for v in x])
+                    step = np.stack([np.bincount(g, weights=LOGITS.take(own[t][a:b]) * (way - p), minlength=SPELL_GATES) for t in range(TABLES)])
                     squares += step * step
                     m.weights += 0.05 * step / np.sqrt(squares)
                     m.ones += np.bincount(level, weights=way, minlength=LEVELS)
                     m.n += np.bincount(level, minlength=LEVELS)
+                    says, corrected = weighed(), (0.5 * m.ones / m.n).astype("f4")
             out[k : k + len(some)] = np.add.reduceat(log, word[:-1])
             k += len(some)
         return out
@@ -380,7 +385,7 @@ def flags_of(seq: np.ndarray, known: np.ndarray, first: np.ndarray, spelling: np
     place = np.arange(len(seq)) - np.repeat(first[:-1], np.diff(first))
     text = np.repeat(np.arange(len(first) - 1, dtype="u8"), np.diff(first))
     asked, hit = known > 0, (known > 0) & (known & 1 == 1)
-    times, _ = seen_before(text << np.uint64(32) | seq.astype("u8"), np.zeros(len(seq), "u1"))
+    times, _ = seen_before(text * np.uint64(seq.max(initial=0) + 1) + seq.astype("u8"), np.zeros(len(seq), "u1"))
     second = ~hit & (place > 0)  # at a text's first word there is none to repeat
     at = np.concatenate([[0], np.cumsum(asked.astype("i8") + second)])
     total = int(at[-1])
@@ -395,7 +400,9 @@ def flags_of(seq: np.ndarray, known: np.ndarray, first: np.ndarray, spelling: np
     yes[b], no[b] = np.exp(np.minimum(np.log(np.maximum(times[second], 1e-9) / place[second]) - spelling[second], 60)) * (times[second] > 0), 1
     way[b] = yes[b] > 1  # the likelier way is what later flags take to have happened
     whose = text[second]
-    n, ones = seen_before(whose, way[b])
+    start = np.searchsorted(whose, whose)  # texts stand in order, so what a text did before needs no sorting
+    sums = np.concatenate([[0], np.cumsum(way[b], dtype="i8")])
+    n, ones = np.arange(len(b)) - start, sums[:-1] - sums[start]
     inputs[0, b] = np.log((ones + 0.4) / (n - ones + 0.4))
     inputs[2, b] = np.log((n - ones + 1) / (n + 1))
     last = np.zeros(len(b), "u8")  # what became of the three flags of this kind before
@@ -414,15 +421,10 @@ def mix(flags: Flags, mixer: Mixer, squares: np.ndarray | None = None) -> np.nda
     """The natural log probability of each text's flags. Texts run side by side, a chunk at a time; each learns for itself. With
     ``squares``, running squares of the gradients, what the chunks teach also moves the mixer itself."""
     sizes = np.diff(flags.edges)
-    out = np.zeros(len(sizes))
-    order = np.argsort(-sizes, kind="stable")
-    order = order[sizes[order] > 0]
-    bounds = np.concatenate([[0], np.cumsum(sizes[order])])
-    groups = np.unique(np.searchsorted(bounds, np.arange(0, bounds[-1], ENTRIES), side="left")) if len(order) else np.zeros(0, "i8")
-    for i, j in zip(groups.tolist(), [*groups[1:].tolist(), len(order)]):
-        some = order[i:j]
-        if len(some):
-            out[some] = mix_side_by_side(flags, flags.edges[:-1][some], sizes[some], mixer, squares)
+    out, order = np.zeros(len(sizes)), np.argsort(-sizes, kind="stable")
+    some = order[sizes[order] > 0]
+    if len(some):
+        out[some] = mix_side_by_side(flags, flags.edges[:-1][some], sizes[some], mixer, squares)
     return out
 
 
@@ -473,8 +475,13 @@ def score_block(words: list[bytes], seq: np.ndarray, known: np.ndarray, first: n
     spelling[spelled] = model.spelled([words[k] for k in needed.tolist()])[which]
     # a text's own terms, added exactly, so that equal texts get equal scores wherever they stand
     terms = spelling.tolist()
-    own = np.array([math.fsum(terms[a:b]) for a, b in zip(first.tolist(), first[1:].tolist())])
-    return own + mix(flags_of(seq, known, first, spelling), model.flags)
+    out = np.array([math.fsum(terms[a:b]) for a, b in zip(first.tolist(), first[1:].tolist())])
+    groups = np.unique(np.searchsorted(first, np.arange(0, first[-1], 2 * ENTRIES), side="left"))
+    for i, j in zip(groups.tolist(), [*groups[1:].tolist(), len(first) - 1]):
+        a, b = first[i], first[j]
+        if b > a:
+            out[i:j] += mix(flags_of(seq[a:b], known[a:b], first[i : j + 1] - a, spelling[a:b]), model.flags)
+    return out
 
 
 # --- words and continuations over the corpus
@@ -505,10 +512,12 @@ def spelled_words(raw: bytes) -> list[bytes]:
     return zstandard.ZstdDecompressor().decompress(raw).split(b" ")
 
 
-def digests(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The first 64 and the next 24 bits of each word's 128-bit hash."""
+def digests(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first 64 and the next 16 bits of each word's 128-bit hash, and the words' order by both."""
     both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(-1, 2)
-    return both[:, 0].astype("u8"), both[:, 1].astype("u8") >> np.uint64(40)
+    high, low = both[:, 0].astype("u8"), both[:, 1].astype("u8") >> np.uint64(48)
+    order = np.argsort(high)
+    return high, low, order if (np.diff(high[order]) > 0).all() else np.lexsort((low, high))
 
 
 def one_list(values: np.ndarray) -> pa.ListArray:
@@ -524,17 +533,24 @@ def parts_of(text: str):
     yield raw[a:]
 
 
+class Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 def word_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of texts as numbers of their dictionary's words: these in order of a hash of 88 bits, with their counts in
-    training texts, and in the training texts that tune the mixer."""
+    """Blocks of texts as numbers of their dictionary's words: these from the commonest on, with their counts in training texts,
+    and in the training texts that tune the mixer."""
 
     def block(ids, held, tune, seqs, numbers):
-        words = list(numbers)
-        high, low = digests(words)
-        order = np.lexsort((low, high))
+        words, seq = list(numbers), np.concatenate(seqs)
+        order = np.argsort(-np.bincount(seq, minlength=len(words)), kind="stable")  # common words have small numbers, which take less room
         rank = np.empty(len(words), "i4")
         rank[order] = np.arange(len(words))
-        seq = rank[np.concatenate(seqs)]
+        seq = rank[seq]
         first = np.concatenate([[0], np.cumsum([len(s) for s in seqs])])
         learn = np.repeat(~np.array(held), np.diff(first))
         counts = [np.bincount(seq[m], minlength=len(words)) for m in (learn, learn & np.repeat(np.array(tune), np.diff(first)))]
@@ -544,11 +560,11 @@ def word_blocks(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), pa.array([ids], pa.list_(pa.int64())), *lists, *binaries], [x.split()[0] for x in BLOCKS.split(", ")])
 
     def run(batches):
-        ids, held, tune, seqs, numbers, size = [], [], [], [], {END: 0}, 0
+        ids, held, tune, seqs, numbers, size = [], [], [], [], Numbers({END: 0}), 0
         for batch in batches:
             for doc_id, out, draw, value in zip(batch["doc_id"].to_pylist(), batch["held"].to_pylist(), batch["tune"].to_pylist(), batch["text"]):
                 text = value.as_py() or ""
-                own = [np.array([numbers.setdefault(w, len(numbers)) for w in part.split()], "i4") for part in parts_of(text)]
+                own = [np.fromiter(map(numbers.__getitem__, words), "i4", len(words)) for words in map(bytes.split, parts_of(text))]
                 ids.append(doc_id)
                 held.append(out)
                 tune.append(draw and not out)
@@ -556,7 +572,7 @@ def word_blocks(docs: DataFrame) -> DataFrame:
                 size += len(text)
                 if size >= BLOCK_BYTES:
                     yield block(ids, held, tune, seqs, numbers)
-                    ids, held, tune, seqs, numbers, size = [], [], [], [], {END: 0}, 0
+                    ids, held, tune, seqs, numbers, size = [], [], [], [], Numbers({END: 0}), 0
         if ids:
             yield block(ids, held, tune, seqs, numbers)
 
@@ -567,7 +583,7 @@ def numbered(column: pa.ChunkedArray | pa.Array, k: int = 0) -> np.ndarray:
     return column[k].values.to_numpy(zero_copy_only=False)
 
 
-NEXT = 12  # bits that tell continuations of the same words apart
+NEXT = 11  # bits that tell continuations of the same words apart
 
 
 def continuations(seq: np.ndarray, first: np.ndarray, high: np.ndarray, bits: int) -> np.ndarray:
@@ -601,11 +617,12 @@ def joined_blocks(blocks: DataFrame, bits: int, key_bits: int) -> DataFrame:
         part_of = lambda h: (h >> np.uint64(64 - bits)).astype("i8") if bits else np.zeros(len(h), "i8")
         for batch in batches:
             for k in range(batch.num_rows):
-                high, low = digests(spelled_words(batch["spelled"][k].as_py()))
+                high, low, order = digests(spelled_words(batch["spelled"][k].as_py()))
                 (seq,), (train, tuned) = unpacked(batch["seq"][k].as_py(), 1), unpacked(batch["counts"][k].as_py(), 2)
                 first, held = numbered(batch["first"], k), numbered(batch["held"], k)
                 keys, where = distinct(continuations(seq, first, high, key_bits))
                 times = np.bincount(where[np.repeat(held == 0, np.diff(first))], minlength=len(keys))
+                high, low, train, tuned = high[order], low[order], train[order], tuned[order]
                 words_in, keys_in = part_of(high), part_of(keys)
                 parts = np.union1d(words_in, keys_in)
                 spans = [np.append(np.searchsorted(x, parts), len(x)).tolist() for x in (words_in, keys_in)]
@@ -644,7 +661,10 @@ def joined_blocks(blocks: DataFrame, bits: int, key_bits: int) -> DataFrame:
         by_part = np.argsort(found["part"].to_numpy(), kind="stable").tolist()
         (n, tuned), (all_, most) = ([np.concatenate(x) for x in zip(*(unpacked(found[c][k].as_py(), 2) for k in by_part))] for c in ("words", "pairs"))
         (seq,) = unpacked(own["seq"][0].as_py(), 1)
-        high, _ = digests(spelled_words(own["spelled"][0].as_py()))
+        high, _, order = digests(spelled_words(own["spelled"][0].as_py()))
+        back = np.empty((2, len(order)), "i8")
+        back[:, order] = n, tuned
+        n, tuned = back
         known = others(seq, numbered(own["first"]), high, numbered(own["held"]) == 0, all_, most >> 1, most & 1, key_bits)
         more = {"counts": packed(n, tuned), "known": packed(known)}
         return pa.table({c: own[c] for c in ("doc_id", "held", "tune", "first", "seq", "spelled")} | {c: pa.array([v], pa.binary()) for c, v in more.items()})
@@ -732,33 +752,33 @@ def spelling_tables(spark: SparkSession, joined: DataFrame, trees: Trees, bits:
     shared = spark.sparkContext.broadcast(trees)
 
     def count(batches):
-        held, size, pack = [], 0, zstandard.ZstdCompressor(level=1)
+        held, size = [], 0
         for batch in batches:
             for k in range(batch.num_rows):
                 for entry in counted(*spoken(batch, k), shared.value, bits):
                     held.append(entry)
                     size += len(entry[0])
-                    if size >= 4 * ENTRIES:
-                        yield from packed_counts(held, pack)
+                    if size >= COUNTED:
+                        yield from packed_counts(held)
                         held, size = [], 0
         if held:
-            yield from packed_counts(held, pack)
+            yield from packed_counts(held)
 
     def add(batches):
-        unpack, at, own = zstandard.ZstdDecompressor(), None, np.zeros((4, 1 << PART), "i8")
-        done = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), *(pa.array([packed_logits(own[a], own[a + 1]).tobytes()], pa.binary()) for a in (0, 2))], ["part", "every", "some"])
+        at, own = None, np.zeros((2, 2 << PART), "i8")
+        made = lambda n: pa.array([packed_logits(n[::2], n[1::2]).tobytes()], pa.binary())
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), made(own[0]), made(own[0] - own[1])], ["part", "every", "some"])
         for batch in batches:
-            for part, packed in zip(batch["part"].to_pylist(), batch["packed"]):
+            for part, raw in zip(batch["part"].to_pylist(), batch["packed"]):
                 if part != at:
                     if at is not None:
                         yield done()
                     at = part
                     own[:] = 0
-                raw = np.frombuffer(unpack.decompress(packed.as_py()), "u1").reshape(8, -1)
-                step, *counts = np.ascontiguousarray(raw.T).view("<i8").reshape(5, -1)
+                step, n, less = unpacked(raw.as_py(), 3)
                 place = np.cumsum(step)
-                for total, n in zip(own, (*counts[:2], counts[0] - counts[2], counts[1] - counts[3])):
-                    total[place] += n
+                own[0, place] += n
+                own[1, place] += less
         if at is not None:
             yield done()
 
@@ -772,18 +792,17 @@ def spelling_tables(spark: SparkSession, joined: DataFrame, trees: Trees, bits:
     return tables[0], tables[1]
 
 
-def packed_counts(held: list[tuple[np.ndarray, np.ndarray]], pack: zstandard.ZstdCompressor):
-    """Batches (part, packed) of the sums of (slots, counts)."""
-    own = np.concatenate([x[0] for x in held])
-    order, first = ordered(own)
-    at = own[order[first]]
-    counts = [np.add.reduceat(np.concatenate([x[1][k] for x in held])[order], first) for k in range(4)]
-    counts[2:] = counts[0] - counts[2], counts[1] - counts[3]  # few words are in the texts that tune alone
-    parts, first = np.unique(at >> PART, return_index=True)
+def packed_counts(held: list[tuple[np.ndarray, np.ndarray]]):
+    """Batches (part, packed) of the sums of (keys, counts): keys in steps, counts, and what the second ones are less by."""
+    keys = np.concatenate([x[0] for x in held])
+    order, first = ordered(keys)
+    at = keys[order[first]]
+    n, less = (np.add.reduceat(np.concatenate([x[1][k] for x in held])[order], first) for k in (0, 1))
+    parts, first = np.unique(at >> (PART + 1), return_index=True)
     edges = [*first.tolist(), len(at)]
     for k in range(0, len(parts), 64):
-        rows = [np.stack([np.diff(at[a:b] - (p << PART), prepend=0), *(c[a:b] for c in counts)]) for p, a, b in zip(parts[k : k + 64].tolist(), edges[k:], edges[k + 1 :])]
-        yield pa.RecordBatch.from_arrays([pa.array(parts[k : k + 64].astype("i4")), pa.array([pack.compress(r.astype("<i8").view("u1").reshape(-1, 8).T.tobytes()) for r in rows], pa.binary())], ["part", "packed"])
+        rows = [packed(np.diff(at[a:b] - (p << (PART + 1)), prepend=0), n[a:b], n[a:b] - less[a:b]) for p, a, b in zip(parts[k : k + 64].tolist(), edges[k:], edges[k + 1 :])]
+        yield pa.RecordBatch.from_arrays([pa.array(parts[k : k + 64].astype("i4")), pa.array(rows, pa.binary())], ["part", "packed"])
 
 
 def chosen(texts: np.ndarray, seq: np.ndarray, known: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -844,10 +863,11 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> D
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row of ``docs``."""
     tune = F.pmod(F.xxhash64(F.lit("tune"), F.col("doc_id").cast("string"), "text"), F.lit(TUNE_PARTS)) == 0
     rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held"), tune.alias("tune"))
-    blocks = materialize(spark, word_blocks(rows), "blocks")
-    entries = blocks.agg(F.sum(F.element_at("first", -1).cast("long"))).first()[0] or 0
-    key_bits = min(64 - NEXT, max(32, entries.bit_length() + 10))  # of two words before: a thousand times as many keys as there are words
-    joined = materialize(spark, joined_blocks(blocks, max(0, (entries // PART_ENTRIES).bit_length()), key_bits), "joined")
+    with scratch(spark):  # the blocks go when they are joined
+        blocks = materialize(spark, word_blocks(rows), "blocks")
+        entries = blocks.agg(F.sum(F.element_at("first", -1).cast("long"))).first()[0] or 0
+        key_bits = min(64 - NEXT, max(32, entries.bit_length() + 10))  # of two words before: a thousand times as many keys as there are words
+        joined = materialize(spark, joined_blocks(blocks, max(0, (entries // PART_ENTRIES).bit_length()), key_bits), "joined")
     pairs, n, v = byte_pairs(joined)
     trees, bits = trees_of(pairs), table_bits(v)
     every, some = spelling_tables(spark, joined, trees, bits)
