@@ -18,7 +18,7 @@ code would need them, and equal texts score alike wherever they stand.
 
 Counts cover all training texts, and grow with them: exact counts of every word and of every three words are added up by
 shuffles, and never meet in one place; what is broadcast are the spelling contexts, hashed to tables that grow with the
-distinct words up to 2^24 slots, and with their root beyond (one byte a slot). A training text's own three-word counts
+distinct words up to 2^22 slots, and with their root beyond (one byte a slot). A training text's own three-word counts
 are taken out when it is scored, so that it is not predicted by itself; a copy elsewhere still predicts it.
 Mixing starts from weights learned on one in ``TUNE_PARTS`` of the training texts, chosen by a hash, of any length and
 at any size of the table; for that the spelling counts leave these texts out, and take them in again for the scores.
@@ -47,13 +47,13 @@ from weftline.core import load, materialize, scratch
 
 END = b"\n"  # the end's spelling; no word has it
 BLANK = 32
-BLOCK_BYTES = 8 << 20  # bytes of text that share a dictionary
+BLOCK_BYTES = 6 << 20  # bytes of text that share a dictionary
 PART_ENTRIES = 1 << 19  # words and continuations that a task adds up
 STRETCH = 1 << 18  # bytes of a text that are split into words together
 TUNE_PARTS = 16
 INPUTS, TABLES = 4, 3
 LEAST_BITS = (18, 20, 20)  # log2 of the slots of each table, at least
-LINEAR_BITS = 24  # tables grow with the distinct words up to here, and with their root beyond
+LINEAR_BITS = 22  # tables grow with the distinct words up to here, and with their root beyond
 SLOTS_A_WORD = (2, 8, 16)
 PART = 17  # log2 of the slots that travel in one row
 ENTRIES = 1 << 16  # bytes spelled, or words coded, together: as much as a processor's own cache takes
@@ -63,6 +63,7 @@ SPELL_GATES = 4 * 4
 RUNS = np.array([0, 1, 2, 2, 3, 3, 3, 3, 4, 4, 4, 4, 4, 4, 4, 4, 5])  # runs of continuations that came true, in six steps
 RUN_GATES, PLACE_GATES = 6 * 4 * 2, 16 * 2
 FLAG_GATES = RUN_GATES + PLACE_GATES
+RARE = 2  # how often a word may occur in a block to be numbered by its spelling
 CHUNK = 128  # flags between two refinements
 RATE = 0.01
 LEVELS, SURE = 33, 60.0  # of the last stage: steps of the mixed logit, and how many bits its start counts for
@@ -164,14 +165,17 @@ def letters(words: list[bytes]) -> Letters:
     begin = np.repeat(begins, sizes)
     place = np.arange(len(line)) - begin
     wide = line.astype("u8") + np.uint64(1)
-    past, last = np.zeros((2, len(line)), "u8"), np.zeros(len(line), "u8")
-    for j in range(1, 6):  # the bytes before, from the last to the fifth last, if they are the word's
-        last[:] = 0
-        last[j:] = wide[:-j]
-        last[place < j] = 0
-        past[1] |= last << np.uint64(9 * (j - 1))
-        if j == 3:
-            past[0] = past[1]
+
+    def earlier(x, k):  # what x has k bytes before, in the same word
+        out = np.zeros(len(x), "u8")
+        out[k:] = x[: len(x) - k]
+        out *= place >= k
+        return out
+
+    one = earlier(wide, 1)  # the last byte before, then the last two, three and five
+    two = one | earlier(one, 1) << np.uint64(9)
+    three = two | earlier(one, 2) << np.uint64(18)
+    past = three, three | earlier(two, 3) << np.uint64(27)
     power, inverse = powers(len(line) + 1)
     sums = np.zeros(len(line) + 1, "u8")
     np.cumsum(wide * power[: len(line)], out=sums[1:])
@@ -400,7 +404,7 @@ def flags_of(seq: np.ndarray, known: np.ndarray, first: np.ndarray, spelling: np
     yes[b], no[b] = np.exp(np.minimum(np.log(np.maximum(times[second], 1e-9) / place[second]) - spelling[second], 60)) * (times[second] > 0), 1
     way[b] = yes[b] > 1  # the likelier way is what later flags take to have happened
     whose = text[second]
-    start = np.searchsorted(whose, whose)  # texts stand in order, so what a text did before needs no sorting
+    start = np.concatenate([[0], np.cumsum(second)])[first[:-1]][whose.astype("i8")]  # texts stand in order, so what one did before needs no sorting
     sums = np.concatenate([[0], np.cumsum(way[b], dtype="i8")])
     n, ones = np.arange(len(b)) - start, sums[:-1] - sums[start]
     inputs[0, b] = np.log((ones + 0.4) / (n - ones + 0.4))
@@ -542,19 +546,20 @@ class Numbers(dict):
 
 
 def word_blocks(docs: DataFrame) -> DataFrame:
-    """Blocks of texts as numbers of their dictionary's words: these from the commonest on, with their counts in training texts,
-    and in the training texts that tune the mixer."""
+    """Blocks of texts as numbers of their dictionary's words: the commonest first and the rare ones in order, with their counts
+    in training texts, and in the training texts that tune the mixer."""
 
     def block(ids, held, tune, seqs, numbers):
         words, seq = list(numbers), np.concatenate(seqs)
-        order = np.argsort(-np.bincount(seq, minlength=len(words)), kind="stable")  # common words have small numbers, which take less room
+        times = np.bincount(seq, minlength=len(words))  # common words have small numbers, which take less room; the others stand in order, for the same reason
+        order = np.concatenate([(often := np.flatnonzero(times > RARE))[np.argsort(-times[often], kind="stable")], sorted(np.flatnonzero(times <= RARE).tolist(), key=words.__getitem__)]).astype("i8")
         rank = np.empty(len(words), "i4")
         rank[order] = np.arange(len(words))
         seq = rank[seq]
         first = np.concatenate([[0], np.cumsum([len(s) for s in seqs])])
         learn = np.repeat(~np.array(held), np.diff(first))
         counts = [np.bincount(seq[m], minlength=len(words)) for m in (learn, learn & np.repeat(np.array(tune), np.diff(first)))]
-        spelled = zstandard.ZstdCompressor(level=1).compress(b" ".join(words[k] for k in order.tolist()))
+        spelled = zstandard.ZstdCompressor(level=6).compress(b" ".join(words[k] for k in order.tolist()))
         lists = [one_list(np.array(v, "i4")) for v in (held, tune, first)]
         binaries = [pa.array([x], pa.binary()) for x in (packed(seq), spelled, packed(*counts))]
         return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex]), pa.array([ids], pa.list_(pa.int64())), *lists, *binaries], [x.split()[0] for x in BLOCKS.split(", ")])
