@@ -4,7 +4,8 @@ import re
 import xxhash
 from pyspark.sql import functions as F
 
-from weftline.llm.simhash import WIDTHS, fingerprint, links, near_duplicates, op5_simhash, segment_counts
+from weftline.llm import simhash
+from weftline.llm.simhash import WIDTHS, fingerprint, links, near_duplicates, op5_simhash, segment_counts, similar_components, similar_links
 
 
 def brute_fp(text):
@@ -88,3 +89,61 @@ def test_edges(spark):
     got = sorted(((r.doc_id, r.component_id) for r in near_duplicates(spark, df).collect()), key=str)
     assert got == sorted([(3, 2), (2, 2), (5, 5), (5, 5), (None, 5), (None, None)], key=str)
     assert near_duplicates(spark, df.limit(0)).collect() == []
+
+
+def brute_set(text, shingle=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(tuple(words[k : k + shingle]) for k in range(max(1, len(words) - shingle + 1))) if words else frozenset()
+
+
+def brute_similar(texts, least=0.8):
+    """The least number of a text that links of sets lead to, for each text."""
+    sets, parent = [brute_set(t) for t in texts], list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if sets[a] == sets[b] or len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+                parent[max(find(a), find(b))] = min(find(a), find(b))
+    return [find(k) for k in range(len(texts))]
+
+
+def near_copies(rng):
+    words = [f"word{k}" for k in range(400)]
+    texts = []
+    for _ in range(12):
+        base = rng.choices(words, k=rng.choice((8, 60, 300)))
+        texts.append(base)
+        for _ in range(rng.choice((0, 2, 25))):
+            copy = list(base)
+            for _ in range(rng.choice((0, 1, 2, 6, 20)) * len(base) // 300 + rng.choice((0, 1))):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            texts.append(copy)
+    return [" ".join(t) for t in texts] + ["", None, " \t", "one", "ONE", "one two", "a b c d e", "A b c d  e", "a b c d e f"]
+
+
+def test_similar_components_against_brute_force(spark):
+    texts = near_copies(random.Random(8))
+    want = brute_similar(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in similar_components(spark, df).collect()}
+    assert [got[k] for k in range(len(texts))] == want and len(set(want)) < len(texts) - 20
+    assert similar_components(spark, df.limit(0)).collect() == []
+    twice = df.union(df).union(spark.createDataFrame([(None, "one"), (None, "nobody else")], df.schema))
+    rows = similar_components(spark, twice).collect()
+    assert len(rows) == 2 * len(texts) + 2 and {r.component_id for r in rows if r.doc_id is None} == {texts.index("one"), None}
+
+
+def test_cells_of_any_size_lose_no_link(spark, monkeypatch):
+    """A cell of many members, most of them unlike each other: round after round, all are held against each other."""
+    monkeypatch.setattr(simhash, "LEADERS", 2)
+    rng = random.Random(9)
+    sets = [(k, list(range(100 * k, 100 * k + 20))) for k in range(60)]
+    sets += [(100 + k, [*range(100 * k, 100 * k + 19), -k]) for k in rng.sample(range(60), 30)]
+    members = spark.createDataFrame([(c, k, len(v)) for c in (1, 2) for k, v in sets], "cell long, key long, n long")
+    found = similar_links(spark, members, spark.createDataFrame(sets, "key long, shingles array<long>"), 0.8).collect()
+    assert sorted((r.src, r.dst) for r in found) == sorted((k - 100, k) for k, _ in sets if k >= 100)

@@ -8,9 +8,12 @@ the same bound: segments of 2 bits, then of single bits, where the bound is the
 fingerprints, and one star links what is within 2 bits of its middle. Nothing is lost, and no members are paired with
 each other beyond the crowd limit.
 
+Near copies by similarity (``similar_components``) may be further apart than a fingerprint search can promise. There the grid's
+links and fingerprints of sampled shingles only propose; the Jaccard similarity of the whole sets of shingles decides.
+
 Defined results: a null, empty or blank text has fingerprint zero, linked like any other; repeated rows and exact copies
-share a fingerprint and so a component; the component of rows whose doc_ids are all null is null; an empty table gives
-no rows.
+share a fingerprint and so a component; the component of rows whose doc_ids are all null is null; texts of any length
+count whole; further columns are not looked at, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import functools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.core import load, materialize
@@ -32,23 +35,35 @@ MOST_BITS = 2
 WIDTHS = (4, 2, 1)  # bits of the segments, coarse to fine
 CROWD = 32
 AT_ONCE = 1 << 15
+NEAR_SHINGLE, NEAR = 5, 0.8  # words of a shingle, and least similarity, of near copies
+BANDS, SAMPLED = 10, 3
+LEADERS = 8
+ORDERS, ONES = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """64 bits, each set where over half the shingles' XXH64 have it set."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """The XXH64 of every shingle of a text, repeats included."""
     words = (text or "").encode().lower().split()  # of bytes: A-Z only, and the six ASCII blanks
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), "i8", len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(words) - shingle + 1)
-    ends = ends[shingle - 1 :] if len(words) >= shingle else ends[-1:]
-    total, digest = np.zeros(64, "i8"), xxhash.xxh64_intdigest
-    for k in range(0, n, AT_ONCE):
-        h = np.array([digest(line[a:b], SEED) for a, b in zip(starts[k : min(n, k + AT_ONCE)].tolist(), ends[k : k + AT_ONCE].tolist())], "<u8")
-        total += np.unpackbits(h.view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype="i8")
-    return int(np.packbits(2 * total > n, bitorder="little").view("<u8")[0])
+    ends, digest = ends[shingle - 1 :] if len(words) >= shingle else ends[-1:], xxhash.xxh64_intdigest
+    return np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends.tolist())), "<u8", n)
+
+
+def majority(h: np.ndarray) -> int:
+    """64 bits, each set where over half the hashes have it set."""
+    total = np.zeros(64, "i8")
+    for k in range(0, len(h), AT_ONCE):
+        total += np.unpackbits(h[k : k + AT_ONCE].view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype="i8")
+    return int(np.packbits(2 * total > len(h), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    return majority(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -118,6 +133,110 @@ def components(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE) ->
     return marks.join(materialize(spark, ids, "classes"), "fp").select("doc_id", "fp", "mark", "component", "component_id")
 
 
+# --- near copies by similarity
+
+
+def sketch(text: str | None, shingle: int = NEAR_SHINGLE, bands: int = BANDS) -> tuple[int, int, int, list[int]]:
+    """(hash of the set of shingles, fingerprint, distinct shingles, sampled fingerprints) of a text.
+
+    A sampled fingerprint is that of the SAMPLED shingles that come first in an order of all shingles, another order for
+    each: texts of similarity s have the same sample, and so the same fingerprint, with a chance of about s^SAMPLED.
+    """
+    h = shingle_hashes(text, shingle)
+    own = np.unique(h)
+    key = xxhash.xxh64_intdigest(own.tobytes(), SEED)
+    if len(own) < SAMPLED:
+        return key, majority(h), len(own), [key] * bands
+    out = []
+    for k in range(bands):
+        mixed = (own ^ np.uint64(ORDERS * (2 * k + 1) & ONES)) * np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+        out.append(majority(own[np.argpartition(mixed, SAMPLED - 1)[:SAMPLED]]))
+    return key, majority(h), len(own), out
+
+
+def similarity(a: Column, b: Column) -> Column:
+    """The Jaccard similarity of two sets."""
+    shared = F.size(F.array_intersect(a, b))
+    return shared / (F.size(a) + F.size(b) - shared)
+
+
+def similar_links(spark: SparkSession, members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(src, dst): links that join all members (cell, key, n) of a cell whose sets (key, shingles) have a similarity of ``least`` or
+    more, directly or over each other.
+
+    In each cell a few members lead, and all others are held against them. Around the leader with most links grows the
+    cell's main group; who is in it needs no further look at the others in it. Whoever is outside leads in a later round,
+    of more leaders each, and is held against all. So any two members meet unless both are of the main group: a large
+    group of copies costs a few comparisons each, and no link is lost. Pairs whose sizes forbid the similarity are not
+    looked at, and none is looked at twice.
+    """
+    checked = main = None
+    leaders, still = LEADERS, members
+    while True:
+        first = F.row_number().over(Window.partitionBy("cell").orderBy("key"))
+        lead = materialize(spark, still.withColumn("_r", first).where(F.col("_r") <= leaders).select("cell", F.col("key").alias("leader"), F.col("n").alias("m")), "leaders")
+        met = members.join(lead, "cell").where((F.col("key") != F.col("leader")) & (F.least("n", "m") >= least * F.greatest("n", "m")))
+        met = materialize(spark, met.select("cell", "key", "leader", F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")), "met")
+        pairs = met.select("a", "b").distinct()
+        if checked is not None:
+            pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        one, two = (sets.select(F.col("key").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
+        held = pairs.join(one, "a").join(two, "b").select("a", "b", (similarity(F.col("_a"), F.col("_b")) >= least).alias("like"))
+        checked = materialize(spark, held if checked is None else held.union(checked), "checked")
+        like = materialize(spark, met.join(checked.where("like"), ["a", "b"]).select("cell", "key", "leader"), "like")
+        if main is None:
+            most = lead.join(like.groupBy("cell", "leader").agg(F.count(F.lit(1)).alias("_n")), ["cell", "leader"], "left").groupBy("cell").agg(F.max_by("leader", F.struct(F.coalesce("_n", F.lit(0)), "leader")).alias("key"))
+            main = most.select("cell", "key")
+        joined = like.join(main, ["cell", "key"], "left_semi").select("cell", "leader").union(lead.join(main.withColumnRenamed("key", "leader"), ["cell", "leader"], "left_semi").select("cell", "leader")).distinct()
+        main = materialize(spark, main.union(joined).union(like.join(joined, ["cell", "leader"], "left_semi").select("cell", "key")).distinct(), "main")
+        led = lead.select("cell", F.col("leader").alias("key"))
+        still = materialize(spark, still.join(led, ["cell", "key"], "left_anti").join(main, ["cell", "key"], "left_anti"), "still")
+        if still.isEmpty():
+            return checked.where("like").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+        leaders *= 4
+
+
+def similar_components(spark: SparkSession, docs: DataFrame, shingle: int = NEAR_SHINGLE, least: float = NEAR, bands: int = BANDS) -> DataFrame:
+    """(doc_id, mark, key, component, component_id): one row per row of ``docs``; documents of one component are linked by
+    similarities of ``least`` or more of their sets of shingles.
+
+    Texts with the same set are one from the start. Candidates are texts whose fingerprints the grid links, and texts that
+    share a sampled fingerprint; each is verified on the sets themselves, made again for candidates only.
+    """
+
+    def run(batches):
+        for batch in batches:
+            made = [sketch(t.as_py(), shingle, bands) for t in batch["text"]]
+            signed = lambda v: np.array(v, "u8").view("i8")
+            prints = pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1, dtype="i4") * bands), pa.array(signed([x for m in made for x in m[3]])))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["mark"], pa.array(signed([m[0] for m in made])), pa.array(signed([m[1] for m in made])), pa.array([m[2] for m in made], pa.int64()), prints], ["doc_id", "mark", "key", "fp", "n", "prints"])
+
+    def shingles(batches):
+        for batch in batches:
+            own = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch["text"]]
+            keys = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in own], "u8").view("i8")
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array([x.view("i8") for x in own], pa.list_(pa.int64()))], ["key", "shingles"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("mark"))
+    marks = materialize(spark, rows.mapInArrow(run, "doc_id long, mark long, key long, fp long, n long, prints array<long>"), "sketches")
+    points = materialize(spark, marks.groupBy("key").agg(F.min("doc_id").alias("low"), F.min("mark").alias("mark"), *[F.any_value(c).alias(c) for c in ("fp", "n", "prints")]), "points")
+    near = materialize(spark, connected_components(spark, links(spark, points.select("fp").distinct())).select(F.col("node").alias("fp"), F.col("component").alias("grid")), "near")
+    every = F.concat(F.array(F.coalesce("grid", "fp")), "prints")
+    cells = points.join(near, "fp", "left").select("key", "n", F.posexplode(every).alias("band", "value")).select(F.xxhash64("band", "value").alias("cell"), "key", "n").distinct()
+    shared = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("cell")
+    members = materialize(spark, cells.join(shared, "cell", "left_semi"), "members")
+    wanted = points.join(members.select("key").distinct(), "key", "left_semi").select("mark")
+    texts = rows.select("mark", "text").join(wanted, "mark", "left_semi").dropDuplicates(["mark"])
+    sets = materialize(spark, texts.select("text").mapInArrow(shingles, "key long, shingles array<long>"), "sets")
+    parts = materialize(spark, connected_components(spark, similar_links(spark, members, sets, least)), "parts")
+    lows = points.join(parts.withColumnRenamed("node", "key"), "key").groupBy("component").agg(F.min("low").alias("component_id"))
+    merged = parts.join(lows, "component").select(F.col("node").alias("key"), "component", "component_id")
+    ids = points.join(merged, "key", "left").select("key", F.coalesce("component", "key").alias("component"), F.coalesce("component_id", "low").alias("component_id"))
+    return marks.select("doc_id", "mark", "key").join(materialize(spark, ids, "classes"), "key").select("doc_id", "mark", "key", "component", "component_id")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id): one row per row of ``docs``; component_id is the smallest doc_id that links lead to."""
     return components(spark, docs, shingle).select("doc_id", "fp", "component_id")
