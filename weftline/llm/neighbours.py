@@ -216,24 +216,25 @@ def score_block(q: Quantizer, queries: pd.DataFrame, rows: pd.DataFrame, top: in
         _, first, which = np.unique(vectors.view(f"V{vectors.shape[1] * 8}").reshape(-1), return_index=True, return_inverse=True)
         members = np.split(ids[np.argsort(which, kind="stable")], np.cumsum(np.bincount(which))[:-1])  # of each distinct vector, by id
         distinct, codes = vectors[first], np.stack([np.frombuffer(c, "u1") for c in rows["code"].to_numpy()[first]])
-        centers = q.centroids[rows["list"].to_numpy()[first]]
+        centers = q.centroids[rows["list"].to_numpy()[first]].astype("f4")
         asked = np.stack(queries["v"])
         keep = min(len(distinct), RERANK * top)
         for a in range(0, len(asked), 256):
             part, numbers, qids = (x[a : a + 256] for x in (asked, queries["query"].to_numpy(), queries["query_id"].to_numpy()))
-            tables = q.tables(part)
-            rough = part @ centers.T
+            tables = q.tables(part).astype("f4")
+            rough = part.astype("f4") @ centers.T
             for p in range(codes.shape[1]):
-                rough += tables[:, p, codes[:, p]]
-            best = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
-            for k, (query, number, qid) in enumerate(zip(part, numbers, qids)):
-                exact = (distinct[best[k]] * query).sum(axis=1)
+                rough += tables[:, p].take(codes[:, p], axis=1)
+            best = np.argpartition(rough, len(distinct) - keep, axis=1)[:, len(distinct) - keep :]
+            exact = (distinct[best] * part[:, None]).sum(axis=2)
+            order = np.argsort(-exact, axis=1, kind="stable")
+            for number, qid, scores, places in zip(numbers.tolist(), qids.tolist(), np.take_along_axis(exact, order, 1).tolist(), np.take_along_axis(best, order, 1).tolist()):
                 taken = []
-                for c in np.argsort(-exact, kind="stable"):
-                    if len(taken) >= top and exact[c] < taken[-1][0]:
+                for score, place in zip(scores, places):
+                    if len(taken) >= top and score < taken[-1][0]:
                         break
-                    own = members[best[k][c]]
-                    taken += [(exact[c], v) for v in own[own != qid][:top]]
+                    own = members[place]
+                    taken += [(score, v) for v in (own if len(own) == 1 and own[0] != qid else own[own != qid][:top]).tolist()]
                 taken = sorted(taken, key=lambda x: (-x[0], x[1]))[:top]
                 out["query"] += [number] * len(taken)
                 out["vec_id"] += [v for _, v in taken]
