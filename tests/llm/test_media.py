@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import zlib
 
@@ -72,3 +73,52 @@ def test_edges(spark):
     bad = spark.createDataFrame([(1, 1, None), (2, 1, b"RIFFxxxxAVI zz"), (3, 1, b"")], "doc_id long, n_bytes long, media binary")
     assert all(r.error and r.payload_sha256 is None for r in read_media(bad).collect())
     assert text_to_media(df.limit(0)).collect() == []
+
+
+def brute_feature(payload):
+    """Shots and histogram of a payload, sample by sample, from what the format says of its bytes."""
+    zigzag = sorted(((r, c) for r in range(8) for c in range(8)), key=lambda p: (p[0] + p[1], p[0] if (p[0] + p[1]) % 2 else p[1]))
+    wave = [[round(1024 * math.sqrt((1 if u else 0.5) / 4) * math.cos((2 * x + 1) * u * math.pi / 16)) for x in range(8)] for u in range(8)]
+    quant = media.read_jpeg(media.riff_frames(encode([payload])[0])[0][0])[0][2]
+    data = payload + bytes(-len(payload) % (64 * 32))
+    hist = []
+    for f in range(0, len(data), 64 * 32):
+        counts = [0] * 16
+        for b in range(f, f + 64 * 32, 64):
+            block = [[0] * 8 for _ in range(8)]
+            for k, (r, c) in enumerate(zigzag):
+                block[r][c] = (data[b + k] + 1) * quant[k]
+            rows = [[sum(block[r][v] * wave[v][y] for v in range(8)) for y in range(8)] for r in range(8)]
+            for x in range(8):
+                for y in range(8):
+                    v = sum(rows[u][y] * wave[u][x] for u in range(8))
+                    counts[min(255, max(0, (2 * v + 257 * 2**20) // 2**21)) // 16] += 1
+        hist.append(counts)
+    cuts, recent = [0], []
+    for k in range(1, len(hist)):
+        d = sum(abs(a - b) for a, b in zip(hist[k], hist[k - 1])) / (2 * 64 * 32)
+        if len(recent) >= 2 and d > max(0.08, np.mean(recent) + 2.5 * np.std(recent)):
+            cuts, recent = [*cuts, k], []
+        else:
+            recent = [*recent, d][-8:]
+    spans = ",".join(f"{a}+{b - a}" for a, b in zip(cuts, [*cuts[1:], len(hist)]))
+    return f"shots={spans};histogram={','.join(str(sum(h[k] for h in hist)) for k in range(16))}"
+
+
+def test_features_against_brute_force(spark, tmp_path):
+    texts = [None, "", "short", "some words of prose " * 300, "\u00e9\u4e2d" * 900 + "0101" * 2500 + "zzzz" * 2000, "|" * 6000 + "and then a text again, with words " * 150]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r.doc_id: r for r in op3_media(spark, str(tmp_path)).collect()}
+    for k, text in enumerate(texts):
+        assert rows[k].feature == brute_feature(payload_of(text)[1]) and rows[k].error is None
+    assert max(r.n_clips for r in rows.values()) > 1
+
+
+def test_a_broken_file_leaves_others_alone():
+    good = encode([b"a" * 640, b"b" * 640, b"c" * 640])
+    broken = bytearray(good[1])
+    at = good[1].index(b"\xff\xda")
+    broken[at + 12 : at + 60] = bytes([0xAA, 0x55]) * 24
+    rows = decode([good[0], bytes(broken), good[2]])
+    assert rows[0]["payload"] == b"a" * 640 and rows[2]["payload"] == b"c" * 640 and rows[0]["error"] is rows[2]["error"] is None
+    assert rows[1]["error"] or rows[1]["payload"] != b"b" * 640

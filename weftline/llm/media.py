@@ -6,7 +6,10 @@ by side. The reader walks the RIFF index, decodes the frames, returns the stored
 histogram difference of two frames exceeds a threshold that adapts to the shot so far.
 
 Defined results: a null text is the empty text, whose payload is one block of zeros; equal payloads give equal media and
-features (all arithmetic is exact); media that are null or not such a file give nulls with the reason in ``error``.
+features (all arithmetic is exact), also in repeated rows, which are stored each for itself; a null doc_id stays null; a
+text of any length is one file; further columns are not looked at, whatever their names; media that are null or not such
+a file give nulls with the reason in ``error``, and leave the files beside them alone; an empty table gives no rows. The
+reader knows grey baseline frames with a restart marker after every block, as they are written here.
 """
 
 from __future__ import annotations
@@ -321,8 +324,9 @@ def decode(media: list[bytes | None]) -> list[dict]:
             row["error"] = str(why) or type(why).__name__
     for (dc, ac, quant, per), members in groups.items():
         step = max(1, AT_ONCE // per)
-        for a in range(0, len(members), step):
-            some = members[a : a + step]
+        waiting = [members[a : a + step] for a in range(0, len(members), step)]
+        while waiting:
+            some = waiting.pop()
             try:
                 joint = np.concatenate([x for k, (_, _, scan) in enumerate(some) for x in ([np.array([0xFF, 0xD0], "u1")] * bool(k) + [scan])])
                 coefs = coefficients(joint, dc, ac)
@@ -332,9 +336,11 @@ def decode(media: list[bytes | None]) -> list[dict]:
                 bytes_ = (coefs - 1).astype("u1").reshape(len(some), -1)
                 for (k, nth, _), own, h in zip(some, bytes_, hist):
                     out[k]["parts"][nth] = (own.tobytes(), h)
-            except ValueError as why:
-                for k, _, _ in some:
-                    out[k]["error"] = str(why)
+            except (ValueError, IndexError) as why:
+                if len(some) > 1:  # one by one, so that only the files that fail are marked
+                    waiting += [[x] for x in some]
+                else:
+                    out[some[0][0]]["error"] = str(why)
     for row in out:
         parts = row.pop("parts", None)
         if row["error"] or parts is None:
@@ -410,4 +416,4 @@ def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = read_media(text_to_media(load(spark, sf_dir, "documents")))
     spans = F.array_join(F.transform("clips", lambda c: F.concat(c["first_frame"].cast("string"), F.lit("+"), c["frames"].cast("string"))), ",")
     feature = F.concat(F.lit("shots="), spans, F.lit(";histogram="), F.array_join(F.col("histogram").cast("array<string>"), ","))
-    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"), F.size("clips").cast("long").alias("n_clips"))
+    return read.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"), F.size("clips").cast("long").alias("n_clips"), "error")
