@@ -233,8 +233,8 @@ def test_continuations_against_counters(spark, monkeypatch):
         spoken = Counter()
         for r in mixture.joined_blocks(materialize(spark, mixture.word_blocks(rows), "blocks"), bits, key_bits).collect():
             words, own, (seq,), (known,) = mixture.spelled_words(r.spelled), mixture.unpacked(r.counts, 2)[0].tolist(), mixture.unpacked(r.seq, 1), mixture.unpacked(r.known, 1)
-            assert [~n if n < 0 else n for n in own] == [counts[w] for w in words]
-            spoken.update(w for w, n in zip(words, own) if n < 0)
+            assert [n >> 1 for n in own] == [counts[w] for w in words]
+            spoken.update(w for w, n in zip(words, own) if n & 1)
             for d, a, b in zip(r.doc_id, r["first"], r["first"][1:]):
                 assert [words[k] for k in seq[a:b]] == lines[d] and known[a:b].tolist() == want[d]
         assert set(spoken) == {w for line in lines for w in line} and set(spoken.values()) == {1}

@@ -48,7 +48,7 @@ from weftline.core import load, materialize, scratch
 END = b"\n"  # the end's spelling; no word has it
 BLANK = 32
 BLOCK_BYTES = 6 << 20  # bytes of text that share a dictionary
-PART_ENTRIES = 1 << 19  # words and continuations that a task adds up
+PART_ENTRIES = 1 << 20  # words and continuations that a task adds up
 STRETCH = 1 << 18  # bytes of a text that are split into words together
 TUNE_PARTS = 16
 INPUTS, TABLES = 4, 3
@@ -68,6 +68,7 @@ CHUNK = 128  # flags between two refinements
 RATE = 0.01
 LEVELS, SURE = 33, 60.0  # of the last stage: steps of the mixed logit, and how many bits its start counts for
 LESSON = 512  # words spelled between two steps of the spelling weights
+UNITS = float(1 << 34)  # of added logarithms
 MASK = (1 << 64) - 1
 
 
@@ -471,15 +472,19 @@ def mix_side_by_side(flags: Flags, starts: np.ndarray, sizes: np.ndarray, mixer:
     return total
 
 
+def sums_of(terms: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sum of each text's terms, in whole units of 2^-34, so that equal texts get equal sums wherever they stand."""
+    sums = np.concatenate([[0], np.cumsum(np.rint(terms * UNITS).astype("i8"))])
+    return (sums[first[1:]] - sums[first[:-1]]) / UNITS
+
+
 def score_block(words: list[bytes], seq: np.ndarray, known: np.ndarray, first: np.ndarray, model: Model) -> np.ndarray:
     """The natural log probability of each of a block's texts."""
     spelling = np.zeros(len(seq))
     spelled = (known <= 0) | (known & 1 == 0)
     needed, which = distinct(seq[spelled])
     spelling[spelled] = model.spelled([words[k] for k in needed.tolist()])[which]
-    # a text's own terms, added exactly, so that equal texts get equal scores wherever they stand
-    terms = spelling.tolist()
-    out = np.array([math.fsum(terms[a:b]) for a, b in zip(first.tolist(), first[1:].tolist())])
+    out = sums_of(spelling, first)
     groups = np.unique(np.searchsorted(first, np.arange(0, first[-1], 2 * ENTRIES), side="left"))
     for i, j in zip(groups.tolist(), [*groups[1:].tolist(), len(first) - 1]):
         a, b = first[i], first[j]
@@ -517,9 +522,9 @@ def spelled_words(raw: bytes) -> list[bytes]:
 
 
 def digests(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The first 64 and the next 16 bits of each word's 128-bit hash, and the words' order by both."""
+    """The first 64 and the next 8 bits of each word's 128-bit hash, and the words' order by both."""
     both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(-1, 2)
-    high, low = both[:, 0].astype("u8"), both[:, 1].astype("u8") >> np.uint64(48)
+    high, low = both[:, 0].astype("u8"), both[:, 1].astype("u8") >> np.uint64(56)
     order = np.argsort(high)
     return high, low, order if (np.diff(high[order]) > 0).all() else np.lexsort((low, high))
 
@@ -609,8 +614,8 @@ JOINED = "doc_id array<long>, held array<int>, tune array<int>, first array<int>
 
 
 def joined_blocks(blocks: DataFrame, bits: int, key_bits: int) -> DataFrame:
-    """JOINED: blocks with what the corpus knows of their words (counts: how often they occur in training texts, negative in
-    the one block that speaks for a word, and there how often in those that tune) and of their continuations.
+    """JOINED: blocks with what the corpus knows of their words (counts: how often they occur in training texts, times two, and
+    one more in the one block that speaks for a word, and there how often in those that tune) and of their continuations.
 
     Words and continuations go by the first ``bits`` of their hashes to the tasks that add them up, one entry of each
     block that has them, so frequent ones weigh no more than rare ones; the sums come back to the blocks. Two words before
@@ -649,7 +654,7 @@ def joined_blocks(blocks: DataFrame, bits: int, key_bits: int) -> DataFrame:
         counts, tuned = (np.bincount(word, weights=x).astype("i8") for x in (train, tuned))
         speaks = np.zeros(len(order), bool)
         speaks[order[new]] = True  # one block speaks for each word
-        n, tuned = np.where(speaks, ~counts[word], counts[word]), np.where(speaks, tuned[word], 0)
+        n, tuned = counts[word] << 1 | speaks, np.where(speaks, tuned[word], 0)
         keys, where = distinct(np.concatenate([risen(p[0], low_bits) for p in pairs]))
         times = np.bincount(where, weights=np.concatenate([p[1] for p in pairs])).astype("i8")
         begins = np.flatnonzero(np.concatenate([[True], keys[1:] >> np.uint64(64 - key_bits) != keys[:-1] >> np.uint64(64 - key_bits)]))[: len(keys)]
@@ -721,9 +726,10 @@ def row_of(batch: pa.RecordBatch, k: int, *names: str) -> list[np.ndarray]:
 def spoken(batch: pa.RecordBatch, k: int) -> tuple[list[bytes], np.ndarray]:
     """The training words that a block speaks for, with their counts in all training texts, and in those that do not tune."""
     n, tuned = row_of(batch, k, "counts")
-    some = np.flatnonzero(n < -1)
+    some = np.flatnonzero((n > 1) & (n & 1 == 1))
+    n = n >> 1
     words = spelled_words(batch["spelled"][k].as_py())
-    return [words[j] for j in some.tolist()], np.stack([~n[some], ~n[some] - tuned[some]], axis=1)
+    return [words[j] for j in some.tolist()], np.stack([n[some], n[some] - tuned[some]], axis=1)
 
 
 def byte_pairs(joined: DataFrame) -> tuple[np.ndarray, int, int]:
@@ -871,7 +877,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> D
     with scratch(spark):  # the blocks go when they are joined
         blocks = materialize(spark, word_blocks(rows), "blocks")
         entries = blocks.agg(F.sum(F.element_at("first", -1).cast("long"))).first()[0] or 0
-        key_bits = min(64 - NEXT, max(32, entries.bit_length() + 10))  # of two words before: a thousand times as many keys as there are words
+        key_bits = min(64 - NEXT, max(32, entries.bit_length() + 8))  # of two words before: over a hundred times as many keys as there are words
         joined = materialize(spark, joined_blocks(blocks, max(0, (entries // PART_ENTRIES).bit_length()), key_bits), "joined")
     pairs, n, v = byte_pairs(joined)
     trees, bits = trees_of(pairs), table_bits(v)
@@ -884,13 +890,15 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> D
             for k in range(batch.num_rows):
                 held, seq, known, first, c, _ = row_of(batch, k, "held", "seq", "known", "first", "counts")
                 words = spelled_words(batch["spelled"][k].as_py())
-                c = np.where(c < 0, ~c, c)
-                logs = (np.log10(c + 1.0) - math.log10(n + v + 1))[seq].tolist()
+                c = c >> 1
+                logs = (np.log10(c + 1.0) - math.log10(n + v + 1))[seq]
                 known_words = np.concatenate([[0], np.cumsum(c[seq] > 0)])
-                size = np.concatenate([[0], np.cumsum(np.fromiter((len(w) + (w != END) for w in words), "i8", len(words))[seq])])
+                lengths = np.fromiter(map(len, words), "i8", len(words)) + 1
+                lengths[words.index(END)] = 1
+                size = np.concatenate([[0], np.cumsum(lengths[seq])])
                 score = score_block(words, seq, known, first, shared.value)
-                base = [math.fsum(logs[a:b]) for a, b in zip(first.tolist(), first[1:].tolist())]
-                columns = [pa.array(held == 1), pa.array(np.diff(first).astype("i8")), pa.array(np.diff(known_words[first])), pa.array(base, pa.float64()), pa.array(score / math.log(10)), pa.array(-score / math.log(2) / np.diff(size[first]))]
+                base = sums_of(logs, first)
+                columns = [pa.array(held == 1), pa.array(np.diff(first).astype("i8")), pa.array(np.diff(known_words[first])), pa.array(base), pa.array(score / math.log(10)), pa.array(-score / math.log(2) / np.diff(size[first]))]
                 yield pa.RecordBatch.from_arrays([batch["doc_id"][k].values, *columns], [x.split()[0] for x in SCORES.split(", ")])
 
     scored = joined.select("doc_id", "held", "seq", "known", "first", "spelled", "counts").mapInArrow(run, SCORES)
