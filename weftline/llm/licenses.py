@@ -98,6 +98,95 @@ NAMES = {
     "wtfpl": r"(?:wtfpl|do what the fuck you want to public licen[sc]e)",
     "zlib": r"zlib(?: libpng)? licen[sc]e",
     "zpl-2.1": r"zope public licen[sc]e",
+    "aladdin": r"aladdin free public licen[sc]e",
+    "apsl-1.0": r"apple public source licen[sc]e(?: version)? 1(?: 0)?",
+    "bittorrent-1.1": r"bittorrent open source licen[sc]e",
+    "bsd-0-clause": r"(?:0|zero) clause bsd(?: licen[sc]e)?",
+    "bsd-patent": r"bsd (?:2 clause )?plus patent(?: licen[sc]e)?",
+    "cal-1.0": r"cryptographic autonomy licen[sc]e",
+    "cc-by-1.0": r"(?:cc by|creative commons attribution) 1 0(?: generic)?",
+    "cc-by-2.0": r"(?:cc by|creative commons attribution) 2 0(?: generic)?",
+    "cc-by-2.5": r"(?:cc by|creative commons attribution) 2 5(?: generic)?",
+    "cc-by-nc-2.0": r"(?:cc by nc|creative commons attribution non ?commercial) 2 0",
+    "cc-by-nc-nd-3.0": r"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s) 3 0",
+    "cc-by-nc-sa-3.0": r"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike) 3 0",
+    "cc-by-nd-3.0": r"(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s) 3 0",
+    "cc-by-sa-2.0": r"(?:cc by sa|creative commons attribution share ?alike) 2 0",
+    "cc-by-sa-2.5": r"(?:cc by sa|creative commons attribution share ?alike) 2 5",
+    "cc-pddc": r"creative commons public domain(?: dedication)?",
+    "cdla-permissive-2.0": r"community data licen[sc]e agreement permissive",
+    "cdla-sharing-1.0": r"community data licen[sc]e agreement sharing",
+    "cern-ohl-2.0": r"cern open hardware licen[sc]e",
+    "cnri-python": r"cnri (?:python )?open source licen[sc]e",
+    "condor-1.1": r"condor public licen[sc]e",
+    "copyleft-next": r"copyleft next",
+    "cpal-1.0": r"common public attribution licen[sc]e",
+    "crossword": r"crossword licen[sc]e",
+    "cua-opl-1.0": r"cua office public licen[sc]e",
+    "d-fsl-1.0": r"deutsche freie software lizenz",
+    "dl-de-by-2.0": r"datenlizenz deutschland",
+    "doc": r"doc software licen[sc]e",
+    "efl-2.0": r"eiffel forum licen[sc]e",
+    "elastic-2.0": r"elastic licen[sc]e",
+    "entessa": r"entessa public licen[sc]e",
+    "erlpl-1.1": r"erlang public licen[sc]e",
+    "etalab-2.0": r"licence ouverte(?: etalab)?",
+    "eudatagrid": r"eu datagrid software licen[sc]e",
+    "fair": r"fair licen[sc]e",
+    "fair-source": r"fair source licen[sc]e",
+    "frameworx-1.0": r"frameworx open licen[sc]e",
+    "freetype": r"free ?type (?:project )?licen[sc]e",
+    "functional-source": r"functional source licen[sc]e",
+    "gfdl-1.2": r"(?:gnu )?free documentation licen[sc]e(?: version)? 1 2",
+    "giftware": r"gift ?ware licen[sc]e",
+    "hippocratic": r"hippocratic licen[sc]e",
+    "icu": r"icu licen[sc]e",
+    "ijg": r"independent jpeg group licen[sc]e",
+    "imlib2": r"imlib2 licen[sc]e",
+    "intel": r"intel open source licen[sc]e",
+    "jam": r"jam licen[sc]e",
+    "jpnic": r"japan network information center licen[sc]e",
+    "json": r"json licen[sc]e",
+    "libpng": r"libpng licen[sc]e",
+    "licence-art-libre": r"licence art libre",
+    "lpl-1.02": r"lucent public licen[sc]e",
+    "miros": r"miros licen[sc]e",
+    "motosoto": r"motosoto open source licen[sc]e",
+    "mulan-publ-2.0": r"mulan public licen[sc]e",
+    "multics": r"multics licen[sc]e",
+    "naumen": r"naumen public licen[sc]e",
+    "nethack": r"nethack general public licen[sc]e",
+    "netscape-1.1": r"netscape public licen[sc]e",
+    "nasa-1.3": r"nasa open source agreement",
+    "nokia": r"nokia open source licen[sc]e",
+    "non-commercial-government": r"non commercial government licen[sc]e",
+    "oclc-2.0": r"oclc research public licen[sc]e",
+    "ogl-uk-3.0": r"open government licen[sc]e",
+    "oldap-2.8": r"openldap public licen[sc]e",
+    "opl-1.0": r"open publication licen[sc]e",
+    "openssl": r"open ?ssl licen[sc]e",
+    "parity": r"parity public licen[sc]e",
+    "pddl-1.0": r"open data commons public domain dedication",
+    "polyform-nc": r"polyform non ?commercial licen[sc]e",
+    "prosperity": r"prosperity public licen[sc]e",
+    "realnetworks": r"realnetworks public source licen[sc]e",
+    "ricoh": r"ricoh source code public licen[sc]e",
+    "ruby": r"ruby licen[sc]e",
+    "sissl": r"sun industry standards source licen[sc]e",
+    "sleepycat": r"sleepycat licen[sc]e",
+    "spl-1.0": r"sun public licen[sc]e",
+    "sugarcrm-1.1": r"sugar ?crm public licen[sc]e",
+    "tapr-ohl": r"tapr open hardware licen[sc]e",
+    "tcl": r"tcl tk licen[sc]e",
+    "vim": r"vim licen[sc]e",
+    "vsl-1.0": r"vovida software licen[sc]e",
+    "watcom-1.0": r"sybase open watcom public licen[sc]e",
+    "x11": r"x11 licen[sc]e",
+    "xfree86": r"xfree86 licen[sc]e",
+    "xnet": r"x net licen[sc]e",
+    "yahoo": r"yahoo public licen[sc]e",
+    "zend-2.0": r"zend (?:engine )?licen[sc]e",
+    "zimbra-1.4": r"zimbra public licen[sc]e",
 }
 
 # fixed values: how a name is used (form: priority, weight, pattern around the name, keywords of which a text must hold one)
@@ -139,12 +228,17 @@ class Rule:
     pattern: re.Pattern
 
 
+# fixed values: words of so many licenses' names that they tell little
+COMMON = {"licen", "public", "general", "source", "software", "open", "free", "attribution", "creative", "commons", "agreement"}
+
+
 def keyword_of(pattern: str) -> tuple[str, ...]:
     """The longest literals of which every match holds at least one: outside optional groups, one for each alternative."""
     flat = re.sub(r"\(\?:(?:[^()]|\([^()]*\))*\)\?", " ", pattern).replace("licen[sc]e", "licen")
     flat = re.sub(r"[^()]\?", " ", flat)
     groups = re.findall(r"\(\?:((?:[^()]|\([^()]*\))*)\)", flat)
-    outside = max(re.findall(r"[a-z0-9]{3,}", re.sub(r"\(\?:(?:[^()]|\([^()]*\))*\)", " ", flat)), key=len, default="")
+    literals = re.findall(r"[a-z0-9]{3,}", re.sub(r"\(\?:(?:[^()]|\([^()]*\))*\)", " ", flat))
+    outside = max([x for x in literals if x not in COMMON] or literals, key=len, default="")
     if outside and outside != "licen":
         return (outside,)
     options = [max(re.findall(r"[a-z0-9]+", re.sub(r"\(.*?\)", " ", x)), key=len, default="") for x in (groups[0].split("|") if groups else [])]
