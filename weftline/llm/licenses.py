@@ -11,6 +11,7 @@ further columns are not looked at, whatever their names; an empty table gives no
 
 from __future__ import annotations
 
+import functools
 import re
 from dataclasses import dataclass
 
@@ -224,6 +225,7 @@ class Rule:
     label: str
     priority: int
     weight: float
+    gate: str
     keywords: tuple[str, ...]
     pattern: re.Pattern
 
@@ -232,28 +234,32 @@ class Rule:
 COMMON = {"licen", "public", "general", "source", "software", "open", "free", "attribution", "creative", "commons", "agreement"}
 
 
-def keyword_of(pattern: str) -> tuple[str, ...]:
-    """The longest literals of which every match holds at least one: outside optional groups, one for each alternative."""
-    flat = re.sub(r"\(\?:(?:[^()]|\([^()]*\))*\)\?", " ", pattern).replace("licen[sc]e", "licen")
-    flat = re.sub(r"[^()]\?", " ", flat)
+def keywords_of(pattern: str) -> tuple[str, tuple[str, ...]]:
+    """What a text must hold for the pattern to match: ``licen`` or nothing, and one of some literals, the most telling of what
+    stands outside optional groups, or one for each alternative."""
+    flat = re.sub(r"\(\?:(?:[^()]|\([^()]*\))*\)\?", "#", pattern).replace("licen[sc]e", "licen")
+    flat = re.sub(r"[^()]\?", "#", flat)  # what may be missing parts what stands beside it
     groups = re.findall(r"\(\?:((?:[^()]|\([^()]*\))*)\)", flat)
-    literals = re.findall(r"[a-z0-9]{3,}", re.sub(r"\(\?:(?:[^()]|\([^()]*\))*\)", " ", flat))
-    outside = max([x for x in literals if x not in COMMON] or literals, key=len, default="")
+    literals = re.findall(r"[a-z0-9]{3,}", re.sub(r"\(\?:(?:[^()]|\([^()]*\))*\)", "#", flat))
+    gate, outside = "licen" if "licen" in literals else "", max([x for x in literals if x not in COMMON] or literals, key=len, default="")
     if outside and outside != "licen":
-        return (outside,)
-    options = [max(re.findall(r"[a-z0-9]+", re.sub(r"\(.*?\)", " ", x)), key=len, default="") for x in (groups[0].split("|") if groups else [])]
-    return tuple(options) if options and all(options) else (outside,)
+        return gate, (outside,)
+    options = []
+    for x in groups[0].split("|") if groups else []:
+        words = re.findall(r"[a-z0-9]+", re.sub(r"\(.*?\)", "#", x))
+        options.append(x.strip() if re.fullmatch("[a-z0-9 ]+", x) else max([w for w in words if w not in COMMON] or words, key=len, default=""))
+    return gate, tuple(options) if options and all(options) else (outside,)
 
 
 def rules() -> list[Rule]:
     """All rules, in order of priority."""
     edge = r"(?<![^ ]){}(?![^ ])"
     out = [
-        Rule(f"{label}:{form}", label, priority, weight, keyword_of(pattern), re.compile(edge.format(f"(?:{around.format(f'(?:{pattern})')})")))
+        Rule(f"{label}:{form}", label, priority, weight, *keywords_of(pattern), re.compile(edge.format(f"(?:{around.format(f'(?:{pattern})')})")))
         for label, pattern in NAMES.items()
         for form, (priority, weight, around, _) in FORMS.items()
     ]
-    out += [Rule(f"{label}:{keyword}", label, priority, weight, (keyword,), re.compile(edge.format(f"(?:{pattern.strip()})"))) for label, priority, weight, keyword, pattern in SINGLE]
+    out += [Rule(f"{label}:{keyword}", label, priority, weight, "", (keyword,), re.compile(edge.format(f"(?:{pattern.strip()})"))) for label, priority, weight, keyword, pattern in SINGLE]
     return sorted(out, key=lambda r: (r.priority, r.name))
 
 
@@ -289,17 +295,17 @@ def resolve(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
 class Scanner:
     def __init__(self):
         self.base = [(re.compile(f"(?<![^ ])(?={phrase}(?![^ ]))"), phrase.split()[-1].encode(), phrase, label) for phrase, label in BASE.items()]
-        self.by_keyword: dict[bytes, list[Rule]] = {}
+        self.by_gate: dict[bytes, dict[bytes, list[Rule]]] = {}
         for rule in rules():
             for k in rule.keywords:
-                self.by_keyword.setdefault(k.encode(), []).append(rule)
+                self.by_gate.setdefault(rule.gate.encode(), {}).setdefault(k.encode(), []).append(rule)
 
     def scan(self, text: str | None) -> dict:
         words = (text or "").encode().translate(TO_WORDS).split()
         flat = b" ".join(words)
         out = {"n_words": len(words), "base": [], "detections": [], "score": 0.0}
         base = [x for x in self.base if x[1] in flat]
-        live = {r.name: r for k, rs in self.by_keyword.items() if k in flat for r in rs}
+        live = {r.name: r for gate, by_keyword in self.by_gate.items() if gate in flat for k, rs in by_keyword.items() if k in flat for r in rs}
         if not base and not live:
             return out
         line = flat.decode()
@@ -319,6 +325,12 @@ class Scanner:
         return out
 
 
+@functools.cache
+def scanner() -> Scanner:
+    """One for each process: its patterns take a while to compile."""
+    return Scanner()
+
+
 FOUND = pa.struct([("label", pa.string()), ("start", pa.int64()), ("words", pa.int64())])
 DETECTED = pa.struct([("label", pa.string()), ("rule", pa.string()), ("start", pa.int64()), ("words", pa.int64()), ("matched", pa.string())])
 
@@ -328,9 +340,9 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     kinds = {"n_words": pa.int64(), "base": pa.list_(FOUND), "detections": pa.list_(DETECTED), "score": pa.float64()}
 
     def run(batches):
-        scanner = Scanner()
+        scan = scanner().scan
         for batch in batches:
-            rows = [scanner.scan(t.as_py()) for t in batch["text"]]
+            rows = [scan(t.as_py()) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array([r[k] for r in rows], kind) for k, kind in kinds.items())], ["doc_id", *kinds])
 
     schema = "doc_id long, n_words long, base array<struct<label string, start long, words long>>, detections array<struct<label string, rule string, start long, words long, matched string>>, score double"
