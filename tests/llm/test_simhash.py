@@ -147,3 +147,33 @@ def test_cells_of_any_size_lose_no_link(spark, monkeypatch):
     members = spark.createDataFrame([(c, k, len(v)) for c in (1, 2) for k, v in sets], "cell long, key long, n long")
     found = similar_links(spark, members, spark.createDataFrame(sets, "key long, shingles array<long>"), 0.8).collect()
     assert sorted((r.src, r.dst) for r in found) == sorted((k - 100, k) for k, _ in sets if k >= 100)
+
+
+def test_a_crowd_around_one_text(spark, monkeypatch):
+    """Copies of one text with more and more changes: some like it, some like each other only, some like none."""
+    monkeypatch.setattr(simhash, "LEADERS", 2)
+    rng = random.Random(10)
+    base, sets = list(range(120)), []
+    for k in range(150):
+        own = [x if rng.random() > rng.choice((0.02, 0.08, 0.2, 0.35)) else 1000 * (k + 1) + x for x in base]
+        sets.append((k, own))
+        if k % 10 == 0:  # one that is like this one, however far both are from the others
+            sets.append((1000 + k, [x if rng.random() > 0.04 else 500_000 + 1000 * k + x for x in own]))
+    members = spark.createDataFrame([(1, k, len(v)) for k, v in sets], "cell long, key long, n long")
+    df = spark.createDataFrame(sets, "key long, shingles array<long>")
+    found = {(r.src, r.dst) for r in similar_links(spark, members, df, 0.8).collect()}
+    real = {(min(a, b), max(a, b)) for a, x in sets for b, y in sets if a != b and len(set(x) & set(y)) >= 0.8 * len(set(x) | set(y))}
+
+    def groups(links):
+        parent = {k: k for k, _ in sets}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in links:
+            parent[max(find(a), find(b))] = min(find(a), find(b))
+        return {k: find(k) for k in parent}
+
+    assert found <= real and groups(found) == groups(real) and len(set(groups(real).values())) > 10
