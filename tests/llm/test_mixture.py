@@ -289,3 +289,15 @@ def test_every_text_tunes_or_not_alike(spark, monkeypatch):
     assert held[0][0] == held[1][0] and 10 < held[0][0] < 50
     for mixer, new in zip(held[0][1], (Mixer.spelling(), Mixer.flags())):
         assert not np.allclose(mixer.weights, new.weights) and not np.allclose(mixer.ones, new.ones)
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(4)
+    keys = np.sort(rng.integers(0, 2**64, 1000, dtype="u8"))
+    some = [mixture.rises(keys), rng.integers(0, 300, 1000), np.zeros(1000, "i8"), rng.integers(-5, 5, 1000)]
+    back = mixture.unpacked(mixture.packed(*some), 4)
+    assert all((a == b).all() for a, b in zip(some, back)) and (mixture.risen(back[0]) == keys).all()
+    for n in (0, 1):
+        assert [x.tolist() for x in mixture.unpacked(mixture.packed(np.full(n, -7), np.zeros(n, "i8")), 2)] == [[-7] * n, [0] * n]
+    low = keys >> np.uint64(9) << np.uint64(9)
+    assert (mixture.risen(mixture.rises(low, 9), 9) == low).all()

@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import struct
 import uuid
 from dataclasses import dataclass
 
@@ -499,14 +500,31 @@ BLOCKS = "block string, doc_id array<long>, held array<int>, tune array<int>, fi
 
 
 def packed(*arrays: np.ndarray) -> bytes:
-    """Whole numbers, byte plane by byte plane: small and sorted ones take little room. Arrays have one length."""
-    planes = [np.ascontiguousarray(a.astype("<i8").view("u1").reshape(-1, 8).T).tobytes() for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+    """Whole numbers of several arrays of one length, byte plane by byte plane: small and sorted ones take little room, and planes
+    that they do not need are left out. The first numbers stand apart, as those of steps may be large."""
+    head, planes = [struct.pack("<q", len(arrays[0]))], []
+    for a in arrays:
+        a = a.astype("<i8")
+        first = int(a[0]) if len(a) else 0
+        a[:1] = 0
+        width = (int(a.max(initial=0)).bit_length() + 7) // 8 if a.min(initial=0) >= 0 else 8
+        head.append(struct.pack("<qB", first, width))
+        planes.append(np.ascontiguousarray(a.view("u1").reshape(-1, 8)[:, :width].T).tobytes())
+    return b"".join(head) + zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
 def unpacked(raw: bytes, arrays: int) -> list[np.ndarray]:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), "u1").reshape(arrays, 8, -1)
-    return [np.ascontiguousarray(p.T).view("<i8").reshape(-1) for p in planes]
+    (n,), at, out = struct.unpack_from("<q", raw), 8 + 9 * arrays, []
+    planes, k = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[at:]), "u1"), 0
+    for j in range(arrays):
+        first, width = struct.unpack_from("<qB", raw, 8 + 9 * j)
+        own = np.zeros((n, 8), "u1")
+        own[:, :width] = planes[k : k + width * n].reshape(width, n).T
+        own = own.view("<i8").reshape(-1)
+        own[:1] = first
+        out.append(own)
+        k += width * n
+    return out
 
 
 def rises(sorted_keys: np.ndarray, low: int = 0) -> np.ndarray:
@@ -593,6 +611,7 @@ def numbered(column: pa.ChunkedArray | pa.Array, k: int = 0) -> np.ndarray:
     return column[k].values.to_numpy(zero_copy_only=False)
 
 
+KEY_BITS = 32  # of the two words before a word, at least
 NEXT = 11  # bits that tell continuations of the same words apart
 
 
@@ -877,7 +896,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, held_out: Column) -> D
     with scratch(spark):  # the blocks go when they are joined
         blocks = materialize(spark, word_blocks(rows), "blocks")
         entries = blocks.agg(F.sum(F.element_at("first", -1).cast("long"))).first()[0] or 0
-        key_bits = min(64 - NEXT, max(32, entries.bit_length() + 8))  # of two words before: over a hundred times as many keys as there are words
+        key_bits = min(64 - NEXT, max(KEY_BITS, entries.bit_length() + 5))  # of two words before: over thirty times as many keys as there are words
         joined = materialize(spark, joined_blocks(blocks, max(0, (entries // PART_ENTRIES).bit_length()), key_bits), "joined")
     pairs, n, v = byte_pairs(joined)
     trees, bits = trees_of(pairs), table_bits(v)
