@@ -37,7 +37,7 @@ CROWD = 32
 AT_ONCE = 1 << 15
 NEAR_SHINGLE, NEAR = 5, 0.8  # words of a shingle, and least similarity, of near copies
 BANDS, SAMPLED = 10, 3
-LEADERS, STEP = 8, 4  # members of a cell that lead in the first round, and how many times as many in each later one
+REPRESENTATIVES = 4  # of a cell, against whom its members are held
 ORDERS, ONES = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
@@ -162,81 +162,22 @@ def similarity(a: Column, b: Column) -> Column:
     return shared / (F.size(a) + F.size(b) - shared)
 
 
-def verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, least: float, checked: DataFrame | None) -> DataFrame:
-    """``checked`` (a, b, like) and the new ones of ``pairs`` (a, b), whose sets are held against each other."""
-    new = pairs.distinct()
-    if checked is not None:
-        new = new.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    one, two = (sets.select(F.col("key").alias(c), F.col("shingles").alias(f"_{c}")) for c in "ab")
-    held = new.join(one, "a").join(two, "b").select("a", "b", (similarity(F.col("_a"), F.col("_b")) >= least).alias("like"))
-    return materialize(spark, held if checked is None else held.union(checked), "checked")
-
-
-def as_pair(x: str, y: str) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-
-
-def outsiders(still: DataFrame, members: DataFrame, middle: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """(a, b) of all pairs that those of ``still`` may be like, and those of whom that cannot be told, each by (cell, key).
-
-    Held against its cell's middle (cell, leader), a set shares some shingles with it and has others of its own. What is like
-    the set shares ``least`` of all its shingles, so if the middle has fewer, at least a certain number of its own ones:
-    of any own ones but one less than these, one at least. The rarest of its own ones are looked up among all members'.
-    """
-    lead = middle.join(sets.withColumnRenamed("key", "leader").withColumnRenamed("shingles", "_l"), "leader").select("cell", "_l")
-    crowds = still.select("cell").distinct()
-    own = members.join(crowds, "cell", "left_semi").join(sets, "key").join(lead, "cell").select("cell", "key", "n", F.array_except("shingles", "_l").alias("own"))
-    own = materialize(members.sparkSession, own, "own")
-    tokens = own.select("cell", "key", "n", F.explode("own").alias("token"))
-    mine = own.join(still.select("cell", "key"), ["cell", "key"], "left_semi").withColumn("must", F.ceil(F.lit(least) * F.col("n") - F.lit(1e-9)) - (F.col("n") - F.size("own")))
-    told = mine.where("must >= 1")
-    rare = tokens.groupBy("cell", "token").agg(F.count(F.lit(1)).alias("f"))
-    ranked = told.select("cell", "key", "n", "must", F.size("own").alias("size"), F.explode("own").alias("token")).join(rare, ["cell", "token"])
-    nth = F.row_number().over(Window.partitionBy("cell", "key").orderBy("f", "token"))
-    asked = ranked.withColumn("_r", nth).where("_r <= size - must + 1 and f > 1").select("cell", "token", F.col("key").alias("x"), F.col("n").alias("m"))
-    met = asked.join(tokens, ["cell", "token"]).where((F.col("x") != F.col("key")) & (F.least("n", "m") >= least * F.greatest("n", "m")))
-    return met.select(*as_pair("x", "key")), told.select("cell", "key")
-
-
 def similar_links(spark: SparkSession, members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """(src, dst): links that join all members (cell, key, n) of a cell whose sets (key, shingles) have a similarity of ``least`` or
-    more, directly or over each other.
-
-    In each cell a few members lead, those that share most cells with others first, and all are held against them. Around
-    the leader with most links, the middle, grows the cell's main group; who is in it needs no further look at the others
-    in it. Those outside whose own shingles tell whom they may be like are held against these; the others lead in a later
-    round, of more leaders each, and so meet all. So any two members meet unless both are of the main group or their
-    shingles rule it out: a large group of copies costs a few comparisons each, and no link is lost. Pairs whose sizes
-    forbid the similarity are not looked at, and none is looked at twice.
+    """(src, dst) of members (cell, key, n) whose sets (key, shingles) have a similarity of ``least`` or more with a set that
+    represents their cell.
+
+    A cell's representatives are those of its members that share most cells with others, REPRESENTATIVES at most; a cell
+    of no more members than these has all its pairs looked at. So a group of any size costs a few comparisons a member,
+    and no two members of it are paired otherwise. Pairs whose sizes forbid the similarity are not looked at.
     """
     sizes = members.groupBy("cell").agg(F.count(F.lit(1)).alias("_n"))
     near = members.join(sizes, "cell").groupBy("key").agg(F.sum("_n").alias("near"))
-    members = materialize(spark, members.join(near, "key").select("cell", "key", "n", "near"), "members")
-    checked = main = middle = None
-    leaders, still = LEADERS, members
-    while True:
-        first = F.row_number().over(Window.partitionBy("cell").orderBy(F.desc("near"), "key"))
-        lead = materialize(spark, still.withColumn("_r", first).where(F.col("_r") <= leaders).select("cell", F.col("key").alias("leader"), F.col("n").alias("m")), "leaders")
-        met = members.join(lead, "cell").where((F.col("key") != F.col("leader")) & (F.least("n", "m") >= least * F.greatest("n", "m")))
-        met = materialize(spark, met.select("cell", "key", "leader", *as_pair("key", "leader")), "met")
-        checked = verified(spark, met.select("a", "b"), sets, least, checked)
-        like = materialize(spark, met.join(checked.where("like"), ["a", "b"]).select("cell", "key", "leader"), "like")
-        if main is None:
-            most = lead.join(like.groupBy("cell", "leader").agg(F.count(F.lit(1)).alias("_n")), ["cell", "leader"], "left").groupBy("cell").agg(F.max_by("leader", F.struct(F.coalesce("_n", F.lit(0)), "leader")).alias("leader"))
-            middle = materialize(spark, most, "middle")
-            main = middle.withColumnRenamed("leader", "key")
-        joined = like.join(main, ["cell", "key"], "left_semi").select("cell", "leader").union(lead.join(main.withColumnRenamed("key", "leader"), ["cell", "leader"], "left_semi").select("cell", "leader")).distinct()
-        main = materialize(spark, main.union(joined).union(like.join(joined, ["cell", "leader"], "left_semi").select("cell", "key")).distinct(), "main")
-        led = lead.select("cell", F.col("leader").alias("key"))
-        still = materialize(spark, still.join(led, ["cell", "key"], "left_anti").join(main, ["cell", "key"], "left_anti"), "still")
-        if leaders >= LEADERS * STEP and not still.isEmpty() and middle is not None:
-            pairs, told = outsiders(still, members, middle, sets, least)
-            checked = verified(spark, materialize(spark, pairs.distinct(), "met"), sets, least, checked)
-            still = materialize(spark, still.join(told, ["cell", "key"], "left_anti"), "still")
-            middle = None  # who could not be told is not told the next time
-        if still.isEmpty():
-            return checked.where("like").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        leaders *= STEP
+    first = F.row_number().over(Window.partitionBy("cell").orderBy(F.desc("near"), "key"))
+    chosen = members.join(near, "key").withColumn("_r", first).where(F.col("_r") <= REPRESENTATIVES).select("cell", F.col("key").alias("other"), F.col("n").alias("m"))
+    met = members.join(chosen, "cell").where((F.col("key") != F.col("other")) & (F.least("n", "m") >= least * F.greatest("n", "m")))
+    pairs = materialize(spark, met.select(F.least("key", "other").alias("src"), F.greatest("key", "other").alias("dst")).distinct(), "pairs")
+    one, two = (sets.select(F.col("key").alias(c), F.col("shingles").alias(f"_{c}")) for c in ("src", "dst"))
+    return pairs.join(one, "src").join(two, "dst").where(similarity(F.col("_src"), F.col("_dst")) >= least).select("src", "dst")
 
 
 def similar_components(spark: SparkSession, docs: DataFrame, shingle: int = NEAR_SHINGLE, least: float = NEAR, bands: int = BANDS) -> DataFrame:
@@ -244,7 +185,9 @@ def similar_components(spark: SparkSession, docs: DataFrame, shingle: int = NEAR
     similarities of ``least`` or more of their sets of shingles.
 
     Texts with the same set are one from the start. Candidates are texts whose fingerprints the grid links, and texts that
-    share a sampled fingerprint; each is verified on the sets themselves, made again for candidates only.
+    share a sampled fingerprint; each is held against the representatives of these groups, on the sets themselves, which
+    are made again for candidates only. Two texts that are like each other, but both unlike all representatives of all the
+    groups of more than REPRESENTATIVES that they share, stay apart.
     """
 
     def run(batches):
