@@ -4,6 +4,7 @@ import re
 import xxhash
 from pyspark.sql import functions as F
 
+from weftline.llm import simhash
 from weftline.llm.simhash import WIDTHS, fingerprint, links, near_duplicates, op5_simhash, segment_counts, similar_components, similar_links
 
 
@@ -73,6 +74,22 @@ def test_links_against_brute_force(spark):
         assert [find(k) for k in range(len(points))] == want
 
 
+def test_spread_cells_are_never_broadcast(spark, monkeypatch):
+    plans, write = [], simhash.materialize
+
+    def noted(session, df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return write(session, df, label)
+
+    monkeypatch.setattr(simhash, "materialize", noted)
+    rng = random.Random(3)
+    base = rng.getrandbits(63)
+    df = spark.createDataFrame([(base ^ 1 << k,) for k in range(60)], "fp long")
+    assert links(spark, write(spark, df, "points")).count() >= 59
+    spread = [p for label, p in plans if label == "members"]
+    assert len(spread) > 1 and all("Broadcast" not in p and "Generate" in p for p in spread)
+
+
 def test_query_on_whole_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
     ids, fps = [d.doc_id for d in table], [brute_fp(d.text) for d in table]

@@ -103,9 +103,12 @@ def links(spark: SparkSession, points: DataFrame, crowd: int = CROWD) -> DataFra
     """(src, dst): links that join all distinct fingerprints ``points`` (fp) within 2 bits, directly or over each other."""
     found = []
     for width in WIDTHS:
-        spread = points.select("fp", F.explode(cells(F.col("fp"), width)).alias("cell"))
+        # a task spreads AT_ONCE points at most; the planner takes the spread rows for as few as the points, so without the hint it
+        # would gather and broadcast them, up to 65 a point
+        dealt = points.repartition(1 + points.count() // AT_ONCE, "fp")
+        spread = dealt.select("fp", F.explode(cells(F.col("fp"), width)).alias("cell"))
         shared = spread.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        members = materialize(spark, spread.join(shared, "cell"), "members")
+        members = materialize(spark, spread.hint("merge").join(shared.hint("merge"), "cell"), "members")
         few = members.where(F.col("n") <= crowd) if width > 1 else members
         if width > 1:
             a, b = few.select("cell", F.col("fp").alias("src")), few.select("cell", F.col("fp").alias("dst"))
