@@ -173,3 +173,39 @@ def test_a_group_costs_a_few_comparisons_a_member(spark):
     members = spark.createDataFrame([(c, k, len(v)) for c in (1, 2, 3) for k, v in sets], "cell long, key long, n long")
     found = similar_links(spark, members, spark.createDataFrame(sets, "key long, shingles array<long>"), 0.8).collect()
     assert len(found) < 4 * len(sets) and {x for r in found for x in (r.src, r.dst)} == {k for k, _ in sets}
+
+
+def test_large_groups_lose_no_link(spark):
+    rng, sets, fresh = random.Random(21), [], iter(range(10**6, 10**9))
+    bases = [list(range(1000 * k, 1000 * k + 60)) for k in range(3)]
+    for base in bases:  # crowds about three middles, and pairs and chains that are like each other only
+        for _ in range(40):
+            kept = rng.sample(base, rng.choice((52, 54, 56, 58)))
+            sets.append(kept + [next(fresh) for _ in range(60 - len(kept))])
+        for _ in range(12):
+            mate = rng.sample(base, 60 - rng.choice((9, 12, 20)))
+            mate += [next(fresh) for _ in range(rng.choice((60, 57, 63)) - len(mate))]
+            for _ in range(rng.choice((1, 2, 3))):
+                sets.append(list(mate))
+                mate = [x if rng.random() > 0.06 else next(fresh) for x in mate] + [next(fresh) for _ in range(rng.choice((0, 0, 4)))]
+    sets = [(k, sorted(set(v))) for k, v in enumerate(sets)]
+    cells = [(c, k, len(v)) for c in (1, 2) for k, v in sets]  # two cells that hold all
+    parent = {k: k for k, _ in sets}
+
+    def joined(links):
+        parent.update({k: k for k in parent})
+        for a, b in links:
+            while parent[a] != a:
+                a = parent[a]
+            while parent[b] != b:
+                b = parent[b]
+            parent[max(a, b)] = min(a, b)
+
+        def top(k):
+            return k if parent[k] == k else top(parent[k])
+
+        return {k: top(k) for k in parent}
+
+    like = [(a, b) for a, x in sets for b, y in sets if a < b and len(set(x) & set(y)) >= 0.8 * len(set(x) | set(y))]
+    found = [(r.src, r.dst) for r in similar_links(spark, spark.createDataFrame(cells, "cell long, key long, n long"), spark.createDataFrame(sets, "key long, shingles array<long>"), 0.8).collect()]
+    assert set(found) <= set(like) and joined(found) == joined(like)

@@ -165,13 +165,63 @@ def similarity(a: Column, b: Column) -> Column:
     return shared / (F.size(a) + F.size(b) - shared)
 
 
-def similar_links(spark: SparkSession, members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """(src, dst) of members (cell, key, n) whose sets (key, shingles) have a similarity of ``least`` or more with a set that
-    represents their cell.
+def overlap(n: Column, m: Column, least: float) -> Column:
+    """The fewest elements that sets of n and m with a similarity of ``least`` share."""
+    return F.ceil((n + m) * F.lit(least / (1 + least)) - F.lit(1e-9))
+
+
+def prefixes(sets: DataFrame, least: float) -> DataFrame:
+    """(token, sizes, small, key, component, outside, n, at) of sets (key, component, outside, n, own, ranked), by which any two of
+    different components with a similarity of ``least`` meet once at least, as the smaller and the larger one.
+
+    A set's elements stand in one order for all sets, the ``own`` ones first that no other component has; those after them
+    are ranked. Two sets that share ``overlap`` elements share one that stands early enough in both to leave so many. How
+    early depends on both sizes: the larger one is spread over classes of smaller sizes, 2 % wide.
+    """
+
+    def run(batches):
+        for batch in batches:
+            rows = {k: [] for k in out}
+            for r in batch.to_pylist():
+                n, own, ranked = r["n"], r["own"], r["ranked"]
+                sizes = np.arange(max(1, int(np.ceil(least * n - 1e-9))), n + 1)
+                classes, first = np.unique(np.floor(np.log(sizes) * 50).astype("i8"), return_index=True)
+                met = [(False, int(c), int(sizes[f])) for c, f in zip(classes, first)] + [(True, int(classes[-1]), n)]
+                for small, c, m in met:
+                    for at in range(own, min(own + len(ranked), n - int(np.ceil((n + m) * (least / (1 + least)) - 1e-9)) + 1)):
+                        for k, v in zip(out, (ranked[at - own], c, small, r["key"], r["component"], r["outside"], n, at)):
+                            rows[k].append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[k], t) for k, t in out.items()], list(out))
+
+    out = {"token": pa.int64(), "sizes": pa.int64(), "small": pa.bool_(), "key": pa.int64(), "component": pa.int64(), "outside": pa.bool_(), "n": pa.int64(), "at": pa.int64()}
+    return sets.mapInArrow(run, "token long, sizes long, small boolean, key long, component long, outside boolean, n long, at long")
+
+
+def open_members(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """(key, component, n, outside): what is in a cell whose pairs were not all looked at and which ``parts`` (node, component) do
+    not join; outside: not in the largest component of such a cell."""
+    owned = members.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    held = owned.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("_n"))
+    open_cells = held.groupBy("cell").agg(F.count(F.lit(1)).alias("_parts"), F.sum("_n").alias("_all"), F.max_by("component", F.struct("_n", "component")).alias("_core"))
+    open_cells = open_cells.where((F.col("_parts") > 1) & (F.col("_all") > REPRESENTATIVES + 1))
+    return owned.join(open_cells.select("cell", "_core"), "cell").where("n > 0").groupBy("key", "component", "n").agg(F.max(F.col("component") != F.col("_core")).alias("outside"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (src, dst) whose sets (key, shingles) have a similarity of ``least`` or more."""
+    one, two = (sets.select(F.col("key").alias(c), F.col("shingles").alias(f"_{c}")) for c in ("src", "dst"))
+    return pairs.join(one, "src").join(two, "dst").where(similarity(F.col("_src"), F.col("_dst")) >= least).select("src", "dst")
+
 
-    A cell's representatives are those of its members that share most cells with others, REPRESENTATIVES at most; a cell
-    of no more members than these has all its pairs looked at. So a group of any size costs a few comparisons a member,
-    and no two members of it are paired otherwise. Pairs whose sizes forbid the similarity are not looked at.
+def similar_links(spark: SparkSession, members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(src, dst): links that join all members (cell, key, n) of a cell whose sets (key, shingles) have a similarity of ``least`` or
+    more, directly or over each other.
+
+    First each member is held against its cell's representatives, those members that share most cells with others,
+    REPRESENTATIVES at most; a cell of few members more than these has all its pairs looked at. That joins most of a group of
+    any size for a few comparisons a member. Where a larger cell then is in several components, all pairs across these that
+    can be like each other are found by prefixes of their sets (``prefixes``) and verified; none is left out. Pairs whose
+    sizes forbid the similarity are not looked at.
     """
     sizes = members.groupBy("cell").agg(F.count(F.lit(1)).alias("_n"))
     near = members.join(sizes, "cell").groupBy("key").agg(F.sum("_n").alias("near"))
@@ -179,8 +229,24 @@ def similar_links(spark: SparkSession, members: DataFrame, sets: DataFrame, leas
     chosen = members.join(near, "key").withColumn("_r", first).where(F.col("_r") <= REPRESENTATIVES).select("cell", F.col("key").alias("other"), F.col("n").alias("m"))
     met = members.join(chosen, "cell").where((F.col("key") != F.col("other")) & (F.least("n", "m") >= least * F.greatest("n", "m")))
     pairs = materialize(spark, met.select(F.least("key", "other").alias("src"), F.greatest("key", "other").alias("dst")).distinct(), "pairs")
-    one, two = (sets.select(F.col("key").alias(c), F.col("shingles").alias(f"_{c}")) for c in ("src", "dst"))
-    return pairs.join(one, "src").join(two, "dst").where(similarity(F.col("_src"), F.col("_dst")) >= least).select("src", "dst")
+    found = materialize(spark, verified(pairs, sets, least), "similar")
+
+    rest = materialize(spark, open_members(members, connected_components(spark, found)), "open")
+    if rest.isEmpty():
+        return found
+    tokens = materialize(spark, rest.join(sets, "key").select("key", "component", F.explode("shingles").alias("token")), "tokens")
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_n"), F.min("component").alias("_a"), F.max("component").alias("_b"))
+    ranked = tokens.join(counts.where("_a <> _b").select("token", "_n").hint("merge"), "token").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("_n", "token")))["token"].alias("ranked"))
+    # only sets with elements enough that other components have can be like one of these
+    able = rest.join(ranked, "key").where(F.size("ranked") >= F.ceil(F.col("n") * F.lit(least) - F.lit(1e-9))).withColumn("own", F.col("n") - F.size("ranked"))
+    early = materialize(spark, prefixes(able, least), "prefixes")
+    a = early.where("small").select("token", "sizes", *[F.col(c).alias(f"a_{c}") for c in ("key", "component", "outside", "n", "at")])
+    b = early.where("not small").select("token", "sizes", *[F.col(c).alias(f"b_{c}") for c in ("key", "component", "outside", "n", "at")])
+    enough = overlap(F.col("a_n"), F.col("b_n"), least)
+    fit = (F.col("a_component") != F.col("b_component")) & (F.col("a_n") <= F.col("b_n")) & (F.col("a_n") - F.col("a_at") >= enough) & (F.col("b_n") - F.col("b_at") >= enough)
+    across = [x.join(y.hint("merge"), ["token", "sizes"]).where(fit) for x, y in ((a.where("a_outside"), b), (a.where("not a_outside"), b.where("b_outside")))]
+    other = across[0].union(across[1]).select(F.least("a_key", "b_key").alias("src"), F.greatest("a_key", "b_key").alias("dst")).distinct()
+    return found.union(verified(materialize(spark, other, "pairs"), sets, least))
 
 
 def similar_components(spark: SparkSession, docs: DataFrame, shingle: int = NEAR_SHINGLE, least: float = NEAR, bands: int = BANDS) -> DataFrame:
@@ -188,9 +254,8 @@ def similar_components(spark: SparkSession, docs: DataFrame, shingle: int = NEAR
     similarities of ``least`` or more of their sets of shingles.
 
     Texts with the same set are one from the start. Candidates are texts whose fingerprints the grid links, and texts that
-    share a sampled fingerprint; each is held against the representatives of these groups, on the sets themselves, which
-    are made again for candidates only. Two texts that are like each other, but both unlike all representatives of all the
-    groups of more than REPRESENTATIVES that they share, stay apart.
+    share a sampled fingerprint; ``similar_links`` joins what is alike in these groups, on the sets themselves, which are made
+    again for candidates only.
     """
 
     def run(batches):
