@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.core import fresh, load, materialize, remove, scratch
+from weftline.core import fresh, join_by_shuffle, load, materialize, remove, scratch
 from weftline.llm import language, mixing, packing, secrets, simhash
 
 #: SQL has no softmax training, fingerprints or packing; tests compare the stages with brute-force versions.
@@ -37,12 +37,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     first = marks.groupBy("component").agg(F.min(F.struct("mark", F.col("doc_id").alias("_keep"), "_rows")).alias("_first"))
     firsts = materialize(spark, first.select("_first._keep", F.col("_first.mark").alias("_mark"), "_first._rows"), "firsts")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")) & (F.xxhash64("text") == F.col("_mark"))
-    kept = docs.join(firsts.where("_rows = 1"), same, "left_semi")
+    kept = join_by_shuffle(docs, firsts.where("_rows = 1"), same, "left_semi")
     repeated = firsts.where("_rows > 1")
     if repeated.isEmpty():
         return kept
     # rows that share doc_id and text: one partial minimum each, so that no task gathers them
-    rows = docs.join(repeated, same, "left_semi").groupBy("doc_id", F.xxhash64("text")).agg(F.min_by(F.struct(*_columns(docs)), F.xxhash64("text")).alias("_row"))
+    rows = join_by_shuffle(docs, repeated, same, "left_semi").groupBy("doc_id", F.xxhash64("text")).agg(F.min_by(F.struct(*_columns(docs)), F.xxhash64("text")).alias("_row"))
     return kept.unionByName(rows.select("_row.*"))
 
 

@@ -1,7 +1,8 @@
 import corpus_pipeline
 from tests.llm.test_secrets import brute_all
 from tests.llm.test_simhash import brute_similar
-from weftline.llm import language, secrets
+from weftline.llm import language, secrets, simhash
+from weftline.operators import graph
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -90,3 +91,24 @@ def test_copies_of_one_document_under_another_id(spark):
     data = [(3, "a text of some words that is here"), (5, "a text of some words that is here"), (5, "and something else altogether in this one")]
     docs = spark.createDataFrame([(i, t, "en", None, 1) for i, t in data], COLUMNS)
     assert sorted((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "nowhere").collect()) == sorted([data[0], data[2]])
+
+
+def test_near_duplicates_join_by_shuffle_only(spark, monkeypatch):
+    plans, write = {}, simhash.materialize
+    planned = lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def noted(session, df, label):
+        plans.setdefault(label, []).append(planned(df))
+        return write(session, df, label)
+
+    for module in (simhash, graph, corpus_pipeline):
+        monkeypatch.setattr(module, "materialize", noted)
+    words = [f"word{k}" for k in range(60)]
+    alike = [" ".join(["other" if at in (k, k // 2, 59 - k) else w for at, w in enumerate(words)]) for k in range(60)]
+    data = [(k, t) for k, t in enumerate([*alike, *alike[:9], "a text of its own"])] + [(3, alike[3])]
+    docs = spark.createDataFrame([(i, t, "en", None, 1) for i, t in data], COLUMNS)
+    last = corpus_pipeline.drop_near_duplicates(spark, docs, "nowhere")
+    assert {"members", "pairs", "components", "prefixes", "classes", "firsts"} <= set(plans)
+    assert not [label for label, found in [*plans.items(), ("result", [planned(last)])] if "Broadcast" in "".join(found)]
+    texts = [t for _, t in data]
+    assert last.count() == len(set(brute_similar(texts)))

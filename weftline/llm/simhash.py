@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weftline.core import load, materialize
+from weftline.core import join_by_shuffle, load, materialize
 from weftline.operators.graph import connected_components
 
 SHINGLE = 3
@@ -103,21 +103,20 @@ def links(spark: SparkSession, points: DataFrame, crowd: int = CROWD) -> DataFra
     """(src, dst): links that join all distinct fingerprints ``points`` (fp) within 2 bits, directly or over each other."""
     found = []
     for width in WIDTHS:
-        # a task spreads AT_ONCE points at most; the planner takes the spread rows for as few as the points, so without the hint it
-        # would gather and broadcast them, up to 65 a point
+        # a task spreads AT_ONCE points at most; the planner takes the spread rows, up to 65 a point, for as few as the points
         dealt = points.repartition(1 + points.count() // AT_ONCE, "fp")
         spread = dealt.select("fp", F.explode(cells(F.col("fp"), width)).alias("cell"))
         shared = spread.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        members = materialize(spark, spread.hint("merge").join(shared.hint("merge"), "cell"), "members")
+        members = materialize(spark, join_by_shuffle(spread, shared, "cell"), "members")
         few = members.where(F.col("n") <= crowd) if width > 1 else members
         if width > 1:
             a, b = few.select("cell", F.col("fp").alias("src")), few.select("cell", F.col("fp").alias("dst"))
-            found.append(a.join(b, "cell").where((F.col("src") < F.col("dst")) & (F.bit_count(F.col("src").bitwiseXOR(F.col("dst"))) <= MOST_BITS)).select("src", "dst").distinct())
+            found.append(join_by_shuffle(a, b, "cell").where((F.col("src") < F.col("dst")) & (F.bit_count(F.col("src").bitwiseXOR(F.col("dst"))) <= MOST_BITS)).select("src", "dst").distinct())
             points = members.where(F.col("n") > crowd).select("fp").distinct()
             if points.isEmpty():
                 break
         else:
-            found.append(few.join(few.groupBy("cell").agg(F.min("fp").alias("dst")), "cell").select(F.col("fp").alias("src"), "dst").where("src <> dst").distinct())
+            found.append(join_by_shuffle(few, few.groupBy("cell").agg(F.min("fp").alias("dst")), "cell").select(F.col("fp").alias("src"), "dst").where("src <> dst").distinct())
     return functools.reduce(DataFrame.unionByName, found)
 
 
@@ -130,10 +129,10 @@ def components(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE) ->
     marks = materialize(spark, fingerprints(docs, shingle), "fingerprints")
     points = materialize(spark, marks.groupBy("fp").agg(F.min("doc_id").alias("low")), "points")
     parts = materialize(spark, connected_components(spark, links(spark, points.select("fp"))), "parts")
-    lows = points.join(parts.withColumnRenamed("node", "fp"), "fp").groupBy("component").agg(F.min("low").alias("component_id"))
-    merged = parts.join(lows, "component").select(F.col("node").alias("fp"), "component", "component_id")
-    ids = points.join(merged, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"), F.coalesce("component_id", "low").alias("component_id"))
-    return marks.join(materialize(spark, ids, "classes"), "fp").select("doc_id", "fp", "mark", "component", "component_id")
+    lows = join_by_shuffle(points, parts.withColumnRenamed("node", "fp"), "fp").groupBy("component").agg(F.min("low").alias("component_id"))
+    merged = join_by_shuffle(parts, lows, "component").select(F.col("node").alias("fp"), "component", "component_id")
+    ids = join_by_shuffle(points, merged, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"), F.coalesce("component_id", "low").alias("component_id"))
+    return join_by_shuffle(marks, materialize(spark, ids, "classes"), "fp").select("doc_id", "fp", "mark", "component", "component_id")
 
 
 # --- near copies by similarity
@@ -200,17 +199,17 @@ def prefixes(sets: DataFrame, least: float) -> DataFrame:
 def open_members(members: DataFrame, parts: DataFrame) -> DataFrame:
     """(key, component, n, outside): what is in a cell whose pairs were not all looked at and which ``parts`` (node, component) do
     not join; outside: not in the largest component of such a cell."""
-    owned = members.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    owned = join_by_shuffle(members, parts.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     held = owned.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("_n"))
     open_cells = held.groupBy("cell").agg(F.count(F.lit(1)).alias("_parts"), F.sum("_n").alias("_all"), F.max_by("component", F.struct("_n", "component")).alias("_core"))
     open_cells = open_cells.where((F.col("_parts") > 1) & (F.col("_all") > REPRESENTATIVES + 1))
-    return owned.join(open_cells.select("cell", "_core"), "cell").where("n > 0").groupBy("key", "component", "n").agg(F.max(F.col("component") != F.col("_core")).alias("outside"))
+    return join_by_shuffle(owned, open_cells.select("cell", "_core"), "cell").where("n > 0").groupBy("key", "component", "n").agg(F.max(F.col("component") != F.col("_core")).alias("outside"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs (src, dst) whose sets (key, shingles) have a similarity of ``least`` or more."""
     one, two = (sets.select(F.col("key").alias(c), F.col("shingles").alias(f"_{c}")) for c in ("src", "dst"))
-    return pairs.join(one, "src").join(two, "dst").where(similarity(F.col("_src"), F.col("_dst")) >= least).select("src", "dst")
+    return join_by_shuffle(join_by_shuffle(pairs, one, "src"), two, "dst").where(similarity(F.col("_src"), F.col("_dst")) >= least).select("src", "dst")
 
 
 def similar_links(spark: SparkSession, members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -224,27 +223,27 @@ def similar_links(spark: SparkSession, members: DataFrame, sets: DataFrame, leas
     sizes forbid the similarity are not looked at.
     """
     sizes = members.groupBy("cell").agg(F.count(F.lit(1)).alias("_n"))
-    near = members.join(sizes, "cell").groupBy("key").agg(F.sum("_n").alias("near"))
+    near = join_by_shuffle(members, sizes, "cell").groupBy("key").agg(F.sum("_n").alias("near"))
     first = F.row_number().over(Window.partitionBy("cell").orderBy(F.desc("near"), "key"))
-    chosen = members.join(near, "key").withColumn("_r", first).where(F.col("_r") <= REPRESENTATIVES).select("cell", F.col("key").alias("other"), F.col("n").alias("m"))
-    met = members.join(chosen, "cell").where((F.col("key") != F.col("other")) & (F.least("n", "m") >= least * F.greatest("n", "m")))
+    chosen = join_by_shuffle(members, near, "key").withColumn("_r", first).where(F.col("_r") <= REPRESENTATIVES).select("cell", F.col("key").alias("other"), F.col("n").alias("m"))
+    met = join_by_shuffle(members, chosen, "cell").where((F.col("key") != F.col("other")) & (F.least("n", "m") >= least * F.greatest("n", "m")))
     pairs = materialize(spark, met.select(F.least("key", "other").alias("src"), F.greatest("key", "other").alias("dst")).distinct(), "pairs")
     found = materialize(spark, verified(pairs, sets, least), "similar")
 
     rest = materialize(spark, open_members(members, connected_components(spark, found)), "open")
     if rest.isEmpty():
         return found
-    tokens = materialize(spark, rest.join(sets, "key").select("key", "component", F.explode("shingles").alias("token")), "tokens")
+    tokens = materialize(spark, join_by_shuffle(rest, sets, "key").select("key", "component", F.explode("shingles").alias("token")), "tokens")
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_n"), F.min("component").alias("_a"), F.max("component").alias("_b"))
-    ranked = tokens.join(counts.where("_a <> _b").select("token", "_n").hint("merge"), "token").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("_n", "token")))["token"].alias("ranked"))
+    ranked = join_by_shuffle(tokens, counts.where("_a <> _b").select("token", "_n"), "token").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("_n", "token")))["token"].alias("ranked"))
     # only sets with elements enough that other components have can be like one of these
-    able = rest.join(ranked, "key").where(F.size("ranked") >= F.ceil(F.col("n") * F.lit(least) - F.lit(1e-9))).withColumn("own", F.col("n") - F.size("ranked"))
+    able = join_by_shuffle(rest, ranked, "key").where(F.size("ranked") >= F.ceil(F.col("n") * F.lit(least) - F.lit(1e-9))).withColumn("own", F.col("n") - F.size("ranked"))
     early = materialize(spark, prefixes(able, least), "prefixes")
     a = early.where("small").select("token", "sizes", *[F.col(c).alias(f"a_{c}") for c in ("key", "component", "outside", "n", "at")])
     b = early.where("not small").select("token", "sizes", *[F.col(c).alias(f"b_{c}") for c in ("key", "component", "outside", "n", "at")])
     enough = overlap(F.col("a_n"), F.col("b_n"), least)
     fit = (F.col("a_component") != F.col("b_component")) & (F.col("a_n") <= F.col("b_n")) & (F.col("a_n") - F.col("a_at") >= enough) & (F.col("b_n") - F.col("b_at") >= enough)
-    across = [x.join(y.hint("merge"), ["token", "sizes"]).where(fit) for x, y in ((a.where("a_outside"), b), (a.where("not a_outside"), b.where("b_outside")))]
+    across = [join_by_shuffle(x, y, ["token", "sizes"]).where(fit) for x, y in ((a.where("a_outside"), b), (a.where("not a_outside"), b.where("b_outside")))]
     other = across[0].union(across[1]).select(F.least("a_key", "b_key").alias("src"), F.greatest("a_key", "b_key").alias("dst")).distinct()
     return found.union(verified(materialize(spark, other, "pairs"), sets, least))
 
@@ -276,17 +275,17 @@ def similar_components(spark: SparkSession, docs: DataFrame, shingle: int = NEAR
     points = materialize(spark, marks.groupBy("key").agg(F.min("doc_id").alias("low"), F.min("mark").alias("mark"), *[F.any_value(c).alias(c) for c in ("fp", "n", "prints")]), "points")
     near = materialize(spark, connected_components(spark, links(spark, points.select("fp").distinct())).select(F.col("node").alias("fp"), F.col("component").alias("grid")), "near")
     every = F.concat(F.array(F.coalesce("grid", "fp")), "prints")
-    cells = points.join(near, "fp", "left").select("key", "n", F.posexplode(every).alias("band", "value")).select(F.xxhash64("band", "value").alias("cell"), "key", "n").distinct()
+    cells = join_by_shuffle(points, near, "fp", "left").select("key", "n", F.posexplode(every).alias("band", "value")).select(F.xxhash64("band", "value").alias("cell"), "key", "n").distinct()
     shared = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("cell")
-    members = materialize(spark, cells.join(shared, "cell", "left_semi"), "members")
-    wanted = points.join(members.select("key").distinct(), "key", "left_semi").select("mark")
-    texts = rows.select("mark", "text").join(wanted, "mark", "left_semi").dropDuplicates(["mark"])
+    members = materialize(spark, join_by_shuffle(cells, shared, "cell", "left_semi"), "members")
+    wanted = join_by_shuffle(points, members.select("key").distinct(), "key", "left_semi").select("mark")
+    texts = join_by_shuffle(rows.select("mark", "text"), wanted, "mark", "left_semi").dropDuplicates(["mark"])
     sets = materialize(spark, texts.select("text").mapInArrow(shingles, "key long, shingles array<long>"), "sets")
     parts = materialize(spark, connected_components(spark, similar_links(spark, members, sets, least)), "parts")
-    lows = points.join(parts.withColumnRenamed("node", "key"), "key").groupBy("component").agg(F.min("low").alias("component_id"))
-    merged = parts.join(lows, "component").select(F.col("node").alias("key"), "component", "component_id")
-    ids = points.join(merged, "key", "left").select("key", F.coalesce("component", "key").alias("component"), F.coalesce("component_id", "low").alias("component_id"))
-    return marks.select("doc_id", "mark", "key").join(materialize(spark, ids, "classes"), "key").select("doc_id", "mark", "key", "component", "component_id")
+    lows = join_by_shuffle(points, parts.withColumnRenamed("node", "key"), "key").groupBy("component").agg(F.min("low").alias("component_id"))
+    merged = join_by_shuffle(parts, lows, "component").select(F.col("node").alias("key"), "component", "component_id")
+    ids = join_by_shuffle(points, merged, "key", "left").select("key", F.coalesce("component", "key").alias("component"), F.coalesce("component_id", "low").alias("component_id"))
+    return join_by_shuffle(marks.select("doc_id", "mark", "key"), materialize(spark, ids, "classes"), "key").select("doc_id", "mark", "key", "component", "component_id")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.core import materialize
+from weftline.core import join_by_shuffle, materialize
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -27,10 +27,10 @@ def connected_components(spark: SparkSession, edges: DataFrame, most_rounds: int
             break
         both = now.union(now.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         least = both.groupBy("src").agg(F.min("dst").alias("low")).select("src", F.least("src", "low").alias("low"))
-        large = both.where("dst > src").join(least, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst")).where("src <> dst").distinct()
+        large = join_by_shuffle(both.where("dst > src"), least, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst")).where("src <> dst").distinct()
         large = materialize(spark, large, "components")
         low = large.groupBy("src").agg(F.min("dst").alias("low"))
-        moved = large.join(low, "src").where("dst <> low").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
+        moved = join_by_shuffle(large, low, "src").where("dst <> low").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
         now = materialize(spark, moved.union(low.select("src", F.col("low").alias("dst"))).distinct(), "components")
         after = _digest(now)
         if after == before:
@@ -38,7 +38,7 @@ def connected_components(spark: SparkSession, edges: DataFrame, most_rounds: int
         before = after
     else:
         raise RuntimeError("components did not settle")
-    roots = now.select(F.col("dst").alias("node")).union(loops.where("src = dst").select("src").join(now, "src", "left_anti")).distinct()
+    roots = now.select(F.col("dst").alias("node")).union(join_by_shuffle(loops.where("src = dst").select("src"), now, "src", "left_anti")).distinct()
     return now.select(F.col("src").alias("node"), F.col("dst").alias("component")).union(roots.select("node", F.col("node").alias("component"))).distinct()
 
 
