@@ -1,6 +1,8 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -189,6 +191,50 @@ def test_counting_against_a_loop():
     assert dict(got) == dict(want)
 
 
+class Caught(Exception):
+    """Stands for a table, and raises what is mapped over it."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, f, _):
+        raise Caught(f)
+
+
+def test_counts_of_many_branches_are_exact_and_take_little_memory(monkeypatch):
+    rng, m = np.random.default_rng(6), model(TEXTS)
+    raw = rng.choice(np.frombuffer(b"etaoinshrdlu", "u1"), (180_000, 8)).tobytes()
+    words = [END, *(raw[k : k + 8] for k in range(0, len(raw), 8))]
+    train = np.concatenate([[3 << 40, 1 << 22, (1 << 18) - 1, 1 << 18], rng.integers(1, 300, len(words) - 4)])  # some need many bits
+    counts = np.stack([train, train - train * rng.integers(0, 2, len(train))], axis=1)
+    blocks = [(words[a : a + 30_000], counts[a : a + 30_000]) for a in range(0, len(words), 30_000)]
+    monkeypatch.setattr(mixture, "spoken", lambda _, k: blocks[k])
+    session = SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda x: SimpleNamespace(value=x)))
+    with pytest.raises(Caught) as caught:
+        mixture.spelling_tables(session, Caught(), m.trees, m.bits)
+    tracemalloc.start()
+    try:
+        batches = list(caught.value.args[0]([SimpleNamespace(num_rows=len(blocks))]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    got, want, taken = *np.zeros((2, 2, 2 * int(offsets_of(m.bits)[-1])), "i8"), 0
+    for batch in batches:
+        for part, row in zip(batch["part"].to_pylist(), batch["packed"]):
+            step, n, less = mixture.unpacked(row.as_py(), 3)
+            at = np.cumsum(step) + (part << mixture.PART + 1)
+            assert (step[1:] > 0).all()
+            got[0, at] += n
+            got[1, at] += n - less
+            taken += len(at)
+    for own in blocks:
+        for keys, sums in counted(*own, m.trees, m.bits):
+            for out, n in zip(want, sums):
+                np.add.at(out, keys.astype("i8"), n)
+    assert (got == want).all() and taken > mixture.COUNTED // 4  # branches enough to fill what a task adds up at once
+    assert peak < 220e6
+
+
 def check_base(rows, table, held):
     counts, n = Counter(), 0
     for d, t in table:
